@@ -1 +1,171 @@
-"""Serving plans (filled in below)."""
+"""Serving plans: the documents are dropped as files into a watched folder,
+scored by the streaming job (``availableNow`` trigger, several files per
+micro-batch) and the written tables are read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textflow.operators import monitor
+from textflow.operators.registry import Registry
+from textflow.operators.training import Trainer, default_model_specs
+from textflow.plans.catalog import plan, r6, table
+from textflow.plans.text_plans import labelled_text
+from textflow.session import scratch_path
+from textflow.sources.predictions import read_json_predictions, read_predictions
+from textflow.streaming.scorers import PythonModelScorer, TextLengthModel
+from textflow.streaming.serving import ServingConfig, read_batch_metrics, start_serving
+from textflow.streaming.sinks import write_predictions
+
+MIN_CHARS = 2000          # rule model threshold (test value)
+RULE_VERSION = "rule-1"
+
+RULE_SQL = f"""
+SELECT doc_id, CAST(CASE WHEN length(text) >= {MIN_CHARS} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction,
+       '{RULE_VERSION}' AS model_version
+FROM documents
+"""
+
+
+def drop_files(df: DataFrame, name: str) -> str:
+    """Write ``df`` as headered CSV files (several, by key hash) to a fresh folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    n_files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+    (df.repartition(n_files, "doc_id").write.option("header", "true").option("escape", '"')
+     .option("quote", '"').csv(path))
+    return path
+
+
+def run_stream(spark: SparkSession, cfg: ServingConfig, **kwargs):
+    query, handler = start_serving(spark, cfg, **kwargs)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"stream failed: {query.exception()}")
+    return handler
+
+
+def _rule_config(spark: SparkSession, input_path: str, schema: str) -> ServingConfig:
+    root = scratch_path(spark, "serving")
+    return ServingConfig(
+        output_path=f"{root}/predictions", checkpoint=f"{root}/checkpoint", input_path=input_path,
+        file_format="csv", schema=schema, header=True, multi_line=True, max_files_per_trigger=2,
+        available_now=True, passthrough=("doc_id",), write_json=True,
+        json_output_path=f"{root}/predictions_json", metrics_path=f"{root}/batch_metrics",
+    )
+
+
+def rule_serving_run(spark: SparkSession, sf_dir: str) -> ServingConfig:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cfg = _rule_config(spark, drop_files(docs, "stream-in"), "doc_id BIGINT, text STRING")
+    run_stream(spark, cfg, scorer=PythonModelScorer(TextLengthModel(MIN_CHARS)), scorer_version=RULE_VERSION)
+    return cfg
+
+
+@plan("stream_score_readback", RULE_SQL)
+def q_stream_score_readback(spark, sf_dir):
+    """File stream -> Python-model scoring -> partitioned Parquet -> read back."""
+    cfg = rule_serving_run(spark, sf_dir)
+    return read_predictions(spark, cfg.output_path).select("doc_id", "prediction", "model_version")
+
+
+@plan("stream_json_readback", RULE_SQL)
+def q_stream_json_readback(spark, sf_dir):
+    """The JSON-lines copy of the same stream, parsed back."""
+    cfg = rule_serving_run(spark, sf_dir)
+    back = read_json_predictions(spark, cfg.json_output_path,
+                                 "doc_id BIGINT, prediction DOUBLE, model_version STRING")
+    return back.select("doc_id", "prediction", "model_version")
+
+
+@plan("udf_score", RULE_SQL)
+def q_udf_score(spark, sf_dir):
+    """Batch scoring with the Python model through the Arrow pandas UDF."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = PythonModelScorer(TextLengthModel(MIN_CHARS)).score(docs)
+    return scored.select("doc_id", "prediction", F.lit(RULE_VERSION).alias("model_version"))
+
+
+@plan(
+    "batch_metrics",
+    """
+    SELECT CAST(count(*) AS BIGINT) AS total_batch_rows, CAST(count(*) AS BIGINT) AS total_written_rows
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+    """,
+)
+def q_batch_metrics(spark, sf_dir):
+    """Per-batch row counts of a labelled stream, summed over the batches."""
+    labelled = labelled_text(spark, sf_dir).select("doc_id", "text", "label")
+    cfg = _rule_config(spark, drop_files(labelled, "stream-labelled"), "doc_id BIGINT, text STRING, label INT")
+    run_stream(spark, cfg, scorer=PythonModelScorer(TextLengthModel(MIN_CHARS)), scorer_version=RULE_VERSION)
+    metrics = read_batch_metrics(spark, cfg.metrics_path)
+    return metrics.agg(F.sum("batch_rows").alias("total_batch_rows"),
+                       F.sum("written_rows").alias("total_written_rows"))
+
+
+@plan("stream_model_score")
+def q_stream_model_score(spark, sf_dir):
+    """Registry-served Spark model on a labelled stream: the newest registered
+    version is polled and loaded, and each batch gets its AUC."""
+    labelled = labelled_text(spark, sf_dir)
+    lr = [s for s in default_model_specs() if s.name == "LogisticRegression"]
+    from textflow.plans.training_plans import _config
+
+    outcome = Trainer(_config(spark, sf_dir), lr).fit(labelled)
+    root = scratch_path(spark, "served")
+    registry = Registry(spark, f"{root}/registry")
+    registry.register_model("text-model", outcome.results[0].model)
+    cfg = ServingConfig(
+        output_path=f"{root}/predictions", checkpoint=f"{root}/checkpoint",
+        input_path=drop_files(labelled.select("doc_id", "text", "label"), "stream-model-in"),
+        schema="doc_id BIGINT, text STRING, label INT", header=True, multi_line=True,
+        max_files_per_trigger=2, available_now=True, passthrough=("doc_id",),
+        registry_root=f"{root}/registry", model_name="text-model", reload_interval_seconds=0,
+        metrics_path=f"{root}/batch_metrics",
+    )
+    run_stream(spark, cfg)
+    metrics = read_batch_metrics(spark, cfg.metrics_path)
+    return metrics.select("batch_id", "model_version", "batch_rows", "written_rows", r6("batch_auc").alias("batch_auc"))
+
+
+def _events_as_predictions(spark: SparkSession, sf_dir: str) -> str:
+    events = table(spark, sf_dir, "events")
+    rows = events.select(
+        "event_id", F.col("value").alias("prediction"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.lit("events").alias("query_id"), F.lit(0).cast("bigint").alias("batch_id"),
+    )
+    path = scratch_path(spark, "event-predictions")
+    write_predictions(rows, path)
+    return path
+
+
+@plan(
+    "predictions_by_date",
+    "SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n_rows FROM events GROUP BY 1",
+)
+def q_predictions_by_date(spark, sf_dir):
+    """Events written as a date-partitioned prediction table, counted per date."""
+    return monitor.predictions_by_date(spark, _events_as_predictions(spark, sf_dir))
+
+
+@plan(
+    "predictions_one_date",
+    """
+    SELECT event_id, prediction FROM (
+      SELECT event_id, value AS prediction, strftime(ts, '%Y-%m-%d') AS date FROM events)
+    WHERE date = (SELECT min(strftime(ts, '%Y-%m-%d')) FROM events)
+    """,
+)
+def q_predictions_one_date(spark, sf_dir):
+    """Read back a single date partition (the folder is pruned, not filtered row by row)."""
+    path = _events_as_predictions(spark, sf_dir)
+    first = table(spark, sf_dir, "events").agg(F.min(F.date_format("ts", "yyyy-MM-dd"))).first()[0]
+    return read_predictions(spark, path, date=first).select("event_id", "prediction")
+
+
+@plan("recent_outputs")
+def q_recent_outputs(spark, sf_dir):
+    """The five newest part-files of the prediction table."""
+    return monitor.recent_files(spark, _events_as_predictions(spark, sf_dir), n=5)
