@@ -17,25 +17,25 @@ from pyspark.sql import functions as F
 
 # Java's ``\s`` class, which the ML Tokenizer splits on.
 WHITESPACE_PATTERN = "[ \\t\\n\\x0B\\f\\r]"
+WHITESPACE_CHARS = " \t\n\x0b\f\r"
 
 
 def tokenize(text: Column | str) -> Column:
     """Lower-case and split on single whitespace characters.
 
-    ``split`` keeps trailing empty strings while Java's ``String.split`` (used
-    by the ML Tokenizer) drops them, so they are sliced off here; leading and
-    inner empty tokens stay, as in the ML stage.
+    Java's ``String.split`` (used by the ML Tokenizer) drops trailing empty
+    strings while SQL ``split`` keeps them; trimming the trailing whitespace
+    first gives the Java result with one codegen'd split and no lambda.
+    Leading and inner empty tokens stay, as in the ML stage; "" gives [""]
+    (no separator matched) and all-whitespace text gives [].
     """
     col = F.col(text) if isinstance(text, str) else text
-    parts = F.split(F.lower(col), WHITESPACE_PATTERN)
-    # index (1-based) of the last non-empty token, 0 when all are empty
-    keep = F.array_position(F.reverse(F.transform(parts, lambda t: t != F.lit(""))), True)
-    kept = F.when(keep == 0, F.lit(0)).otherwise(F.size(parts) - keep + 1)
-    # Java splits "" (no match at all) into [""], but "  " into []
+    body = F.rtrim(F.lower(col), F.lit(WHITESPACE_CHARS))
     return (
         F.when(col.isNull(), F.lit(None))
         .when(col == F.lit(""), F.array(F.lit("")))
-        .otherwise(F.slice(parts, 1, kept))
+        .when(body == F.lit(""), F.array().cast("array<string>"))
+        .otherwise(F.split(body, WHITESPACE_PATTERN))
     )
 
 

@@ -60,11 +60,19 @@ def score_counts(df: DataFrame, label_col: str = "label", score_col: str = "scor
 def curve_points(counts: DataFrame, num_buckets: int | None = None, relative_error: float = 1e-3) -> DataFrame:
     """``counts`` plus ``pos_above``/``neg_above``: totals of strictly higher scores."""
     buckets = num_buckets or _default_buckets(counts)
-    discretizer = QuantileDiscretizer(
-        numBuckets=buckets, inputCol="score", outputCol="bucket", relativeError=relative_error,
-        handleInvalid="keep",
-    )
-    bucketed = discretizer.fit(counts).transform(counts)
+    if buckets < 2:
+        bucketed = counts.withColumn("bucket", F.lit(0.0))
+    else:
+        discretizer = QuantileDiscretizer(
+            numBuckets=buckets, inputCol="score", outputCol="bucket", relativeError=relative_error,
+            handleInvalid="keep",
+        )
+        try:
+            bucketed = discretizer.fit(counts).transform(counts)
+        except Exception:  # noqa: BLE001 -- no scores at all: nothing to split
+            if not counts.isEmpty():
+                raise
+            bucketed = counts.withColumn("bucket", F.lit(0.0))
     # B rows; the window over them runs in one task but B is bounded
     totals = bucketed.groupBy("bucket").agg(F.sum("pos").alias("b_pos"), F.sum("neg").alias("b_neg"))
     higher = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)

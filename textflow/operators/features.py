@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions.text import remove_stop_words, tokenize
+from textflow.operators.layout import spread
 
 # Rows of a join side that may be broadcast to every executor (about 64 MB of
 # (term, df, idf) rows); larger sides go through a shuffle join, where AQE's
@@ -49,6 +50,7 @@ def hashing_model(num_features: int = 1 << 15, text_col: str = "text") -> Pipeli
 def hashed_features(docs: DataFrame, num_features: int = 1 << 15, min_doc_freq: int = 5,
                     text_col: str = "text") -> DataFrame:
     """Fit the IDF on ``docs`` and return them with all feature columns."""
+    docs = spread(docs)
     return feature_pipeline(num_features, min_doc_freq, text_col).fit(docs).transform(docs)
 
 
@@ -66,7 +68,8 @@ def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``(id, terms)``: ML-identical tokens, stop words removed by default."""
     tokens = tokenize(text_col)
     terms = remove_stop_words(tokens) if drop_stop_words else tokens
-    return docs.where(F.col(text_col).isNotNull()).select(F.col(id_col), terms.alias("terms"))
+    rows = spread(docs.where(F.col(text_col).isNotNull()).select(id_col, text_col))
+    return rows.select(F.col(id_col), terms.alias("terms"))
 
 
 def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from textflow.operators import auc as auc_ops
 from textflow.operators import evaluate as ev
 from textflow.operators.features import feature_stages
+from textflow.operators.layout import spread
 from textflow.operators.prep import cap_rows, sample_rows
 from textflow.operators.splits import fold_column, keyed_splits, random_splits
 
@@ -259,7 +260,7 @@ class Trainer:
         data = labelled.where(F.col("label").isNotNull() & F.col("text").isNotNull())
         data = sample_rows(data, cfg.sample_fraction, cfg.seed,
                            key=cfg.key_col if cfg.split_mode == "keyed" else None)
-        data = cap_rows(data, cfg.max_rows, [cfg.key_col] if cfg.key_col else None)
+        data = spread(cap_rows(data, cfg.max_rows, [cfg.key_col] if cfg.key_col else None))
         try:
             train, val, test = _split(data, cfg)
             keep_cols = ["label", "text"] + ([cfg.key_col] if cfg.key_col in data.columns else [])

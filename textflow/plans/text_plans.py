@@ -16,6 +16,7 @@ from textflow.functions.text import (
     tokenize_sql,
 )
 from textflow.operators import features as feat
+from textflow.operators.layout import spread
 from textflow.operators.prep import cap_rows, labelled_from_raw, sample_rows, trim_text
 from textflow.operators.profile import profile_labelled
 from textflow.operators.splits import split_sizes, with_folds, with_split
@@ -154,10 +155,10 @@ def q_row_cap(spark, sf_dir):
     """,
 )
 def q_token_counts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull())
-    tokens = tokenize("text")
-    return docs.select(
-        "doc_id", F.size(tokens).alias("n_tokens"), F.size(F.array_distinct(tokens)).alias("n_distinct_tokens")
+    docs = spread(table(spark, sf_dir, "documents").where(F.col("text").isNotNull()).select("doc_id", "text"))
+    tokens = docs.select("doc_id", tokenize("text").alias("tokens"))
+    return tokens.select(
+        "doc_id", F.size("tokens").alias("n_tokens"), F.size(F.array_distinct("tokens")).alias("n_distinct_tokens")
     )
 
 
@@ -171,14 +172,14 @@ def q_token_counts(spark, sf_dir):
     """,
 )
 def q_stopword_filtered(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull())
-    tokens = tokenize("text")
-    kept = remove_stop_words(tokens)
-    kept_chars = F.aggregate(kept, F.lit(0).cast("bigint"), lambda acc, t: acc + F.length(t))
-    return docs.select(
+    docs = spread(table(spark, sf_dir, "documents").where(F.col("text").isNotNull()).select("doc_id", "text"))
+    tokens = docs.select("doc_id", tokenize("text").alias("tokens"))
+    kept = tokens.select("doc_id", "tokens", remove_stop_words("tokens").alias("kept"))
+    kept_chars = F.aggregate("kept", F.lit(0).cast("bigint"), lambda acc, t: acc + F.length(t))
+    return kept.select(
         "doc_id",
-        F.size(kept).alias("n_kept"),
-        (F.size(tokens) - F.size(kept)).alias("n_removed"),
+        F.size("kept").alias("n_kept"),
+        (F.size("tokens") - F.size("kept")).alias("n_removed"),
         kept_chars.alias("kept_chars"),
     )
 

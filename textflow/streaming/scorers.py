@@ -56,7 +56,9 @@ class PythonModelScorer:
                 pdf.columns = list(cols)
                 yield pd.Series(model.predict(pdf), index=pdf.index).astype("float64")
 
-        return df.withColumn("prediction", predict(F.struct(*[F.col(c) for c in cols])))
+        from textflow.operators.layout import spread
+
+        return spread(df).withColumn("prediction", predict(F.struct(*[F.col(c) for c in cols])))
 
     def close(self) -> None:
         if self._broadcast is not None:
