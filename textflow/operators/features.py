@@ -77,8 +77,12 @@ def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shuffle (partial aggregation), so a long document or a hot term costs
     one row per (document, term) on the wire."""
     terms = doc_terms(docs, id_col, text_col)
+    # explode_outer + an explicit null filter: an inner explode makes Catalyst
+    # infer ``size(terms) > 0`` and push it below the repartition, which would
+    # tokenise every document twice (once in the unbalanced scan task)
     return (
-        terms.select(F.col(id_col), F.explode("terms").alias("term"))
+        terms.select(F.col(id_col), F.explode_outer("terms").alias("term"))
+        .where(F.col("term").isNotNull())
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -98,13 +102,20 @@ def idf_table(docs: DataFrame, min_doc_freq: int = 5, id_col: str = "doc_id",
     """``(term, df, idf)`` with Spark ML's ``ln((n+1)/(df+1))``, 0 below
     ``min_doc_freq``; ``n`` counts every document with non-null text."""
     if n_docs is None:
-        n_docs = docs.where(F.col(text_col).isNotNull()).count()
+        # a scalar subquery: planned with the rest of the query, no eager job
+        n = docs.where(F.col(text_col).isNotNull()).select(F.count(F.lit(1))).scalar()
+    else:
+        n = F.lit(n_docs)
     if tf is None:
         tf = term_frequencies(docs, id_col, text_col)
     df_col = F.col("df")
     idf = F.when(df_col >= F.lit(min_doc_freq),
-                 F.log((F.lit(float(n_docs)) + 1.0) / (df_col + 1.0))).otherwise(F.lit(0.0))
-    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", idf)
+                 F.log((n.cast("double") + 1.0) / (df_col + 1.0))).otherwise(F.lit(0.0))
+    # count_if(tf > 0) equals count(*) (tf >= 1) but keeps the tf column alive
+    # (count(tf) would be rewritten to count(1) and tf pruned), so this branch
+    # and a join back to ``tf`` share one shuffle (ReusedExchange) instead of
+    # tokenising the corpus twice
+    return tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df")).withColumn("idf", idf)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
@@ -121,13 +132,16 @@ def tfidf(docs: DataFrame, min_doc_freq: int = 5, id_col: str = "doc_id",
     """``(id, term, tf, idf, tfidf)`` per document and term.
 
     Both branches start from the same ``tf`` aggregation, so Spark reuses its
-    shuffle (ReusedExchange) instead of tokenising twice. Only terms with a
-    non-zero weight are joined (rare terms get 0), which keeps the broadcast
-    side small."""
+    shuffle stage instead of tokenising twice. Only terms with a non-zero
+    weight are joined (rare terms get 0), which keeps the join side small."""
     tf = term_frequencies(docs, id_col, text_col)
     idf = idf_table(docs, min_doc_freq, id_col, text_col, tf=tf)
     weights = idf.where(F.col("idf") > 0).select("term", "idf")
-    joined = join_small(tf, weights, "term", how="left")
+    # No hint and no eager count: AQE materialises the weights stage first and
+    # broadcasts it only if its measured size is under the broadcast threshold;
+    # otherwise it stays a sort-merge join whose hot-term partitions the
+    # skew-join rule splits.
+    joined = tf.join(weights, "term", "left")
     weight = F.coalesce(F.col("idf"), F.lit(0.0))
     return joined.select(id_col, "term", "tf", weight.alias("idf"), (F.col("tf") * weight).alias("tfidf"))
 

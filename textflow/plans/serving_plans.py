@@ -20,6 +20,7 @@ from textflow.streaming.sinks import write_predictions
 
 MIN_CHARS = 2000          # rule model threshold (test value)
 RULE_VERSION = "rule-1"
+FILES_PER_TRIGGER = 10    # the reference's deployed setting
 
 RULE_SQL = f"""
 SELECT doc_id, CAST(CASE WHEN length(text) >= {MIN_CHARS} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction,
@@ -50,7 +51,8 @@ def _rule_config(spark: SparkSession, input_path: str, schema: str) -> ServingCo
     root = scratch_path(spark, "serving")
     return ServingConfig(
         output_path=f"{root}/predictions", checkpoint=f"{root}/checkpoint", input_path=input_path,
-        file_format="csv", schema=schema, header=True, multi_line=True, max_files_per_trigger=2,
+        file_format="csv", schema=schema, header=True, multi_line=True,
+        max_files_per_trigger=FILES_PER_TRIGGER,
         available_now=True, passthrough=("doc_id",), write_json=True,
         json_output_path=f"{root}/predictions_json", metrics_path=f"{root}/batch_metrics",
     )

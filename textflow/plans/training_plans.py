@@ -47,7 +47,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 @plan("train_compare")
 def q_train_compare(spark, sf_dir):
     """The three classifiers on shared features, evaluated on the test split."""
-    outcome = Trainer(_config(spark, sf_dir)).fit(labelled_text(spark, sf_dir))
+    outcome = Trainer(_config(spark, sf_dir, parallelism=3)).fit(labelled_text(spark, sf_dir))
     return _frame(spark, outcome)
 
 
@@ -55,7 +55,7 @@ def q_train_compare(spark, sf_dir):
 def q_tuned_grid(spark, sf_dir):
     """Cross-validated grids (LR, RF; LinearSVC tuning off by default), the
     IDF re-fitted per fold; one row per (model, grid point)."""
-    cfg = _config(spark, sf_dir, enable_cv=True, cv_folds=2)
+    cfg = _config(spark, sf_dir, enable_cv=True, cv_folds=2, parallelism=3)
     outcome = Trainer(cfg).fit(labelled_text(spark, sf_dir))
     return outcome.grid_frame(spark).select("model", "grid_id", "params", r6("avg_metric").alias("avg_metric"))
 
