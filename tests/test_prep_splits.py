@@ -113,7 +113,7 @@ def test_ensure_text_column(spark):
         ensure_text_column(two)
 
 
-def test_parse_schema_forms():
+def test_parse_schema_forms(spark):
     ddl = parse_schema("text STRING, label INT")
     as_json = parse_schema(ddl.json())
     assert ddl == as_json and ddl.fieldNames() == ["text", "label"]

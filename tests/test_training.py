@@ -74,3 +74,17 @@ def test_default_specs_match_reference_settings():
     assert specs["LinearSVC"].tune is False
     lr = specs["LogisticRegression"].make()
     assert lr.getMaxIter() == 20 and lr.getRegParam() == 0.1
+
+
+def test_save_outcome_writes_every_model_and_best_pointer(spark, labelled, tmp_dir):
+    from pyspark.ml import PipelineModel
+
+    from textflow.operators.training import save_outcome
+
+    lr = [s for s in default_model_specs() if s.name == "LogisticRegression"]
+    outcome = Trainer(TrainConfig(num_features=1024, min_doc_freq=1), lr).fit(labelled)
+    index = save_outcome(spark, outcome, tmp_dir, stamp="20240101000000").collect()
+    assert len(index) == 1 and index[0]["is_best"]
+    model = PipelineModel.load(index[0]["path"])
+    assert "prediction" in model.transform(labelled.limit(3)).columns
+    assert spark.read.parquet(f"{tmp_dir}/models/_index").count() == 1

@@ -20,3 +20,30 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+class persisted:
+    """Persist frames for a block and always unpersist them afterwards.
+
+    ``materialise=True`` forces each frame with a ``count`` on entry (the
+    optional cache-and-count of splits); otherwise the first action fills
+    the cache."""
+
+    def __init__(self, *frames: DataFrame, level=None, materialise: bool = False):
+        from pyspark import StorageLevel
+
+        self.frames = frames
+        self.level = level or StorageLevel.MEMORY_AND_DISK
+        self.materialise = materialise
+
+    def __enter__(self):
+        out = tuple(df.persist(self.level) for df in self.frames)
+        if self.materialise:
+            for df in out:
+                df.count()
+        return out if len(out) != 1 else out[0]
+
+    def __exit__(self, *exc):
+        for df in self.frames:
+            df.unpersist()
+        return False

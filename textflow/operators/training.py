@@ -11,6 +11,7 @@ reference's full-pipeline cross-validation does per fold *and* grid point.
 from __future__ import annotations
 
 import dataclasses
+import datetime as _dt
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -341,3 +342,19 @@ def record_outcome(outcome: TrainingOutcome, registry, cfg: TrainConfig, prefix:
         })
         versions["best"] = registry.register_model(f"{prefix}-best", outcome.best.model, parent)
     return versions
+
+
+def save_outcome(spark: SparkSession, outcome: TrainingOutcome, output_root: str,
+                 stamp: str | None = None) -> DataFrame:
+    """Save every fitted model under ``<root>/models/<name>-<timestamp>`` and
+    write a small index table marking the best one; returns the index."""
+    stamp = stamp or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S")
+    root = output_root.rstrip("/")
+    rows = []
+    for r in outcome.results:
+        path = f"{root}/models/{r.name.lower()}-{stamp}"
+        r.model.write().overwrite().save(path)
+        rows.append((r.name, path, outcome.best is r, _float(r.metrics.get("accuracy")), stamp))
+    index = spark.createDataFrame(rows, "model string, path string, is_best boolean, accuracy double, saved_at string")
+    index.write.mode("append").parquet(f"{root}/models/_index")
+    return index
