@@ -101,8 +101,15 @@ def test_sampling_and_cap(spark):
     keyed = sample_rows(docs, 0.3, key="doc_id")
     assert set(r[0] for r in keyed.collect()) == set(r[0] for r in sample_rows(docs.repartition(5), 0.3, key="doc_id").collect())
     assert 200 < keyed.count() < 400
-    capped = cap_rows(docs, 10, order_by=["doc_id"]).collect()
-    assert [r[0] for r in capped] == list(range(10))
+    import hashlib
+
+    def bucket(i):
+        return int(hashlib.md5(f"{i}:cap".encode()).hexdigest()[:8], 16) % 10000
+
+    want = sorted(range(docs.count()), key=lambda i: (bucket(i), i))[:10]
+    assert [r[0] for r in cap_rows(docs, 10, key="doc_id").collect()] == want
+    assert cap_rows(docs, 10).count() == 10
+    assert cap_rows(docs, 10**6, key="doc_id").count() == docs.count()
 
 
 def test_ensure_text_column(spark):

@@ -21,7 +21,7 @@ def labelled(spark):
     return labelled_text(spark, SF01).cache()
 
 
-def test_grid_is_bound_to_the_instance():
+def test_grid_is_bound_to_the_instance(spark):
     lr = LogisticRegression()
     points = grid_points(lr, {"regParam": [0.01, 10.0]})
     assert all(p.parent == lr.uid for pt in points for p in pt)
@@ -68,7 +68,7 @@ def test_pick_best_ties_and_zero():
     assert pick_best([r("a", 0.7), r("b", 0.7), r("c", 0.6)]).name == "a"
 
 
-def test_default_specs_match_reference_settings():
+def test_default_specs_match_reference_settings(spark):
     specs = {s.name: s for s in default_model_specs()}
     assert set(specs) == {"LogisticRegression", "RandomForest", "LinearSVC"}
     assert specs["LinearSVC"].tune is False

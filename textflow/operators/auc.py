@@ -57,9 +57,15 @@ def score_counts(df: DataFrame, label_col: str = "label", score_col: str = "scor
     )
 
 
-def curve_points(counts: DataFrame, num_buckets: int | None = None, relative_error: float = 1e-3) -> DataFrame:
-    """``counts`` plus ``pos_above``/``neg_above``: totals of strictly higher scores."""
+def curve_points(counts: DataFrame, num_buckets: int | None = None,
+                 relative_error: float | None = None) -> DataFrame:
+    """``counts`` plus ``pos_above``/``neg_above``: totals of strictly higher scores.
+
+    The quantile error defaults to a quarter of a bucket's share, so buckets
+    stay balanced however many there are."""
     buckets = num_buckets or _default_buckets(counts)
+    if relative_error is None:
+        relative_error = max(1e-5, min(1e-3, 0.25 / max(buckets, 1)))
     if buckets < 2:
         bucketed = counts.withColumn("bucket", F.lit(0.0))
     else:
@@ -124,3 +130,19 @@ def binary_areas_from_raw(df: DataFrame, label_col: str = "label",
                           raw_col: str = "rawPrediction", num_buckets: int | None = None) -> DataFrame:
     """Same, scoring with element 1 of a raw prediction vector."""
     return binary_areas(df.withColumn("__score", raw_score(raw_col)), label_col, "__score", num_buckets)
+
+
+def area_values(df: DataFrame, label_col: str = "label", score_col: str = "score",
+                num_buckets: int | None = None) -> dict:
+    """Eager form for driver-side reporting: the distinct-score table is
+    persisted once for the quantile pass and the prefix-sum pass, then freed."""
+    counts = score_counts(df, label_col, score_col).persist()
+    try:
+        return curve_areas(curve_points(counts, num_buckets)).first().asDict()
+    finally:
+        counts.unpersist()
+
+
+def area_values_from_raw(df: DataFrame, label_col: str = "label", raw_col: str = "rawPrediction",
+                         num_buckets: int | None = None) -> dict:
+    return area_values(df.withColumn("__score", raw_score(raw_col)), label_col, "__score", num_buckets)

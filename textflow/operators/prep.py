@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textflow.functions.keyed import BUCKETS, keyed_bucket
@@ -63,14 +63,27 @@ def sample_rows(
     return df.where(keyed_bucket(key, salt=f"sample:{seed}") < F.lit(cut))
 
 
-def cap_rows(df: DataFrame, max_rows: int, order_by: list[str] | None = None) -> DataFrame:
-    """Row cap for quick runs (``max_rows > 0``). With ``order_by`` the kept
-    rows are deterministic (Spark plans it as a top-k, no global sort)."""
+def cap_rows(df: DataFrame, max_rows: int, key: str | None = None) -> DataFrame:
+    """Row cap for quick runs (``max_rows > 0``).
+
+    Without ``key`` this is ``limit`` (any rows, stops reading early). With
+    ``key`` the kept rows are deterministic: the first ``max_rows`` in
+    ``(keyed bucket, key)`` order. A plain ``orderBy(key).limit(n)`` would
+    send up to ``n`` rows from *every* partition into one task; instead a
+    histogram of the 10,000 key buckets (one small partial aggregate) finds
+    the bucket where the running count reaches ``max_rows``, rows beyond it
+    are filtered out where they are read, and the top-k runs only over the
+    survivors (about ``max_rows`` plus one bucket)."""
     if max_rows <= 0:
         return df
-    if order_by:
-        return df.orderBy(*order_by).limit(max_rows)
-    return df.limit(max_rows)
+    if key is None:
+        return df.limit(max_rows)
+    bucket = keyed_bucket(key, salt="cap")
+    hist = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    running = hist.select("b", F.sum("n").over(Window.orderBy("b")).alias("upto"))
+    cut = running.where(F.col("upto") >= F.lit(max_rows)).agg(F.min("b")).first()[0]
+    kept = df if cut is None else df.where(bucket <= F.lit(cut))
+    return kept.orderBy(bucket, F.col(key)).limit(max_rows)
 
 
 def ensure_text_column(df: DataFrame, col: str = "text") -> DataFrame:

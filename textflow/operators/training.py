@@ -30,7 +30,7 @@ from textflow.operators import evaluate as ev
 from textflow.operators.features import feature_stages
 from textflow.operators.layout import spread
 from textflow.operators.prep import cap_rows, sample_rows
-from textflow.operators.splits import fold_column, keyed_splits, random_splits
+from textflow.operators.splits import fold_column, keyed_splits, random_splits, with_split
 
 
 @dataclass
@@ -160,7 +160,7 @@ def evaluate(predictions: DataFrame, label_col: str = "label") -> dict:
     """All metrics of a scored frame: one confusion pass plus the exact areas."""
     metrics = ev.metric_values(ev.confusion_row(predictions, label_col))
     if "rawPrediction" in predictions.columns:
-        areas = auc_ops.binary_areas_from_raw(predictions, label_col).first()
+        areas = auc_ops.area_values_from_raw(predictions, label_col)
         metrics["auc"] = areas["roc_auc"]
         metrics["pr_auc"] = areas["pr_auc"]
     return metrics
@@ -227,7 +227,7 @@ class Trainer:
             tagged = hashed_train.withColumn("fold", fold_column(key, cfg.cv_folds, cfg.seed))
         else:
             tagged = hashed_train.withColumn("fold", (F.rand(cfg.seed) * cfg.cv_folds).cast("int"))
-        tagged = self._keep(tagged)
+        # hashed_train is read from the cache; the fold column is a cheap hash
         folds = []
         for k in range(cfg.cv_folds):
             fold_train = tagged.where(F.col("fold") != k)
@@ -261,15 +261,27 @@ class Trainer:
         data = labelled.where(F.col("label").isNotNull() & F.col("text").isNotNull())
         data = sample_rows(data, cfg.sample_fraction, cfg.seed,
                            key=cfg.key_col if cfg.split_mode == "keyed" else None)
-        data = spread(cap_rows(data, cfg.max_rows, [cfg.key_col] if cfg.key_col else None))
+        data = spread(cap_rows(data, cfg.max_rows, cfg.key_col))
         try:
-            train, val, test = _split(data, cfg)
             keep_cols = ["label", "text"] + ([cfg.key_col] if cfg.key_col in data.columns else [])
-            hashed_train = self._keep(self._hash(train.select(*keep_cols)))
+            eval_name = "test" if cfg.select_on == "test" else "val"
+            if cfg.split_mode == "keyed":
+                # one scan, one tokenisation: hash every row once, split the cache
+                tagged = with_split(data.select(*keep_cols), cfg.key_col, cfg.train_ratio,
+                                    cfg.val_ratio, cfg.seed)
+                hashed = self._keep(self._hash(tagged))
+                hashed_train = hashed.where(F.col("split") == "train").drop("split")
+                if eval_name == "val" and cfg.val_ratio <= 0:
+                    eval_name = "train"
+                eval_hashed = hashed.where(F.col("split") == eval_name).drop("split")
+            else:
+                train, val, test = _split(data, cfg)
+                hashed_train = self._keep(self._hash(train.select(*keep_cols)))
+                eval_split = test if eval_name == "test" else val
+                eval_hashed = self._hash(eval_split.select(*keep_cols))
             idf_model = self._fit_idf(hashed_train)
             train_feat = self._keep(idf_model.transform(hashed_train))
-            eval_split = test if cfg.select_on == "test" else val
-            eval_feat = self._keep(idf_model.transform(self._hash(eval_split.select(*keep_cols))))
+            eval_feat = self._keep(idf_model.transform(eval_hashed))
             sizes, profile = _sizes(train_feat, eval_feat)
             needs_cv = cfg.enable_cv and any(s.tune and s.grid for s in self.specs)
             folds = self._folds(hashed_train) if needs_cv else []

@@ -139,11 +139,29 @@ def q_keyed_sample(spark, sf_dir):
 
 @plan(
     "row_cap",
-    f"SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT {ROW_CAP}",
+    f"""
+    SELECT doc_id, lang, n_chars FROM documents
+    ORDER BY {keyed_bucket_sql('doc_id', 'cap')}, doc_id LIMIT {ROW_CAP}
+    """,
 )
 def q_row_cap(spark, sf_dir):
+    """Deterministic cap of ``ROW_CAP`` rows (the quick preset's limit)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return cap_rows(docs, ROW_CAP, key="doc_id")
+
+
+@plan(
+    "row_cap_small",
+    f"""
+    SELECT doc_id, lang, n_chars FROM documents
+    ORDER BY {keyed_bucket_sql('doc_id', 'cap')}, doc_id
+    LIMIT (SELECT CAST(count(*) / 10 AS BIGINT) FROM documents)
+    """,
+)
+def q_row_cap_small(spark, sf_dir):
+    """A cap below the table size (a tenth of the rows), so rows are dropped."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    return cap_rows(docs, ROW_CAP, order_by=["doc_id"])
+    return cap_rows(docs, docs.count() // 10, key="doc_id")
 
 
 @plan(

@@ -214,8 +214,7 @@ class BatchScorer:
                     self.cfg.kafka_output_topic))
             batch_auc = None
             if "label" in shaped.columns and "rawPrediction" in shaped.columns:
-                areas = auc_ops.binary_areas_from_raw(shaped, "label").first()
-                batch_auc = areas["roc_auc"]
+                batch_auc = auc_ops.area_values_from_raw(shaped, "label")["roc_auc"]
             row = {
                 "query_id": query_id, "batch_id": int(batch_id), "model_version": version,
                 "batch_rows": int(rows_in.get.get("rows", 0)), "written_rows": int(rows_out.get.get("rows", 0)),
