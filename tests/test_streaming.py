@@ -196,3 +196,29 @@ def test_active_streams_lists_running_query(spark, tmp_dir):
     finally:
         q.stop()
     assert F
+
+
+def test_poll_interval_restarts_on_every_successful_poll(tmp_dir):
+    calls = {"n": 0}
+
+    def resolver():
+        calls["n"] += 1
+        return "1", "u1"
+
+    cfg = ServingConfig(output_path=f"{tmp_dir}/o", checkpoint=f"{tmp_dir}/c", input_path=f"{tmp_dir}/i",
+                        reload_interval_seconds=1000)
+    handler = BatchScorer(cfg, resolver=resolver, loader=lambda uri: "model-" + uri)
+    for _ in range(5):
+        assert handler.current_model() == ("model-u1", "1")
+    assert calls["n"] == 1
+    handler.holder.mark_checked(time.time() - 1001)
+    handler.current_model()
+    assert calls["n"] == 2
+    # unchanged version: polled again but not reloaded, and the interval restarts
+    assert not handler.holder.due(1000)
+
+
+def test_recent_files_time_window(spark, tmp_dir):
+    spark.range(10).write.parquet(f"{tmp_dir}/t")
+    assert recent_files(spark, f"{tmp_dir}/t", n=5, within_hours=1).count() >= 1
+    assert recent_files(spark, f"{tmp_dir}/t", n=5, within_hours=-1).count() == 0
