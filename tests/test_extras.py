@@ -55,3 +55,12 @@ def test_progress_log_records_batches(spark, tmp_dir):
     # the source rows count once per read of the batch (the empty check reads one row)
     rows = log.frame(spark).where(F.col("batch_id") == 0).collect()
     assert rows and rows[0]["num_input_rows"] >= 1 and rows[0]["trigger_ms"] > 0
+
+
+def test_python_model_saved_and_loaded_through_spark(spark, tmp_dir):
+    from textflow.streaming.scorers import load_scorer, save_python_model
+
+    save_python_model(spark, TextLengthModel(4), f"{tmp_dir}/m")
+    scorer = load_scorer(spark, f"{tmp_dir}/m", flavor="python")
+    df = spark.createDataFrame([("abc",), ("abcdef",)], "text string")
+    assert [r["prediction"] for r in scorer.score(df).orderBy("text").collect()] == [0.0, 1.0]

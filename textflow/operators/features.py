@@ -17,12 +17,6 @@ from pyspark.sql import functions as F
 from textflow.functions.text import remove_stop_words, tokenize
 from textflow.operators.layout import spread
 
-# Rows of a join side that may be broadcast to every executor (about 64 MB of
-# (term, df, idf) rows); larger sides go through a shuffle join, where AQE's
-# skew-join splits partitions of hot terms.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
 def feature_stages(
     num_features: int = 1 << 15,
     min_doc_freq: int = 5,
@@ -118,15 +112,6 @@ def idf_table(docs: DataFrame, min_doc_freq: int = 5, id_col: str = "doc_id",
     return tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df")).withColumn("idf", idf)
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after counting it; beyond ``max_rows`` use a
-    shuffle join (AQE splits skewed partitions of the big side)."""
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
-
-
 def tfidf(docs: DataFrame, min_doc_freq: int = 5, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """``(id, term, tf, idf, tfidf)`` per document and term.

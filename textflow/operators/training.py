@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from textflow.operators import auc as auc_ops
 from textflow.operators import evaluate as ev
-from textflow.operators.features import feature_stages
+from textflow.operators.features import feature_stages, hashing_model
 from textflow.operators.layout import spread
 from textflow.operators.prep import cap_rows, sample_rows
 from textflow.operators.splits import fold_column, keyed_splits, random_splits, with_split
@@ -197,8 +197,7 @@ class Trainer:
         return feature_stages(self.cfg.num_features, self.cfg.min_doc_freq)
 
     def _hash(self, df: DataFrame) -> DataFrame:
-        stages = self._stages()[:3]
-        return PipelineModel(stages=stages).transform(df)
+        return hashing_model(self.cfg.num_features).transform(df)
 
     def _fit_idf(self, hashed: DataFrame):
         return IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=self.cfg.min_doc_freq).fit(hashed)

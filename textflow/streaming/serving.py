@@ -26,13 +26,13 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from textflow.functions.payload import parse_flag
 from textflow.operators import auc as auc_ops
 from textflow.operators.prep import ensure_text_column
 from textflow.operators.registry import Registry
+from textflow.schemas import BATCH_METRICS
 from textflow.sources.stream import FILE_FORMATS, file_stream, kafka_stream
 from textflow.streaming import sinks
 from textflow.streaming.holder import ModelHolder
@@ -261,10 +261,4 @@ def start_serving(
 
 
 def read_batch_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_metrics_read_schema()).parquet(path)
-
-
-def _metrics_read_schema() -> T.StructType:
-    from textflow.schemas import BATCH_METRICS
-
-    return BATCH_METRICS
+    return spark.read.schema(BATCH_METRICS).parquet(path)
