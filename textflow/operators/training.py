@@ -86,6 +86,7 @@ class TrainConfig:
     select_on: str = "test"            # the reference picks the best model on test
     select_metric: str = "accuracy"
     parallelism: int = 1               # models trained at once (driver threads)
+    cv_parallelism: int = 2            # (fold, grid point) fits at once, as the reference's CV
     storage_level: StorageLevel = field(default_factory=lambda: StorageLevel.MEMORY_AND_DISK)
 
     def with_(self, **changes) -> "TrainConfig":
@@ -206,12 +207,21 @@ class Trainer:
     def _cross_validate(self, spec: ModelSpec, hashed_train: DataFrame, folds: list):
         estimator = spec.make()
         points = grid_points(estimator, spec.grid)
+
+        def score(task):
+            (fold_train, fold_val), point = task
+            model = estimator.fit(fold_train, point)
+            return ev.metric_values(ev.confusion_row(model.transform(fold_val)))[self.cfg.select_metric]
+
+        tasks = [(fold, point) for fold in folds for point in points]
+        if self.cfg.cv_parallelism > 1:
+            with ThreadPoolExecutor(max_workers=self.cfg.cv_parallelism) as pool:
+                values = list(pool.map(score, tasks))
+        else:
+            values = [score(t) for t in tasks]
         sums = [0.0] * len(points)
-        for fold_train, fold_val in folds:
-            for i, point in enumerate(points):
-                model = estimator.fit(fold_train, point)
-                row = ev.confusion_row(model.transform(fold_val))
-                sums[i] += ev.metric_values(row)[self.cfg.select_metric]
+        for k, value in enumerate(values):
+            sums[k % len(points)] += value
         avgs = [s / len(folds) for s in sums]
         best = max(range(len(points)), key=lambda i: (avgs[i], -i))
         grid = [

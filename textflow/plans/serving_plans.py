@@ -122,7 +122,7 @@ def q_stream_model_score(spark, sf_dir):
         output_path=f"{root}/predictions", checkpoint=f"{root}/checkpoint",
         input_path=drop_files(labelled.select("doc_id", "text", "label"), "stream-model-in"),
         schema="doc_id BIGINT, text STRING, label INT", header=True, multi_line=True,
-        max_files_per_trigger=2, available_now=True, passthrough=("doc_id",),
+        max_files_per_trigger=4, available_now=True, passthrough=("doc_id",),
         registry_root=f"{root}/registry", model_name="text-model", reload_interval_seconds=0,
         metrics_path=f"{root}/batch_metrics",
     )
