@@ -222,3 +222,30 @@ def test_recent_files_time_window(spark, tmp_dir):
     spark.range(10).write.parquet(f"{tmp_dir}/t")
     assert recent_files(spark, f"{tmp_dir}/t", n=5, within_hours=1).count() >= 1
     assert recent_files(spark, f"{tmp_dir}/t", n=5, within_hours=-1).count() == 0
+
+
+def test_kafka_shaped_stream_decodes_and_scores(spark, tmp_dir):
+    """Kafka rows (binary value + timestamp) through the same decode and
+    scoring path, fed from a file stream since no broker runs here."""
+    from textflow.functions.payload import decode_kafka_frame
+    from textflow.streaming.serving import shape_predictions
+
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/m.json", "w") as h:
+        h.write('{"v": "{\\"text\\":\\"a long enough text\\",\\"label\\":1}"}\n{"v": "plain"}\n')
+    raw = (spark.readStream.schema("v string").json(f"{tmp_dir}/in")
+           .select(F.col("v").cast("binary").alias("value"), F.current_timestamp().alias("timestamp")))
+    decoded = decode_kafka_frame(raw, keep_label=True).withColumn("ingest_time", F.current_timestamp())
+    scorer = PythonModelScorer(TextLengthModel(6))
+    seen = []
+
+    def handle(batch, batch_id):
+        seen.extend(shape_predictions(scorer.score(batch), ("kafka_ts",), "v1").collect())
+
+    q = (decoded.writeStream.foreachBatch(handle).option("checkpointLocation", f"{tmp_dir}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = {r["text"]: r for r in seen}
+    assert rows["a long enough text"]["prediction"] == 1.0 and rows["a long enough text"]["label"] == 1
+    assert rows["plain"]["prediction"] == 0.0 and rows["plain"]["label"] is None
+    assert "kafka_ts" in seen[0].asDict()
