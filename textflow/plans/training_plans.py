@@ -5,6 +5,7 @@ float summation order, so these get the rows-only check."""
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,10 +61,17 @@ def q_tuned_grid(spark, sf_dir):
     return outcome.grid_frame(spark).select("model", "grid_id", "params", r6("avg_metric").alias("avg_metric"))
 
 
-@plan("saved_model_score")
+@plan(
+    "saved_model_score",
+    """
+    SELECT d.doc_id, TRUE AS same_as_saved
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+    """,
+)
 def q_saved_model_score(spark, sf_dir):
-    """Fit, save, load and re-score: predictions of the loaded model on every
-    labelled document, with a flag that they equal the in-memory model's."""
+    """Fit, save, load and re-score every labelled document: one row per
+    document flagging that the loaded model's prediction and raw scores equal
+    the in-memory model's (model values themselves are not SQL-checkable)."""
     lr: list[ModelSpec] = [s for s in default_model_specs() if s.name == "LogisticRegression"]
     labelled = labelled_text(spark, sf_dir)
     outcome = Trainer(_config(spark, sf_dir), lr).fit(labelled)
@@ -71,8 +79,9 @@ def q_saved_model_score(spark, sf_dir):
     path = scratch_path(spark, "saved-model")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    before = model.transform(labelled).select("doc_id", F.col("prediction").alias("p0"))
-    after = loaded.transform(labelled).select("doc_id", "prediction")
-    return after.join(before, "doc_id").select(
-        "doc_id", "prediction", (F.col("prediction") == F.col("p0")).alias("same_as_saved")
-    )
+    before = model.transform(labelled).select(
+        "doc_id", F.col("prediction").alias("p0"), vector_to_array("rawPrediction").alias("r0"))
+    after = loaded.transform(labelled).select(
+        "doc_id", "prediction", vector_to_array("rawPrediction").alias("r1"))
+    same = (F.col("prediction") == F.col("p0")) & (F.col("r1") == F.col("r0"))
+    return after.join(before, "doc_id").select("doc_id", same.alias("same_as_saved"))

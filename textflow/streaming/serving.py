@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -197,11 +198,12 @@ class BatchScorer:
         scorer, version = self.current_model()
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "no-query"
         batch = ensure_text_column(batch_df)
-        rows_in = Observation(f"in_{batch_id}")
+        tag = uuid.uuid4().hex[:8]   # observation names must not repeat within a session
+        rows_in = Observation(f"in_{batch_id}_{tag}")
         batch = batch.observe(rows_in, F.count(F.lit(1)).alias("rows"))
         shaped = shape_predictions(scorer.score(batch), self.cfg.passthrough, version)
         shaped = shaped.withColumn("query_id", F.lit(query_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        rows_out = Observation(f"out_{batch_id}")
+        rows_out = Observation(f"out_{batch_id}_{tag}")
         shaped = shaped.observe(rows_out, F.count(F.lit(1)).alias("rows")).persist()
         try:
             sinks.write_predictions(shaped, self.cfg.output_path)
