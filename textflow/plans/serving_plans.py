@@ -4,6 +4,8 @@ micro-batch) and the written tables are read back."""
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,10 +108,8 @@ def q_batch_metrics(spark, sf_dir):
                        F.sum("written_rows").alias("total_written_rows"))
 
 
-@plan("stream_model_score")
-def q_stream_model_score(spark, sf_dir):
-    """Registry-served Spark model on a labelled stream: the newest registered
-    version is polled and loaded, and each batch gets its AUC."""
+def registry_serving_run(spark: SparkSession, sf_dir: str):
+    """Train LR, register it, serve the labelled stream from the registry."""
     labelled = labelled_text(spark, sf_dir)
     lr = [s for s in default_model_specs() if s.name == "LogisticRegression"]
     from textflow.plans.training_plans import _config
@@ -117,7 +117,7 @@ def q_stream_model_score(spark, sf_dir):
     outcome = Trainer(_config(spark, sf_dir), lr).fit(labelled)
     root = scratch_path(spark, "served")
     registry = Registry(spark, f"{root}/registry")
-    registry.register_model("text-model", outcome.results[0].model)
+    _, uri = registry.register_model("text-model", outcome.results[0].model)
     cfg = ServingConfig(
         output_path=f"{root}/predictions", checkpoint=f"{root}/checkpoint",
         input_path=drop_files(labelled.select("doc_id", "text", "label"), "stream-model-in"),
@@ -127,10 +127,37 @@ def q_stream_model_score(spark, sf_dir):
         metrics_path=f"{root}/batch_metrics",
     )
     run_stream(spark, cfg)
+    return cfg, uri, labelled
+
+
+@plan("stream_model_score")
+def q_stream_model_score(spark, sf_dir):
+    """Registry-served Spark model on a labelled stream: the newest registered
+    version is polled and loaded, and each batch gets its AUC."""
+    cfg, _, _ = registry_serving_run(spark, sf_dir)
     metrics = read_batch_metrics(spark, cfg.metrics_path)
     return metrics.select("batch_id", "model_version", "batch_rows", "written_rows", r6("batch_auc").alias("batch_auc"))
 
 
+@plan(
+    "stream_batch_parity",
+    """
+    SELECT d.doc_id, TRUE AS same_as_batch, '1' AS model_version
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+    """,
+)
+def q_stream_batch_parity(spark, sf_dir):
+    """Every streamed prediction (and raw score) equals batch scoring of the
+    same registered model, and carries that model's version."""
+    cfg, uri, labelled = registry_serving_run(spark, sf_dir)
+    streamed = read_predictions(spark, cfg.output_path).select(
+        "doc_id", "model_version", "prediction", vector_to_array("rawPrediction").alias("raw"))
+    batch = PipelineModel.load(uri).transform(labelled).select(
+        "doc_id", F.col("prediction").alias("p_batch"), vector_to_array("rawPrediction").alias("raw_batch"))
+    same = (F.col("prediction") == F.col("p_batch")) & (F.col("raw") == F.col("raw_batch"))
+    return streamed.join(batch, "doc_id").select("doc_id", same.alias("same_as_batch"), "model_version")
+
+
 def _events_as_predictions(spark: SparkSession, sf_dir: str) -> str:
     events = table(spark, sf_dir, "events")
     rows = events.select(
