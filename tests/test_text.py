@@ -69,3 +69,22 @@ def test_hashed_features_total_equals_filtered_tokens(spark):
     assert bad.count() == 0
     assert isinstance(out.schema["features"].dataType, type(out.schema["rawFeatures"].dataType))
     assert IDF  # stage used through feature_pipeline
+
+
+def test_tokenize_fuzz_matches_ml_tokenizer(spark):
+    """Random strings over all six whitespace characters and letters whose
+    lower-casing is special (Turkish dotted I, Greek final sigma, German ß)."""
+    import random
+
+    rnd = random.Random(11)
+    alphabet = [" ", "\t", "\n", "\x0b", "\f", "\r", "a", "B", "é", "İ", "Σ", "ΟΔΟΣ", "ß", "ẞ", "x1", "'"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(2000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    ml = Tokenizer(inputCol="text", outputCol="ml").transform(df)
+    previous = spark.conf.get("spark.sql.icu.caseMappings.enabled")
+    spark.conf.set("spark.sql.icu.caseMappings.enabled", "false")   # Java case mapping
+    try:
+        bad = ml.where(F.col("ml") != tokenize("text")).select("id").collect()
+    finally:
+        spark.conf.set("spark.sql.icu.caseMappings.enabled", previous)
+    assert not bad, [texts[r["id"]] for r in bad[:5]]

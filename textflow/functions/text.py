@@ -28,6 +28,12 @@ def tokenize(text: Column | str) -> Column:
     first gives the Java result with one codegen'd split and no lambda.
     Leading and inner empty tokens stay, as in the ML stage; "" gives [""]
     (no separator matched) and all-whitespace text gives [].
+
+    Letter case follows SQL ``lower``: with
+    ``spark.sql.icu.caseMappings.enabled=false`` (set by
+    :func:`textflow.session.build_session`) it is Java's mapping, identical
+    to the ML stage; with ICU it can differ on context rules (a Greek capital
+    sigma after a digit).
     """
     col = F.col(text) if isinstance(text, str) else text
     body = F.rtrim(F.lower(col), F.lit(WHITESPACE_CHARS))

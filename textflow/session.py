@@ -16,6 +16,9 @@ SCALE_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # SQL lower() with Java case mapping, as the ML text stages use; ICU root
+    # mapping differs only in context rules such as Greek final sigma
+    "spark.sql.icu.caseMappings.enabled": "false",
 }
 
 
