@@ -16,8 +16,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     so no shuffle is added at scale. Reading the partition count plans the
     query but runs no job.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a Spark Connect session)
+        return df
+    if current >= target:
         return df
     return df.repartition(target)
 

@@ -52,7 +52,11 @@ def shared_dir(spark: SparkSession) -> str:
     dir). Only when neither is set -- local runs and tests -- a folder is
     created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect: no context, use the conf
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        return (conf_dir or tempfile.mkdtemp(prefix="textflow-ckpt-")).rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")

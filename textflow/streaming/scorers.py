@@ -42,16 +42,20 @@ class PythonModelScorer:
 
     def _model_broadcast(self, spark: SparkSession):
         if self._broadcast is None:
-            self._broadcast = spark.sparkContext.broadcast(self.model)
+            try:
+                self._broadcast = spark.sparkContext.broadcast(self.model)
+            except Exception:  # noqa: BLE001 -- no context (Spark Connect): ship with the UDF
+                return None
         return self._broadcast
 
     def score(self, df: DataFrame) -> DataFrame:
         shared = self._model_broadcast(df.sparkSession)
+        inline = self.model if shared is None else None
         cols = self.input_cols
 
         @F.pandas_udf("double")
         def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            model = shared.value
+            model = inline if shared is None else shared.value
             for pdf in batches:
                 pdf.columns = list(cols)
                 yield pd.Series(model.predict(pdf), index=pdf.index).astype("float64")

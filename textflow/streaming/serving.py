@@ -151,6 +151,14 @@ def shape_predictions(scored: DataFrame, passthrough=(), model_version: str | No
     return out.withColumn("date", F.date_format(F.current_date(), "yyyy-MM-dd"))
 
 
+def _query_id(spark: SparkSession) -> str:
+    """The streaming query id (stable for a checkpoint) inside a batch callback."""
+    try:
+        return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "no-query"
+    except Exception:  # noqa: BLE001 -- no context (Spark Connect)
+        return "no-query"
+
+
 @dataclass
 class BatchScorer:
     """The ``foreachBatch`` callback."""
@@ -196,7 +204,7 @@ class BatchScorer:
         if batch_df.isEmpty():
             return
         scorer, version = self.current_model()
-        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "no-query"
+        query_id = _query_id(spark)
         batch = ensure_text_column(batch_df)
         tag = uuid.uuid4().hex[:8]   # observation names must not repeat within a session
         rows_in = Observation(f"in_{batch_id}_{tag}")
