@@ -56,7 +56,11 @@ def shared_dir(spark: SparkSession) -> str:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 -- Spark Connect: no context, use the conf
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-        return (conf_dir or tempfile.mkdtemp(prefix="textflow-ckpt-")).rstrip("/")
+        if conf_dir:
+            return conf_dir.rstrip("/")
+        if not str(spark.conf.get("spark.master", "")).startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder on the cluster")
+        return tempfile.mkdtemp(prefix="textflow-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
