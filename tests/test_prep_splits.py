@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF01
 from textflow.operators.prep import (
@@ -124,4 +123,3 @@ def test_parse_schema_forms(spark):
     ddl = parse_schema("text STRING, label INT")
     as_json = parse_schema(ddl.json())
     assert ddl == as_json and ddl.fieldNames() == ["text", "label"]
-    assert F  # functions import used by other tests

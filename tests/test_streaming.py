@@ -195,7 +195,6 @@ def test_active_streams_lists_running_query(spark, tmp_dir):
         assert rows and rows[0]["is_active"]
     finally:
         q.stop()
-    assert F
 
 
 def test_poll_interval_restarts_on_every_successful_poll(tmp_dir):
