@@ -155,7 +155,7 @@ def q_row_cap(spark, sf_dir):
     f"""
     SELECT doc_id, lang, n_chars FROM documents
     ORDER BY {keyed_bucket_sql('doc_id', 'cap')}, doc_id
-    LIMIT (SELECT CAST(count(*) / 10 AS BIGINT) FROM documents)
+    LIMIT (SELECT count(*) // 10 FROM documents)
     """,
 )
 def q_row_cap_small(spark, sf_dir):
