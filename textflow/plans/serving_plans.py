@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textflow.operators import monitor
+from textflow.operators.layout import spread
 from textflow.operators.registry import Registry
 from textflow.operators.training import Trainer, default_model_specs
 from textflow.plans.catalog import plan, r6, table
@@ -86,7 +87,7 @@ def q_stream_json_readback(spark, sf_dir):
 @plan("udf_score", RULE_SQL)
 def q_udf_score(spark, sf_dir):
     """Batch scoring with the Python model through the Arrow pandas UDF."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     scored = PythonModelScorer(TextLengthModel(MIN_CHARS)).score(docs)
     return scored.select("doc_id", "prediction", F.lit(RULE_VERSION).alias("model_version"))
 

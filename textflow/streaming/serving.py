@@ -11,8 +11,9 @@ Per batch (``foreachBatch``), on the driver:
 3. score, keep the known output columns, stamp ``model_version`` and the
    UTC ``date`` of ``ingest_time`` (set in the streaming plan, hence equal
    across actions and across a replay of the batch);
-4. persist once, write Parquet (dynamic overwrite by date/query/batch), then
-   the optional JSON and Kafka copies, then the batch metrics; unpersist.
+4. persist once (scored at the source's parallelism), write Parquet with as
+   few files as the row count needs (dynamic overwrite by date/query/batch),
+   then the optional JSON and Kafka copies, then the batch metrics; unpersist.
 
 Required steps raise; optional sinks follow ``on_error`` ('raise' or 'warn').
 """
@@ -31,6 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textflow.functions.payload import parse_flag
 from textflow.operators import auc as auc_ops
+from textflow.operators.layout import spread
 from textflow.operators.prep import ensure_text_column
 from textflow.operators.registry import Registry
 from textflow.schemas import BATCH_METRICS
@@ -80,6 +82,8 @@ class ServingConfig:
     kafka_output_topic: str | None = None
     metrics_path: str | None = None
     on_error: str = "raise"                   # optional sinks: "raise" | "warn"
+    score_partitions: int | None = None       # spread a batch before scoring (None: source's partitions)
+    rows_per_file: int = 1_000_000            # output files per batch = ceil(rows / rows_per_file)
     query_name: str | None = None
 
     def validate(self) -> "ServingConfig":
@@ -206,28 +210,33 @@ class BatchScorer:
         scorer, version = self.current_model()
         query_id = _query_id(spark)
         batch = ensure_text_column(batch_df)
+        if self.cfg.score_partitions:
+            batch = spread(batch, self.cfg.score_partitions)
         tag = uuid.uuid4().hex[:8]   # observation names must not repeat within a session
         rows_in = Observation(f"in_{batch_id}_{tag}")
         batch = batch.observe(rows_in, F.count(F.lit(1)).alias("rows"))
         shaped = shape_predictions(scorer.score(batch), self.cfg.passthrough, version)
         shaped = shaped.withColumn("query_id", F.lit(query_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        rows_out = Observation(f"out_{batch_id}_{tag}")
-        shaped = shaped.observe(rows_out, F.count(F.lit(1)).alias("rows")).persist()
+        shaped = shaped.persist()
         try:
-            sinks.write_predictions(shaped, self.cfg.output_path)
+            # scored once at the source's parallelism, then written as few
+            # files as the row count needs (no small-file explosion per batch)
+            written = shaped.count()
+            out = shaped.coalesce(max(1, -(-written // max(1, self.cfg.rows_per_file))))
+            sinks.write_predictions(out, self.cfg.output_path)
             if parse_flag(self.cfg.write_json):
                 self._optional("json", lambda: sinks.write_json_lines(
-                    shaped, self.cfg.json_output_path, self.cfg.output_path))
+                    out, self.cfg.json_output_path, self.cfg.output_path))
             if parse_flag(self.cfg.write_kafka):
                 self._optional("kafka", lambda: sinks.write_kafka(
-                    shaped.drop(*sinks.PARTITION_COLS), self.cfg.kafka_output_bootstrap,
+                    out.drop(*sinks.PARTITION_COLS), self.cfg.kafka_output_bootstrap,
                     self.cfg.kafka_output_topic))
             batch_auc = None
             if "label" in shaped.columns and "rawPrediction" in shaped.columns:
                 batch_auc = auc_ops.area_values_from_raw(shaped, "label")["roc_auc"]
             row = {
                 "query_id": query_id, "batch_id": int(batch_id), "model_version": version,
-                "batch_rows": int(rows_in.get.get("rows", 0)), "written_rows": int(rows_out.get.get("rows", 0)),
+                "batch_rows": int(rows_in.get.get("rows", 0)), "written_rows": int(written),
                 "batch_auc": batch_auc, "elapsed_seconds": time.time() - started,
             }
             if self.cfg.metrics_path:
