@@ -88,3 +88,16 @@ def test_save_outcome_writes_every_model_and_best_pointer(spark, labelled, tmp_d
     model = PipelineModel.load(index[0]["path"])
     assert "prediction" in model.transform(labelled.limit(3)).columns
     assert spark.read.parquet(f"{tmp_dir}/models/_index").count() == 1
+
+
+@pytest.mark.parametrize("mode", ["keyed", "random"])
+def test_profile_counts_every_row_in_both_split_modes(spark, labelled, mode):
+    lr = [s for s in default_model_specs() if s.name == "LogisticRegression"]
+    cfg = TrainConfig(num_features=1024, min_doc_freq=1, split_mode=mode)
+    outcome = Trainer(cfg, lr).fit(labelled)
+    total = labelled.count()
+    assert outcome.profile["total_rows"] == total
+    assert outcome.profile["pos_count"] == labelled.where("label = 1").count()
+    assert 0 < outcome.split_sizes["eval"] < outcome.split_sizes["train"] < total
+    m = outcome.results[0].metrics
+    assert m["tn"] + m["fp"] + m["fn"] + m["tp"] == outcome.split_sizes["eval"]

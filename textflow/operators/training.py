@@ -291,9 +291,18 @@ class Trainer:
             idf_model = self._fit_idf(hashed_train)
             train_feat = self._keep(idf_model.transform(hashed_train))
             eval_feat = self._keep(idf_model.transform(eval_hashed))
-            sizes, profile = _sizes(train_feat, eval_feat)
+            if cfg.split_mode == "keyed":
+                sizes, profile = _split_profile(hashed, eval_name)
+            else:
+                sizes, profile = _split_profile_frames(data, train_feat, eval_feat)
             needs_cv = cfg.enable_cv and any(s.tune and s.grid for s in self.specs)
             folds = self._folds(hashed_train) if needs_cv else []
+            if not needs_cv:
+                # features are materialised; the hashed copy is no longer needed
+                train_feat.count()
+                eval_feat.count()
+                hashed_cache = hashed if cfg.split_mode == "keyed" else hashed_train
+                hashed_cache.unpersist()
 
             def run(item):
                 pos, spec = item
@@ -310,18 +319,25 @@ class Trainer:
         return TrainingOutcome(results, pick_best(results, cfg.select_metric), profile, sizes)
 
 
-def _sizes(train_feat: DataFrame, eval_feat: DataFrame):
-    """Split sizes and class counts, one small aggregate per persisted split."""
-    counts = {}
-    for name, frame in (("train", train_feat), ("eval", eval_feat)):
-        row = frame.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("pos")).first()
-        counts[name] = (row["n"], row["pos"])
-    total = sum(n for n, _ in counts.values())
-    pos = sum(p for _, p in counts.values())
-    sizes = {name: n for name, (n, _) in counts.items()}
+def _split_profile(hashed: DataFrame, eval_name: str):
+    """Rows and positives per split from one aggregate over the cached table."""
+    rows = hashed.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("pos")).collect()
+    per = {r["split"]: (r["n"], r["pos"]) for r in rows}
+    total = sum(n for n, _ in per.values())
+    pos = sum(p for _, p in per.values())
+    sizes = {"train": per.get("train", (0, 0))[0], "eval": per.get(eval_name, (0, 0))[0],
+             "val": per.get("val", (0, 0))[0], "test": per.get("test", (0, 0))[0]}
     return sizes, {"total_rows": total, "pos_count": pos, "neg_count": total - pos}
 
 
+def _split_profile_frames(data: DataFrame, train_feat: DataFrame, eval_feat: DataFrame):
+    """Random splits: sizes of the persisted splits, class counts of all rows."""
+    sizes = {"train": train_feat.count(), "eval": eval_feat.count()}
+    row = data.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("pos")).first()
+    return sizes, {"total_rows": row["n"], "pos_count": row["pos"], "neg_count": row["n"] - row["pos"]}
+
+
 def pick_best(results: list, metric: str = "accuracy") -> ModelResult | None:
     """Strictly greater wins, so the first model wins ties; none when all are 0."""
     best, best_value = None, 0.0
