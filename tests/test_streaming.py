@@ -248,3 +248,23 @@ def test_kafka_shaped_stream_decodes_and_scores(spark, tmp_dir):
     assert rows["a long enough text"]["prediction"] == 1.0 and rows["a long enough text"]["label"] == 1
     assert rows["plain"]["prediction"] == 0.0 and rows["plain"]["label"] is None
     assert "kafka_ts" in seen[0].asDict()
+
+
+def test_optional_sink_failure_policy(spark, tmp_dir):
+    """The Kafka sink fails here (no connector on the classpath): with
+    on_error='warn' the batch still commits its Parquet output; with 'raise'
+    the batch fails and is not committed."""
+    for policy, root in (("warn", f"{tmp_dir}/warn"), ("raise", f"{tmp_dir}/raise")):
+        _drop(f"{root}/in", "f0.csv", ["some text"])
+        cfg = _cfg(root, write_kafka="true", kafka_output_bootstrap="localhost:1", kafka_output_topic="t",
+                   on_error=policy)
+        handler = BatchScorer(cfg)
+        handler.holder.set(PythonModelScorer(TextLengthModel(3)), "v1", None)
+        q = _run(spark, cfg, handler)
+        if policy == "warn":
+            assert q.exception() is None
+            assert os.path.exists(f"{root}/ckpt/commits/0")
+            assert read_predictions(spark, cfg.output_path).count() == 1
+        else:
+            assert q.exception() is not None
+            assert not os.path.exists(f"{root}/ckpt/commits/0")
