@@ -24,6 +24,7 @@ from textflow.streaming.sinks import write_predictions
 MIN_CHARS = 2000          # rule model threshold (test value)
 RULE_VERSION = "rule-1"
 FILES_PER_TRIGGER = 10    # the reference's deployed setting
+ROWS_PER_INPUT_FILE = 250  # stream input files written by the plans (test value)
 
 RULE_SQL = f"""
 SELECT doc_id, CAST(CASE WHEN length(text) >= {MIN_CHARS} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction,
@@ -33,12 +34,12 @@ FROM documents
 
 
 def drop_files(df: DataFrame, name: str) -> str:
-    """Write ``df`` as headered CSV files (several, by key hash) to a fresh folder."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    n_files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
-    (df.repartition(n_files, "doc_id").write.option("header", "true").option("escape", '"')
-     .option("quote", '"').csv(path))
+    """Write ``df`` as headered CSV files of at most ``ROWS_PER_INPUT_FILE``
+    rows to a fresh folder: the number of files (hence micro-batches) grows
+    with the data, not with any session setting."""
+    path = scratch_path(df.sparkSession, name)
+    (df.write.option("header", "true").option("escape", '"').option("quote", '"')
+     .option("maxRecordsPerFile", ROWS_PER_INPUT_FILE).csv(path))
     return path
 
 
