@@ -13,10 +13,10 @@ def _versions(spark, rows):
 
 
 def test_newest_version_is_numeric(spark):
-    df = _versions(spark, [("sentiment-model", v, "None", f"models:/sentiment-model/{v}", None) for v in ("1", "10", "2")])
+    df = _versions(spark, [("text-model", v, "None", f"models:/text-model/{v}", None) for v in ("1", "10", "2")])
     row = reg.latest_versions(df).first()
     assert row["version"] == "10"
-    assert row["uri"] == "models:/sentiment-model/10"
+    assert row["uri"] == "models:/text-model/10"
 
 
 def test_stage_filter_and_several_names(spark):
@@ -32,8 +32,8 @@ def test_stage_filter_and_several_names(spark):
 def test_model_holder_set_get():
     holder = ModelHolder()
     assert holder.due(300)
-    holder.set("model", "3", "models:/sentiment-model/3")
-    assert holder.get() == ("model", "3", "models:/sentiment-model/3")
+    holder.set("model", "3", "models:/text-model/3")
+    assert holder.get() == ("model", "3", "models:/text-model/3")
     assert not holder.due(300)
     holder.mark_checked(time.time() - 301)
     assert holder.due(300)

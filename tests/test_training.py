@@ -49,7 +49,7 @@ def test_three_models_train_evaluate_and_record(spark, labelled, tmp_dir):
     frame = outcome.results_frame(spark)
     assert frame.count() == 3
     registry = Registry(spark, tmp_dir)
-    versions = record_outcome(outcome, registry, cfg, "sentiment")
+    versions = record_outcome(outcome, registry, cfg, "text")
     assert versions["best"][0] == "1"
     runs = registry.table("runs")
     assert runs.count() == 4
