@@ -94,3 +94,19 @@ def test_registry_store_roundtrip(spark, tmp_dir):
     loaded = store.load(v2[1])
     assert loaded.transform(spark.createDataFrame([("A b",)], "text string")).first()["tokens"] == ["a", "b"]
     assert store.table("run_metrics").count() == 1
+
+
+def test_batched_logging_appends_once_per_table(spark, tmp_dir):
+    import os
+
+    store = reg.Registry(spark, tmp_dir)
+    model = PipelineModel(stages=[Tokenizer(inputCol="text", outputCol="tokens")])
+    with store.batch():
+        for i in range(3):
+            run = store.start_run(f"r{i}", "exp", position=i)
+            store.log_metrics(run, {"accuracy": i / 10})
+            store.register_model("m", model, run)
+        assert not os.path.exists(f"{tmp_dir}/run_metrics")
+    assert store.table("run_metrics").count() == 3
+    assert sorted(r["version"] for r in store.table("model_versions").collect()) == ["1", "2", "3"]
+    assert len([f for f in os.listdir(f"{tmp_dir}/run_metrics") if f.startswith("part-")]) <= 2

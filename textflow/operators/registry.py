@@ -119,6 +119,7 @@ class Registry:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._buffer: dict | None = None
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -136,8 +137,18 @@ class Registry:
         df.select(*cols).write.mode("append").parquet(self.path(name))
 
     def _append_rows(self, name: str, rows: list[tuple]) -> None:
-        if rows:
-            self.append(name, self.spark.createDataFrame(rows, TABLES[name]))
+        if not rows:
+            return
+        if self._buffer is not None:
+            self._buffer.setdefault(name, []).extend(rows)
+            return
+        # a few driver-side rows: one file, not one per core
+        self.append(name, self.spark.createDataFrame(rows, TABLES[name]).coalesce(1))
+
+    def batch(self) -> "_Batch":
+        """Buffer every row logged inside the block and append each table once
+        at the end (one small file per table instead of one per call)."""
+        return _Batch(self)
 
     # runs --------------------------------------------------------------
     def start_run(self, run_name: str, experiment: str = "default",
@@ -159,7 +170,9 @@ class Registry:
             self.table("model_versions").where(F.col("name") == F.lit(name))
             .agg(F.max(F.col("version").try_cast("bigint")).alias("v")).first()
         )
-        return 1 if row is None or row["v"] is None else int(row["v"]) + 1
+        stored = 0 if row is None or row["v"] is None else int(row["v"])
+        pending = [int(r[1]) for r in (self._buffer or {}).get("model_versions", []) if r[0] == name]
+        return max([stored] + pending) + 1
 
     def register_model(self, name: str, model: PipelineModel, run_id: str | None = None,
                        stage: str | None = None) -> tuple[str, str]:
@@ -179,3 +192,19 @@ class Registry:
 
     def load(self, uri: str) -> PipelineModel:
         return PipelineModel.load(uri)
+
+
+class _Batch:
+    def __init__(self, registry: Registry):
+        self.registry = registry
+
+    def __enter__(self) -> Registry:
+        self.registry._buffer = {}
+        return self.registry
+
+    def __exit__(self, exc_type, *exc) -> bool:
+        buffered, self.registry._buffer = self.registry._buffer, None
+        if exc_type is None:
+            for name, rows in buffered.items():
+                self.registry._append_rows(name, rows)
+        return False

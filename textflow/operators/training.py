@@ -351,7 +351,13 @@ def pick_best(results: list, metric: str = "accuracy") -> ModelResult | None:
 def record_outcome(outcome: TrainingOutcome, registry, cfg: TrainConfig, prefix: str,
                    experiment: str = "default") -> dict:
     """Write the parent run, one child run per model (params, metrics, time),
-    register every model as ``<prefix>-<model>`` and the best as ``<prefix>-best``."""
+    register every model as ``<prefix>-<model>`` and the best as ``<prefix>-best``.
+    All rows are appended once per table at the end."""
+    with registry.batch():
+        return _record(outcome, registry, cfg, prefix, experiment)
+
+
+def _record(outcome: TrainingOutcome, registry, cfg: TrainConfig, prefix: str, experiment: str) -> dict:
     parent = registry.start_run("multi_model_experiment", experiment)
     registry.log_params(parent, {
         "num_features": cfg.num_features, "train_ratio": cfg.train_ratio,
