@@ -399,5 +399,5 @@ def save_outcome(spark: SparkSession, outcome: TrainingOutcome, output_root: str
         r.model.write().overwrite().save(path)
         rows.append((r.name, path, outcome.best is r, _float(r.metrics.get("accuracy")), stamp))
     index = spark.createDataFrame(rows, "model string, path string, is_best boolean, accuracy double, saved_at string")
-    index.write.mode("append").parquet(f"{root}/models/_index")
+    index.coalesce(1).write.mode("append").parquet(f"{root}/models/_index")
     return index

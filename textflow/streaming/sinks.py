@@ -67,7 +67,7 @@ def write_kafka(df: DataFrame, bootstrap: str, topic: str) -> None:
 def write_batch_metrics(spark, path: str, row: dict) -> None:
     """One row per batch, partitioned by ``query_id, batch_id`` (replays overwrite)."""
     values = tuple(row.get(f.name) for f in BATCH_METRICS.fields)
-    frame = spark.createDataFrame([values], BATCH_METRICS)
+    frame = spark.createDataFrame([values], BATCH_METRICS).coalesce(1)
     (
         frame.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
