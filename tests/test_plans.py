@@ -42,6 +42,11 @@ def test_every_plan_has_a_callable():
     assert set(ORACLES) <= set(QUERIES)
 
 
+# Spark simple type name -> DuckDB type name
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_plan_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF001)
@@ -50,6 +55,10 @@ def test_plan_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _rows(df.columns, rows) == _rows(ocols, res.fetchall())
+    spark_types = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    rel = duck.sql(ORACLES[name])
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
 
 
 def test_entry_runs(spark):
