@@ -15,6 +15,7 @@ def _parse(argv):
     sub = parser.add_subparsers(dest="command", required=True)
     cli._train_args(sub)
     cli._serve_args(sub)
+    cli._compact_args(sub)
     return parser.parse_args(argv)
 
 
@@ -42,3 +43,7 @@ def test_train_then_serve_end_to_end(spark, tmp_dir):
     assert preds.count() == 50
     assert preds.where(F.col("model_version") != "1").count() == 0
     assert os.path.isdir(f"{tmp_dir}/preds_json")
+    day = preds.select("date").first()[0]
+    done = cli.run_compact(spark, _parse(["compact", "--output-path", f"{tmp_dir}/preds", "--date", day]))
+    assert done == {day: 50}
+    assert read_predictions(spark, f"{tmp_dir}/preds").count() == 50

@@ -268,3 +268,30 @@ def test_optional_sink_failure_policy(spark, tmp_dir):
         else:
             assert q.exception() is not None
             assert not os.path.exists(f"{root}/ckpt/commits/0")
+
+
+def test_compact_closed_date(spark, tmp_dir):
+    from textflow.streaming.sinks import compact_date, write_predictions
+
+    from pyspark.ml.functions import array_to_vector
+
+    rows = spark.range(0, 60).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 2).cast("double").alias("prediction"),
+        array_to_vector(F.array(-F.col("id").cast("double"), F.col("id").cast("double"))).alias("rawPrediction"),
+        F.when(F.col("id") < 40, "2024-01-01").otherwise("2024-01-02").alias("date"),
+        F.lit("q1").alias("query_id"), (F.col("id") % 4).cast("bigint").alias("batch_id"))
+    path = f"{tmp_dir}/preds"
+    write_predictions(rows.repartition(6), path)
+
+    def files(date):
+        return sum(len([f for f in fs if f.startswith("part-")]) for _, _, fs in os.walk(f"{path}/date={date}"))
+
+    assert files("2024-01-01") > 4
+    before = sorted((r[0], r[1], r[2], tuple(r[3])) for r in read_predictions(spark, path)
+                    .select("doc_id", "prediction", "date", "rawPrediction").collect())
+    assert compact_date(spark, path, "2024-01-01") == 40
+    after = read_predictions(spark, path)
+    assert sorted((r[0], r[1], r[2], tuple(r[3])) for r in after
+                  .select("doc_id", "prediction", "date", "rawPrediction").collect()) == before
+    assert files("2024-01-01") == 1 and files("2024-01-02") > 1
+    assert {r["query_id"] for r in after.where("date = '2024-01-01'").select("query_id").distinct().collect()} == {"compacted"}

@@ -1,4 +1,4 @@
-"""spark-submit entry points: ``train`` and ``serve``.
+"""spark-submit entry points: ``train``, ``serve`` and ``compact``.
 
     spark-submit --py-files textflow.zip textflow/cli.py train \
         --input corpus/ --output out/ --registry reg/
@@ -24,6 +24,7 @@ from textflow.schemas import load_schema_file
 from textflow.session import build_session
 from textflow.sources.corpus import check_arity, read_labelled_csv
 from textflow.streaming.serving import ServingConfig, start_serving
+from textflow.streaming.sinks import compact_date
 
 
 def _train_args(sub) -> None:
@@ -80,6 +81,19 @@ def _serve_args(sub) -> None:
     p.add_argument("--on-error", choices=["raise", "warn"], default="raise")
 
 
+def _compact_args(sub) -> None:
+    p = sub.add_parser("compact", help="merge the micro-batch folders of closed dates")
+    p.add_argument("--output-path", required=True, help="the prediction table")
+    p.add_argument("--date", required=True, action="append", help="a closed date (repeatable)")
+    p.add_argument("--rows-per-file", type=int, default=1_000_000)
+
+
+def run_compact(spark, args) -> dict:
+    done = {d: compact_date(spark, args.output_path, d, args.rows_per_file) for d in args.date}
+    print(json.dumps({"compacted_rows": done}))
+    return done
+
+
 def run_train(spark, args) -> dict:
     overrides = {
         k: v for k, v in {
@@ -146,11 +160,14 @@ def main(argv=None) -> int:
     sub = parser.add_subparsers(dest="command", required=True)
     _train_args(sub)
     _serve_args(sub)
+    _compact_args(sub)
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = build_session(app_name=f"textflow-{args.command}")
     if args.command == "train":
         run_train(spark, args)
+    elif args.command == "compact":
+        run_compact(spark, args)
     else:
         run_serve(spark, args)
     return 0

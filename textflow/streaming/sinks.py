@@ -9,6 +9,8 @@ query's output. Kafka stays at-least-once.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,3 +76,47 @@ def write_batch_metrics(spark, path: str, row: dict) -> None:
         .partitionBy("query_id", "batch_id")
         .parquet(path)
     )
+
+
+def compact_date(spark, path: str, date: str, rows_per_file: int = 1_000_000) -> int:
+    """Rewrite one *closed* date of the prediction table into few files.
+
+    Every micro-batch keeps its own ``(query_id, batch_id)`` folder so that a
+    replay overwrites only itself; once no stream writes the date any more,
+    those folders are merged into ``query_id=compacted/batch_id=0`` with
+    ``ceil(rows / rows_per_file)`` files. The rows are first staged in the
+    shared scratch folder (a path cannot be read and overwritten in one job),
+    then a static ``INSERT OVERWRITE ... PARTITION (date=...)`` through a
+    temporary external table makes Spark replace exactly that date's folders.
+    Returns the number of rows compacted.
+    """
+    from textflow.session import scratch_path
+    from textflow.sources.predictions import read_predictions
+
+    current = read_predictions(spark, path, date=date)
+    data_cols = [c for c in current.columns if c not in PARTITION_COLS]
+    n = current.count()
+    if n == 0:
+        return 0
+    stage = scratch_path(spark, "compact")
+    (current.select(*data_cols).coalesce(max(1, -(-n // max(1, rows_per_file))))
+     .write.parquet(stage))
+    staged = spark.read.parquet(stage)
+    tag = uuid.uuid4().hex[:12]
+    table, view = f"textflow_compact_{tag}", f"textflow_compact_rows_{tag}"
+    staged.createOrReplaceTempView(view)
+    # schema (ML vector columns included) and partitions come from the files
+    spark.sql(
+        f"CREATE TABLE {table} USING parquet OPTIONS (partitionOverwriteMode 'static') "
+        f"LOCATION '{path}'"
+    )
+    try:
+        select = ", ".join(f"`{c}`" for c in data_cols)
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (`date` = '{date}', `query_id`, `batch_id`) "
+            f"SELECT {select}, 'compacted' AS query_id, CAST(0 AS BIGINT) AS batch_id FROM {view}"
+        )
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.dropTempView(view)
+    return n
