@@ -23,7 +23,7 @@ def test_train_then_serve_end_to_end(spark, tmp_dir):
     corpus = f"{tmp_dir}/corpus"
     write_raw_corpus(raw_corpus(spark, SF01), corpus)
     args = _parse(["train", "--input", corpus, "--output", f"{tmp_dir}/out", "--registry", f"{tmp_dir}/reg",
-                   "--registered-model-name", "sent", "--num-features", "4096", "--min-doc-freq", "2",
+                   "--registered-model-name", "txt", "--num-features", "4096", "--min-doc-freq", "2",
                    "--multi-line", "--parallelism", "3"])
     summary = cli.run_train(spark, args)
     assert set(summary["models"]) == {"LogisticRegression", "RandomForest", "LinearSVC"}
@@ -36,7 +36,7 @@ def test_train_then_serve_end_to_end(spark, tmp_dir):
     serve = _parse(["serve", "--input-path", stream_in, "--header", "true", "--multi-line", "true",
                     "--max-files-per-trigger", "10", "--output-path", f"{tmp_dir}/preds",
                     "--checkpoint", f"{tmp_dir}/ckpt", "--registry", f"{tmp_dir}/reg",
-                    "--model-name", "sent-best", "--available-now", "--write-json", "true",
+                    "--model-name", "txt-best", "--available-now", "--write-json", "true",
                     "--json-output-path", f"{tmp_dir}/preds_json"])
     cli.run_serve(spark, serve)
     preds = read_predictions(spark, f"{tmp_dir}/preds")
