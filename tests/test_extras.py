@@ -64,3 +64,17 @@ def test_python_model_saved_and_loaded_through_spark(spark, tmp_dir):
     scorer = load_scorer(spark, f"{tmp_dir}/m", flavor="python")
     df = spark.createDataFrame([("abc",), ("abcdef",)], "text string")
     assert [r["prediction"] for r in scorer.score(df).orderBy("text").collect()] == [0.0, 1.0]
+
+
+def test_top_k_matches_full_sort(spark):
+    import random
+
+    from textflow.operators.layout import top_k
+
+    rnd = random.Random(5)
+    rows = [(i, float(rnd.randint(0, 50))) for i in range(3000)]   # many ties
+    for parts, k in ((64, 10), (64, 100), (3, 10), (3, 200), (1, 5)):
+        df = spark.createDataFrame(rows, "id long, v double").repartition(parts)
+        got = [(r["id"], r["v"]) for r in top_k(df, k, "v", "id").collect()]
+        want = sorted(rows, key=lambda r: (-r[1], r[0]))[:k]
+        assert got == want, (parts, k)

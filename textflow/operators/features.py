@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions.text import remove_stop_words, tokenize
-from textflow.operators.layout import spread
+from textflow.operators.layout import spread, top_k
 
 def feature_stages(
     num_features: int = 1 << 15,
@@ -134,11 +134,5 @@ def tfidf(docs: DataFrame, min_doc_freq: int = 5, id_col: str = "doc_id",
 def top_tfidf(docs: DataFrame, k: int = 100, min_doc_freq: int = 5, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """The ``k`` highest (document, term) TF-IDF weights; ties by id, term.
-
-    ``orderBy().limit(k)`` is planned as a per-partition top-k followed by a
-    k-row merge, never a global sort."""
-    return (
-        tfidf(docs, min_doc_freq, id_col, text_col)
-        .orderBy(F.desc("tfidf"), F.asc(id_col), F.asc("term"))
-        .limit(k)
-    )
+    No global sort, and a final merge of about k*k rows (see ``top_k``)."""
+    return top_k(tfidf(docs, min_doc_freq, id_col, text_col), k, "tfidf", id_col, "term")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -51,3 +52,21 @@ class persisted:
         for df in self.frames:
             df.unpersist()
         return False
+
+
+def top_k(df: DataFrame, k: int, value_col: str, *tie_cols: str) -> DataFrame:
+    """The ``k`` rows with the largest ``value_col`` (ties by ``tie_cols``),
+    exact, with a bounded final merge.
+
+    A plain ``orderBy().limit(k)`` sends k rows from *every* partition into
+    one task. Here a scalar subquery first takes the k-th largest of the
+    per-partition maxima: k partitions each hold a row at least that large,
+    so at least k rows pass ``value >= threshold`` and the true top k are
+    among them; only partitions whose maximum reaches the threshold (about k
+    of them) send rows to the final merge. With fewer than k partitions there
+    is no threshold. Both passes run in one query and share its shuffles."""
+    maxima = df.groupBy(F.spark_partition_id().alias("part")).agg(F.max(value_col).alias("m"))
+    best = maxima.orderBy(F.desc("m")).limit(k)
+    threshold = best.select(F.when(F.count(F.lit(1)) >= F.lit(k), F.min("m"))).scalar()
+    kept = df.where(threshold.isNull() | (F.col(value_col) >= threshold))
+    return kept.orderBy(F.desc(value_col), *[F.asc(c) for c in tie_cols]).limit(k)
