@@ -24,7 +24,7 @@ from textflow.streaming.sinks import write_predictions
 MIN_CHARS = 2000          # rule model threshold (test value)
 RULE_VERSION = "rule-1"
 FILES_PER_TRIGGER = 10    # the reference's deployed setting
-ROWS_PER_INPUT_FILE = 250  # stream input files written by the plans (test value)
+ROWS_PER_INPUT_FILE = 1000  # stream input files written by the plans (test value)
 
 RULE_SQL = f"""
 SELECT doc_id, CAST(CASE WHEN length(text) >= {MIN_CHARS} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction,
