@@ -24,7 +24,9 @@ from textflow.streaming.sinks import write_predictions
 MIN_CHARS = 2000          # rule model threshold (test value)
 RULE_VERSION = "rule-1"
 FILES_PER_TRIGGER = 10    # the reference's deployed setting
-ROWS_PER_INPUT_FILE = 1000  # stream input files written by the plans (test value)
+# Input files of the stream plans (test value): with 10 files per trigger a
+# micro-batch holds at most 1M rows, about 10^4 batches for 10^10 documents.
+ROWS_PER_INPUT_FILE = 100_000
 
 RULE_SQL = f"""
 SELECT doc_id, CAST(CASE WHEN length(text) >= {MIN_CHARS} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction,
@@ -34,12 +36,12 @@ FROM documents
 
 
 def drop_files(df: DataFrame, name: str) -> str:
-    """Write ``df`` as headered CSV files of at most ``ROWS_PER_INPUT_FILE``
-    rows to a fresh folder: the number of files (hence micro-batches) grows
-    with the data, not with any session setting."""
+    """Write ``df`` as JSON-lines files of at most ``ROWS_PER_INPUT_FILE``
+    rows to a fresh folder. JSON lines escape the newlines inside texts, so
+    the files stay splittable; the number of files (hence micro-batches)
+    grows with the data, not with any session setting."""
     path = scratch_path(df.sparkSession, name)
-    (df.write.option("header", "true").option("escape", '"').option("quote", '"')
-     .option("maxRecordsPerFile", ROWS_PER_INPUT_FILE).csv(path))
+    df.write.option("maxRecordsPerFile", ROWS_PER_INPUT_FILE).json(path)
     return path
 
 
@@ -55,7 +57,7 @@ def _rule_config(spark: SparkSession, input_path: str, schema: str) -> ServingCo
     root = scratch_path(spark, "serving")
     return ServingConfig(
         output_path=f"{root}/predictions", checkpoint=f"{root}/checkpoint", input_path=input_path,
-        file_format="csv", schema=schema, header=True, multi_line=True,
+        file_format="json", schema=schema,
         max_files_per_trigger=FILES_PER_TRIGGER,
         available_now=True, passthrough=("doc_id",), write_json=True,
         json_output_path=f"{root}/predictions_json", metrics_path=f"{root}/batch_metrics",
@@ -123,7 +125,7 @@ def registry_serving_run(spark: SparkSession, sf_dir: str):
     cfg = ServingConfig(
         output_path=f"{root}/predictions", checkpoint=f"{root}/checkpoint",
         input_path=drop_files(labelled.select("doc_id", "text", "label"), "stream-model-in"),
-        schema="doc_id BIGINT, text STRING, label INT", header=True, multi_line=True,
+        file_format="json", schema="doc_id BIGINT, text STRING, label INT",
         max_files_per_trigger=4, available_now=True, passthrough=("doc_id",),
         registry_root=f"{root}/registry", model_name="text-model", reload_interval_seconds=0,
         metrics_path=f"{root}/batch_metrics",
