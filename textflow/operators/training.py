@@ -198,11 +198,18 @@ class Trainer:
         return feature_stages(self.cfg.num_features, self.cfg.min_doc_freq)
 
     def _hash(self, df: DataFrame) -> DataFrame:
-        return hashing_model(self.cfg.num_features).transform(df)
+        """Term-frequency vectors; the text and token arrays are dropped so
+        the cached table holds sparse vectors, not the corpus."""
+        return hashing_model(self.cfg.num_features).transform(df).drop("text", "tokens", "filtered")
 
     def _fit_idf(self, hashed: DataFrame):
         return IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=self.cfg.min_doc_freq).fit(hashed)
 
+    @staticmethod
+    def _weigh(idf_model, hashed: DataFrame) -> DataFrame:
+        """TF-IDF features only (what the classifiers read)."""
+        return idf_model.transform(hashed).drop("rawFeatures")
+
     # tuning ------------------------------------------------------------
     def _cross_validate(self, spec: ModelSpec, hashed_train: DataFrame, folds: list):
         estimator = spec.make()
@@ -242,7 +249,7 @@ class Trainer:
             fold_train = tagged.where(F.col("fold") != k)
             fold_val = tagged.where(F.col("fold") == k)
             idf = self._fit_idf(fold_train)
-            folds.append((self._keep(idf.transform(fold_train)), self._keep(idf.transform(fold_val))))
+            folds.append((self._keep(self._weigh(idf, fold_train)), self._keep(self._weigh(idf, fold_val))))
         return folds
 
     # training ----------------------------------------------------------
@@ -289,8 +296,8 @@ class Trainer:
                 eval_split = test if eval_name == "test" else val
                 eval_hashed = self._hash(eval_split.select(*keep_cols))
             idf_model = self._fit_idf(hashed_train)
-            train_feat = self._keep(idf_model.transform(hashed_train))
-            eval_feat = self._keep(idf_model.transform(eval_hashed))
+            train_feat = self._keep(self._weigh(idf_model, hashed_train))
+            eval_feat = self._keep(self._weigh(idf_model, eval_hashed))
             if cfg.split_mode == "keyed":
                 sizes, profile = _split_profile(hashed, eval_name)
             else:
