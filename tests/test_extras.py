@@ -75,6 +75,7 @@ def test_top_k_matches_full_sort(spark):
     rows = [(i, float(rnd.randint(0, 50))) for i in range(3000)]   # many ties
     for parts, k in ((64, 10), (64, 100), (3, 10), (3, 200), (1, 5)):
         df = spark.createDataFrame(rows, "id long, v double").repartition(parts)
-        got = [(r["id"], r["v"]) for r in top_k(df, k, "v", "id").collect()]
         want = sorted(rows, key=lambda r: (-r[1], r[0]))[:k]
-        assert got == want, (parts, k)
+        for merge_rows in (0, 10**9):       # threshold pass forced / plain merge
+            got = [(r["id"], r["v"]) for r in top_k(df, k, "v", "id", merge_rows=merge_rows).collect()]
+            assert got == want, (parts, k, merge_rows)

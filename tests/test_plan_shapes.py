@@ -7,6 +7,7 @@ import re
 from conftest import SF01
 
 import __spark_entry__ as entry
+from textflow.operators import layout
 
 QUERIES = entry.queries()
 
@@ -19,7 +20,11 @@ def _plan(df, mode="formatted"):
 
 
 def test_tfidf_tokenises_once_and_reuses_the_tf_shuffle(spark):
-    df = QUERIES["top_tfidf"](spark, SF01)
+    from textflow.operators import features as feat
+
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    # the threshold path of top_k (taken on large inputs), forced here
+    df = layout.top_k(feat.tfidf(docs), 100, "tfidf", "doc_id", "term", merge_rows=0)
     df.collect()
     plan = _plan(df, "simple")   # final adaptive plan after execution
     assert "ReusedExchange" in plan

@@ -54,7 +54,12 @@ class persisted:
         return False
 
 
-def top_k(df: DataFrame, k: int, value_col: str, *tie_cols: str) -> DataFrame:
+# Rows a single task may merge for a top-k report before a threshold pass is used.
+TOP_K_MERGE_ROWS = 1_000_000
+
+
+def top_k(df: DataFrame, k: int, value_col: str, *tie_cols: str,
+          merge_rows: int = TOP_K_MERGE_ROWS) -> DataFrame:
     """The ``k`` rows with the largest ``value_col`` (ties by ``tie_cols``),
     exact, with a bounded final merge.
 
@@ -64,9 +69,18 @@ def top_k(df: DataFrame, k: int, value_col: str, *tie_cols: str) -> DataFrame:
     so at least k rows pass ``value >= threshold`` and the true top k are
     among them; only partitions whose maximum reaches the threshold (about k
     of them) send rows to the final merge. With fewer than k partitions there
-    is no threshold. Both passes run in one query and share its shuffles."""
+    is no threshold. Both passes run in one query and share its shuffles.
+    When ``partitions * k`` is at most ``merge_rows`` the plain top-k merge is
+    already small and the threshold pass is skipped."""
+    order = [F.desc(value_col), *[F.asc(c) for c in tie_cols]]
+    try:
+        small = df.rdd.getNumPartitions() * k <= merge_rows
+    except Exception:  # noqa: BLE001 -- no RDD view: take the bounded path
+        small = False
+    if small:
+        return df.orderBy(*order).limit(k)
     maxima = df.groupBy(F.spark_partition_id().alias("part")).agg(F.max(value_col).alias("m"))
     best = maxima.orderBy(F.desc("m")).limit(k)
     threshold = best.select(F.when(F.count(F.lit(1)) >= F.lit(k), F.min("m"))).scalar()
     kept = df.where(threshold.isNull() | (F.col(value_col) >= threshold))
-    return kept.orderBy(F.desc(value_col), *[F.asc(c) for c in tie_cols]).limit(k)
+    return kept.orderBy(*order).limit(k)
