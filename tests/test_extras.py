@@ -29,11 +29,15 @@ def test_persisted_context_unpersists(spark):
     assert not df.is_cached
 
 
-def test_spread_only_when_under_partitioned(spark):
-    one = spark.range(0, 1000, numPartitions=1)
+def test_spread_only_for_few_input_files(spark, tmp_dir):
+    spark.range(0, 1000).coalesce(1).write.parquet(f"{tmp_dir}/one")
+    spark.range(0, 1000).repartition(8).write.parquet(f"{tmp_dir}/many")
+    one = spark.read.parquet(f"{tmp_dir}/one")
     assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 1000, numPartitions=8)
+    many = spark.read.parquet(f"{tmp_dir}/many")
     assert spread(many, 4) is many
+    generated = spark.range(0, 1000, numPartitions=1)     # no files: left alone
+    assert spread(generated, 4) is generated
 
 
 def test_progress_log_records_batches(spark, tmp_dir):

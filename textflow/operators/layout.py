@@ -7,22 +7,24 @@ from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Re-balance an under-partitioned input before tokenising or scoring.
-
-    A scan of a few unsplittable files (one Parquet row group, a multi-line
-    or compressed CSV, a micro-batch of one file) gives fewer tasks than
-    there are cores; then -- and only then -- rows are spread round-robin
-    over ``min_partitions`` (default: the cluster's default parallelism).
-    A large table already split into many partitions is returned unchanged,
-    so no shuffle is added at scale. Reading the partition count plans the
-    query but runs no job.
+    """Re-balance an input read from a few files before tokenising or scoring.
+
+    A few unsplittable or single-row-group files (one Parquet row group, a
+    multi-line or compressed CSV) give only a few busy tasks however many
+    cores there are; then -- and only then -- rows are spread round-robin over
+    ``min_partitions`` (default: the cluster's default parallelism). The test
+    is the number of input files, read from the plan without running it (an
+    adaptive plan's RDD would execute its shuffles just to be counted); a
+    large table stored as many files is returned unchanged, so no shuffle is
+    added at scale. Frames with no file input (e.g. Kafka batches) are left
+    as they are.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a Spark Connect session)
+    except Exception:  # noqa: BLE001 -- no context (Spark Connect)
         return df
-    if current >= target:
+    files = len(df.inputFiles())
+    if files == 0 or files >= target:
         return df
     return df.repartition(target)
 
@@ -70,14 +72,14 @@ def top_k(df: DataFrame, k: int, value_col: str, *tie_cols: str,
     among them; only partitions whose maximum reaches the threshold (about k
     of them) send rows to the final merge. With fewer than k partitions there
     is no threshold. Both passes run in one query and share its shuffles.
-    When ``partitions * k`` is at most ``merge_rows`` the plain top-k merge is
-    already small and the threshold pass is skipped."""
+    When ``shuffle partitions * k`` is at most ``merge_rows`` the plain top-k
+    merge is already small and the threshold pass is skipped."""
     order = [F.desc(value_col), *[F.asc(c) for c in tie_cols]]
-    try:
-        small = df.rdd.getNumPartitions() * k <= merge_rows
-    except Exception:  # noqa: BLE001 -- no RDD view: take the bounded path
-        small = False
-    if small:
+    # the input of a report comes out of a shuffle: its planned width is the
+    # shuffle partition count (read from the conf -- counting the partitions of
+    # an adaptive plan would execute it)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    if partitions * k <= merge_rows:
         return df.orderBy(*order).limit(k)
     maxima = df.groupBy(F.spark_partition_id().alias("part")).agg(F.max(value_col).alias("m"))
     best = maxima.orderBy(F.desc("m")).limit(k)
