@@ -81,8 +81,9 @@ def cap_rows(df: DataFrame, max_rows: int, key: str | None = None) -> DataFrame:
     bucket = keyed_bucket(key, salt="cap")
     hist = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
     running = hist.select("b", F.sum("n").over(Window.orderBy("b")).alias("upto"))
-    cut = running.where(F.col("upto") >= F.lit(max_rows)).agg(F.min("b")).first()[0]
-    kept = df if cut is None else df.where(bucket <= F.lit(cut))
+    # a scalar subquery: planned with the capped query, no eager job
+    cut = running.where(F.col("upto") >= F.lit(max_rows)).select(F.min("b")).scalar()
+    kept = df.where(cut.isNull() | (bucket <= cut))
     return kept.orderBy(bucket, F.col(key)).limit(max_rows)
 
 
