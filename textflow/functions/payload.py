@@ -55,10 +55,14 @@ def decode_payload(value: Column | str, schema: T.StructType = KAFKA_PAYLOAD) ->
 
 def decode_kafka_frame(df: DataFrame, keep_label: bool = False) -> DataFrame:
     """Kafka rows (``value`` binary, ``timestamp``) to ``text, kafka_ts``
-    (and ``label`` from the JSON when asked)."""
+    (and ``label`` from the JSON when asked); each message is parsed once."""
     raw = F.col("value").cast("string")
-    cols = [decode_payload(raw).alias("text"), F.col("timestamp").alias("kafka_ts")]
+    schema = KAFKA_PAYLOAD
     if keep_label:
-        label_schema = T.StructType([T.StructField("label", T.IntegerType(), True)])
-        cols.append(F.from_json(raw, label_schema).getField("label").alias("label"))
-    return df.select(*cols)
+        schema = T.StructType(KAFKA_PAYLOAD.fields + [T.StructField("label", T.IntegerType(), True)])
+    parsed = df.select(raw.alias("raw"), F.from_json(raw, schema).alias("m"),
+                       F.col("timestamp").alias("kafka_ts"))
+    cols = [F.coalesce(F.col("m.text"), F.col("raw")).alias("text"), "kafka_ts"]
+    if keep_label:
+        cols.append(F.col("m.label").alias("label"))
+    return parsed.select(*cols)
