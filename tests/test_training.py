@@ -101,3 +101,13 @@ def test_profile_counts_every_row_in_both_split_modes(spark, labelled, mode):
     assert 0 < outcome.split_sizes["eval"] < outcome.split_sizes["train"] < total
     m = outcome.results[0].metrics
     assert m["tn"] + m["fp"] + m["fn"] + m["tp"] == outcome.split_sizes["eval"]
+
+
+def test_auc_modes_agree_on_small_data(spark, labelled):
+    lr = [s for s in default_model_specs() if s.name == "LogisticRegression"]
+    exact = Trainer(TrainConfig(num_features=1024, min_doc_freq=1), lr).fit(labelled).results[0].metrics
+    evaluator = Trainer(TrainConfig(num_features=1024, min_doc_freq=1, auc_mode="evaluator"), lr) \
+        .fit(labelled).results[0].metrics
+    # under 2000 distinct scores the evaluator does not down-sample: same areas
+    assert evaluator["auc"] == pytest.approx(exact["auc"], abs=1e-9)
+    assert evaluator["pr_auc"] == pytest.approx(exact["pr_auc"], abs=1e-9)

@@ -20,6 +20,7 @@ from typing import Callable
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +88,7 @@ class TrainConfig:
     select_metric: str = "accuracy"
     parallelism: int = 1               # models trained at once (driver threads)
     cv_parallelism: int = 2            # (fold, grid point) fits at once, as the reference's CV
+    auc_mode: str = "exact"            # or "evaluator" (Spark's default numBins=1000 curve)
     storage_level: StorageLevel = field(default_factory=lambda: StorageLevel.MEMORY_AND_DISK)
 
     def with_(self, **changes) -> "TrainConfig":
@@ -157,13 +159,24 @@ def grid_points(estimator, grid: dict) -> list[dict]:
     return points
 
 
-def evaluate(predictions: DataFrame, label_col: str = "label") -> dict:
-    """All metrics of a scored frame: one confusion pass plus the exact areas."""
+def evaluate(predictions: DataFrame, label_col: str = "label", auc_mode: str = "exact") -> dict:
+    """All metrics of a scored frame: one confusion pass plus the curve areas.
+
+    ``auc_mode='exact'`` gives the exact areas (``auc.py``); ``'evaluator'``
+    uses Spark's ``BinaryClassificationEvaluator`` with its default
+    ``numBins=1000``, which down-samples the curve on large inputs -- the
+    numbers a default evaluator reports."""
     metrics = ev.metric_values(ev.confusion_row(predictions, label_col))
     if "rawPrediction" in predictions.columns:
-        areas = auc_ops.area_values_from_raw(predictions, label_col)
-        metrics["auc"] = areas["roc_auc"]
-        metrics["pr_auc"] = areas["pr_auc"]
+        if auc_mode == "evaluator":
+            for key, name in (("auc", "areaUnderROC"), ("pr_auc", "areaUnderPR")):
+                metrics[key] = BinaryClassificationEvaluator(
+                    labelCol=label_col, rawPredictionCol="rawPrediction", metricName=name
+                ).evaluate(predictions)
+        else:
+            areas = auc_ops.area_values_from_raw(predictions, label_col)
+            metrics["auc"] = areas["roc_auc"]
+            metrics["pr_auc"] = areas["pr_auc"]
     return metrics
 
 
@@ -265,7 +278,7 @@ class Trainer:
         seconds = time.time() - started
         predictions = clf.transform(eval_feat).persist(self.cfg.storage_level)
         try:
-            metrics = evaluate(predictions)
+            metrics = evaluate(predictions, auc_mode=self.cfg.auc_mode)
         finally:
             predictions.unpersist()
         model = PipelineModel(stages=self._stages()[:3] + [idf_model, clf])
@@ -381,7 +394,7 @@ def _record(outcome: TrainingOutcome, registry, cfg: TrainConfig, prefix: str, e
         registry.log_params(run_id, params)
         metrics = dict(r.metrics)
         metrics["training_time_seconds"] = r.training_seconds
-        metrics.update({f"cv_avg_metric_{g[0]}": g[2] for g in r.grid})
+        metrics.update({f"cv_fold_avg_metric_{g[0]}": g[2] for g in r.grid})
         registry.log_metrics(run_id, metrics)
         versions[r.name] = registry.register_model(f"{prefix}-{r.name.lower()}", r.model, run_id)
     if outcome.best is not None:
