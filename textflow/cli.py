@@ -47,6 +47,7 @@ def _train_args(sub) -> None:
     p.add_argument("--select-on", choices=["test", "val"])
     p.add_argument("--select-metric")
     p.add_argument("--parallelism", type=int)
+    p.add_argument("--auc-mode", choices=["exact", "evaluator"])
     p.add_argument("--multi-line", action="store_true", help="texts contain newlines")
 
 
@@ -102,6 +103,7 @@ def run_train(spark, args) -> dict:
             "sample_fraction": args.sample_fraction, "max_rows": args.max_rows,
             "cv_folds": args.cv_folds, "split_mode": args.split_mode, "select_on": args.select_on,
             "select_metric": args.select_metric, "parallelism": args.parallelism,
+            "auc_mode": args.auc_mode,
         }.items() if v is not None
     }
     if args.enable_cv:
