@@ -60,3 +60,30 @@ def test_metrics_are_one_global_aggregate(spark):
     plan = _plan(QUERIES["weighted_metrics"](spark, SF01), "simple")
     assert plan.count("HashAggregate") == 2       # partial + final, no join, no sort
     assert "SortMergeJoin" not in plan and "Window" not in plan
+
+
+def _executed(df):
+    """The final adaptive plan without any (nested) initial-plan blocks."""
+    df.collect()
+    text = re.split(r"\n\+- == Initial Plan ==", _plan(df, "simple"))[0]
+    out, skip = [], None
+    for line in text.splitlines():
+        if "== Initial Plan ==" in line:
+            skip = line.index("+-")
+            continue
+        if skip is not None and "+-" in line and line.index("+-") <= skip:
+            skip = None
+        if skip is None:
+            out.append(line)
+    return "\n".join(out)
+
+
+def test_term_statistics_tokenise_the_corpus_once(spark):
+    from textflow.operators import features as feat
+
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    for df in (QUERIES["term_df_idf"](spark, SF01),
+               layout.top_k(feat.tfidf(docs), 100, "tfidf", "doc_id", "term", merge_rows=0)):
+        plan = _executed(df)
+        assert plan.count("Generate explode") == 1, plan
+        assert "ReusedExchange" in plan

@@ -66,22 +66,31 @@ def doc_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.select(F.col(id_col), terms.alias("terms"))
 
 
-def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, term, tf)``. Exploded tokens are combined per task before the
-    shuffle (partial aggregation), so a long document or a hot term costs
-    one row per (document, term) on the wire."""
+def _marked_tf(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, term, tf)`` plus one ``(id, NULL, 1)`` marker row per document.
+
+    The marker's document frequency is the number of documents (those with
+    no term left included), so the IDF's document count comes out of the
+    same aggregation instead of a second scan of the text column.
+    Exploded tokens are combined per task before the shuffle (partial
+    aggregation): a long document or a hot term costs one row per
+    (document, term) on the wire. ``explode_outer`` keeps Catalyst from
+    inferring ``size(terms) > 0`` and pushing the tokenisation below the
+    repartition (which would tokenise every document twice)."""
     terms = doc_terms(docs, id_col, text_col)
-    # explode_outer + an explicit null filter: an inner explode makes Catalyst
-    # infer ``size(terms) > 0`` and push it below the repartition, which would
-    # tokenise every document twice (once in the unbalanced scan task)
+    marked = F.concat(F.array(F.lit(None).cast("string")), F.col("terms"))
     return (
-        terms.select(F.col(id_col), F.explode_outer("terms").alias("term"))
-        .where(F.col("term").isNotNull())
+        terms.select(F.col(id_col), F.explode_outer(marked).alias("term"))
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
 
 
+def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, term, tf)`` for every document and term."""
+    return _marked_tf(docs, id_col, text_col).where(F.col("term").isNotNull())
+
+
 def corpus_term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(term, n_occurrences, n_docs)`` over the whole corpus."""
     tf = term_frequencies(docs, id_col, text_col)
@@ -90,38 +99,57 @@ def corpus_term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
-def idf_table(docs: DataFrame, min_doc_freq: int = 5, id_col: str = "doc_id",
-              text_col: str = "text", tf: DataFrame | None = None,
-              n_docs: int | None = None) -> DataFrame:
-    """``(term, df, idf)`` with Spark ML's ``ln((n+1)/(df+1))``, 0 below
-    ``min_doc_freq``; ``n`` counts every document with non-null text."""
+def _real_terms(df: DataFrame, count_col: str) -> DataFrame:
+    """Drop the marker rows above the aggregation that produced ``df``.
+
+    The predicate also reads the aggregate's output (``count_col >= 1``
+    always), so Catalyst keeps it above the aggregation; a plain
+    ``term IS NOT NULL`` would be pushed below it, and this branch's shuffle
+    would no longer be the one the marker-reading branch reuses (the corpus
+    would be tokenised twice)."""
+    keep = F.when(F.col("term").isNull(), F.lit(False)).otherwise(F.col(count_col) > 0)
+    return df.where(keep)
+
+
+def _idf_from_marked(marked: DataFrame, min_doc_freq: int, n_docs: int | None = None) -> DataFrame:
+    # count_if(tf > 0) equals count(*) (tf >= 1) but keeps the tf column alive
+    # (count(tf) would be rewritten to count(1) and tf pruned), so this branch
+    # and a join back to the term frequencies share one shuffle (ReusedExchange)
+    freq = marked.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     if n_docs is None:
-        # a scalar subquery: planned with the rest of the query, no eager job
-        n = docs.where(F.col(text_col).isNotNull()).select(F.count(F.lit(1))).scalar()
+        # the marker row's frequency, as a filter-free scalar subquery over the
+        # same (reused) aggregate
+        n = freq.select(F.max(F.when(F.col("term").isNull(), F.col("df")))).scalar()
     else:
         n = F.lit(n_docs)
-    if tf is None:
-        tf = term_frequencies(docs, id_col, text_col)
     df_col = F.col("df")
     idf = F.when(df_col >= F.lit(min_doc_freq),
                  F.log((n.cast("double") + 1.0) / (df_col + 1.0))).otherwise(F.lit(0.0))
-    # count_if(tf > 0) equals count(*) (tf >= 1) but keeps the tf column alive
-    # (count(tf) would be rewritten to count(1) and tf pruned), so this branch
-    # and a join back to ``tf`` share one shuffle (ReusedExchange) instead of
-    # tokenising the corpus twice
-    return tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df")).withColumn("idf", idf)
+    return _real_terms(freq, "df").withColumn("idf", idf)
+
+
+def idf_table(docs: DataFrame, min_doc_freq: int = 5, id_col: str = "doc_id",
+              text_col: str = "text", n_docs: int | None = None) -> DataFrame:
+    """``(term, df, idf)`` with Spark ML's ``ln((n+1)/(df+1))``, 0 below
+    ``min_doc_freq``; ``n`` counts every document with non-null text."""
+    return _idf_from_marked(_marked_tf(docs, id_col, text_col), min_doc_freq, n_docs)
 
 
 def tfidf(docs: DataFrame, min_doc_freq: int = 5, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """``(id, term, tf, idf, tfidf)`` per document and term.
 
-    Both branches start from the same ``tf`` aggregation, so Spark reuses its
-    shuffle stage instead of tokenising twice. Only terms with a non-zero
-    weight are joined (rare terms get 0), which keeps the join side small."""
-    tf = term_frequencies(docs, id_col, text_col)
-    idf = idf_table(docs, min_doc_freq, id_col, text_col, tf=tf)
-    weights = idf.where(F.col("idf") > 0).select("term", "idf")
+    Term frequencies, document frequencies and the document count all come
+    from one tokenisation and one shuffle (reused by every branch). Only
+    terms with a non-zero weight are joined (rare terms get 0), which keeps
+    the join side small."""
+    marked = _marked_tf(docs, id_col, text_col)
+    tf = _real_terms(marked, "tf")
+    idf = _idf_from_marked(marked, min_doc_freq).where(F.col("idf") > 0)
+    # The join key is an expression over the aggregate's output (df >= 1, so
+    # it equals term): the join's inferred ``term IS NOT NULL`` then stays
+    # above the aggregation instead of being pushed into the shared branch.
+    weights = idf.select(F.when(F.col("df") > 0, F.col("term")).alias("term"), "idf")
     # No hint and no eager count: AQE materialises the weights stage first and
     # broadcasts it only if its measured size is under the broadcast threshold;
     # otherwise it stays a sort-merge join whose hot-term partitions the
