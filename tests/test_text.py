@@ -65,9 +65,13 @@ def test_top_tfidf_is_ordered_and_bounded(spark):
 def test_hashed_features_total_equals_filtered_tokens(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
     out = feat.hashed_features(docs, 1 << 12, 1)
-    bad = out.where(F.size("filtered").cast("double") != feat.vector_total("rawFeatures"))
-    assert bad.count() == 0
+    bad = out.where(F.col("n_filtered").cast("double") != feat.vector_total("rawFeatures"))
+    assert bad.count() == 0 and out.count() == docs.count()
     assert isinstance(out.schema["features"].dataType, type(out.schema["rawFeatures"].dataType))
+    # same IDF weights as fitting the whole ML pipeline
+    ml = feat.feature_pipeline(1 << 12, 1).fit(docs).transform(docs).select("doc_id", F.col("features").alias("f2"))
+    joined = out.join(ml, "doc_id")
+    assert joined.where(F.col("features") != F.col("f2")).count() == 0
 
 
 def test_tokenize_fuzz_matches_ml_tokenizer(spark):

@@ -42,10 +42,25 @@ def hashing_model(num_features: int = 1 << 15, text_col: str = "text") -> Pipeli
 
 
 def hashed_features(docs: DataFrame, num_features: int = 1 << 15, min_doc_freq: int = 5,
-                    text_col: str = "text") -> DataFrame:
-    """Fit the IDF on ``docs`` and return them with all feature columns."""
-    docs = spread(docs)
-    return feature_pipeline(num_features, min_doc_freq, text_col).fit(docs).transform(docs)
+                    text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``(id, n_tokens, n_filtered, rawFeatures, features)`` with the IDF fitted on ``docs``.
+
+    The text is tokenised and hashed once: the term-frequency vectors (and
+    token counts) are checkpointed to the shared checkpoint folder, and the
+    IDF is fitted on and applied to that table. Fitting and transforming a
+    ``Pipeline`` directly would tokenise the corpus twice; the checkpoint
+    also cuts the lineage, so a lost executor does not re-tokenise."""
+    from textflow.session import shared_dir
+
+    shared_dir(docs.sparkSession)      # checkpoint() needs the folder set
+    hashed = (
+        hashing_model(num_features, text_col).transform(spread(docs.where(F.col(text_col).isNotNull())))
+        .select(F.col(id_col), F.size("tokens").alias("n_tokens"), F.size("filtered").alias("n_filtered"),
+                "rawFeatures")
+        .checkpoint(eager=True)
+    )
+    idf = IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=min_doc_freq).fit(hashed)
+    return idf.transform(hashed)
 
 
 def vector_total(col: str):

@@ -260,14 +260,9 @@ def q_top_tfidf(spark, sf_dir):
 def q_hashed_features(spark, sf_dir):
     """The ML stages (Tokenizer, StopWordsRemover, HashingTF 2^15, IDF fitted
     on the corpus). Hash-independent columns only, so the SQL check holds."""
-    docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull()).select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = feat.hashed_features(docs, 1 << 15, MIN_DOC_FREQ)
-    return out.select(
-        "doc_id",
-        F.size("tokens").alias("n_tokens"),
-        F.size("filtered").alias("n_filtered"),
-        feat.vector_total("rawFeatures").alias("tf_total"),
-    )
+    return out.select("doc_id", "n_tokens", "n_filtered", feat.vector_total("rawFeatures").alias("tf_total"))
 
 
 # --- JSON / Kafka payloads ------------------------------------------------
