@@ -59,7 +59,8 @@ class FailAfterWrite:
 def test_replay_after_failure_keeps_one_copy(spark, tmp_dir):
     for i, t in enumerate(["good movie", "bad", "not bad, could"]):
         _drop(f"{tmp_dir}/in", f"f{i}.csv", [t])
-    cfg = _cfg(tmp_dir)
+    cfg = _cfg(tmp_dir, write_json="true", json_output_path=f"{tmp_dir}/out_json",
+               metrics_path=f"{tmp_dir}/metrics")
     scorer, version = _static()
     first = BatchScorer(cfg)
     first.holder.set(scorer, version, None)
@@ -76,6 +77,12 @@ def test_replay_after_failure_keeps_one_copy(spark, tmp_dir):
     after = {r["text"]: r["ingest_time"] for r in out}
     # the replayed batch keeps the ingest time of its first attempt
     assert after["bad"] == before["bad"]
+    # the JSON copy and the batch metrics were replaced too, not appended
+    assert spark.read.text(cfg.json_output_path).count() == 3
+    from textflow.streaming.serving import read_batch_metrics
+
+    batches = sorted(r["batch_id"] for r in read_batch_metrics(spark, cfg.metrics_path).collect())
+    assert batches == [0, 1, 2]
     # a second query (fresh checkpoint) appends its own copy, never erasing the first
     third = BatchScorer(cfg)
     third.holder.set(scorer, version, None)
