@@ -4,6 +4,8 @@ import contextlib
 import io
 import re
 
+from pyspark.sql import functions as F
+
 from conftest import SF01
 
 import __spark_entry__ as entry
@@ -87,3 +89,25 @@ def test_term_statistics_tokenise_the_corpus_once(spark):
         plan = _executed(df)
         assert plan.count("Generate explode") == 1, plan
         assert "ReusedExchange" in plan
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_dir):
+    from textflow.operators.prep import labelled_from_raw
+
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    d = layout.write_bucketed(docs, "tf_docs_bucketed", "doc_id", 8, f"{tmp_dir}/docs")
+    l = layout.write_bucketed(labels, "tf_labels_bucketed", "doc_id", 8, f"{tmp_dir}/labels")
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # force the sort-merge join
+    try:
+        joined = d.join(l, "doc_id").select(
+            (F.col("quality") * 4).alias("polarity"), F.col("doc_id").alias("id"), "text")
+        out = labelled_from_raw(joined, keep=("id",))
+        plan = _executed(out)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert out.count() == labels.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+        spark.sql("DROP TABLE IF EXISTS tf_docs_bucketed")
+        spark.sql("DROP TABLE IF EXISTS tf_labels_bucketed")

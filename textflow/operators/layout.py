@@ -86,3 +86,16 @@ def top_k(df: DataFrame, k: int, value_col: str, *tie_cols: str,
     threshold = best.select(F.when(F.count(F.lit(1)) >= F.lit(k), F.min("m"))).scalar()
     kept = df.where(threshold.isNull() | (F.col(value_col) >= threshold))
     return kept.orderBy(*order).limit(k)
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, num_buckets: int, path: str) -> DataFrame:
+    """Store ``df`` as an external table bucketed and sorted by ``key``.
+
+    Two tables bucketed the same way on the join key join without a shuffle
+    (Spark reads matching buckets side by side): for the labelled corpus this
+    removes the one shuffle of raw text, ``documents ⋈ labels`` on
+    ``doc_id``. The files go to ``path`` (a shared folder), the table name to
+    the session catalog. Returns the table."""
+    (df.write.mode("overwrite").bucketBy(num_buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
