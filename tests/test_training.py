@@ -111,3 +111,9 @@ def test_auc_modes_agree_on_small_data(spark, labelled):
     # under 2000 distinct scores the evaluator does not down-sample: same areas
     assert evaluator["auc"] == pytest.approx(exact["auc"], abs=1e-9)
     assert evaluator["pr_auc"] == pytest.approx(exact["pr_auc"], abs=1e-9)
+
+
+def test_missing_key_column_is_reported(spark):
+    df = spark.createDataFrame([(1, "a b")], "label int, text string")
+    with pytest.raises(ValueError, match="doc_id"):
+        Trainer(TrainConfig()).fit(df)

@@ -287,6 +287,11 @@ class Trainer:
     def fit(self, labelled: DataFrame) -> TrainingOutcome:
         """``labelled`` needs ``label`` (0/1), ``text`` and ``key_col`` for keyed splits."""
         cfg = self.cfg
+        missing = [c for c in ("label", "text") if c not in labelled.columns]
+        if cfg.split_mode == "keyed" and cfg.key_col not in labelled.columns:
+            missing.append(f"{cfg.key_col} (key for keyed splits; or use split_mode='random')")
+        if missing:
+            raise ValueError(f"training input lacks columns: {', '.join(missing)}")
         data = labelled.where(F.col("label").isNotNull() & F.col("text").isNotNull())
         data = sample_rows(data, cfg.sample_fraction, cfg.seed,
                            key=cfg.key_col if cfg.split_mode == "keyed" else None)
