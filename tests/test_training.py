@@ -117,3 +117,14 @@ def test_missing_key_column_is_reported(spark):
     df = spark.createDataFrame([(1, "a b")], "label int, text string")
     with pytest.raises(ValueError, match="doc_id"):
         Trainer(TrainConfig()).fit(df)
+
+
+def test_quick_preset_samples_and_caps(spark, labelled):
+    from textflow.operators.training import PRESETS
+
+    cfg = PRESETS["quick"].with_(min_doc_freq=1, max_rows=30)
+    lr = [s for s in default_model_specs() if s.name == "LogisticRegression"]
+    outcome = Trainer(cfg, lr).fit(labelled)
+    # 10% keyed sample of ~400 rows, then capped at 30 rows
+    assert outcome.profile["total_rows"] == 30
+    assert outcome.results[0].metrics["n_rows"] == outcome.split_sizes["eval"]
