@@ -16,7 +16,8 @@ So all that is needed is a prefix sum over the distinct scores. A plain
 1. ``groupBy(score)`` -- partial aggregation, one row per distinct score
    (ties, however hot, collapse into one row);
 2. approximate quantiles of the distinct scores give ``B`` range buckets
-   (a ``QuantileDiscretizer``; ``B`` is bounded and so is what is collected);
+   (``percentile_approx`` as a scalar subquery; a score finds its bucket by
+   binary search over the ``B - 1`` boundaries);
 3. per-bucket totals (``B`` rows) -> prefix offsets over buckets -> broadcast
    join back (size bound ``B``);
 4. a window partitioned by bucket gives the prefix inside each bucket;
@@ -25,7 +26,6 @@ So all that is needed is a prefix sum over the distinct scores. A plain
 
 from __future__ import annotations
 
-from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,28 +57,48 @@ def score_counts(df: DataFrame, label_col: str = "label", score_col: str = "scor
     )
 
 
+def _bucket_of(score: Column, boundaries: Column, size: int) -> Column:
+    """Number of ``boundaries`` (sorted, ``size`` of them) strictly below
+    ``score``: a binary-lifting search in ``log2(size)`` steps, so each
+    distinct score costs O(log B) comparisons."""
+    steps, step = [], 1
+    while step <= size:
+        steps.append(step)
+        step *= 2
+    steps.reverse()
+
+    def lift(idx, s):
+        nxt = idx + s
+        return F.when((nxt <= F.lit(size)) & (F.element_at(boundaries, nxt) < score), nxt).otherwise(idx)
+
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), lift)
+
+
 def curve_points(counts: DataFrame, num_buckets: int | None = None,
                  relative_error: float | None = None) -> DataFrame:
     """``counts`` plus ``pos_above``/``neg_above``: totals of strictly higher scores.
 
-    The quantile error defaults to a quarter of a bucket's share, so buckets
-    stay balanced however many there are."""
+    Range buckets come from approximate quantiles of the distinct scores,
+    computed as a scalar subquery of the same query (no eager job); the
+    quantile error defaults to a quarter of a bucket's share, so buckets stay
+    balanced however many there are."""
     buckets = num_buckets or _default_buckets(counts)
     if relative_error is None:
         relative_error = max(1e-5, min(1e-3, 0.25 / max(buckets, 1)))
     if buckets < 2:
-        bucketed = counts.withColumn("bucket", F.lit(0.0))
+        bucketed = counts.withColumn("bucket", F.lit(0))
     else:
-        discretizer = QuantileDiscretizer(
-            numBuckets=buckets, inputCol="score", outputCol="bucket", relativeError=relative_error,
-            handleInvalid="keep",
+        probs = [i / buckets for i in range(1, buckets)]
+        accuracy = int(round(1.0 / relative_error))
+        boundaries = counts.select(
+            F.percentile_approx("score", F.array(*[F.lit(p) for p in probs]), accuracy)
+        ).scalar()
+        # a subquery may not sit inside a lambda: carry the boundaries as a column
+        bucketed = (
+            counts.withColumn("__bounds", boundaries)
+            .withColumn("bucket", _bucket_of(F.col("score"), F.col("__bounds"), buckets - 1))
+            .drop("__bounds")
         )
-        try:
-            bucketed = discretizer.fit(counts).transform(counts)
-        except Exception:  # noqa: BLE001 -- no scores at all: nothing to split
-            if not counts.isEmpty():
-                raise
-            bucketed = counts.withColumn("bucket", F.lit(0.0))
     # B rows; the window over them runs in one task but B is bounded
     totals = bucketed.groupBy("bucket").agg(F.sum("pos").alias("b_pos"), F.sum("neg").alias("b_neg"))
     higher = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
