@@ -90,7 +90,10 @@ def curve_points(counts: DataFrame, num_buckets: int | None = None,
     else:
         probs = [i / buckets for i in range(1, buckets)]
         accuracy = int(round(1.0 / relative_error))
-        boundaries = counts.select(
+        # ``pos + neg > 0`` always holds; it keeps the count columns in this
+        # branch so the subquery reads the same score-count shuffle as the
+        # main query (ReusedExchange) instead of scanning and scoring again
+        boundaries = counts.where((F.col("pos") + F.col("neg")) > 0).select(
             F.percentile_approx("score", F.array(*[F.lit(p) for p in probs]), accuracy)
         ).scalar()
         # a subquery may not sit inside a lambda: carry the boundaries as a column
