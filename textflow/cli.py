@@ -80,6 +80,10 @@ def _serve_args(sub) -> None:
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--metrics-path")
     p.add_argument("--on-error", choices=["raise", "warn"], default="raise")
+    p.add_argument("--passthrough", default="", help="comma-separated input columns to keep (e.g. kafka_ts,id)")
+    p.add_argument("--score-partitions", type=int, help="spread each batch over this many tasks before scoring")
+    p.add_argument("--rows-per-file", type=int, default=1_000_000)
+    p.add_argument("--query-name")
 
 
 def _compact_args(sub) -> None:
@@ -146,6 +150,9 @@ def serving_config(args) -> ServingConfig:
         json_output_path=args.json_output_path, write_kafka=parse_flag(args.write_kafka),
         kafka_output_bootstrap=args.kafka_output_bootstrap, kafka_output_topic=args.kafka_output_topic,
         metrics_path=args.metrics_path, on_error=args.on_error,
+        passthrough=tuple(c.strip() for c in args.passthrough.split(",") if c.strip()),
+        score_partitions=args.score_partitions, rows_per_file=args.rows_per_file,
+        query_name=args.query_name,
     ).validate()
 
 
