@@ -302,3 +302,33 @@ def test_compact_closed_date(spark, tmp_dir):
                   .select("doc_id", "prediction", "date", "rawPrediction").collect()) == before
     assert files("2024-01-01") == 1 and files("2024-01-02") > 1
     assert {r["query_id"] for r in after.where("date = '2024-01-01'").select("query_id").distinct().collect()} == {"compacted"}
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "text"])
+def test_parquet_and_text_file_streams(spark, tmp_dir, fmt):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    if fmt == "parquet":
+        docs.write.parquet(f"{tmp_dir}/in")
+        cfg = _cfg(tmp_dir, file_format="parquet", schema="doc_id BIGINT, text STRING",
+                   max_files_per_trigger=10, passthrough=("doc_id",))
+        expected = docs.count()
+    else:
+        one_line = docs.select(F.regexp_replace("text", "\\n", " ").alias("value"))
+        one_line.write.text(f"{tmp_dir}/in")
+        cfg = _cfg(tmp_dir, file_format="text", max_files_per_trigger=10)
+        expected = one_line.count()
+    handler = BatchScorer(cfg)
+    handler.holder.set(PythonModelScorer(TextLengthModel(2000)), "v1", None)
+    q = _run(spark, cfg, handler)
+    assert q.exception() is None
+    assert read_predictions(spark, cfg.output_path).count() == expected
+
+
+def test_compact_date_without_rows(spark, tmp_dir):
+    from textflow.streaming.sinks import compact_date, write_predictions
+
+    rows = spark.range(0, 5).select(F.col("id").alias("doc_id"), F.lit("2024-01-01").alias("date"),
+                                    F.lit("q").alias("query_id"), F.lit(0).cast("bigint").alias("batch_id"))
+    write_predictions(rows, f"{tmp_dir}/p")
+    assert compact_date(spark, f"{tmp_dir}/p", "2024-02-02") == 0
+    assert read_predictions(spark, f"{tmp_dir}/p").count() == 5
