@@ -7,11 +7,6 @@ plain aggregations (vocabulary, document frequency) without a vector column.
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,18 +52,29 @@ def tokenize_sql(text_sql: str) -> str:
     )
 
 
-@functools.lru_cache(maxsize=None)
-def default_stop_words(language: str = "english") -> tuple[str, ...]:
-    """The stop-word list shipped inside Spark's mllib jar (181 English words
-    in Spark 4.1), read without a running JVM so SQL text can embed it."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found next to pyspark")
-    with zipfile.ZipFile(jars[0]) as archive:
-        raw = archive.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
-    return tuple(w for w in raw.decode("utf-8").split("\n") if w)
+# The default English list of Spark's ``StopWordsRemover``
+# (``StopWordsRemover.loadDefaultStopWords("english")``), in its order. Kept here
+# as text so that importing a module or building oracle SQL needs no JVM, no
+# session and no file; a test holds it against the running Spark's list.
+ENGLISH_STOP_WORDS = tuple("""
+i me my myself we our ours ourselves you your yours yourself yourselves he him his
+himself she her hers herself it its itself they them their theirs themselves what which
+who whom this that these those am is are was were be been being have has had having do
+does did doing a an the and but if or because as until while of at by for with about
+against between into through during before after above below to from up down in out on
+off over under again further then once here there when where why how all any both each
+few more most other some such no nor not only own same so than too very s t can will
+just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't
+wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't
+shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's
+what's when's where's who's why's would
+""".split())
+
+
+def default_stop_words() -> tuple[str, ...]:
+    """The default English stop words (181 in Spark 4.1)."""
+    return ENGLISH_STOP_WORDS
 
 
 def remove_stop_words(tokens: Column | str, words: tuple[str, ...] | None = None) -> Column:

@@ -118,7 +118,7 @@ def registry_serving_run(spark: SparkSession, sf_dir: str):
     lr = [s for s in default_model_specs() if s.name == "LogisticRegression"]
     from textflow.plans.training_plans import _config
 
-    outcome = Trainer(_config(spark, sf_dir), lr).fit(labelled)
+    outcome = Trainer(_config(), lr).fit(labelled)
     root = scratch_path(spark, "served")
     registry = Registry(spark, f"{root}/registry")
     _, uri = registry.register_model("text-model", outcome.results[0].model)

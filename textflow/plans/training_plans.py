@@ -22,13 +22,10 @@ from textflow.session import scratch_path
 METRIC_COLS = ("accuracy", "auc", "pr_auc", "weighted_precision", "weighted_recall", "weighted_f1")
 
 
-def _config(spark: SparkSession, sf_dir: str, **changes) -> TrainConfig:
-    """Full-preset settings; tiny inputs (the smoke scale) get 4096 features
-    and ``min_doc_freq=1`` so the IDF is not all zeros."""
-    labelled = labelled_text(spark, sf_dir)
-    small = labelled.limit(1000).count() < 1000
-    cfg = TrainConfig(num_features=4096 if small else 1 << 15, min_doc_freq=1 if small else 5)
-    return cfg.with_(**changes)
+def _config(**changes) -> TrainConfig:
+    """The plans' settings, the same at every input size: 2^15 hashed features,
+    terms of two or more training documents."""
+    return TrainConfig(num_features=1 << 15, min_doc_freq=2).with_(**changes)
 
 
 def _frame(spark, outcome) -> DataFrame:
@@ -41,14 +38,14 @@ def _frame(spark, outcome) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled corpus -> keyed split -> TF-IDF -> logistic regression -> metrics."""
     lr = [s for s in default_model_specs() if s.name == "LogisticRegression"]
-    outcome = Trainer(_config(spark, sf_dir), lr).fit(labelled_text(spark, sf_dir))
+    outcome = Trainer(_config(), lr).fit(labelled_text(spark, sf_dir))
     return _frame(spark, outcome)
 
 
 @plan("train_compare")
 def q_train_compare(spark, sf_dir):
     """The three classifiers on shared features, evaluated on the test split."""
-    outcome = Trainer(_config(spark, sf_dir, parallelism=3)).fit(labelled_text(spark, sf_dir))
+    outcome = Trainer(_config(parallelism=3)).fit(labelled_text(spark, sf_dir))
     return _frame(spark, outcome)
 
 
@@ -56,7 +53,7 @@ def q_train_compare(spark, sf_dir):
 def q_tuned_grid(spark, sf_dir):
     """Cross-validated grids (LR, RF; LinearSVC tuning off by default), the
     IDF re-fitted per fold; one row per (model, grid point)."""
-    cfg = _config(spark, sf_dir, enable_cv=True, cv_folds=2, parallelism=3)
+    cfg = _config(enable_cv=True, cv_folds=2, parallelism=3)
     outcome = Trainer(cfg).fit(labelled_text(spark, sf_dir))
     return outcome.grid_frame(spark).select("model", "grid_id", "params", r6("avg_metric").alias("avg_metric"))
 
@@ -74,7 +71,7 @@ def q_saved_model_score(spark, sf_dir):
     the in-memory model's (model values themselves are not SQL-checkable)."""
     lr: list[ModelSpec] = [s for s in default_model_specs() if s.name == "LogisticRegression"]
     labelled = labelled_text(spark, sf_dir)
-    outcome = Trainer(_config(spark, sf_dir), lr).fit(labelled)
+    outcome = Trainer(_config(), lr).fit(labelled)
     model = outcome.results[0].model
     path = scratch_path(spark, "saved-model")
     model.write().overwrite().save(path)

@@ -12,6 +12,7 @@ import pickle
 from typing import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,22 +41,16 @@ class PythonModelScorer:
         self.input_cols = tuple(input_cols)
         self._broadcast = None
 
-    def _model_broadcast(self, spark: SparkSession):
-        if self._broadcast is None:
-            try:
-                self._broadcast = spark.sparkContext.broadcast(self.model)
-            except Exception:  # noqa: BLE001 -- no context (Spark Connect): ship with the UDF
-                return None
-        return self._broadcast
-
     def score(self, df: DataFrame) -> DataFrame:
-        shared = self._model_broadcast(df.sparkSession)
-        inline = self.model if shared is None else None
-        cols = self.input_cols
+        # pickled by value: a broadcast alone would name the model's module, which
+        # workers started elsewhere cannot import
+        if self._broadcast is None:
+            self._broadcast = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(self.model))
+        shared, cols = self._broadcast, self.input_cols
 
         @F.pandas_udf("double")
         def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            model = inline if shared is None else shared.value
+            model = pickle.loads(shared.value)
             for pdf in batches:
                 pdf.columns = list(cols)
                 yield pd.Series(model.predict(pdf), index=pdf.index).astype("float64")
@@ -82,7 +77,7 @@ class TextLengthModel:
 
 def save_python_model(spark: SparkSession, model, uri: str) -> None:
     """Store a picklable Python model as one binary file under ``uri``."""
-    payload = pickle.dumps(model)
+    payload = cloudpickle.dumps(model)
     frame = spark.createDataFrame([(bytearray(payload),)], "content binary").coalesce(1)
     # a one-row, one-column binary file written through Spark so any filesystem works
     frame.write.mode("overwrite").format("parquet").save(uri)
