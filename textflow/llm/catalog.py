@@ -24,6 +24,7 @@ def query(name: str, oracle: str | None = None):
 
 from textflow.llm import (  # noqa: E402,F401  -- the modules register themselves
     decontaminate,
+    imatch,
     secret_scan,
     simhash,
     toxicity,
