@@ -23,9 +23,11 @@ def query(name: str, oracle: str | None = None):
 
 
 from textflow.llm import (  # noqa: E402,F401  -- the modules register themselves
+    chat_format,
     decontaminate,
     imatch,
     secret_scan,
     simhash,
     toxicity,
+    url_filter,
 )
