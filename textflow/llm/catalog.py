@@ -26,6 +26,7 @@ from textflow.llm import (  # noqa: E402,F401  -- the modules register themselve
     chat_format,
     decontaminate,
     imatch,
+    license_scan,
     mixing,
     secret_scan,
     simhash,
