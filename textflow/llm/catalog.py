@@ -27,6 +27,7 @@ from textflow.llm import (  # noqa: E402,F401  -- the modules register themselve
     decontaminate,
     imatch,
     license_scan,
+    line_dedup,
     mixing,
     secret_scan,
     simhash,
