@@ -144,8 +144,9 @@ def with_fingerprint(docs: DataFrame, into: str, words: np.ndarray | None = None
 def _borders(ids: DataFrame, parts: int) -> tuple[list, list]:
     """Borders that cut the ids into about equal ranges, and for each range the
     id that follows its smallest in descending order."""
-    edges = sorted(set(ids.where("doc_id IS NOT NULL").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.25 / parts)))
-    edges = [int(e) for e in edges]
+    cuts = ids.agg(F.percentile_approx("doc_id", F.array(*[F.lit(i / parts) for i in range(1, parts)]), 4 * parts)
+                   if parts > 1 else F.lit(None)).first()[0]
+    edges = sorted(set(cuts or []))
     ranged = ids.select("doc_id", _range_of(edges).alias("range"))
     most = {r["range"]: r["most"] for r in ranged.groupBy("range").agg(F.max("doc_id").alias("most")).collect()}
     top = max((v for v in most.values() if v is not None), default=None)

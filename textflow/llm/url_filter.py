@@ -187,10 +187,10 @@ def with_listed(pages: DataFrame, keys: str, into: str, cascades: DataFrame, sha
         room -= row["size"]
     sc = pages.sparkSession.sparkContext
     out = pages.withColumn(into, F.lit(False))
-    h1, h2 = (F.transform(col(pages, keys), f) for f in (lambda k: F.xxhash64(k), lambda k: F.xxhash64(k, F.lit(1))))
     for n, group in enumerate(g for g in groups if g):
         if n:
             out = written(out, "url-pages")
+        h1, h2 = (F.transform(col(out, keys), f) for f in (lambda k: F.xxhash64(k), lambda k: F.xxhash64(k, F.lit(1))))
         rows = cascades.where(F.col("shard").between(group[0], group[-1])).collect()  # at most bytes_a_pass
         shared = sc.broadcast({r["shard"]: bytes(r["cascade"]) for r in rows})
 
