@@ -133,7 +133,8 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def flush():
         terms = list(counts[0].keys() | counts[1].keys())
-        out = pd.DataFrame({"term": terms, "clean": [counts[0][t] for t in terms], "toxic": [counts[1][t] for t in terms]})
+        out = pd.DataFrame({"term": pd.Series(terms, dtype=object), "clean": [counts[0][t] for t in terms],
+                            "toxic": [counts[1][t] for t in terms]})
         counts[0].clear()
         counts[1].clear()
         return out
