@@ -29,15 +29,15 @@ def test_persisted_context_unpersists(spark):
     assert not df.is_cached
 
 
-def test_spread_only_for_few_input_files(spark, tmp_dir):
-    spark.range(0, 1000).coalesce(1).write.parquet(f"{tmp_dir}/one")
-    spark.range(0, 1000).repartition(8).write.parquet(f"{tmp_dir}/many")
-    one = spark.read.parquet(f"{tmp_dir}/one")
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.read.parquet(f"{tmp_dir}/many")
-    assert spread(many, 4) is many
-    generated = spark.range(0, 1000, numPartitions=1)     # no files: left alone
-    assert spread(generated, 4) is generated
+def test_spread_is_off_unless_asked_for(spark):
+    df = spark.range(0, 1000, numPartitions=1)
+    assert spread(df) is df
+    assert spread(df, 4).rdd.getNumPartitions() == 4
+    spark.conf.set("spark.textflow.spreadPartitions", "3")
+    try:
+        assert spread(df).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset("spark.textflow.spreadPartitions")
 
 
 def test_progress_log_records_batches(spark, tmp_dir):
@@ -80,6 +80,5 @@ def test_top_k_matches_full_sort(spark):
     for parts, k in ((64, 10), (64, 100), (3, 10), (3, 200), (1, 5)):
         df = spark.createDataFrame(rows, "id long, v double").repartition(parts)
         want = sorted(rows, key=lambda r: (-r[1], r[0]))[:k]
-        for merge_rows in (0, 10**9):       # threshold pass forced / plain merge
-            got = [(r["id"], r["v"]) for r in top_k(df, k, "v", "id", merge_rows=merge_rows).collect()]
-            assert got == want, (parts, k, merge_rows)
+        got = [(r["id"], r["v"]) for r in top_k(df, k, "v", "id").collect()]
+        assert got == want, (parts, k)

@@ -26,7 +26,7 @@ def test_tfidf_tokenises_once_and_reuses_the_tf_shuffle(spark):
 
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     # the threshold path of top_k (taken on large inputs), forced here
-    df = layout.top_k(feat.tfidf(docs), 100, "tfidf", "doc_id", "term", merge_rows=0)
+    df = layout.top_k(feat.tfidf(docs), 100, "tfidf", "doc_id", "term")
     df.collect()
     plan = _plan(df, "simple")   # final adaptive plan after execution
     assert "ReusedExchange" in plan
@@ -85,7 +85,7 @@ def test_term_statistics_tokenise_the_corpus_once(spark):
 
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     for df in (QUERIES["term_df_idf"](spark, SF01),
-               layout.top_k(feat.tfidf(docs), 100, "tfidf", "doc_id", "term", merge_rows=0)):
+               layout.top_k(feat.tfidf(docs), 100, "tfidf", "doc_id", "term")):
         plan = _executed(df)
         assert plan.count("Generate explode") == 1, plan
         assert "ReusedExchange" in plan

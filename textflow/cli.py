@@ -81,6 +81,8 @@ def _serve_args(sub) -> None:
     p.add_argument("--metrics-path")
     p.add_argument("--on-error", choices=["raise", "warn"], default="raise")
     p.add_argument("--passthrough", default="", help="comma-separated input columns to keep (e.g. kafka_ts,id)")
+    p.add_argument("--model-input-cols", nargs="*", help="columns a Python model sees (default: all)")
+    p.add_argument("--bytes-per-file", type=int, default=128 << 20, help="size that a batch's output files are planned for")
     p.add_argument("--score-partitions", type=int, help="spread each batch over this many tasks before scoring")
     p.add_argument("--rows-per-file", type=int, default=1_000_000)
     p.add_argument("--query-name")
@@ -151,7 +153,8 @@ def serving_config(args) -> ServingConfig:
         kafka_output_bootstrap=args.kafka_output_bootstrap, kafka_output_topic=args.kafka_output_topic,
         metrics_path=args.metrics_path, on_error=args.on_error,
         passthrough=tuple(c.strip() for c in args.passthrough.split(",") if c.strip()),
-        score_partitions=args.score_partitions, rows_per_file=args.rows_per_file,
+        score_partitions=args.score_partitions, rows_per_file=args.rows_per_file, bytes_per_file=args.bytes_per_file,
+        model_input_cols=tuple(args.model_input_cols) if args.model_input_cols else None,
         query_name=args.query_name,
     ).validate()
 

@@ -53,16 +53,17 @@ def decode_payload(value: Column | str, schema: T.StructType = KAFKA_PAYLOAD) ->
     return F.coalesce(parsed.getField("text"), raw)
 
 
-def decode_kafka_frame(df: DataFrame, keep_label: bool = False) -> DataFrame:
+def decode_kafka_frame(df: DataFrame, keep_label: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Kafka rows (``value`` binary, ``timestamp``) to ``text, kafka_ts``
-    (and ``label`` from the JSON when asked); each message is parsed once."""
+    (and ``label`` from the JSON when asked, and the frame's own columns named
+    in ``keep``); each message is parsed once."""
     raw = F.col("value").cast("string")
     schema = KAFKA_PAYLOAD
     if keep_label:
         schema = T.StructType(KAFKA_PAYLOAD.fields + [T.StructField("label", T.IntegerType(), True)])
-    parsed = df.select(raw.alias("raw"), F.from_json(raw, schema).alias("m"),
+    parsed = df.select(*[F.col(c) for c in keep], raw.alias("raw"), F.from_json(raw, schema).alias("m"),
                        F.col("timestamp").alias("kafka_ts"))
-    cols = [F.coalesce(F.col("m.text"), F.col("raw")).alias("text"), "kafka_ts"]
+    cols = [*keep, F.coalesce(F.col("m.text"), F.col("raw")).alias("text"), "kafka_ts"]
     if keep_label:
         cols.append(F.col("m.label").alias("label"))
     return parsed.select(*cols)

@@ -26,8 +26,10 @@ def confusion_row(
     prediction_col: str = "prediction",
     labels: tuple[int, ...] = LABELS,
 ) -> DataFrame:
-    """One row with ``c_<actual>_<predicted>`` counts over ``labels``.
-    Rows with a null label or prediction are not counted."""
+    """One row with ``c_<actual>_<predicted>`` counts over ``labels``, and over all
+    rows ``c_total`` and ``c_right`` (label equals prediction, any label): rows
+    outside ``labels`` stay in the denominators. Rows with a null label or
+    prediction are only counted as ``c_null``."""
     label = F.col(label_col).cast("double")
     pred = F.col(prediction_col).cast("double")
     return df.agg(
@@ -35,7 +37,10 @@ def confusion_row(
             F.count_if((label == F.lit(float(a))) & (pred == F.lit(float(p)))).alias(_cell(a, p))
             for a in labels
             for p in labels
-        ]
+        ],
+        F.count_if(label.isNotNull() & pred.isNotNull()).alias("c_total"),
+        F.count_if(label == pred).alias("c_right"),
+        F.count_if(label.isNull() | pred.isNull()).alias("c_null"),
     )
 
 
@@ -48,7 +53,7 @@ def _predicted(p: int, labels) -> Column:
 
 
 def _total(labels) -> Column:
-    return sum((F.col(_cell(a, p)) for a in labels for p in labels), F.lit(0))
+    return F.col("c_total")
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -100,9 +105,8 @@ def weighted_metrics(row: DataFrame, labels: tuple[int, ...] = LABELS) -> DataFr
     def weighted(metric) -> Column:
         return _ratio(sum((metric(c, labels) * _support(c, labels) for c in labels), F.lit(0.0)), total)
 
-    correct = sum((F.col(_cell(c, c)) for c in labels), F.lit(0))
     return row.select(
-        _ratio(correct, total).alias("accuracy"),
+        _ratio(F.col("c_right"), total).alias("accuracy"),
         weighted(_precision).alias("weighted_precision"),
         weighted(_recall).alias("weighted_recall"),
         weighted(_f1).alias("weighted_f1"),
@@ -115,14 +119,14 @@ def binary_counts(row: DataFrame) -> DataFrame:
     tn, fp, fn, tp = (F.col(_cell(0, 0)), F.col(_cell(0, 1)), F.col(_cell(1, 0)), F.col(_cell(1, 1)))
     return row.select(
         tn.alias("tn"), fp.alias("fp"), fn.alias("fn"), tp.alias("tp"),
-        _ratio(tn + tp, tn + fp + fn + tp).alias("accuracy"),
+        _ratio(F.col("c_right"), F.col("c_total")).alias("accuracy"),
     )
 
 
 def metric_values(row: DataFrame, labels: tuple[int, ...] = LABELS) -> dict:
     """All count-based metrics of a collected confusion row, as a dict."""
     r = row.first().asDict()
-    total = sum(r[_cell(a, p)] for a in labels for p in labels)
+    total = r["c_total"]
     out: dict = {}
 
     def ratio(n, d):
@@ -138,10 +142,11 @@ def metric_values(row: DataFrame, labels: tuple[int, ...] = LABELS) -> dict:
         out[f"precision_{c}"], out[f"recall_{c}"], out[f"f1_{c}"] = prec, rec, f1
         for name, value in (("precision", prec), ("recall", rec), ("f1", f1)):
             weighted[name] += value * support
-    out["accuracy"] = ratio(sum(r[_cell(c, c)] for c in labels), total)
+    out["accuracy"] = ratio(r["c_right"], total)
     for name, value in weighted.items():
         out[f"weighted_{name}"] = ratio(value, total)
     if tuple(labels) == (0, 1):
         out.update(tn=r["c_0_0"], fp=r["c_0_1"], fn=r["c_1_0"], tp=r["c_1_1"])
-    out["n_rows"] = total
+    out["n_rows"], out["n_null"] = total, r["c_null"]
+    out["n_other"] = total - sum(r[_cell(a, p)] for a in labels for p in labels)
     return out

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,8 +63,15 @@ def hashed_features(docs: DataFrame, num_features: int = 1 << 15, min_doc_freq:
 
 
 def vector_total(col: str):
-    """Sum of a vector column's values (JVM-side, no Python)."""
-    return F.aggregate(vector_to_array(F.col(col)), F.lit(0.0), lambda acc, x: acc + x)
+    """Sum of a vector column's stored values: of a sparse vector the non-zero
+    ones, never its dense form (JVM-side, no Python)."""
+    return F.aggregate(F.unwrap_udt(F.col(col))["values"], F.lit(0.0), lambda acc, x: acc + x)
+
+
+def vector_entries(col: str):
+    """``(index, value)`` structs of a sparse vector column's stored entries."""
+    inner = F.unwrap_udt(F.col(col))
+    return F.arrays_zip(inner["indices"].alias("index"), inner["values"].alias("value"))
 
 
 # --------------------------------------------------------------------------

@@ -6,27 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Re-balance an input read from a few files before tokenising or scoring.
-
-    A few unsplittable or single-row-group files (one Parquet row group, a
-    multi-line or compressed CSV) give only a few busy tasks however many
-    cores there are; then -- and only then -- rows are spread round-robin over
-    ``min_partitions`` (default: the cluster's default parallelism). The test
-    is the number of input files, read from the plan without running it (an
-    adaptive plan's RDD would execute its shuffles just to be counted); a
-    large table stored as many files is returned unchanged, so no shuffle is
-    added at scale. Frames with no file input (e.g. Kafka batches) are left
-    as they are.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 -- no context (Spark Connect)
-        return df
-    files = len(df.inputFiles())
-    if files == 0 or files >= target:
-        return df
-    return df.repartition(target)
+SPREAD_CONF = "spark.textflow.spreadPartitions"
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows dealt round-robin over ``partitions`` tasks before CPU-heavy work.
+
+    Off unless a number is given here or in the session setting
+    ``spark.textflow.spreadPartitions``: the shuffle of raw text pays only where
+    an input is a few unsplittable files (a small benchmark table, one
+    compressed CSV). Many files, or splittable ones, are read in parallel as
+    they are."""
+    partitions = partitions or int(df.sparkSession.conf.get(SPREAD_CONF, "0"))
+    return df.repartition(partitions) if partitions > 0 else df
 
 
 class persisted:
@@ -56,12 +48,7 @@ class persisted:
         return False
 
 
-# Rows a single task may merge for a top-k report before a threshold pass is used.
-TOP_K_MERGE_ROWS = 1_000_000
-
-
-def top_k(df: DataFrame, k: int, value_col: str, *tie_cols: str,
-          merge_rows: int = TOP_K_MERGE_ROWS) -> DataFrame:
+def top_k(df: DataFrame, k: int, value_col: str, *tie_cols: str) -> DataFrame:
     """The ``k`` rows with the largest ``value_col`` (ties by ``tie_cols``),
     exact, with a bounded final merge.
 
@@ -71,16 +58,8 @@ def top_k(df: DataFrame, k: int, value_col: str, *tie_cols: str,
     so at least k rows pass ``value >= threshold`` and the true top k are
     among them; only partitions whose maximum reaches the threshold (about k
     of them) send rows to the final merge. With fewer than k partitions there
-    is no threshold. Both passes run in one query and share its shuffles.
-    When ``shuffle partitions * k`` is at most ``merge_rows`` the plain top-k
-    merge is already small and the threshold pass is skipped."""
+    is no threshold. Both passes run in one query and share its shuffles."""
     order = [F.desc(value_col), *[F.asc(c) for c in tie_cols]]
-    # the input of a report comes out of a shuffle: its planned width is the
-    # shuffle partition count (read from the conf -- counting the partitions of
-    # an adaptive plan would execute it)
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    if partitions * k <= merge_rows:
-        return df.orderBy(*order).limit(k)
     maxima = df.groupBy(F.spark_partition_id().alias("part")).agg(F.max(value_col).alias("m"))
     best = maxima.orderBy(F.desc("m")).limit(k)
     threshold = best.select(F.when(F.count(F.lit(1)) >= F.lit(k), F.min("m"))).scalar()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +15,12 @@ def predictions_by_date(spark: SparkSession, path: str, since: str | None = None
     return read_predictions(spark, path, since=since).groupBy("date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def output_files(spark: SparkSession, path: str, pattern: str = "part-*") -> DataFrame:
+def output_files(spark: SparkSession, path: str | list[str], pattern: str = "part-*") -> DataFrame:
     """Files under ``path`` (recursively) as ``path, modified, size`` rows.
 
     A ``binaryFile`` scan that never selects ``content`` lists files without
-    reading them, and the listing itself is a distributed DataFrame."""
+    reading them; the driver holds the listing, so give it the folders of
+    interest, not a whole table."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -27,9 +30,35 @@ def output_files(spark: SparkSession, path: str, pattern: str = "part-*") -> Dat
     )
 
 
+def date_folders(spark: SparkSession, path: str) -> list[str]:
+    """The ``date=...`` folders of a prediction table, newest first (one listing of
+    the table's top level)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    found = [s.getPath().toString() for s in root.getFileSystem(conf).listStatus(root)]
+    return sorted((f for f in found if f.rsplit("/", 1)[-1].startswith("date=")), reverse=True)
+
+
 def recent_files(spark: SparkSession, path: str, n: int = 5, within_hours: float | None = None) -> DataFrame:
-    """The ``n`` newest output files, optionally only those of the last hours."""
-    files = output_files(spark, path)
+    """The ``n`` newest output files, optionally only those of the last hours.
+
+    Only the newest date folders are listed: as many as hold ``n`` files (a file
+    is written on its own date or later, so older dates hold older output but
+    for replays), and within a time window none from before it."""
+    folders = date_folders(spark, path)
+    if within_hours is not None:
+        now = _dt.datetime.now(_dt.timezone.utc)
+        oldest = (now - _dt.timedelta(hours=max(0.0, within_hours), days=1)).strftime("%Y-%m-%d")
+        window = [f for f in folders if f.rsplit("=", 1)[-1] >= oldest]
+        folders = window or folders[:1]
+    wanted: list[str] = []
+    for folder in folders:
+        wanted.append(folder)
+        if within_hours is None and output_files(spark, wanted).limit(n).count() >= n:
+            break
+    if not wanted:
+        return spark.createDataFrame([], "path string, modified timestamp, size long")
+    files = output_files(spark, wanted)
     if within_hours is not None:
         cutoff = F.current_timestamp() - F.make_interval(secs=F.lit(float(within_hours * 3600)))
         files = files.where(F.col("modified") >= cutoff)

@@ -68,23 +68,28 @@ def cap_rows(df: DataFrame, max_rows: int, key: str | None = None) -> DataFrame:
 
     Without ``key`` this is ``limit`` (any rows, stops reading early). With
     ``key`` the kept rows are deterministic: the first ``max_rows`` in
-    ``(keyed bucket, key)`` order. A plain ``orderBy(key).limit(n)`` would
-    send up to ``n`` rows from *every* partition into one task; instead a
-    histogram of the 10,000 key buckets (one small partial aggregate) finds
-    the bucket where the running count reaches ``max_rows``, rows beyond it
-    are filtered out where they are read, and the top-k runs only over the
-    survivors (about ``max_rows`` plus one bucket)."""
+    ``(keyed bucket, key)`` order, found without sorting the rows. A histogram
+    of the 10,000 key buckets (one small partial aggregate) gives the bucket
+    where the running count reaches ``max_rows``; of that bucket alone (a ten
+    thousandth of the table) the keys are ranked to find the last one kept.
+    The rows are then filtered where they are read, in as many tasks as the
+    scan has. Rows that share the last key are kept together."""
     if max_rows <= 0:
         return df
     if key is None:
         return df.limit(max_rows)
     bucket = keyed_bucket(key, salt="cap")
     hist = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    running = hist.select("b", F.sum("n").over(Window.orderBy("b")).alias("upto"))
-    # a scalar subquery: planned with the capped query, no eager job
-    cut = running.where(F.col("upto") >= F.lit(max_rows)).select(F.min("b")).scalar()
-    kept = df.where(cut.isNull() | (bucket <= cut))
-    return kept.orderBy(bucket, F.col(key)).limit(max_rows)
+    upto = F.sum("n").over(Window.orderBy("b"))
+    edge = (hist.select("b", (F.lit(max_rows) - (upto - F.col("n"))).alias("need"), upto.alias("upto"))
+            .where(F.col("upto") >= F.lit(max_rows)))
+    # scalar subqueries: planned with the capped query, no eager job
+    cut = edge.select(F.min("b")).scalar()
+    need = edge.select(F.min_by("need", "b")).scalar()
+    keys = df.select(bucket.alias("b"), F.col(key).alias("k")).where(F.col("b") == cut)
+    last = (keys.select("k", F.row_number().over(Window.orderBy("k")).alias("place"))
+            .where(F.col("place") == need).select(F.max("k")).scalar())
+    return df.where(cut.isNull() | (bucket < cut) | ((bucket == cut) & (F.col(key) <= last)))
 
 
 def ensure_text_column(df: DataFrame, col: str = "text") -> DataFrame:

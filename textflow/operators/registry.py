@@ -128,7 +128,9 @@ class Registry:
         schema = TABLES[name]
         try:
             return self.spark.read.schema(schema).parquet(self.path(name))
-        except AnalysisException:
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":   # only a missing table is an empty one
+                raise
             return self.spark.createDataFrame([], schema)
 
     def append(self, name: str, df: DataFrame) -> None:
@@ -174,12 +176,24 @@ class Registry:
         pending = [int(r[1]) for r in (self._buffer or {}).get("model_versions", []) if r[0] == name]
         return max([stored] + pending) + 1
 
+    def _claim(self, name: str, version: int) -> int:
+        """The first free number from ``version`` on: a claim file that could be
+        created belongs to this caller alone, also when two trainings that read
+        the same newest version register at once."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        while True:
+            claim = jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{name}/{version}")
+            if claim.getFileSystem(conf).createNewFile(claim):
+                return version
+            version += 1
+
     def register_model(self, name: str, model: PipelineModel, run_id: str | None = None,
                        stage: str | None = None) -> tuple[str, str]:
-        """Save ``model`` under ``<root>/models/<name>/<version>`` and record it."""
-        version = str(self.next_version(name))
+        """Save ``model`` under ``<root>/models/<name>/<version>`` and record it.
+        The version is claimed first, and a saved model is never overwritten."""
+        version = str(self._claim(name, self.next_version(name)))
         uri = f"{self.root}/models/{name}/{version}"
-        model.write().overwrite().save(uri)
+        model.write().save(uri)
         self._append_rows("model_versions", [(name, version, stage, uri, run_id, _now())])
         return version, uri
 

@@ -292,6 +292,10 @@ class Trainer:
             missing.append(f"{cfg.key_col} (key for keyed splits; or use split_mode='random')")
         if missing:
             raise ValueError(f"training input lacks columns: {', '.join(missing)}")
+        # rows that cannot be trained on are counted: the profile's total has them
+        dropped = labelled.agg(F.count_if(F.col("label").isNull()).alias("null_label_rows"),
+                               F.count_if(F.col("text").isNull() & F.col("label").isNotNull()).alias("null_text_rows")
+                               ).first().asDict()
         data = labelled.where(F.col("label").isNotNull() & F.col("text").isNotNull())
         data = sample_rows(data, cfg.sample_fraction, cfg.seed,
                            key=cfg.key_col if cfg.split_mode == "keyed" else None)
@@ -320,6 +324,7 @@ class Trainer:
                 sizes, profile = _split_profile(hashed, eval_name)
             else:
                 sizes, profile = _split_profile_frames(data, train_feat, eval_feat)
+            profile |= dropped
             needs_cv = cfg.enable_cv and any(s.tune and s.grid for s in self.specs)
             folds = self._folds(hashed_train) if needs_cv else []
             if not needs_cv:
@@ -382,6 +387,10 @@ def record_outcome(outcome: TrainingOutcome, registry, cfg: TrainConfig, prefix:
         return _record(outcome, registry, cfg, prefix, experiment)
 
 
+# Fixed values (the run record's contract): profile figures logged as metrics.
+PROFILE_KEYS = ("pos_count", "neg_count", "total_rows", "null_label_rows", "null_text_rows")
+
+
 def _record(outcome: TrainingOutcome, registry, cfg: TrainConfig, prefix: str, experiment: str) -> dict:
     parent = registry.start_run("multi_model_experiment", experiment)
     registry.log_params(parent, {
@@ -390,7 +399,7 @@ def _record(outcome: TrainingOutcome, registry, cfg: TrainConfig, prefix: str, e
         "enable_cv": cfg.enable_cv, "sample_fraction": cfg.sample_fraction,
         "split_mode": cfg.split_mode, "select_on": cfg.select_on,
     })
-    registry.log_metrics(parent, {k: outcome.profile[k] for k in ("pos_count", "neg_count", "total_rows")})
+    registry.log_metrics(parent, {k: outcome.profile[k] for k in PROFILE_KEYS})
     versions = {}
     for r in outcome.results:
         run_id = registry.start_run(r.name, experiment, parent_run_id=parent, position=r.position)

@@ -51,7 +51,9 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pseudo_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """``runs``, ``run_params``, ``run_metrics``, ``model_versions`` frames."""
-    summary = run_summary(spark, sf_dir)
+    path = scratch_path(spark, "run-summary")   # derived once, read by three tables
+    run_summary(spark, sf_dir).write.parquet(path)
+    summary = spark.read.parquet(path)
     runs = summary.select(
         "run_id", F.lit(None).cast("string").alias("parent_run_id"), F.col("lang").alias("experiment"),
         F.col("source").alias("run_name"), "position", F.lit(None).cast("timestamp").alias("started_at"),

@@ -17,22 +17,43 @@ from textflow.plans.catalog import plan, r6, table
 from textflow.plans.text_plans import labelled_text
 from textflow.session import scratch_path
 from textflow.sources.predictions import read_json_predictions, read_predictions
-from textflow.streaming.scorers import PythonModelScorer, TextLengthModel
-from textflow.streaming.serving import ServingConfig, read_batch_metrics, start_serving
+from textflow.streaming.scorers import (
+    NearestCentroidModel,
+    PythonModelScorer,
+    load_scorer,
+    save_python_model,
+)
+from textflow.streaming.serving import (
+    KNOWN_COLUMNS,
+    ServingConfig,
+    read_batch_metrics,
+    start_serving,
+    utc_date,
+)
 from textflow.streaming.sinks import write_predictions
 
-MIN_CHARS = 2000          # rule model threshold (test value)
-RULE_VERSION = "rule-1"
+MODEL_VERSION = "centroid-1"
 FILES_PER_TRIGGER = 10    # the reference's deployed setting
 # Input files of the stream plans (test value): with 10 files per trigger a
 # micro-batch holds at most 1M rows, about 10^4 batches for 10^10 documents.
 ROWS_PER_INPUT_FILE = 100_000
 
-RULE_SQL = f"""
-SELECT doc_id, CAST(CASE WHEN length(text) >= {MIN_CHARS} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction,
-       '{RULE_VERSION}' AS model_version
-FROM documents
+# The nearest-centroid model on two features: class means, then the nearer one.
+CENTROID_SQL = """
+SELECT l.quality AS c, avg(length(d.text)) AS m1, avg(d.n_chars) AS m2
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY l.quality
+"""
+PREDICT_SQL = f"""
+SELECT d.doc_id, CAST(arg_min(c, pow(length(d.text) - m1, 2) + pow(d.n_chars - m2, 2)) AS DOUBLE) AS prediction
+FROM documents d, ({CENTROID_SQL}) WHERE d.text IS NOT NULL GROUP BY d.doc_id
 """
+RULE_SQL = f"SELECT doc_id, prediction, '{MODEL_VERSION}' AS model_version FROM ({PREDICT_SQL})"
+
+
+def centroid_scorer(spark: SparkSession, sf_dir: str) -> PythonModelScorer:
+    """A Python model fitted on the labelled documents; it sees all columns."""
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    return PythonModelScorer(NearestCentroidModel.fit(rows, ("text_chars", "n_chars"), "quality"))
 
 
 def drop_files(df: DataFrame, name: str) -> str:
@@ -65,9 +86,9 @@ def _rule_config(spark: SparkSession, input_path: str, schema: str) -> ServingCo
 
 
 def rule_serving_run(spark: SparkSession, sf_dir: str) -> ServingConfig:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cfg = _rule_config(spark, drop_files(docs, "stream-in"), "doc_id BIGINT, text STRING")
-    run_stream(spark, cfg, scorer=PythonModelScorer(TextLengthModel(MIN_CHARS)), scorer_version=RULE_VERSION)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    cfg = _rule_config(spark, drop_files(docs, "stream-in"), "doc_id BIGINT, text STRING, n_chars BIGINT")
+    run_stream(spark, cfg, scorer=centroid_scorer(spark, sf_dir), scorer_version=MODEL_VERSION)
     return cfg
 
 
@@ -90,9 +111,69 @@ def q_stream_json_readback(spark, sf_dir):
 @plan("udf_score", RULE_SQL)
 def q_udf_score(spark, sf_dir):
     """Batch scoring with the Python model through the Arrow pandas UDF."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    scored = PythonModelScorer(TextLengthModel(MIN_CHARS)).score(docs)
-    return scored.select("doc_id", "prediction", F.lit(RULE_VERSION).alias("model_version"))
+    scored = centroid_scorer(spark, sf_dir).score(spread(table(spark, sf_dir, "documents")))
+    return scored.select("doc_id", "prediction", F.lit(MODEL_VERSION).alias("model_version"))
+
+
+@plan("saved_python_model", RULE_SQL)
+def q_saved_python_model(spark, sf_dir):
+    """The model flavor switch: the Python model saved, loaded as flavor
+    ``python`` with named input columns, and applied."""
+    path = scratch_path(spark, "python-model")
+    save_python_model(spark, centroid_scorer(spark, sf_dir).model, path)
+    scorer = load_scorer(spark, path, "python", ("n_chars", "text"))
+    scored = scorer.score(spread(table(spark, sf_dir, "documents")))
+    return scored.select("doc_id", "prediction", F.lit(MODEL_VERSION).alias("model_version"))
+
+
+@plan(
+    "stream_null_text",
+    f"""
+    SELECT d.doc_id, CASE WHEN d.doc_id % 3 = 0 THEN NULL ELSE p.prediction END AS prediction,
+           (SELECT count(*) FROM documents WHERE doc_id % 3 = 0) AS null_text_rows
+    FROM documents d JOIN ({PREDICT_SQL}) p ON d.doc_id = p.doc_id
+    """,
+)
+def q_stream_null_text(spark, sf_dir):
+    """A stream in which every third text is null: those rows are written with a
+    null prediction and counted, the others are scored."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("text")).alias("text"), "n_chars")
+    cfg = _rule_config(spark, drop_files(docs, "stream-null"), "doc_id BIGINT, text STRING, n_chars BIGINT")
+    run_stream(spark, cfg, scorer=centroid_scorer(spark, sf_dir), scorer_version=MODEL_VERSION)
+    nulls = read_batch_metrics(spark, cfg.metrics_path).agg(F.sum("null_text_rows")).scalar()
+    return read_predictions(spark, cfg.output_path).select("doc_id", "prediction", nulls.alias("null_text_rows"))
+
+
+@plan(
+    "stream_ingest_columns",
+    """
+    SELECT doc_id, 'ingest_time,prediction,text' AS known, TRUE AS dated FROM documents
+    """,
+)
+def q_stream_ingest_columns(spark, sf_dir):
+    """Output columns of a stream: the known ones present, the ingest time, and
+    the UTC date that follows from it."""
+    cfg = rule_serving_run(spark, sf_dir)
+    out = read_predictions(spark, cfg.output_path)
+    known = ",".join(sorted(c for c in out.columns if c in KNOWN_COLUMNS))
+    dated = F.col("ingest_time").isNotNull() & (F.col("date").cast("string") == utc_date("ingest_time"))
+    return out.select("doc_id", F.lit(known).alias("known"), dated.alias("dated"))
+
+
+@plan("stream_restart", f"SELECT doc_id, prediction, 1 AS n_rows FROM ({PREDICT_SQL})")
+def q_stream_restart(spark, sf_dir):
+    """The stream stopped after half of its input and started again from its
+    checkpoint: every document is written once."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    path = scratch_path(spark, "stream-restart")
+    cfg = _rule_config(spark, path, "doc_id BIGINT, text STRING, n_chars BIGINT")
+    for half in (0, 1):
+        docs.where(F.pmod(F.col("doc_id"), F.lit(2)) == half).write.mode("append").option(
+            "maxRecordsPerFile", ROWS_PER_INPUT_FILE).json(path)
+        run_stream(spark, cfg, scorer=centroid_scorer(spark, sf_dir), scorer_version=MODEL_VERSION)
+    return read_predictions(spark, cfg.output_path).groupBy("doc_id").agg(
+        F.max("prediction").alias("prediction"), F.count(F.lit(1)).cast("int").alias("n_rows"))
 
 
 @plan(
@@ -104,9 +185,10 @@ def q_udf_score(spark, sf_dir):
 )
 def q_batch_metrics(spark, sf_dir):
     """Per-batch row counts of a labelled stream, summed over the batches."""
-    labelled = labelled_text(spark, sf_dir).select("doc_id", "text", "label")
-    cfg = _rule_config(spark, drop_files(labelled, "stream-labelled"), "doc_id BIGINT, text STRING, label INT")
-    run_stream(spark, cfg, scorer=PythonModelScorer(TextLengthModel(MIN_CHARS)), scorer_version=RULE_VERSION)
+    labelled = labelled_text(spark, sf_dir).select("doc_id", "text", "label", F.length("text").alias("n_chars"))
+    cfg = _rule_config(spark, drop_files(labelled, "stream-labelled"),
+                       "doc_id BIGINT, text STRING, label INT, n_chars BIGINT")
+    run_stream(spark, cfg, scorer=centroid_scorer(spark, sf_dir), scorer_version=MODEL_VERSION)
     metrics = read_batch_metrics(spark, cfg.metrics_path)
     return metrics.agg(F.sum("batch_rows").alias("total_batch_rows"),
                        F.sum("written_rows").alias("total_written_rows"))
@@ -202,3 +284,17 @@ def q_predictions_one_date(spark, sf_dir):
 def q_recent_outputs(spark, sf_dir):
     """The five newest part-files of the prediction table."""
     return monitor.recent_files(spark, _events_as_predictions(spark, sf_dir), n=5)
+
+
+@plan("recent_outputs_24h", "SELECT TRUE AS within_24h, count(*) > 0 AS any_file FROM events")
+def q_recent_outputs_24h(spark, sf_dir):
+    """Whether output files were written within 24 hours (today's table of
+    scored events), and all of those found are that new."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id", F.col("value").alias("prediction"), F.date_format(F.current_date(), "yyyy-MM-dd").alias("date"),
+        F.lit("events").alias("query_id"), F.lit(0).cast("bigint").alias("batch_id"))
+    path = scratch_path(spark, "todays-predictions")
+    write_predictions(events, path)
+    recent = monitor.recent_files(spark, path, n=1000, within_hours=24)
+    new = F.col("modified") >= F.current_timestamp() - F.expr("INTERVAL 24 HOURS")
+    return recent.agg(F.bool_and(new).alias("within_24h"), (F.count(F.lit(1)) > 0).alias("any_file"))

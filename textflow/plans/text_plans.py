@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textflow.functions.keyed import keyed_bucket_sql
-from textflow.functions.payload import TRUE_FLAGS, decode_payload, flag_column, pack_json
+from textflow.functions.payload import TRUE_FLAGS, decode_kafka_frame, flag_column, pack_json
 from textflow.functions.text import (
     default_stop_words,
     remove_stop_words,
@@ -22,15 +22,16 @@ from textflow.operators.profile import profile_labelled
 from textflow.operators.splits import split_sizes, with_folds, with_split
 from textflow.plans.catalog import plan, r6, table
 from textflow.session import scratch_path
-from textflow.sources.corpus import read_labelled_csv, write_raw_corpus
+from textflow.sources.corpus import corrupt_rows, read_labelled_csv, write_raw_corpus
 
-STOP_SQL = sql_string_list(default_stop_words())
+STOP_SQL = sql_string_list(default_stop_words())  # fixed text: no session needed
 TOKENS_SQL = tokenize_sql("text")
 FILTERED_SQL = f"list_filter({TOKENS_SQL}, lambda t: NOT list_contains([{STOP_SQL}], lower(t)))"
 
 # Test values of the plans (not reference values).
 SAMPLE_FRACTION = 0.3
 ROW_CAP = 50000
+SMALL_CAP = 100
 CV_FOLDS = 2
 MIN_DOC_FREQ = 5
 TOP_K = 100
@@ -80,6 +81,24 @@ def q_labelled_csv_scan(spark, sf_dir):
     return trim_text(df).withColumnRenamed("id", "doc_id")
 
 
+@plan(
+    "csv_corrupt_rows",
+    """
+    SELECT count(*) + count(*) FILTER (WHERE d.doc_id % 7 = 0) AS total_rows,
+           count(*) FILTER (WHERE d.doc_id % 7 = 0) AS corrupt_rows
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+    """,
+)
+def q_csv_corrupt_rows(spark, sf_dir):
+    """The corpus as CSV with a ragged line for every seventh document, counted."""
+    path = scratch_path(spark, "ragged-csv")
+    raw = raw_corpus(spark, sf_dir).withColumn("text", F.translate("text", "\n", " "))
+    write_raw_corpus(raw, path)
+    cut = F.when(F.col("id") % 2 == 0, F.lit("4,x")).otherwise(F.lit("0,1,d,q,u,text,one,more"))
+    raw.where(F.col("id").cast("long") % 7 == 0).select(cut.alias("value")).write.mode("append").text(path)
+    return corrupt_rows(spark, path)
+
+
 @plan(
     "input_profile",
     f"""
@@ -154,14 +173,13 @@ def q_row_cap(spark, sf_dir):
     "row_cap_small",
     f"""
     SELECT doc_id, lang, n_chars FROM documents
-    ORDER BY {keyed_bucket_sql('doc_id', 'cap')}, doc_id
-    LIMIT (SELECT count(*) // 10 FROM documents)
+    ORDER BY {keyed_bucket_sql('doc_id', 'cap')}, doc_id LIMIT {SMALL_CAP}
     """,
 )
 def q_row_cap_small(spark, sf_dir):
-    """A cap below the table size (a tenth of the rows), so rows are dropped."""
+    """A cap below the size of any test table, so rows are dropped."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    return cap_rows(docs, docs.count() // 10, key="doc_id")
+    return cap_rows(docs, SMALL_CAP, key="doc_id")
 
 
 @plan(
@@ -295,8 +313,9 @@ def kafka_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def q_kafka_decode(spark, sf_dir):
+    # the function the Kafka stream uses, with the id carried as the message key
     msgs = kafka_messages(spark, sf_dir)
-    return msgs.select("doc_id", decode_payload("value").alias("text"))
+    return decode_kafka_frame(msgs, keep=("doc_id",)).select("doc_id", "text")
 
 
 @plan(

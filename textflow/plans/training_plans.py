@@ -15,6 +15,7 @@ from textflow.operators.training import (
     Trainer,
     default_model_specs,
 )
+from textflow.functions.keyed import keyed_bucket_sql
 from textflow.plans.catalog import plan, r6
 from textflow.plans.text_plans import labelled_text
 from textflow.session import scratch_path
@@ -49,6 +50,27 @@ def q_train_compare(spark, sf_dir):
     return _frame(spark, outcome)
 
 
+@plan(
+    "train_params",
+    f"""
+    SELECT model, position, params, TRUE AS timed,
+           (SELECT count(*) FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+            WHERE {keyed_bucket_sql('d.doc_id')} >= 9000) AS n_test
+    FROM (VALUES ('LogisticRegression', 0, 'elasticNetParam=0.0 maxIter=20 regParam=0.1'),
+                 ('RandomForest', 1, 'maxBins=32 maxDepth=5 numTrees=10'),
+                 ('LinearSVC', 2, 'maxIter=30 regParam=0.1')) AS t(model, position, params)
+    """,
+)
+def q_train_params(spark, sf_dir):
+    """Effective parameters, training time and test rows of the three models."""
+    outcome = Trainer(_config(parallelism=3)).fit(labelled_text(spark, sf_dir))
+    shown = {"LogisticRegression": ("elasticNetParam", "maxIter", "regParam"),
+             "RandomForest": ("maxBins", "maxDepth", "numTrees"), "LinearSVC": ("maxIter", "regParam")}
+    rows = [(r.name, r.position, " ".join(f"{p}={r.params[p]}" for p in shown[r.name]), r.training_seconds > 0,
+             int(r.metrics["n_rows"])) for r in outcome.results]
+    return spark.createDataFrame(rows, "model string, position int, params string, timed boolean, n_test long")
+
+
 @plan("tuned_grid")
 def q_tuned_grid(spark, sf_dir):
     """Cross-validated grids (LR, RF; LinearSVC tuning off by default), the

@@ -81,6 +81,7 @@ BATCH_METRICS = T.StructType(
         T.StructField("model_version", T.StringType(), True),
         T.StructField("batch_rows", T.LongType(), True),
         T.StructField("written_rows", T.LongType(), True),
+        T.StructField("null_text_rows", T.LongType(), True),
         T.StructField("batch_auc", T.DoubleType(), True),
         T.StructField("elapsed_seconds", T.DoubleType(), True),
     ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textflow.operators.prep import labelled_from_raw
 from textflow.schemas import RAW_CORPUS
@@ -46,6 +47,23 @@ def read_labelled_csv(
     return labelled_from_raw(raw, positive=positive, keep=keep)
 
 
+def corrupt_rows(spark: SparkSession, path: str, multi_line: bool = False, escape: str = '"') -> DataFrame:
+    """One row ``(total_rows, corrupt_rows)`` of a corpus file: records with fewer
+    or more fields than six, or fields of the wrong type, count as corrupt. The
+    reader itself keeps such records with nulls in place of what is missing, so
+    the profile should show this figure beside the null counts.
+
+    Every column is read (a pruned scan cannot tell a ragged record)."""
+    names = [f.name for f in RAW_CORPUS.fields]
+    schema = T.StructType([*RAW_CORPUS.fields, T.StructField("_corrupt", T.StringType(), True)])
+    raw = (spark.read.schema(schema).option("header", "false").option("escape", escape).option("quote", '"')
+           .option("multiLine", str(multi_line).lower()).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt").csv(path))
+    whole = F.pmod(F.xxhash64(*names), F.lit(2)) >= 0   # always true, and needs all columns
+    return raw.agg(F.count_if(whole).alias("total_rows"),
+                   F.count_if(whole & F.col("_corrupt").isNotNull()).alias("corrupt_rows"))
+
+
 def check_arity(spark: SparkSession, path: str, expected: int = 6, multi_line: bool = False) -> None:
     """Fail early when the file has fewer columns than the corpus needs.
 

@@ -36,9 +36,11 @@ class PythonModelScorer:
 
     flavor = "python"
 
-    def __init__(self, model, input_cols: tuple[str, ...] = ("text",)):
+    def __init__(self, model, input_cols: tuple[str, ...] | None = None):
+        """``input_cols``: what the model sees; by default every column of the
+        frame but the ingest time."""
         self.model = model
-        self.input_cols = tuple(input_cols)
+        self.input_cols = None if input_cols is None else tuple(input_cols)
         self._broadcast = None
 
     def score(self, df: DataFrame) -> DataFrame:
@@ -46,7 +48,8 @@ class PythonModelScorer:
         # workers started elsewhere cannot import
         if self._broadcast is None:
             self._broadcast = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(self.model))
-        shared, cols = self._broadcast, self.input_cols
+        shared = self._broadcast
+        cols = self.input_cols or tuple(c for c in df.columns if c != "ingest_time")
 
         @F.pandas_udf("double")
         def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
@@ -75,6 +78,34 @@ class TextLengthModel:
         return (lengths >= self.min_chars).astype("float64").where(lengths.notna(), None)
 
 
+class NearestCentroidModel:
+    """A fitted Python model: the class whose mean over ``features`` (numeric
+    columns, or the characters of ``text`` under the name ``text_chars``) is
+    nearest. Ties go to the smaller class."""
+
+    def __init__(self, features: tuple[str, ...], centroids: dict[float, tuple[float, ...]]):
+        self.features, self.centroids = tuple(features), dict(centroids)
+
+    @classmethod
+    def fit(cls, df: DataFrame, features: tuple[str, ...], label_col: str = "label") -> "NearestCentroidModel":
+        """Class means as one Spark aggregation; a row for each class comes back."""
+        value = {f: F.char_length("text") if f == "text_chars" else F.col(f) for f in features}
+        rows = (df.where(F.col(label_col).isNotNull()).groupBy(F.col(label_col).cast("double").alias("c"))
+                .agg(*[F.avg(value[f]).alias(f) for f in features]).collect())
+        return cls(features, {r["c"]: tuple(float(r[f]) for f in features) for r in rows})
+
+    def predict(self, pdf: pd.DataFrame):
+        chars = pdf["text"].str.len() if "text_chars" in self.features else None
+        columns = [chars if f == "text_chars" else pdf[f] for f in self.features]
+        best = pd.Series(float("inf"), index=pdf.index)
+        out = pd.Series(float("nan"), index=pdf.index)
+        for c in sorted(self.centroids):
+            distance = sum((col.astype("float64") - m) ** 2 for col, m in zip(columns, self.centroids[c]))
+            nearer = distance < best
+            best, out = best.where(~nearer, distance), out.where(~nearer, c)
+        return out
+
+
 def save_python_model(spark: SparkSession, model, uri: str) -> None:
     """Store a picklable Python model as one binary file under ``uri``."""
     payload = cloudpickle.dumps(model)
@@ -88,7 +119,7 @@ def load_python_model(spark: SparkSession, uri: str):
     return pickle.loads(bytes(row["content"]))
 
 
-def load_scorer(spark: SparkSession, uri: str, flavor: str = "spark", input_cols=("text",)):
+def load_scorer(spark: SparkSession, uri: str, flavor: str = "spark", input_cols=None):
     if flavor == "spark":
         return SparkModelScorer(PipelineModel.load(uri))
     if flavor == "python":

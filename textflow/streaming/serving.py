@@ -8,7 +8,9 @@ Per batch (``foreachBatch``), on the driver:
    batches, so one batch is always scored by one model; a failed poll or load
    keeps the cached model, and with no model at all the batch *raises* so it
    is not committed and is replayed after a restart;
-3. score, keep the known output columns, stamp ``model_version`` and the
+3. score the rows that have a text; the rows without one (an ML tokenizer would
+   fail the whole batch, and every replay of it) get a null prediction and are
+   counted; keep the known output columns, stamp ``model_version`` and the
    UTC ``date`` of ``ingest_time`` (set in the streaming plan, hence equal
    across actions and across a replay of the batch);
 4. persist once (scored at the source's parallelism), write Parquet with as
@@ -22,18 +24,17 @@ from __future__ import annotations
 
 import logging
 import time
-import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textflow.functions.payload import parse_flag
 from textflow.operators import auc as auc_ops
 from textflow.operators.layout import spread
-from textflow.operators.prep import ensure_text_column
+from textflow.operators.prep import ensure_text_column, split_null_text
 from textflow.operators.registry import Registry
 from textflow.schemas import BATCH_METRICS
 from textflow.sources.stream import FILE_FORMATS, file_stream, kafka_stream
@@ -43,10 +44,14 @@ from textflow.streaming.scorers import load_scorer
 
 log = logging.getLogger("textflow.serving")
 
-# Output columns kept when present, in this order (then pass-through columns).
+# Fixed values (the output contract): columns kept when present, in this order
+# (then pass-through columns).
 KNOWN_COLUMNS = ("text", "prediction", "probability", "rawPrediction", "ingest_time", "label")
 
 
+ROW_BYTES = 200   # of a written row beside its text: scores, time, label
+
+
 class NoModelError(RuntimeError):
     """No model could be loaded; the batch must not be committed."""
 
@@ -83,7 +88,10 @@ class ServingConfig:
     metrics_path: str | None = None
     on_error: str = "raise"                   # optional sinks: "raise" | "warn"
     score_partitions: int | None = None       # spread a batch before scoring (None: source's partitions)
-    rows_per_file: int = 1_000_000            # output files per batch = ceil(rows / rows_per_file)
+    rows_per_file: int = 1_000_000            # a batch's output files: as many as rows_per_file
+    bytes_per_file: int = 128 << 20           # or bytes_per_file asks for, whichever is more
+    model_input_cols: tuple | None = None     # Python flavor: columns the model sees (None: all)
+    query_id: str | None = None               # only for batches scored outside a streaming query
     query_name: str | None = None
 
     def validate(self) -> "ServingConfig":
@@ -155,12 +163,22 @@ def shape_predictions(scored: DataFrame, passthrough=(), model_version: str | No
     return out.withColumn("date", F.date_format(F.current_date(), "yyyy-MM-dd"))
 
 
-def _query_id(spark: SparkSession) -> str:
-    """The streaming query id (stable for a checkpoint) inside a batch callback."""
-    try:
-        return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "no-query"
-    except Exception:  # noqa: BLE001 -- no context (Spark Connect)
-        return "no-query"
+def _query_id(spark: SparkSession, given: str | None) -> str:
+    """The streaming query id (stable for a checkpoint) inside a batch callback,
+    else the configured one. Output is replaced by ``(date, query_id, batch_id)``,
+    so without an id of its own a query would overwrite others': that raises."""
+    found = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or given
+    if not found:
+        raise ValueError("no streaming query id: set ServingConfig.query_id to score batches outside a stream")
+    return found
+
+
+def score_rows_with_text(scorer, batch: DataFrame) -> DataFrame:
+    """``scorer`` over the rows with a text; the others follow with a null
+    prediction (and null scores)."""
+    with_text, without = split_null_text(batch)
+    scored = scorer.score(with_text)
+    return scored.unionByName(without.withColumn("prediction", F.lit(None).cast("double")), allowMissingColumns=True)
 
 
 @dataclass
@@ -205,24 +223,29 @@ class BatchScorer:
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         started = time.time()
         spark = batch_df.sparkSession
-        if batch_df.isEmpty():
-            return
+        batch_df = batch_df.persist()   # the source is read once, by the emptiness check
+        try:
+            if not batch_df.isEmpty():
+                self._score_batch(spark, batch_df, batch_id, started)
+        finally:
+            batch_df.unpersist()
+
+    def _score_batch(self, spark: SparkSession, batch_df: DataFrame, batch_id: int, started: float) -> None:
         scorer, version = self.current_model()
-        query_id = _query_id(spark)
+        query_id = _query_id(spark, self.cfg.query_id)
         batch = ensure_text_column(batch_df)
         if self.cfg.score_partitions:
             batch = spread(batch, self.cfg.score_partitions)
-        tag = uuid.uuid4().hex[:8]   # observation names must not repeat within a session
-        rows_in = Observation(f"in_{batch_id}_{tag}")
-        batch = batch.observe(rows_in, F.count(F.lit(1)).alias("rows"))
-        shaped = shape_predictions(scorer.score(batch), self.cfg.passthrough, version)
+        rows_in, null_text = batch.agg(F.count(F.lit(1)), F.count_if(F.col("text").isNull())).first()
+        shaped = shape_predictions(score_rows_with_text(scorer, batch), self.cfg.passthrough, version)
         shaped = shaped.withColumn("query_id", F.lit(query_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         shaped = shaped.persist()
         try:
-            # scored once at the source's parallelism, then written as few
-            # files as the row count needs (no small-file explosion per batch)
-            written = shaped.count()
-            out = shaped.coalesce(max(1, -(-written // max(1, self.cfg.rows_per_file))))
+            # scored once at the source's parallelism, then written as the few files
+            # that its rows and bytes need (no small-file explosion per batch)
+            written, size = shaped.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES)).first()
+            files = max(-(-written // max(1, self.cfg.rows_per_file)), -(-int(size or 0) // max(1, self.cfg.bytes_per_file)))
+            out = shaped.coalesce(max(1, files))
             sinks.write_predictions(out, self.cfg.output_path)
             if parse_flag(self.cfg.write_json):
                 self._optional("json", lambda: sinks.write_json_lines(
@@ -233,10 +256,10 @@ class BatchScorer:
                     self.cfg.kafka_output_topic))
             batch_auc = None
             if "label" in shaped.columns and "rawPrediction" in shaped.columns:
-                batch_auc = auc_ops.area_values_from_raw(shaped, "label")["roc_auc"]
+                batch_auc = auc_ops.area_values_from_raw(shaped.where("prediction IS NOT NULL"), "label")["roc_auc"]
             row = {
                 "query_id": query_id, "batch_id": int(batch_id), "model_version": version,
-                "batch_rows": int(rows_in.get.get("rows", 0)), "written_rows": int(written),
+                "batch_rows": int(rows_in), "written_rows": int(written), "null_text_rows": int(null_text),
                 "batch_auc": batch_auc, "elapsed_seconds": time.time() - started,
             }
             if self.cfg.metrics_path:
@@ -265,7 +288,7 @@ def start_serving(
         handler.holder.set(scorer, scorer_version, None)
     else:
         handler.resolver = resolver or registry_resolver(spark, cfg)
-        handler.loader = loader or (lambda uri: load_scorer(spark, uri, cfg.model_flavor))
+        handler.loader = loader or (lambda uri: load_scorer(spark, uri, cfg.model_flavor, cfg.model_input_cols))
     writer = (
         build_stream(spark, cfg).writeStream.foreachBatch(handler)
         .outputMode("append").option("checkpointLocation", cfg.checkpoint)

@@ -85,23 +85,31 @@ def compact_date(spark, path: str, date: str, rows_per_file: int = 1_000_000) ->
     replay overwrites only itself; once no stream writes the date any more,
     those folders are merged into ``query_id=compacted/batch_id=0`` with
     ``ceil(rows / rows_per_file)`` files. The rows are first staged in the
-    shared scratch folder (a path cannot be read and overwritten in one job),
-    then a static ``INSERT OVERWRITE ... PARTITION (date=...)`` through a
-    temporary external table makes Spark replace exactly that date's folders.
+    table's own ``_compacting`` folder (a path cannot be read and overwritten in
+    one job; readers skip names with an underscore), then a static ``INSERT
+    OVERWRITE ... PARTITION (date=...)`` through a temporary external table makes
+    Spark replace exactly that date's folders, and the stage is deleted last.
+
+    The overwrite deletes the old files before the new ones are committed. If the
+    job dies in between, the finished stage (its ``_SUCCESS`` file) is still
+    there: the next call starts from it instead of from the damaged date.
     Returns the number of rows compacted.
     """
-    from textflow.session import scratch_path
     from textflow.sources.predictions import read_predictions
 
-    current = read_predictions(spark, path, date=date)
-    data_cols = [c for c in current.columns if c not in PARTITION_COLS]
-    n = current.count()
-    if n == 0:
-        return 0
-    stage = scratch_path(spark, "compact")
-    (current.select(*data_cols).coalesce(max(1, -(-n // max(1, rows_per_file))))
-     .write.parquet(stage))
-    staged = spark.read.parquet(stage)
+    stage = f"{path.rstrip('/')}/_compacting/date={date}"
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(stage)
+    files = folder.getFileSystem(conf)
+    if not files.exists(jvm.org.apache.hadoop.fs.Path(stage, "_SUCCESS")):
+        current = read_predictions(spark, path, date=date)
+        n = current.count()
+        if n == 0:
+            return 0
+        (current.drop(*PARTITION_COLS).coalesce(max(1, -(-n // max(1, rows_per_file))))
+         .write.mode("overwrite").parquet(stage))
+    staged = spark.read.parquet(stage).drop(*PARTITION_COLS)
+    data_cols, n = staged.columns, staged.count()
     tag = uuid.uuid4().hex[:12]
     table, view = f"textflow_compact_{tag}", f"textflow_compact_rows_{tag}"
     staged.createOrReplaceTempView(view)
@@ -119,4 +127,5 @@ def compact_date(spark, path: str, date: str, rows_per_file: int = 1_000_000) ->
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.catalog.dropTempView(view)
+    files.delete(folder, True)
     return n
