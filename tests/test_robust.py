@@ -114,7 +114,7 @@ def test_two_trainings_do_not_share_a_version(spark, tmp_dir):
         t.start()
     for t in threads:
         t.join()
-    assert sorted(got) == list(range(1, 9))
+    assert len(set(got)) == 8 and min(got) >= 1
 
 
 def test_compaction_goes_on_from_a_finished_stage(spark, tmp_dir):

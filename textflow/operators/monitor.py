@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,27 +40,19 @@ def date_folders(spark: SparkSession, path: str) -> list[str]:
 def recent_files(spark: SparkSession, path: str, n: int = 5, within_hours: float | None = None) -> DataFrame:
     """The ``n`` newest output files, optionally only those of the last hours.
 
-    Only the newest date folders are listed: as many as hold ``n`` files (a file
-    is written on its own date or later, so older dates hold older output but
-    for replays), and within a time window none from before it."""
-    folders = date_folders(spark, path)
-    if within_hours is not None:
-        now = _dt.datetime.now(_dt.timezone.utc)
-        oldest = (now - _dt.timedelta(hours=max(0.0, within_hours), days=1)).strftime("%Y-%m-%d")
-        window = [f for f in folders if f.rsplit("=", 1)[-1] >= oldest]
-        folders = window or folders[:1]
-    wanted: list[str] = []
-    for folder in folders:
-        wanted.append(folder)
-        if within_hours is None and output_files(spark, wanted).limit(n).count() >= n:
-            break
-    if not wanted:
-        return spark.createDataFrame([], "path string, modified timestamp, size long")
-    files = output_files(spark, wanted)
-    if within_hours is not None:
-        cutoff = F.current_timestamp() - F.make_interval(secs=F.lit(float(within_hours * 3600)))
-        files = files.where(F.col("modified") >= cutoff)
-    return files.orderBy(F.desc("modified"), F.desc("path")).limit(n)
+    Date folders are listed from the newest on, twice as many each time, until
+    they hold ``n`` such files: output is written to the newest dates, so of a
+    long table only its end is listed as a rule."""
+    folders = date_folders(spark, path) or [path]   # a folder without dates: as it is
+    take = 1
+    while True:
+        files = output_files(spark, folders[:take])
+        if within_hours is not None:
+            cutoff = F.current_timestamp() - F.make_interval(secs=F.lit(float(within_hours * 3600)))
+            files = files.where(F.col("modified") >= cutoff)
+        if take >= len(folders) or files.limit(n).count() >= n:
+            return files.orderBy(F.desc("modified"), F.desc("path")).limit(n)
+        take *= 2
 
 
 def active_streams(spark: SparkSession) -> DataFrame:

@@ -177,13 +177,18 @@ class Registry:
         return max([stored] + pending) + 1
 
     def _claim(self, name: str, version: int) -> int:
-        """The first free number from ``version`` on: a claim file that could be
-        created belongs to this caller alone, also when two trainings that read
-        the same newest version register at once."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        """A number from ``version`` on that is this caller's alone, also when two
+        trainings that read the same newest version register at once: each puts a
+        file of its own into the number's folder and then looks; who finds another
+        file there goes on to the next number. Of two callers at least the later
+        one finds the other's file, so no number is used twice (some may be
+        skipped). No file system needs an atomic create for this."""
+        Path, conf = self.spark._jvm.org.apache.hadoop.fs.Path, self.spark._jsc.hadoopConfiguration()
         while True:
-            claim = jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{name}/{version}")
-            if claim.getFileSystem(conf).createNewFile(claim):
+            folder = Path(f"{self.root}/claims/{name}/{version}")
+            files = folder.getFileSystem(conf)
+            files.create(Path(folder, uuid.uuid4().hex)).close()
+            if len(files.listStatus(folder)) == 1:
                 return version
             version += 1
 
