@@ -33,8 +33,10 @@ BROADCAST_ROWS = 1_000_000
 
 
 def normal(line: Column) -> Column:
-    """A line as it is compared."""
-    return F.lower(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")))
+    """A line as it is compared. Only lines with other whitespace than single
+    spaces are squeezed, which is the costly part."""
+    squeezed = F.when(line.rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line)
+    return F.lower(F.trim(squeezed))
 
 
 def _small(side: DataFrame, rows: int) -> DataFrame:
@@ -94,12 +96,12 @@ def _near(docs: DataFrame, row: Column, distinct: DataFrame, broadcast_rows: int
     at = (lines["doc_id"].eqNullSafe(F.col("of")) & (lines["row"] == F.col("of_row")) & (lines["pos"] == F.col("of_pos")))
     candidates = written(lines.join(_small(wanted, broadcast_rows), at).select(
         "id", "sides", "first", normal(F.col("raw")).alias("line")).dropDuplicates(["id"]), "line-texts")
-    variants = _variants(candidates.select("id", "line", F.explode("sides").alias("side"))).distinct()
+    variants = written(_variants(candidates.select("id", "line", F.explode("sides").alias("side"))), "line-variants")
     # a variant that two lines have; the rest, which is nearly all, ends here
     common = variants.groupBy("variant").agg(
         F.min(F.xxhash64("id")).alias("lo"), F.max(F.xxhash64("id")).alias("hi")).where("lo <> hi").select("variant")
     lookup = candidates.select("id", "first")
-    met = written(variants.join(common, "variant").join(lookup, "id"), "line-variants")
+    met = written(variants.join(common, "variant").distinct().join(lookup, "id"), "line-met")
     # the earliest line of each variant and place, and of each variant: lines with the
     # same place left out differ in it alone, a whole line and a variant by one character
     earliest = F.min(F.struct("first", "id"))
@@ -119,15 +121,17 @@ def _near(docs: DataFrame, row: Column, distinct: DataFrame, broadcast_rows: int
 
 def removed_lines(docs: DataFrame, row: Column, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``(doc_id, row, removed)``: for each document that loses lines their numbers."""
-    line = normal(F.col("raw"))
-    lines = _lines(docs, row).select("doc_id", "row", "pos", line.alias("line")).where("line <> ''")
+    # blank lines are told by the raw line: a filter on the normal form would compute it twice
+    lines = _lines(docs, row).where(F.col("raw").rlike(r"[^\x20\x09-\x0D]")).select(
+        "doc_id", "row", "pos", normal(F.col("raw")).alias("line"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "pos")
     found = written(lines.select(F.unhex(F.md5("line")).alias("id"), place.alias("place"), _halves(F.col("line")).alias("halves")), "lines")
     distinct = written(found.groupBy("id").agg(F.min("place").alias("first"), F.max("place").alias("last"),
                                                F.first("halves").alias("halves")), "distinct-lines")
     near = _near(docs, row, distinct, broadcast_rows).select("id", F.lit(True).alias("near"))
-    loses = distinct.select("id", "first", "last").join(near, "id", "left").where("near OR first <> last").select(
-        "id", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    # written, so that both sides of the next join are plain shuffles: AQE splits those of hot lines
+    loses = written(distinct.select("id", "first", "last").join(near, "id", "left").where("near OR first <> last").select(
+        "id", "first", F.coalesce("near", F.lit(False)).alias("near")), "lines-lost")
     gone = found.select("id", "place").join(loses, "id").where("near OR place <> first")
     return gone.select("place.doc_id", "place.row", "place.pos").groupBy("doc_id", "row").agg(
         F.collect_set("pos").alias("removed"))
