@@ -35,7 +35,7 @@ MAX_TRAIN_ROWS = 20_000
 MAX_TERMS = 20_000       # lexicon entries kept, the most telling first
 MIN_DOCS = 3             # toxic training texts a lexicon term is in
 PREFIXES = (4, 5, 6)     # lengths of word beginnings tried beside whole words
-FLUSH_TERMS = 500_000    # terms a task counts before it hands them on
+FLUSH_TERMS = 200_000    # terms a task counts before it hands them on
 
 # Cyrillic and Greek letters that look like Latin ones, in pairs.
 LOOK_ALIKES = ("а a в b с c е e һ h і i ј j к k м m н h о o р p ѕ s т t у y х x ԁ d ԛ q ԝ w "
