@@ -109,8 +109,9 @@ def _logistic(x, slope: float, offset: float):
 
 
 def is_training_row(doc_id: str = "doc_id") -> Column:
-    """Rows that labels may be learned from: ``crc32(doc_id as text) mod 4`` is not 2."""
-    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) != 2
+    """Rows that labels may be learned from: ``crc32(doc_id as text) mod 4`` is not 2
+    (a row without an id counts as held out)."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) != 2, F.lit(False))
 
 
 def _training_texts(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
