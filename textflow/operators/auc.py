@@ -57,6 +57,13 @@ def score_counts(df: DataFrame, label_col: str = "label", score_col: str = "scor
     )
 
 
+def unscored(df: DataFrame, label_col: str = "label", score_col: str = "score") -> DataFrame:
+    """One row ``n_unscored``: the rows that the curves leave out (null or NaN
+    score, null label)."""
+    score = F.col(score_col).cast("double")
+    return df.agg(F.count_if(score.isNull() | F.isnan(score) | F.col(label_col).isNull()).alias("n_unscored"))
+
+
 def _bucket_of(score: Column, boundaries: Column, size: int) -> Column:
     """Number of ``boundaries`` (sorted, ``size`` of them) strictly below
     ``score``: a binary-lifting search in ``log2(size)`` steps, so each
@@ -161,7 +168,8 @@ def area_values(df: DataFrame, label_col: str = "label", score_col: str = "score
     persisted once for the quantile pass and the prefix-sum pass, then freed."""
     counts = score_counts(df, label_col, score_col).persist()
     try:
-        return curve_areas(curve_points(counts, num_buckets)).first().asDict()
+        areas = curve_areas(curve_points(counts, num_buckets)).first().asDict()
+        return areas | unscored(df, label_col, score_col).first().asDict()
     finally:
         counts.unpersist()
 

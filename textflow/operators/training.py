@@ -177,6 +177,7 @@ def evaluate(predictions: DataFrame, label_col: str = "label", auc_mode: str = "
             areas = auc_ops.area_values_from_raw(predictions, label_col)
             metrics["auc"] = areas["roc_auc"]
             metrics["pr_auc"] = areas["pr_auc"]
+            metrics["n_unscored"] = areas["n_unscored"]
     return metrics
 
 

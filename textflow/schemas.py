@@ -18,22 +18,8 @@ RAW_CORPUS = T.StructType(
     ]
 )
 
-LABELLED = T.StructType(
-    [
-        T.StructField("label", T.IntegerType(), True),
-        T.StructField("text", T.StringType(), True),
-    ]
-)
-
 STREAM_TEXT = T.StructType([T.StructField("text", T.StringType(), True)])
 
-STREAM_TEXT_LABEL = T.StructType(
-    [
-        T.StructField("text", T.StringType(), True),
-        T.StructField("label", T.IntegerType(), True),
-    ]
-)
-
 KAFKA_PAYLOAD = T.StructType([T.StructField("text", T.StringType(), True)])
 
 MODEL_VERSIONS = T.StructType(
