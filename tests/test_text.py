@@ -41,11 +41,11 @@ def test_term_idf_matches_ml_idf_without_collisions(spark):
     n = 1 << 18
     model = feat.feature_pipeline(n, 5).fit(docs)
     idf_vec = model.stages[-1].idf.toArray()
-    htf = HashingTF(numFeatures=n)
-    terms = feat.idf_table(docs, 5).collect()
+    terms = feat.idf_table(docs, 5).withColumn("one", F.array("term"))
+    hashed = HashingTF(numFeatures=n, inputCol="one", outputCol="h").transform(terms)
     buckets = {}
-    for r in terms:
-        buckets.setdefault(htf.indexOf(r["term"]), []).append(r)
+    for r in hashed.select("idf", feat.vector_entries("h")[0]["index"].alias("b")).collect():
+        buckets.setdefault(r["b"], []).append(r)
     checked = 0
     for idx, rows in buckets.items():
         if len(rows) == 1:
