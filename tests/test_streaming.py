@@ -230,6 +230,31 @@ def test_recent_files_time_window(spark, tmp_dir):
     assert recent_files(spark, f"{tmp_dir}/t", n=5, within_hours=-1).count() == 0
 
 
+def test_recent_files_of_an_older_date_written_last(spark, tmp_dir, monkeypatch):
+    import os
+    from pathlib import Path
+
+    from textflow.operators import monitor
+    from textflow.streaming.sinks import compact_date, write_predictions
+
+    dates = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    rows = [(i, float(i), dates[i % 3], "q", i) for i in range(30)]
+    path = f"{tmp_dir}/p"
+    write_predictions(spark.createDataFrame(rows, "id long, prediction double, date string, query_id string, batch_id long"), path)
+    for f in Path(path).rglob("part-*"):
+        os.utime(f, (1_700_000_000, 1_700_000_000))
+    compact_date(spark, path, dates[0])
+    for size in (200, 1):  # in one group, a group for each folder
+        monkeypatch.setattr(monitor, "FOLDERS_LISTED", size)
+        assert "/date=2024-01-01/query_id=compacted/" in recent_files(spark, path, n=1).first()["path"]
+        fresh = recent_files(spark, path, n=5, within_hours=1).collect()
+        assert fresh and all("/query_id=compacted/" in r["path"] for r in fresh)
+        listed = sorted(((f.stat().st_mtime_ns // 1_000_000, f"file:{f}") for f in Path(path).rglob("part-*")), reverse=True)
+        assert [r["path"].replace("file:///", "file:/") for r in recent_files(spark, path, n=5).collect()] == [f for _, f in listed[:5]]
+        assert {r["path"].split("/date=")[1][:10] for r in recent_files(spark, path, n=99, since=dates[1]).collect()} == set(dates[1:])
+    assert recent_files(spark, path, since="2025-01-01").count() == 0
+
+
 def test_kafka_shaped_stream_decodes_and_scores(spark, tmp_dir):
     """Kafka rows (binary value + timestamp) through the same decode and
     scoring path, fed from a file stream since no broker runs here."""

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from textflow.sources.predictions import read_predictions
 
+#: Date folders whose files the driver holds at a time.
+FOLDERS_LISTED = 200
+
 
 def predictions_by_date(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
     """True prediction row counts per date partition."""
@@ -37,22 +40,34 @@ def date_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted((f for f in found if f.rsplit("/", 1)[-1].startswith("date=")), reverse=True)
 
 
-def recent_files(spark: SparkSession, path: str, n: int = 5, within_hours: float | None = None) -> DataFrame:
-    """The ``n`` newest output files, optionally only those of the last hours.
-
-    Date folders are listed from the newest on, twice as many each time, until
-    they hold ``n`` such files: output is written to the newest dates, so of a
-    long table only its end is listed as a rule."""
-    folders = date_folders(spark, path) or [path]   # a folder without dates: as it is
-    take = 1
-    while True:
-        files = output_files(spark, folders[:take])
-        if within_hours is not None:
-            cutoff = F.current_timestamp() - F.make_interval(secs=F.lit(float(within_hours * 3600)))
-            files = files.where(F.col("modified") >= cutoff)
-        if take >= len(folders) or files.limit(n).count() >= n:
-            return files.orderBy(F.desc("modified"), F.desc("path")).limit(n)
-        take *= 2
+def recent_files(spark: SparkSession, path: str, n: int = 5, within_hours: float | None = None,
+                 since: str | None = None) -> DataFrame:
+    """The ``n`` output files with the newest modification time, optionally only
+    those of the last hours, or of dates from ``since`` on.
+
+    Any date may have been written last (compaction, late or replayed batches), so
+    all date folders are listed unless ``since`` says otherwise: newest first, in
+    groups of ``FOLDERS_LISTED``, of which only the ``n`` newest files are kept."""
+    folders = date_folders(spark, path)
+    if folders and since is not None:
+        folders = [f for f in folders if f.rsplit("/date=", 1)[-1] >= since]
+    elif not folders:
+        folders = [path]   # a folder without dates: as it is
+    oldest = None
+    if within_hours is not None:
+        cutoff = F.current_timestamp() - F.make_interval(secs=F.lit(float(within_hours * 3600)))
+        oldest = spark.range(1).select(F.unix_micros(cutoff)).first()[0]
+    newest: list = []
+    for k in range(0, len(folders), FOLDERS_LISTED):
+        files = output_files(spark, folders[k:k + FOLDERS_LISTED])
+        files = files.select("path", F.unix_micros("modified").alias("modified"), "size")
+        if oldest is not None:
+            files = files.where(F.col("modified") >= oldest)
+        found = files.orderBy(F.desc("modified"), F.desc("path")).limit(n).collect()
+        newest = sorted([*newest, *map(tuple, found)], key=lambda f: (f[1], f[0]), reverse=True)[:n]
+    rows = spark.createDataFrame(newest, "path string, modified long, size long")
+    return rows.select("path", F.timestamp_micros("modified").alias("modified"), "size").orderBy(
+        F.desc("modified"), F.desc("path"))
 
 
 def active_streams(spark: SparkSession) -> DataFrame:
