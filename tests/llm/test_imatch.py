@@ -49,6 +49,35 @@ def test_subsets_hash_only_band_words():
     assert 0.0 <= im.likeness(made.fingerprint(""), made.fingerprint(a)) <= 1.0
 
 
+def test_texts_that_share_only_drawn_words_differ():
+    names = [f"w{i}" for i in range(3000)]
+    made = im.Imatch(np.array(sorted(xxhash.xxh64_intdigest(w.encode(), im.SEED) for w in names), dtype=np.uint64))
+    subsets = {w: made._look_up(w.encode())[1] for w in names}
+    drawn = [w for w in names if any(im.SUBSETS[k] > 1 for k in subsets[w])]
+    rest = [w for w in names if w not in set(drawn)]
+    assert len(rest) > 1000  # words of the band that no sparse subset has
+    a, b = " ".join(drawn[:2] + rest[:30]), " ".join(drawn[:2] + rest[30:60])
+    assert made.fingerprint(a) != made.fingerprint(b) and im.likeness(made.fingerprint(a), made.fingerprint(b)) < 1.0
+    # many drawn words: the whole band tells them apart
+    a, b = " ".join(drawn[:50] + rest[:30]), " ".join(drawn[:50] + rest[30:60])
+    assert made.fingerprint(a) != made.fingerprint(b)
+    # no other word of the band: all distinct words do
+    a, b = f"{drawn[0]} one text", f"{drawn[0]} another matter"
+    assert made.fingerprint(a) != made.fingerprint(b) and made.fingerprint(a) == made.fingerprint(f"text {drawn[0]} one")
+
+
+def test_equal_prints_on_given_texts_have_equal_band_words(spark):
+    docs = documents()
+    words = im.lexicon(spark.read.parquet(f"{SF001}/documents.parquet"))
+    made, band = im.Imatch(words), set(words.tolist())
+    by_print = {}
+    for text in docs.text:
+        of = frozenset(words_of(text))
+        inside = frozenset(w for w in of if xxhash.xxh64_intdigest(w, im.SEED) in band)
+        by_print.setdefault(made.fingerprint(text), set()).add(inside)
+    assert all(len(v) == 1 for v in by_print.values())
+
+
 def test_next_document_over_ranges_and_odd_rows(spark):
     use = lambda i, t, n: (i, t, n)
     texts = [(i, f"t{i}") for i in range(-3, 40, 3)] + [(12, "t12b"), (None, "n1"), (None, "n0")]

@@ -3,7 +3,10 @@
 The lexicon holds the words whose inverse document frequency lies in a band. A
 document's fingerprint is one hash for each of several random subsets of the
 lexicon: the hash of the document's sorted distinct words that are in the
-subset. Subsets are drawn by a hash of the word, so they need no table.
+subset. Subsets are drawn by a hash of the word, so they need no table. About
+half of the lexicon is in no sparse subset, so the last subset is the whole
+lexicon; a text with few words in the sparse ones also gets a hash of all its
+distinct words. Texts that share a few drawn words alone stay apart by these.
 
 Size of the lexicon: a word of the band is in at least ``MIN_SHARE`` of the
 documents, so there are at most (mean distinct words a document) / ``MIN_SHARE``
@@ -32,8 +35,10 @@ from textflow.plans.catalog import table
 MIN_SHARE = 0.001        # least share of the documents that a band word is in (idf <= ln 1000)
 MAX_SHARE = 0.2          # largest share (idf >= ln 5)
 #: Random subsets of the lexicon by the share of words they keep (one in so many):
-#: dense ones tell short texts apart, sparse ones still agree for edited long texts.
-SUBSETS = (32,) * 16 + (128,) * 16 + (512,) * 16
+#: dense ones tell short texts apart, sparse ones still agree for edited long texts,
+#: the last one holds every word of the band.
+SUBSETS = (32,) * 16 + (128,) * 16 + (512,) * 16 + (1,)
+FEW_WORDS = 8            # fewer words in the sparse subsets: all distinct words are hashed too
 SEED = 20240607
 FLUSH_WORDS = 400_000    # words a task counts before it hands them on
 WORDS_KEPT = 1_000_000   # words whose lexicon entry a task remembers
@@ -98,20 +103,21 @@ class Imatch:
 
     def subset_hashes(self, text: str | None) -> list[str]:
         """A hash of eight hex digits for each subset, '' for a subset none of
-        whose words are in the text. If that holds for all subsets, the first one
-        hashes all distinct words, so that texts without band words differ."""
+        whose words are in the text, and last a hash of all distinct words if fewer
+        than ``FEW_WORDS`` of them are in sparse subsets, '' otherwise."""
         words = set(words_of(text))
         seen, look_up = self.seen, self._look_up
         members: list[list[int]] = [[] for _ in SUBSETS]
+        drawn = 0
         for word in words:
             entry = seen[word] if word in seen else look_up(word)
             if entry is not None:
+                drawn += len(entry[1]) > 1  # in the last subset they all are
                 for k in entry[1]:
                     members[k].append(entry[0])
         digest = xxhash.xxh64_intdigest
         out = [f"{digest(struct.pack(f'<{len(m)}Q', *sorted(m)), k) >> 32:08x}" if m else "" for k, m in enumerate(members)]
-        if not any(out):
-            out[0] = f"*{digest(b' '.join(sorted(words)), SEED):016x}"
+        out.append(f"*{digest(b' '.join(sorted(words)), SEED):016x}" if drawn < FEW_WORDS else "")
         return out
 
     def fingerprint(self, text: str | None) -> str:
@@ -119,8 +125,7 @@ class Imatch:
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of equal subset hashes among the subsets that hold a word of either
-    text (0 to 1)."""
+    """Share of equal hashes among those that either text has (0 to 1)."""
     pairs = [(x, y) for x, y in zip(a.split("."), b.split(".")) if x or y]
     return sum(x == y for x, y in pairs) / len(pairs) if pairs else 1.0
 
