@@ -13,6 +13,25 @@ def test_folding():
     assert tx.fold("ｆｏｏ–bar") == ["foo", "bar"]
 
 
+def test_folding_of_runs_edges_and_styled_letters():
+    assert tx.fold("l053r \"5cum (1diot id1o7 @55h0le") == ["loser", "scum", "idiot", "idiot", "asshole"]
+    assert tx.fold("ïdïöt \U0001d422\U0001d41d\U0001d422\U0001d428\U0001d42d ⓘⓓⓘⓞⓣ ＩＤＩＯＴ İdiot") == ["idiot"] * 5
+    assert tx.fold("й が für") == ["й", "が", "fur"]
+
+
+def test_signs_match_by_any_reading():
+    made = tx.Lexicon({" clown ": 2.0, " idiot ": 5.0, " silly ": 3.0, " scun": 4.0, " scunthorpe ": 0.0}).automaton()
+    for text in ("c1own", "c|own!", "«c10wn»"):
+        assert tx.matched(made, text) > 1.9
+    for text in ("1d1o7", "(1diot", "idiot1", "100idiot", "idiot!!!", "$idiot$", "idiot!!!you", "x!!!idiot"):
+        assert tx.matched(made, text) > 4.9
+    assert tx.matched(made, "s1!1y s1lly") > 5.8
+    assert tx.matched(made, "5cunthorpe") == 0.0 < tx.matched(made, "5cunner")
+    assert tx.matched(made, "a" + "1" * 5000) == tx.matched(made, "1" * 5000) == 0.0
+    # a plain letter is itself only
+    assert tx.matched(made, "ciown ciown1 sliiy") == 0.0
+
+
 def test_exception_phrases_and_length():
     lexicon = tx.Lexicon({" scun": 3.0, " scunthorpe ": 0.0, " idiot ": 5.0})
     made = lexicon.automaton()

@@ -1,8 +1,11 @@
 """Toxicity scores from a weighted lexicon matched by Aho-Corasick.
 
-Texts are folded first: look-alike letters of other scripts and full-width forms
-to Latin, digits and signs that stand for letters inside a word to those
-letters, everything that is no letter to word breaks. The lexicon -- whole words
+Texts are folded first: styled and accented Latin letters to plain ones,
+look-alike letters of other scripts to Latin, digits and signs that stand for
+letters in a token with letters to those letters, everything else to word breaks.
+A token with such signs has several readings: with all of them as letters (1, !
+and | as i or l), without those at its start or end, and as the words between
+them; the one that weighs most counts. The lexicon -- whole words
 and word beginnings -- is learned from labelled rows: a term enters when its
 document counts in toxic and other texts differ by more than chance explains
 over all terms tried, and weighs the smoothed log-odds. Words that begin like a
@@ -16,9 +19,10 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass
-from typing import Iterator
+from typing import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -44,28 +48,67 @@ LOOK_ALIKES = ("а a в b с c е e һ h і i ј j к k м m н h о o р p ѕ s
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "l"}
 
 _LETTER = {ord(a): b for a, b in zip(LOOK_ALIKES[::2], LOOK_ALIKES[1::2])}
-_LETTER |= {0xFF41 + i: chr(97 + i) for i in range(26)} | {0x200B: "", 0x200C: "", 0x200D: "", 0xAD: "", 0xFEFF: ""}
+_LETTER |= {0x200B: "", 0x200C: "", 0x200D: "", 0xAD: "", 0xFEFF: ""}
 _SIGN = {ord(a): b for a, b in SUBSTITUTES.items()}
+_EITHER = dict.fromkeys("1!|", "il")  # signs that are either letter
+_SPELLED = [_SIGN | {ord(c): letter for c in _EITHER} for letter in "il"]
+_NOISE = "!$@|"                       # at a word's end rather punctuation
 _CLASS = "[" + re.escape("".join(SUBSTITUTES)) + "]"
-#: One or two signs between letters, or one before a letter at a word's start.
-_INSIDE = re.compile(rf"(?<=[^\W\d_]){_CLASS}{{1,2}}(?=[^\W\d_])|(?<!\S){_CLASS}(?=[^\W\d_])")
 _SIGNS = re.compile(_CLASS)
 _WORD = re.compile(r"[^\W\d_]+")
+#: A run of letters and signs.
+_TOKEN = re.compile(rf"(?:[^\W\d_]++|{_CLASS}++)++")
+_MARKS = re.compile("(?<=[a-z])[\u0300-\u036f]+")
 
 
-def fold(text: str | None) -> list[str]:
-    """The folded words of a text."""
+def _tokens(text: str | None) -> list[str]:
+    """Runs of letters and signs of a text, with plain letters; those without a
+    letter are left out."""
     if not text:
         return []
-    text = text.lower()
-    if not text.isascii():
-        text = text.translate(_LETTER)
-    if _SIGNS.search(text):
-        text = _INSIDE.sub(lambda m: m.group().translate(_SIGN), text)
-    return _WORD.findall(text)
+    if text.isascii():
+        text = text.lower()
+    else:
+        text = unicodedata.normalize("NFKD", text).lower().translate(_LETTER)
+        text = unicodedata.normalize("NFC", _MARKS.sub("", text))
+    if not _SIGNS.search(text):
+        return _WORD.findall(text)
+    return [t for t in _TOKEN.findall(text) if t.isalpha() or _WORD.search(t)]
+
+
+def _core(token: str) -> str:
+    """A token without the signs at its end that are no letters: all but digits, and
+    digits too after a single letter."""
+    core = token.rstrip(_NOISE)
+    return core if sum(len(w) for w in _WORD.findall(core)) > 1 else core.rstrip("".join(SUBSTITUTES))
+
 
+def _readings(token: str) -> list[list[str]]:
+    """What a token with signs may say, each a list of words with the signs still in
+    them: as a whole, without signs at its start, its end and both, in pieces."""
+    core, signs = _core(token), "".join(SUBSTITUTES)
+    short = core.rstrip(signs)
+    whole = dict.fromkeys([token, core, short, token.lstrip(signs), core.lstrip(signs), short.lstrip(signs)])
+    return [[w] for w in whole] + [_WORD.findall(token)]
+
+
+def fold(text: str | None) -> list[str]:
+    """The folded words of a text: of each token one reading, 1 and ! as i."""
+    return [t if t.isalpha() else _core(t).translate(_SIGN) for t in _tokens(text)]
 
-def terms_of(words: list[str]) -> set[str]:
+
+def _spellings(text: str | None) -> Iterator[str]:
+    """The words of all readings of a text's tokens, 1, ! and | all as i or all as l."""
+    for token in _tokens(text):
+        if token.isalpha():
+            yield token
+            continue
+        for word in (w for words in _readings(token) for w in words):
+            for signs in _SPELLED:
+                yield word.translate(signs)
+
+
+def terms_of(words: Iterable[str]) -> set[str]:
     """Whole words as ``'  word '``, word beginnings as ``' beg'``: each with the
     spaces that the matched text has around its words."""
     distinct = set(words)
@@ -95,13 +138,40 @@ class Lexicon:
         return found
 
 
+def _heaviest(automaton, word: str) -> float:
+    """Weight of the longest match in a word with signs, the most over all letters
+    that its signs may be. Only beginnings of lexicon entries are followed, so many
+    signs don't multiply."""
+    live, done = {" ": 0.0}, [0.0]
+    for sign in [*word, " "]:
+        after: dict = {}
+        for begun, weight in live.items():
+            went_on = False
+            for letter in _EITHER.get(sign) or SUBSTITUTES.get(sign, sign):
+                longer = begun + letter
+                if automaton.match(longer):
+                    after[longer] = automaton.get(longer, weight)
+                    went_on = True
+            if not went_on:
+                done.append(weight)
+        live = after
+        if not live:
+            break
+    return max([*done, *live.values()])
+
+
 def matched(automaton, text: str | None) -> float:
-    """Weight of the longest non-overlapping matches over the length's norm."""
-    words = fold(text)
-    if not words or not len(automaton):
+    """Weight of the longest non-overlapping matches over the length's norm; a token
+    with signs counts by its heaviest reading."""
+    tokens = _tokens(text)
+    if not tokens or not len(automaton):
         return 0.0
+    words = [t for t in tokens if t.isalpha()]
     total = sum(weight for _, weight in automaton.iter_long(" " + "  ".join(words) + " "))
-    return total / (1.0 + math.log1p(len(words) / 100.0))
+    if len(words) < len(tokens):
+        total += sum(max(sum(_heaviest(automaton, w) for w in words) for words in _readings(t))
+                     for t in tokens if not t.isalpha())
+    return total / (1.0 + math.log1p(len(tokens) / 100.0))
 
 
 def _logistic(x, slope: float, offset: float):
@@ -142,7 +212,7 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         for text, label in zip(batch["text"], batch["label"]):
-            counts[label].update(terms_of(fold(text)))
+            counts[label].update(terms_of(_spellings(text)))
             rows[label] += 1
             if len(counts[0]) + len(counts[1]) > FLUSH_TERMS:
                 yield flush()
