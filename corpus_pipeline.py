@@ -20,9 +20,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of lines go, and documents that lose all their lines; the
-    character count follows the text."""
-    kept = line_dedup.drop_emptied(docs)
+    """Later copies of lines go, for longer lines within two edits, and documents
+    that lose all their lines; the character count follows the text."""
+    kept = line_dedup.drop_emptied(docs, edits=2)
     if "n_chars" not in docs.columns:
         return kept
     count = F.char_length("text").cast(docs.schema["n_chars"].dataType)

@@ -50,6 +50,27 @@ def test_against_brute_force(spark):
         assert got == wanted
 
 
+def test_larger_bounds_against_brute_force(spark):
+    draw = random.Random(8)
+    base = ["".join(draw.choice("abcd e") for _ in range(draw.choice([19, 25, 38, 41, 58, 61, 90]))) for _ in range(20)]
+    docs = []
+    for i in range(160):
+        line = list(draw.choice(base))
+        for _ in range(draw.randint(0, 4)):
+            at = draw.randrange(len(line))
+            line[at:at + draw.randint(0, 1)] = draw.choice(["", "x", "y", "é"])
+        docs.append((i, "".join(line)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    lines = [(i, " ".join(t.split())) for i, t in docs]
+    gone = {}
+    for edits_ in (1, 2, 3):
+        wanted = {i for k, (i, a) in enumerate(lines) if any(
+            a == b or edits(a, b) <= min(edits_, min(len(a), len(b)) // 20) for _, b in lines[:k])}
+        gone[edits_] = {r["doc_id"] for r in dedup_lines(frame, n_removed="gone", edits=edits_).where("gone > 0").collect()}
+        assert gone[edits_] == wanted
+    assert gone[1] < gone[2] < gone[3]
+
+
 def test_one_character_more_less_or_other(spark):
     line = "the quick brown fox jumps over"
     docs = [(1, line), (2, line.replace("quick", "quack")), (3, line + "s"), (4, line[1:]), (5, line.replace("quick", "slow")),

@@ -15,6 +15,13 @@ middle, and one half is the same in both. Only lines that share a half (from the
 start or from the end, of a length that follows from the line's) with another
 distinct line emit variants, and only those that leave out a character of the
 other half. Variants are joined as hashes and verified on the text.
+
+With a larger bound (``edits``) a line also goes for an earlier one within two or
+more edits, one for each ``MIN_NEAR`` characters of the shorter line up to the
+bound. Leaving out two characters would make thousands of variants of a line, so
+these are found by parts: of two lines within k edits, cut into k + 1 parts, one
+part is the same in both, at most k characters away from its place. Lines that
+share a part are compared pair by pair.
 """
 
 from __future__ import annotations
@@ -63,6 +70,26 @@ def _halves(text: Column) -> Column:
     return F.when(n >= MIN_NEAR, F.array_distinct(F.array(*heads, *tails)))
 
 
+def _parts(text: Column, edits: int) -> Column:
+    """Hashes of the parts that a line shares with a line within two to ``edits`` edits.
+
+    The shorter line's length ``c`` tells the bound ``k`` and the parts. Of the equal
+    part ``j`` there is one with at most ``j`` edits before it and ``k - j`` after it,
+    so in a line ``longer`` characters longer it is moved by no more than these allow."""
+    n = F.char_length(text)
+    keys = []
+    for k in range(2, edits + 1):
+        for longer in range(k + 1):
+            c = n - longer
+            holds = (c >= k * MIN_NEAR) if k == edits else c.between(k * MIN_NEAR, (k + 1) * MIN_NEAR - 1)
+            for j in range(k + 1):
+                start, stop = (F.floor(c * i / (k + 1)).cast("int") for i in (j, j + 1))
+                for moved in range(max(-j, longer - (k - j)), min(j, longer + k - j) + 1):
+                    part = F.substring(text, start + moved + 1, stop - start)
+                    keys.append(F.when(holds, F.xxhash64(F.lit(k), F.lit(j), c, part)))
+    return F.array_distinct(F.array_compact(F.array(*keys)))
+
+
 def _lines(docs: DataFrame, row: Column) -> DataFrame:
     """``(doc_id, row, pos, raw)``: the lines of every text, from 0."""
     text = F.coalesce(col(docs, "text").cast("string"), F.lit(""))
@@ -83,19 +110,26 @@ def _variants(candidates: DataFrame) -> DataFrame:
     return each.select(F.xxhash64(without).alias("variant"), "place", "id")
 
 
+def _texts(docs: DataFrame, row: Column, wanted: DataFrame, keep: str, broadcast_rows: int) -> DataFrame:
+    """``(id, keep, first, line)`` of the distinct lines ``wanted``, their texts read
+    again at their first places."""
+    wanted = written(wanted.select(
+        "id", keep, "first", F.col("first.doc_id").alias("of"), F.col("first.row").alias("of_row"),
+        F.col("first.pos").alias("of_pos")), "line-candidates")
+    lines = _lines(docs, row)
+    at = (lines["doc_id"].eqNullSafe(F.col("of")) & (lines["row"] == F.col("of_row")) & (lines["pos"] == F.col("of_pos")))
+    return written(lines.join(_small(wanted, broadcast_rows), at).select(
+        "id", keep, "first", normal(F.col("raw")).alias("line")).dropDuplicates(["id"]), "line-texts")
+
+
 def _near(docs: DataFrame, row: Column, distinct: DataFrame, broadcast_rows: int) -> DataFrame:
     """Ids of the distinct lines that an earlier line is within one edit of."""
     keys = distinct.where("halves IS NOT NULL").select("id", F.xxhash64("id").alias("h"), F.explode("halves").alias("half")).select(
         "id", "h", "half.side", "half.key")
     shared = keys.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key")
     sides = keys.join(shared, "key").groupBy("id").agg(F.collect_set("side").alias("sides"))  # at most two
-    wanted = written(sides.join(distinct.select("id", "first"), "id").select(
-        "id", "sides", "first", F.col("first.doc_id").alias("of"), F.col("first.row").alias("of_row"),
-        F.col("first.pos").alias("of_pos")), "line-candidates")
-    lines = _lines(docs, row)
-    at = (lines["doc_id"].eqNullSafe(F.col("of")) & (lines["row"] == F.col("of_row")) & (lines["pos"] == F.col("of_pos")))
-    candidates = written(lines.join(_small(wanted, broadcast_rows), at).select(
-        "id", "sides", "first", normal(F.col("raw")).alias("line")).dropDuplicates(["id"]), "line-texts")
+    wanted = sides.join(distinct.select("id", "first"), "id")
+    candidates = _texts(docs, row, wanted, "sides", broadcast_rows)
     variants = written(_variants(candidates.select("id", "line", F.explode("sides").alias("side"))), "line-variants")
     # a variant that two lines have; the rest, which is nearly all, ends here
     common = variants.groupBy("variant").agg(
@@ -119,16 +153,41 @@ def _near(docs: DataFrame, row: Column, distinct: DataFrame, broadcast_rows: int
     return verified.select("id").distinct()
 
 
-def removed_lines(docs: DataFrame, row: Column, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def _further(docs: DataFrame, row: Column, distinct: DataFrame, near: DataFrame, broadcast_rows: int, edits: int) -> DataFrame:
+    """Ids of the distinct lines, those of ``near`` aside, that an earlier line is within
+    ``edits`` edits of."""
+    keys = distinct.select("id", F.xxhash64("id").alias("h"), F.explode("parts").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key")
+    wanted = keys.join(shared, "key").groupBy("id").agg(F.collect_set("key").alias("keys"))  # as many as parts
+    candidates = _texts(docs, row, wanted.join(distinct.select("id", "first"), "id"), "keys", broadcast_rows)
+    # written, so that both sides are plain shuffles and AQE splits those of crowded parts
+    at = written(candidates.select("id", "first", F.explode("keys").alias("key")), "line-parts")
+    earlier = at.select("key", F.col("id").alias("other"), F.col("first").alias("other_first"))
+    pairs = at.join(_small(near, broadcast_rows), "id", "left_anti").join(earlier, "key").where(F.col("other_first") < F.col("first")).select("id", "other").distinct()
+    others = candidates.select(F.col("id").alias("other"), F.col("line").alias("other_line"))
+    bound = F.least(F.lit(edits), F.floor(F.least(F.char_length("line"), F.char_length("other_line")) / MIN_NEAR))
+    distance = F.levenshtein("line", "other_line", edits)
+    return pairs.join(candidates.select("id", "line"), "id").join(others, "other").where(
+        (distance >= 0) & (distance <= bound)).select("id").distinct()
+
+
+def removed_lines(docs: DataFrame, row: Column, broadcast_rows: int = BROADCAST_ROWS, edits: int = 1) -> DataFrame:
     """``(doc_id, row, removed)``: for each document that loses lines their numbers."""
+    if edits < 1:
+        raise ValueError("edits must be 1 or more")
     # blank lines are told by the raw line: a filter on the normal form would compute it twice
     lines = _lines(docs, row).where(F.col("raw").rlike(r"[^\x20\x09-\x0D]")).select(
         "doc_id", "row", "pos", normal(F.col("raw")).alias("line"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "pos")
-    found = written(lines.select(F.unhex(F.md5("line")).alias("id"), place.alias("place"), _halves(F.col("line")).alias("halves")), "lines")
-    distinct = written(found.groupBy("id").agg(F.min("place").alias("first"), F.max("place").alias("last"),
-                                               F.first("halves").alias("halves")), "distinct-lines")
-    near = _near(docs, row, distinct, broadcast_rows).select("id", F.lit(True).alias("near"))
+    shares = [_halves(F.col("line")).alias("halves")] + ([_parts(F.col("line"), edits).alias("parts")] if edits > 1 else [])
+    found = written(lines.select(F.unhex(F.md5("line")).alias("id"), place.alias("place"), *shares), "lines")
+    firsts = [F.first(c).alias(c) for c in found.columns[2:]]
+    distinct = written(found.groupBy("id").agg(F.min("place").alias("first"), F.max("place").alias("last"), *firsts), "distinct-lines")
+    near = _near(docs, row, distinct, broadcast_rows)
+    if edits > 1:
+        near = written(near, "near-lines")
+        near = near.union(_further(docs, row, distinct, near, broadcast_rows, edits))
+    near = near.select("id", F.lit(True).alias("near"))
     # written, so that both sides of the next join are plain shuffles: AQE splits those of hot lines
     loses = written(distinct.select("id", "first", "last").join(near, "id", "left").where("near OR first <> last").select(
         "id", "first", F.coalesce("near", F.lit(False)).alias("near")), "lines-lost")
@@ -138,9 +197,10 @@ def removed_lines(docs: DataFrame, row: Column, broadcast_rows: int = BROADCAST_
 
 
 def dedup_lines(docs: DataFrame, n_lines: str | None = None, n_removed: str | None = None,
-                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                broadcast_rows: int = BROADCAST_ROWS, edits: int = 1) -> DataFrame:
     """``docs`` with later copies and near copies of lines taken out of ``text``;
-    other columns as they are, and the line counts if named.
+    other columns as they are, and the line counts if named. Near is within one
+    edit for each ``MIN_NEAR`` characters of the shorter line, up to ``edits``.
 
     Of equal ``doc_id`` the row with the smaller row hash is the earlier, a null
     ``doc_id`` is later than all; wholly equal rows count as one document and
@@ -149,7 +209,7 @@ def dedup_lines(docs: DataFrame, n_lines: str | None = None, n_removed: str | No
     row = private_name(docs, "row")
     gone = private_name(docs, "removed")
     hashed = row_hash(docs)
-    removed = written(removed_lines(docs, hashed, broadcast_rows), "removed-lines")
+    removed = written(removed_lines(docs, hashed, broadcast_rows, edits), "removed-lines")
     total = removed.agg(F.sum(F.size("removed"))).first()[0] or 0
     keyed = docs.withColumn(row, hashed)
     side = removed.select(F.col("doc_id").alias("of"), F.col("row").alias("of_row"), F.col("removed").alias(gone))
@@ -166,11 +226,11 @@ def dedup_lines(docs: DataFrame, n_lines: str | None = None, n_removed: str | No
     return joined.select(*[text.alias(c) if c == "text" else col(joined, c).alias(c) for c in docs.columns], *counts)
 
 
-def drop_emptied(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def drop_emptied(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, edits: int = 1) -> DataFrame:
     """``dedup_lines``, without the documents that lost every line that was not
     blank; documents that had none before stay."""
     count = private_name(docs, "removed")
-    deduped = dedup_lines(docs, n_removed=count, broadcast_rows=broadcast_rows)
+    deduped = dedup_lines(docs, n_removed=count, broadcast_rows=broadcast_rows, edits=edits)
     blank = F.trim(F.regexp_replace(col(deduped, "text"), r"[\x20\x09-\x0D]+", " ")) == ""
     return deduped.where((F.col(count) == 0) | ~blank).drop(count)
 
