@@ -4,9 +4,10 @@ The join finds every text block (paragraph) that holds at least ``threshold`` of
 a template's distinct words. Template words are put in one global order, the
 rarest in the corpus first. If a block holds ``need`` of a template's words, it
 holds one of the first ``size - need + 1`` of them, so only those are joined on
-(prefix filter). A block with fewer than ``need`` template words is no candidate
-(length filter), nor is one whose first joined word stands so late in the order
-that too few words follow (positional filter). Whoever is left is compared.
+(prefix filter, on the template's side alone: all known words of a block are
+joined). A block with fewer than ``need`` template words is no candidate (length
+filter). Whoever is left is compared; the prefix already leaves ``need`` words from
+a joined one on, so the test of its place drops nothing.
 """
 
 from __future__ import annotations
