@@ -5,7 +5,7 @@ import pandas as pd
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations", "embeddings")
 
 LONG = " ".join(f"word{i % 977} of line" for i in range(40_000))
 ODD_TEXTS = [

@@ -24,8 +24,11 @@ def query(name: str, oracle: str | None = None):
 
 from textflow.llm import (  # noqa: E402,F401  -- the modules register themselves
     chat_format,
+    conversation_repair,
     decontaminate,
+    fill_middle,
     imatch,
+    knn_join,
     license_scan,
     line_dedup,
     mixing,
