@@ -336,7 +336,63 @@ def digests(turns: DataFrame) -> DataFrame:
     return hashed.select(F.col("conv_id").cast(turns.schema["conv_id"].dataType).alias("conv_id"), "sha256")
 
 
-@query("op11_conversation_repair")
+_WS = r"\x20\x09-\x0D"
+OP11_SQL = rf"""
+WITH RECURSIVE crc AS (  -- the table of CRC-32, by its polynomial
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+         lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS t),
+faulty AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(
+           string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+           lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)]))) % 20 AS fault
+  FROM conversations, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role, copy,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM faulty)),
+judged AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+         NOT regexp_matches(text, '[^{_WS}]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+         regexp_matches(text, '[^{_WS}.!?][{_WS}]*\z') AS ragged FROM damaged),
+marked AS (
+  SELECT conv_id, turn, role, text, n, role[1] AS i, blank, again AND NOT blank AS again, ragged AND NOT again AND NOT blank AS ragged,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY n) || role[1] NOT IN ('su', 'ua', 'au') AS illegal FROM judged),
+told AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+         count(*) FILTER (WHERE again) AS duplicate, count(*) FILTER (WHERE ragged) AS truncated,
+         count(*) FILTER (WHERE illegal) AS illegal, count(*) AS rows FROM marked GROUP BY conv_id),
+put (p, q, c, a, o) AS (  -- insertions from a place of the role pattern to another
+  SELECT p, p, 0, '', CAST([] AS VARCHAR[]) FROM range(4) r(p) UNION ALL VALUES
+  (0, 2, {INSERT}, 'I', ['user:']), (1, 2, {INSERT}, 'I', ['user:']), (3, 2, {INSERT}, 'I', ['user:']), (2, 3, {INSERT}, 'I', ['assistant:']),
+  (0, 3, {2 * INSERT}, 'II', ['user:', 'assistant:']), (1, 3, {2 * INSERT}, 'II', ['user:', 'assistant:'])),
+edit (p, q, c, a, i, o) AS (  -- what a row may do: its initial if it is kept, its role if it is new
+  SELECT p, p, {DELETE}, 'D', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM range(4) r(p) UNION ALL VALUES
+  (0, 1, {KEEP}, 'K', 's', NULL), (0, 2, {KEEP}, 'K', 'u', NULL), (1, 2, {KEEP}, 'K', 'u', NULL), (3, 2, {KEEP}, 'K', 'u', NULL),
+  (2, 3, {KEEP}, 'K', 'a', NULL), (0, 2, {REROLE}, 'R', NULL, 'user'), (1, 2, {REROLE}, 'R', NULL, 'user'),
+  (3, 2, {REROLE}, 'R', NULL, 'user'), (2, 3, {REROLE}, 'R', NULL, 'assistant')),
+chart AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS p, row(CAST(0 AS BIGINT), '') AS best, CAST([] AS VARCHAR[]) AS lines FROM told
+  UNION ALL
+  SELECT conv_id, n, p, min(best), arg_min(lines, best) FROM (
+    SELECT h.conv_id, m.n, CAST(e.q AS BIGINT) AS p,
+           row(CAST(h.best[1] + u.c + e.c + CASE WHEN m.ragged AND e.a <> 'D' THEN {RAGGED} ELSE 0 END AS BIGINT), h.best[2] || u.a || e.a) AS best,
+           list_concat(h.lines, u.o, CASE e.a WHEN 'D' THEN [] ELSE [coalesce(e.o, m.role) || ':' || m.text] END) AS lines
+    FROM chart h JOIN marked m ON m.conv_id = h.conv_id AND m.n = h.n + 1 JOIN put u ON u.p = h.p JOIN edit e ON e.p = u.q
+    WHERE e.a = 'D' OR NOT (m.blank OR m.again) AND (e.i IS NULL OR e.i = m.i)) GROUP BY conv_id, n, p),
+ended AS (
+  SELECT t.conv_id, row(h.best[1] + u.c, h.best[2] || u.a) AS best, list_concat(h.lines, u.o) AS lines
+  FROM told t JOIN chart h ON h.conv_id = t.conv_id AND h.n = t.rows JOIN put u ON u.p = h.p WHERE u.q IN (0, 3)),
+least_ones AS (SELECT conv_id, min(best) AS best, arg_min(lines, best) AS lines FROM ended GROUP BY conv_id)
+SELECT c.conv_id, {', '.join(f'CAST(coalesce({x}, 0) AS BIGINT) AS {x}' for x in ('gaps', 'blank', 'duplicate', 'truncated', 'illegal'))},
+       CAST(coalesce(l.best[1], 0) AS BIGINT) AS cost, coalesce(l.best[2], '') AS audit,
+       sha256(coalesce(array_to_string(l.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN told t ON t.conv_id = c.conv_id LEFT JOIN least_ones l ON l.conv_id = c.conv_id
+"""
+
+
+@query("op11_conversation_repair", OP11_SQL)
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     fixed = repair(damage(conversations))

@@ -255,8 +255,8 @@ def knn_join(data: DataFrame, queries: DataFrame, k: int, id_col: str = "id", ve
 
 OP12_SQL = f"""
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, x -> floor({SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score
   FROM vectors q JOIN vectors d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0)
