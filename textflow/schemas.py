@@ -73,6 +73,49 @@ BATCH_METRICS = T.StructType(
     ]
 )
 
+# Which model version a batch is scored by, written before it is scored.
+BATCH_VERSIONS = T.StructType(
+    [
+        T.StructField("query_id", T.StringType(), False),
+        T.StructField("batch_id", T.LongType(), False),
+        T.StructField("model_version", T.StringType(), True),
+        T.StructField("uri", T.StringType(), True),
+        T.StructField("pinned_at", T.TimestampType(), True),
+    ]
+)
+
+# Files of the prediction table; ``committed_at`` is when their batch (or compaction) was recorded.
+OUTPUT_FILES = T.StructType(
+    [
+        T.StructField("path", T.StringType(), False),
+        T.StructField("n_rows", T.LongType(), True),
+        T.StructField("n_bytes", T.LongType(), True),
+        T.StructField("modified", T.TimestampType(), True),
+        T.StructField("committed_at", T.TimestampType(), True),
+        T.StructField("date", T.StringType(), True),
+        T.StructField("query_id", T.StringType(), True),
+        T.StructField("batch_id", T.LongType(), True),
+    ]
+)
+
+# Events of streaming queries: kind is started, progress or terminated.
+STREAM_EVENTS = T.StructType(
+    [
+        T.StructField("kind", T.StringType(), False),
+        T.StructField("id", T.StringType(), False),
+        T.StructField("run_id", T.StringType(), False),
+        T.StructField("name", T.StringType(), True),
+        T.StructField("batch_id", T.LongType(), True),
+        T.StructField("num_input_rows", T.LongType(), True),
+        T.StructField("input_rows_per_second", T.DoubleType(), True),
+        T.StructField("processed_rows_per_second", T.DoubleType(), True),
+        T.StructField("trigger_ms", T.LongType(), True),
+        T.StructField("timestamp", T.StringType(), True),
+        T.StructField("error", T.StringType(), True),
+        T.StructField("logged_at", T.TimestampType(), False),
+    ]
+)
+
 
 def parse_schema(spec: str | dict | T.StructType) -> T.StructType:
     """Accept a StructType, a JSON schema (string or dict) or a DDL string."""

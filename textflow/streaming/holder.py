@@ -3,40 +3,39 @@
 from __future__ import annotations
 
 import time
-from threading import Lock
+from dataclasses import dataclass, replace
 
 
-class ModelHolder:
-    """Thread-safe ``(model, version, uri)`` plus the time of the last
-    successful registry poll."""
+@dataclass(frozen=True)
+class Serving:
+    """What is being served: replaced as a whole in one assignment, so a reader in
+    another thread never sees one version's model under another's number."""
+
+    model: object = None
+    version: str | None = None
+    uri: str | None = None
+    polled_at: float = 0.0    # last successful registry poll
 
+
+class ModelHolder:
     def __init__(self):
-        self._lock = Lock()
-        self.model = None
-        self.version = None
-        self.uri = None
-        self.last_checked = 0.0
-
-    def get(self):
-        with self._lock:
-            return self.model, self.version, self.uri
-
-    def set(self, model, version, uri):
-        with self._lock:
-            old = self.model
-            self.model, self.version, self.uri = model, version, uri
-            self.last_checked = time.time()
-        if old is not None and old is not model and hasattr(old, "close"):
-            old.close()
-
-    def mark_checked(self, when: float | None = None):
-        with self._lock:
-            self.last_checked = time.time() if when is None else when
+        self.serving = Serving()
+
+    def get(self) -> tuple:
+        now = self.serving
+        return now.model, now.version, now.uri
+
+    def set(self, model, version, uri, polled_at: float | None = None) -> None:
+        """Swap the model in; the one before is closed."""
+        before = self.serving
+        self.serving = Serving(model, version, uri, time.time() if polled_at is None else polled_at)
+        if before.model is not model and hasattr(before.model, "close"):
+            before.model.close()
+
+    def mark_checked(self, when: float | None = None) -> None:
+        self.serving = replace(self.serving, polled_at=time.time() if when is None else when)
 
     def due(self, interval_seconds: float, now: float | None = None) -> bool:
         """A poll is due when nothing is loaded or the interval has passed."""
-        with self._lock:
-            if self.model is None:
-                return True
-            now = time.time() if now is None else now
-            return now - self.last_checked >= interval_seconds
+        serving = self.serving
+        return serving.model is None or (time.time() if now is None else now) - serving.polled_at >= interval_seconds

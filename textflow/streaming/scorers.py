@@ -18,6 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Columns that begin so are the toolkit's own: a model doesn't see them.
+INTERNAL = "__textflow_"
+
+
 class SparkModelScorer:
     flavor = "spark"
 
@@ -49,7 +53,7 @@ class PythonModelScorer:
         if self._broadcast is None:
             self._broadcast = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(self.model))
         shared = self._broadcast
-        cols = self.input_cols or tuple(c for c in df.columns if c != "ingest_time")
+        cols = self.input_cols or tuple(c for c in df.columns if c != "ingest_time" and not c.startswith(INTERNAL))
 
         @F.pandas_udf("double")
         def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:

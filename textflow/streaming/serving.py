@@ -2,20 +2,24 @@
 
 Per batch (``foreachBatch``), on the driver:
 
-1. skip an empty batch;
-2. poll the registry when the reload interval has passed (every successful
-   poll restarts the interval) and swap in a newer version -- only *between*
-   batches, so one batch is always scored by one model; a failed poll or load
-   keeps the cached model, and with no model at all the batch *raises* so it
-   is not committed and is replayed after a restart;
-3. score the rows that have a text; the rows without one (an ML tokenizer would
+1. a batch that was tried before is scored by the version it was pinned to
+   (``pins.py``). For a new one poll the registry when the reload interval has
+   passed (every successful poll restarts the interval) and swap in a newer
+   version -- only *between* batches, so one batch is always scored by one
+   model; a failed poll or load keeps the cached model, and with no model at all
+   a batch with rows *raises* so it is not committed and is replayed after a
+   restart. The version is pinned before anything is scored;
+2. score the rows that have a text; the rows without one (an ML tokenizer would
    fail the whole batch, and every replay of it) get a null prediction and are
    counted; keep the known output columns, stamp ``model_version`` and the
    UTC ``date`` of ``ingest_time`` (set in the streaming plan, hence equal
    across actions and across a replay of the batch);
-4. persist once (scored at the source's parallelism), write Parquet with as
-   few files as the row count needs (dynamic overwrite by date/query/batch),
-   then the optional JSON and Kafka copies, then the batch metrics; unpersist.
+3. one job reads, scores and persists the batch (at the source's parallelism);
+   its row counts, bytes and dates are observed on the way, so no job counts
+   them. An empty batch ends here;
+4. write Parquet with as few files as the row count needs (dynamic overwrite by
+   date/query/batch), then the optional JSON and Kafka copies, the manifest of
+   the files and the batch metrics; unpersist.
 
 Required steps raise; optional sinks follow ``on_error`` ('raise' or 'warn').
 """
@@ -27,20 +31,21 @@ import time
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textflow.functions.payload import parse_flag
 from textflow.operators import auc as auc_ops
 from textflow.operators.layout import spread
-from textflow.operators.prep import ensure_text_column, split_null_text
+from textflow.operators.prep import ensure_text_column
 from textflow.operators.registry import Registry
 from textflow.schemas import BATCH_METRICS
 from textflow.sources.stream import FILE_FORMATS, file_stream, kafka_stream
-from textflow.streaming import sinks
+from textflow.streaming import manifest, sinks
 from textflow.streaming.holder import ModelHolder
-from textflow.streaming.scorers import load_scorer
+from textflow.streaming.pins import BatchVersions
+from textflow.streaming.scorers import INTERNAL, load_scorer
 
 log = logging.getLogger("textflow.serving")
 
@@ -86,6 +91,9 @@ class ServingConfig:
     kafka_output_bootstrap: str | None = None
     kafka_output_topic: str | None = None
     metrics_path: str | None = None
+    pin_versions: bool = True                 # a replayed batch keeps the version of its first attempt
+    pins_path: str | None = None              # None: _batch_versions beside the output's dates
+    write_manifest: bool = True               # record the files of each batch (manifest.py)
     on_error: str = "raise"                   # optional sinks: "raise" | "warn"
     score_partitions: int | None = None       # spread a batch before scoring (None: source's partitions)
     rows_per_file: int = 1_000_000            # a batch's output files: as many as rows_per_file
@@ -174,11 +182,15 @@ def _query_id(spark: SparkSession, given: str | None) -> str:
 
 
 def score_rows_with_text(scorer, batch: DataFrame) -> DataFrame:
-    """``scorer`` over the rows with a text; the others follow with a null
-    prediction (and null scores)."""
-    with_text, without = split_null_text(batch)
-    scored = scorer.score(with_text)
-    return scored.unionByName(without.withColumn("prediction", F.lit(None).cast("double")), allowMissingColumns=True)
+    """``scorer`` over the rows with a text; the others get a null in every column
+    that it adds. One pass: a null text is scored as an empty one and what comes of
+    it left out, so the batch isn't read once for each kind of row."""
+    none = INTERNAL + "no_text"
+    marked = batch.withColumn(none, F.col("text").isNull()).withColumn("text", F.coalesce("text", F.lit("")))
+    scored = scorer.score(marked)
+    given = {c for c in batch.columns if c != "text"}
+    return scored.select(*[F.col(f"`{c}`") if c in given else F.when(~F.col(none), F.col(f"`{c}`")).alias(c)
+                           for c in scored.columns if c != none])
 
 
 @dataclass
@@ -189,8 +201,9 @@ class BatchScorer:
     resolver: Callable[[], tuple] | None = None     # () -> (version, uri)
     loader: Callable[[str], object] | None = None   # uri -> scorer
     holder: ModelHolder = field(default_factory=ModelHolder)
-    history: list = field(default_factory=list)     # per-batch metric rows (driver, bounded by batches kept)
+    history: list = field(default_factory=list)     # rows of the last batches; metrics_path keeps them all
     keep_history: int = 1000
+    batches: int = 0                                # batches scored, also those that history has dropped
 
     # model ---------------------------------------------------------------
     def current_model(self):
@@ -211,6 +224,35 @@ class BatchScorer:
             raise NoModelError("no model available; batch not committed")
         return model, version
 
+    def pins(self, spark: SparkSession) -> BatchVersions | None:
+        if not self.cfg.pin_versions:
+            return None
+        return BatchVersions(spark, self.cfg.pins_path or f"{self.cfg.output_path.rstrip('/')}/_batch_versions")
+
+    def model_for(self, spark: SparkSession, query_id: str, batch_id: int):
+        """The model of a batch: the version that an earlier attempt was pinned to, else
+        the current one, which is pinned now.
+
+        A pinned version that can't be loaded raises: to score the batch by another one
+        would mix versions. Only a fixed scorer, which has no place to be loaded from,
+        scores a replay whatever its version; that is pinned anew."""
+        pins = self.pins(spark)
+        found = pins.pinned(query_id, batch_id) if pins else None
+        if found is not None:
+            version, uri = found
+            held = self.holder.get()
+            if held[0] is not None and str(held[1]) == str(version):
+                return held[0], version
+            if uri is not None and self.loader is not None:
+                log.info("batch %s is a replay: model version %s from %s", batch_id, version, uri)
+                self.holder.set(self.loader(uri), version, uri, polled_at=0.0)   # the next batch polls
+                return self.holder.get()[0], version
+            log.warning("batch %s was scored by version %s, which has no place to load it from", batch_id, version)
+        model, version = self.current_model()
+        if pins:
+            pins.pin(query_id, batch_id, version, self.holder.get()[2])
+        return model, version
+
     # sinks -----------------------------------------------------------------
     def _optional(self, name: str, fn) -> None:
         try:
@@ -223,54 +265,61 @@ class BatchScorer:
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         started = time.time()
         spark = batch_df.sparkSession
-        batch_df = batch_df.persist()   # the source is read once, by the emptiness check
-        try:
-            if not batch_df.isEmpty():
-                self._score_batch(spark, batch_df, batch_id, started)
-        finally:
-            batch_df.unpersist()
-
-    def _score_batch(self, spark: SparkSession, batch_df: DataFrame, batch_id: int, started: float) -> None:
-        scorer, version = self.current_model()
         query_id = _query_id(spark, self.cfg.query_id)
+        try:
+            scorer, version = self.model_for(spark, query_id, batch_id)
+        except Exception:
+            if batch_df.isEmpty():   # nothing to score: no model needed
+                return
+            raise
         batch = ensure_text_column(batch_df)
         if self.cfg.score_partitions:
             batch = spread(batch, self.cfg.score_partitions)
-        rows_in, null_text = batch.agg(F.count(F.lit(1)), F.count_if(F.col("text").isNull())).first()
+        arrived, made = Observation(), Observation()
+        batch = batch.observe(arrived, F.count(F.lit(1)).alias("batch_rows"),
+                              F.count_if(F.col("text").isNull()).alias("null_text_rows"))
         shaped = shape_predictions(score_rows_with_text(scorer, batch), self.cfg.passthrough, version)
         shaped = shaped.withColumn("query_id", F.lit(query_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        shaped = shaped.persist()
+        size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES)
+        shaped = shaped.observe(made, F.count(F.lit(1)).alias("written_rows"), size.alias("n_bytes"),
+                                F.collect_set("date").alias("dates")).persist()
         try:
-            # scored once at the source's parallelism, then written as the few files
-            # that its rows and bytes need (no small-file explosion per batch)
-            written, size = shaped.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES)).first()
-            files = max(-(-written // max(1, self.cfg.rows_per_file)), -(-int(size or 0) // max(1, self.cfg.bytes_per_file)))
-            out = shaped.coalesce(max(1, files))
-            sinks.write_predictions(out, self.cfg.output_path)
-            if parse_flag(self.cfg.write_json):
-                self._optional("json", lambda: sinks.write_json_lines(
-                    out, self.cfg.json_output_path, self.cfg.output_path))
-            if parse_flag(self.cfg.write_kafka):
-                self._optional("kafka", lambda: sinks.write_kafka(
-                    out.drop(*sinks.PARTITION_COLS), self.cfg.kafka_output_bootstrap,
-                    self.cfg.kafka_output_topic))
-            batch_auc = None
-            if "label" in shaped.columns and "rawPrediction" in shaped.columns:
-                batch_auc = auc_ops.area_values_from_raw(shaped.where("prediction IS NOT NULL"), "label")["roc_auc"]
-            row = {
-                "query_id": query_id, "batch_id": int(batch_id), "model_version": version,
-                "batch_rows": int(rows_in), "written_rows": int(written), "null_text_rows": int(null_text),
-                "batch_auc": batch_auc, "elapsed_seconds": time.time() - started,
-            }
-            if self.cfg.metrics_path:
-                self._optional("metrics", lambda: sinks.write_batch_metrics(spark, self.cfg.metrics_path, row))
-            self.history.append(row)
-            del self.history[:-self.keep_history]
-            log.info("batch %s: %s rows in %.2fs (model %s)", batch_id, row["written_rows"],
-                     row["elapsed_seconds"], version)
+            shaped.write.format("noop").mode("overwrite").save()   # the one pass over the source
+            seen = {**arrived.get, **made.get}
+            if seen["batch_rows"]:
+                self._write(spark, shaped, seen, query_id, batch_id, version, started)
         finally:
             shaped.unpersist()
 
+    def _write(self, spark: SparkSession, shaped: DataFrame, seen: dict, query_id: str, batch_id: int,
+               version: str, started: float) -> None:
+        cfg = self.cfg
+        # as few files as rows and bytes need (no small-file explosion per batch)
+        files = max(-(-seen["written_rows"] // max(1, cfg.rows_per_file)), -(-int(seen["n_bytes"] or 0) // max(1, cfg.bytes_per_file)))
+        out = shaped.coalesce(max(1, files))
+        sinks.write_predictions(out, cfg.output_path)
+        if parse_flag(cfg.write_json):
+            self._optional("json", lambda: sinks.write_json_lines(out, cfg.json_output_path, cfg.output_path))
+        if parse_flag(cfg.write_kafka):
+            self._optional("kafka", lambda: sinks.write_kafka(
+                out.drop(*sinks.PARTITION_COLS), cfg.kafka_output_bootstrap, cfg.kafka_output_topic))
+        if cfg.write_manifest:
+            self._optional("manifest", lambda: manifest.record(spark, cfg.output_path, seen["dates"], query_id, batch_id))
+        batch_auc = None
+        if "label" in shaped.columns and "rawPrediction" in shaped.columns:
+            batch_auc = auc_ops.area_values_from_raw(shaped.where("prediction IS NOT NULL"), "label")["roc_auc"]
+        row = {
+            "query_id": query_id, "batch_id": int(batch_id), "model_version": version,
+            **{k: int(seen[k]) for k in ("batch_rows", "written_rows", "null_text_rows")},
+            "batch_auc": batch_auc, "elapsed_seconds": time.time() - started,
+        }
+        if cfg.metrics_path:
+            self._optional("metrics", lambda: sinks.write_batch_metrics(spark, cfg.metrics_path, row))
+        self.batches += 1
+        self.history.append(row)
+        del self.history[:-self.keep_history]
+        log.info("batch %s: %s rows in %.2fs (model %s)", batch_id, row["written_rows"], row["elapsed_seconds"], version)
+
 
 def start_serving(
     spark: SparkSession,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from textflow.functions.payload import jsonable, pack_json
 from textflow.schemas import BATCH_METRICS
+from textflow.streaming import manifest
 
 PARTITION_COLS = ("date", "query_id", "batch_id")
 
@@ -127,5 +128,6 @@ def compact_date(spark, path: str, date: str, rows_per_file: int = 1_000_000) ->
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.catalog.dropTempView(view)
+    manifest.compacted(spark, path, date)   # before the stage goes: a call after a crash does both again
     files.delete(folder, True)
     return n
