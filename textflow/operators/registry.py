@@ -196,9 +196,19 @@ class Registry:
                        stage: str | None = None) -> tuple[str, str]:
         """Save ``model`` under ``<root>/models/<name>/<version>`` and record it.
         The version is claimed first, and a saved model is never overwritten."""
+        return self._register(name, lambda uri: model.write().save(uri), run_id, stage)
+
+    def register_python_model(self, name: str, model, run_id: str | None = None,
+                              stage: str | None = None) -> tuple[str, str]:
+        """The same for a Python model, saved as the ``python`` flavor loads it."""
+        from textflow.streaming.scorers import save_python_model
+
+        return self._register(name, lambda uri: save_python_model(self.spark, model, uri), run_id, stage)
+
+    def _register(self, name: str, save, run_id: str | None, stage: str | None) -> tuple[str, str]:
         version = str(self._claim(name, self.next_version(name)))
         uri = f"{self.root}/models/{name}/{version}"
-        model.write().save(uri)
+        save(uri)
         self._append_rows("model_versions", [(name, version, stage, uri, run_id, _now())])
         return version, uri
 

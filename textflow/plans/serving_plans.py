@@ -4,9 +4,12 @@ micro-batch) and the written tables are read back."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textflow.operators import monitor
@@ -17,6 +20,9 @@ from textflow.plans.catalog import plan, r6, table
 from textflow.plans.text_plans import labelled_text
 from textflow.session import scratch_path
 from textflow.sources.predictions import read_json_predictions, read_predictions
+from textflow.streaming import manifest
+from textflow.streaming.pins import BatchVersions
+from textflow.streaming.progress import attach
 from textflow.streaming.scorers import (
     NearestCentroidModel,
     PythonModelScorer,
@@ -25,12 +31,15 @@ from textflow.streaming.scorers import (
 )
 from textflow.streaming.serving import (
     KNOWN_COLUMNS,
+    BatchScorer,
     ServingConfig,
+    build_stream,
     read_batch_metrics,
+    registry_resolver,
     start_serving,
     utc_date,
 )
-from textflow.streaming.sinks import write_predictions
+from textflow.streaming.sinks import compact_date, write_predictions
 
 MODEL_VERSION = "centroid-1"
 FILES_PER_TRIGGER = 10    # the reference's deployed setting
@@ -176,6 +185,102 @@ def q_stream_restart(spark, sf_dir):
         F.max("prediction").alias("prediction"), F.count(F.lit(1)).cast("int").alias("n_rows"))
 
 
+class _FailOnce:
+    """A batch callback that fails once, after a batch was written and before its commit."""
+
+    def __init__(self, handler):
+        self.handler, self.failed = handler, False
+
+    def __call__(self, batch, batch_id):
+        self.handler(batch, batch_id)
+        if not self.failed:
+            self.failed = True
+            raise RuntimeError(f"batch {batch_id} fails after its output was written")
+
+
+# The second version looks at the characters that the table states alone.
+CHARS_SQL = """
+SELECT d.doc_id, CAST(arg_min(c, abs(d.n_chars - m2)) AS DOUBLE) AS prediction
+FROM documents d, (SELECT l.quality AS c, avg(d.n_chars) AS m2 FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY l.quality)
+WHERE d.text IS NOT NULL GROUP BY d.doc_id
+"""
+
+
+@plan(
+    "stream_version_pin",
+    f"""
+    SELECT a.doc_id, CASE WHEN a.doc_id % 2 = 0 THEN a.prediction ELSE b.prediction END AS prediction,
+           CASE WHEN a.doc_id % 2 = 0 THEN '1' ELSE '2' END AS model_version, 1 AS versions_in_batch, TRUE AS as_pinned
+    FROM ({PREDICT_SQL}) a JOIN ({CHARS_SQL}) b ON a.doc_id = b.doc_id
+    """,
+)
+def q_stream_version_pin(spark, sf_dir):
+    """A batch that failed after it was written is replayed after a newer model version
+    was registered: its version is the one that it was pinned to, and the next batch's
+    the newer one. Each half of the documents is a batch."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    source, registry = scratch_path(spark, "stream-pinned"), Registry(spark, scratch_path(spark, "registry"))
+    cfg = replace(_rule_config(spark, source, "doc_id BIGINT, text STRING, n_chars BIGINT"),
+                  max_files_per_trigger=1_000_000, registry_root=registry.root, model_name="centroid",
+                  model_flavor="python", reload_interval_seconds=0)
+
+    def serve(wrap=lambda handler: handler):
+        handler = BatchScorer(cfg, registry_resolver(spark, cfg), lambda uri: load_scorer(spark, uri, "python"))
+        query = (build_stream(spark, cfg).writeStream.foreachBatch(wrap(handler)).option("checkpointLocation", cfg.checkpoint)
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+
+    halves = [docs.where(F.pmod(F.col("doc_id"), F.lit(2)) == k) for k in (0, 1)]
+    registry.register_python_model("centroid", NearestCentroidModel.fit(labelled, ("text_chars", "n_chars"), "quality"))
+    halves[0].write.option("maxRecordsPerFile", ROWS_PER_INPUT_FILE).json(source)
+    try:
+        serve(_FailOnce)
+    except StreamingQueryException:
+        pass
+    registry.register_python_model("centroid", NearestCentroidModel.fit(labelled, ("n_chars",), "quality"))
+    serve()
+    halves[1].write.mode("append").option("maxRecordsPerFile", ROWS_PER_INPUT_FILE).json(source)
+    serve()
+    out = read_predictions(spark, cfg.output_path)
+    in_batch = out.groupBy("query_id", "batch_id").agg(F.count_distinct("model_version").cast("int").alias("versions_in_batch"))
+    pins = BatchVersions(spark, f"{cfg.output_path}/_batch_versions").table().select(
+        "query_id", "batch_id", F.col("model_version").alias("pinned"))
+    return out.join(in_batch, ["query_id", "batch_id"]).join(pins, ["query_id", "batch_id"]).select(
+        "doc_id", "prediction", "model_version", "versions_in_batch", (F.col("model_version") == F.col("pinned")).alias("as_pinned"))
+
+
+@plan(
+    "stream_progress",
+    """
+    SELECT run, n_rows, 'stopped' AS state, n_rows AS progress_rows, TRUE AS timed FROM (
+      SELECT CAST(1 + doc_id % 3 AS INTEGER) AS run, count(*) AS n_rows FROM documents GROUP BY 1)
+    """,
+)
+def q_stream_progress(spark, sf_dir):
+    """Three runs of a stream from its checkpoint, each over a third of the documents, in
+    the table of progress events: rows and state of each run, and its batches' rows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    source, log_path = scratch_path(spark, "stream-watched"), scratch_path(spark, "progress")
+    cfg = _rule_config(spark, source, "doc_id BIGINT, text STRING, n_chars BIGINT")
+    scorer = centroid_scorer(spark, sf_dir)
+    for part in range(3):
+        docs.where(F.pmod(F.col("doc_id"), F.lit(3)) == part).write.mode("append").option(
+            "maxRecordsPerFile", ROWS_PER_INPUT_FILE).json(source)
+        log = attach(spark, log_path)   # a log of its own for each run, as of sessions that follow each other
+        try:
+            query, _ = start_serving(spark, cfg, scorer=scorer, scorer_version=MODEL_VERSION)
+            query.awaitTermination()
+            log.wait_for(query.runId)
+        finally:
+            spark.streams.removeListener(log)
+            log.flush()
+    runs = monitor.stream_runs(spark, log_path)
+    by_batch = log.frame().groupBy("run_id").agg(F.sum("num_input_rows").alias("progress_rows"), (F.min("trigger_ms") > 0).alias("timed"))
+    return runs.join(by_batch, "run_id").select(
+        F.row_number().over(Window.orderBy("first_seen")).alias("run"), "n_rows", "state", "progress_rows", "timed")   # three rows
+
+
 @plan(
     "batch_metrics",
     """
@@ -280,10 +385,58 @@ def q_predictions_one_date(spark, sf_dir):
     return read_predictions(spark, path, date=first).select("event_id", "prediction")
 
 
-@plan("recent_outputs")
+def _event_dates_rewritten(spark: SparkSession, sf_dir: str) -> str:
+    """The events' prediction table with a manifest, its five oldest dates written again
+    one by one (late or replayed batches), the oldest last."""
+    events = table(spark, sf_dir, "events")
+    dated = events.select("event_id", F.col("value").alias("prediction"), F.date_format("ts", "yyyy-MM-dd").alias("date"),
+                          F.lit("events").alias("query_id"), F.lit(0).cast("bigint").alias("batch_id"))
+    path = scratch_path(spark, "event-predictions")
+    write_predictions(dated, path)
+    dates = sorted(r["date"] for r in dated.select("date").distinct().collect())   # a row a day
+    manifest.record(spark, path, dates, "events", 0)
+    for date in reversed(dates[:5]):
+        write_predictions(dated.where(F.col("date") == date).coalesce(1), path)
+        manifest.record(spark, path, [date], "events", 0)
+    return path
+
+
+@plan(
+    "recent_outputs",
+    """
+    SELECT row_number() OVER (ORDER BY date) AS place, date, n_rows, TRUE AS sized FROM (
+      SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n_rows FROM events GROUP BY 1 ORDER BY 1 LIMIT 5)
+    """,
+)
 def q_recent_outputs(spark, sf_dir):
-    """The five newest part-files of the prediction table."""
-    return monitor.recent_files(spark, _events_as_predictions(spark, sf_dir), n=5)
+    """The five newest files of the prediction table, from its manifest: the oldest dates
+    were written last, so they stand before all later dates."""
+    path = _event_dates_rewritten(spark, sf_dir)
+    newest = monitor.recent_files(spark, path, n=5)
+    counts = manifest.files(spark, path).select("path", "date", "n_rows", "n_bytes")
+    place = F.row_number().over(Window.orderBy(F.desc("modified"), F.desc("path")))   # five rows
+    return newest.withColumn("place", place.cast("bigint")).join(counts, "path").select(
+        "place", "date", "n_rows", ((F.col("size") == F.col("n_bytes")) & (F.col("size") > 0)).alias("sized"))
+
+
+@plan(
+    "output_manifest",
+    """
+    SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n_rows, count(*) AS n_read,
+           strftime(ts, '%Y-%m-%d') = (SELECT min(strftime(ts, '%Y-%m-%d')) FROM events) AS compacted
+    FROM events GROUP BY 1
+    """,
+)
+def q_output_manifest(spark, sf_dir):
+    """Rows of each date by the manifest, after late batches and the compaction of a
+    date, beside the rows that are read back."""
+    path = _event_dates_rewritten(spark, sf_dir)
+    first = manifest.files(spark, path).agg(F.min("date")).first()[0]
+    compact_date(spark, path, first)
+    told = manifest.files(spark, path).groupBy("date").agg(
+        F.sum("n_rows").alias("n_rows"), F.bool_and(F.col("query_id") == manifest.COMPACTED).alias("compacted"))
+    read = read_predictions(spark, path).groupBy("date").agg(F.count(F.lit(1)).alias("n_read"))
+    return told.join(read, "date").select("date", "n_rows", "n_read", "compacted")
 
 
 @plan("recent_outputs_24h", "SELECT TRUE AS within_24h, count(*) > 0 AS any_file FROM events")
