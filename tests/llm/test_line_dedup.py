@@ -1,6 +1,8 @@
 import random
+import time
 
 from helpers import odd_docs
+from textflow.llm import line_dedup
 from textflow.llm.line_dedup import dedup_lines, drop_emptied, normal
 from pyspark.sql import functions as F
 
@@ -104,3 +106,48 @@ def test_odd_rows(spark):
 def test_normal_form(spark):
     df = spark.createDataFrame([("  A\t b\x0bC ",)], "raw string").select(normal(F.col("raw")).alias("n"))
     assert df.first()["n"] == "a b c"
+
+
+def variants(line, most=2):
+    """The line with up to ``most`` characters left out."""
+    found, last = {line}, {line}
+    for _ in range(most):
+        last = {s[:k] + s[k + 1:] for s in last for k in range(len(s))}
+        found |= last
+    return found
+
+
+def test_crowded_parts_against_brute_force(spark, monkeypatch):
+    """One large group of near copies: lines that share parts with hundreds of others."""
+    draw = random.Random(11)
+    base = "".join(draw.choice("abcdefgh ") for _ in range(47)).strip().ljust(47, "z")
+    docs = []
+    for i in range(420):
+        line = list(base)
+        for _ in range(draw.choice([1, 1, 2, 3])):
+            at = draw.randrange(len(line))
+            line[at:at + draw.randint(0, 1)] = draw.choice(["", "x", "yz", "éé", "b", "q"])
+        docs.append((i, " ".join("".join(line).split())))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    by_variant, wanted = {}, set()
+    for i, line in docs:
+        mine = variants(line)
+        near = {j for v in mine for j in by_variant.get(v, ())}
+        if any(docs[j][1] == line or edits(docs[j][1], line) <= min(2, min(len(line), len(docs[j][1])) // 20) for j in sorted(near)):
+            wanted.add(i)
+        for v in mine:
+            by_variant.setdefault(v, []).append(i)
+    assert 100 < len(wanted) < 400
+    for crowd, blocks in ((32, 16), (1, 16), (1, 5)):
+        monkeypatch.setattr(line_dedup, "CROWD", crowd)
+        monkeypatch.setattr(line_dedup, "BLOCKS", blocks)
+        got = {r["doc_id"] for r in dedup_lines(frame, n_removed="gone", edits=2).where("gone > 0").collect()}
+        assert got == wanted
+
+
+def test_a_document_of_many_equal_lines(spark):
+    frame = spark.createDataFrame([(1, "\n".join(["the same line"] * 100_000)), (2, "a\nb\n\nb")], "doc_id long, text string")
+    began = time.time()
+    got = {r["doc_id"]: (r["text"], r["gone"]) for r in dedup_lines(frame, n_removed="gone").collect()}
+    assert got == {1: ("the same line", 99_999), 2: ("a\nb\n", 1)}
+    assert time.time() - began < 60

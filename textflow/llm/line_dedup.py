@@ -20,8 +20,15 @@ With a larger bound (``edits``) a line also goes for an earlier one within two o
 more edits, one for each ``MIN_NEAR`` characters of the shorter line up to the
 bound. Leaving out two characters would make thousands of variants of a line, so
 these are found by parts: of two lines within k edits, cut into k + 1 parts, one
-part is the same in both, at most k characters away from its place. Lines that
-share a part are compared pair by pair.
+part is the same in both, at most k characters away from its place. Up to ``CROWD``
+lines that share a part are compared pair by pair. Larger groups go on to blocks
+(two edits): two lines, cut into ``BLOCKS`` blocks, are equal in all but one block or
+all but two with an edit in each. Lines that are equal outside a block meet by the
+variants of that block with up to two characters left out; lines that are equal
+outside two blocks by the variants with one left out of each. Variants are only made
+of blocks that another line shares the outside of, and of the second kind only those
+pairs of variants that are shared in either block. So the rows grow with the lines of
+a group, not with their square. (Bounds of three or more compare pair by pair.)
 """
 
 from __future__ import annotations
@@ -37,6 +44,9 @@ MIN_NEAR = 20
 #: Rows of ids or line numbers up to which a side is broadcast (some 20 bytes each);
 #: a larger one is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Lines that share a part which are compared pair by pair, at most; more go by blocks.
+CROWD = 32
+BLOCKS = 16
 
 
 def normal(line: Column) -> Column:
@@ -153,6 +163,117 @@ def _near(docs: DataFrame, row: Column, distinct: DataFrame, broadcast_rows: int
     return verified.select("id").distinct()
 
 
+def _outsides(lines: DataFrame) -> DataFrame:
+    """``(id, first, d, s, two, outside, inner, inner2)``: each line's ways to lie within
+    two edits of another, by blocks.
+
+    Of two such lines let the shorter have ``c`` characters, its blocks cut at
+    ``c * i / BLOCKS``, and the longer ``d`` more. Both edits are in one block, ``d``
+    characters longer in the other line; or one each in two, ``s`` and ``d - s`` longer
+    (-1 to 1). ``outside`` is a hash of all else; a line takes part as the shorter one
+    (``d`` and ``s`` 0) and, with what it may be longer by, as the other."""
+    ways = lines.select("id", "first", "line", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("d"))
+    ways = ways.withColumn("c", F.char_length("line") - F.col("d")).where(F.col("c") >= 2 * MIN_NEAR)
+    ways = ways.select("*", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("i"))
+    later = F.when(F.col("i") < BLOCKS - 1, F.sequence(F.col("i") + 1, F.lit(BLOCKS - 1))).otherwise(F.array().cast("array<int>"))
+    ways = ways.select("*", F.explode(F.concat(F.array(F.lit(-1)), later)).alias("j"))
+    shifts = F.when(F.col("j") < 0, F.array("d")).otherwise(F.sequence(F.greatest(F.lit(-1), F.col("d") - 1), F.least(F.lit(1), F.col("d") + 1)))
+    ways = ways.select("*", F.explode(shifts).alias("s"))
+
+    def bound(block: Column) -> Column:
+        return F.floor(F.col("c") * block / BLOCKS).cast("int")
+
+    two, n = F.col("j") >= 0, F.char_length("line")
+    start, stop = bound(F.col("i")), bound(F.col("i") + 1) + F.col("s")
+    start2, stop2 = bound(F.col("j")) + F.col("s"), bound(F.col("j") + 1) + F.col("d")
+
+    def part(a: Column, b: Column) -> Column:
+        return F.substring("line", a + 1, b - a)
+
+    rest = F.when(two, F.xxhash64(part(stop, start2), part(stop2, n))).otherwise(F.xxhash64(part(stop, n)))
+    return ways.select(
+        "id", "first", "d", "s", two.alias("two"), F.xxhash64("c", "i", "j", part(F.lit(0), start), rest).alias("outside"),
+        part(start, stop).alias("inner"), F.when(two, part(start2, stop2)).alias("inner2"))
+
+
+def _without(text: str, place: Column) -> Column:
+    """The text without the character at ``place`` (0: the whole text)."""
+    return F.when(place == 0, F.col(text)).otherwise(
+        F.concat(F.substring(text, F.lit(1), place - 1), F.substring(F.col(text), place + 1, F.char_length(text))))
+
+
+def _shared(rows: DataFrame, *keys: str) -> DataFrame:
+    """The values of ``keys`` that two lines have, and the rows with them (``n``)."""
+    return rows.groupBy(*keys).agg(F.min(F.xxhash64("id")).alias("lo"), F.max(F.xxhash64("id")).alias("hi"),
+                                   F.count(F.lit(1)).alias("n")).where("lo <> hi").drop("lo", "hi")
+
+
+def _earlier_pairs(rows: DataFrame, key: str) -> DataFrame:
+    """``(id, other)`` of the lines with one key of which ``other`` is the earlier."""
+    others = rows.select(key, F.col("id").alias("other"), F.col("first").alias("other_first"))
+    return rows.select(key, "id", "first").join(others, key).where(F.col("other_first") < F.col("first")).select("id", "other")
+
+
+def _one_block(met: DataFrame) -> DataFrame:
+    """``(id, other)`` for lines that are equal outside one block."""
+    one = met.where("NOT two")
+    few = _earlier_pairs(one.where(F.col("n") <= CROWD), "outside")
+    places = one.where(F.col("n") > CROWD).select("id", "first", "outside", "inner", F.explode(F.sequence(F.lit(0), F.char_length("inner"))).alias("p"))
+    before = F.when(F.col("p") > 1, F.sequence(F.lit(0), F.col("p") - 1)).otherwise(F.array(F.lit(0)))
+    cut = places.select("id", "first", "outside", _without("inner", F.col("p")).alias("once"), F.explode(before).alias("q"))
+    variants = written(cut.select("id", "first", F.xxhash64("outside", _without("once", F.col("q"))).alias("variant")), "block-variants")
+    many = written(variants.join(_shared(variants, "variant").select("variant"), "variant").distinct(), "block-variants-met")
+    return few.union(_earlier_pairs(many, "variant"))
+
+
+def _tokens(rows: DataFrame, inner: str, longer: Column) -> DataFrame:
+    """``rows`` with ``(how, token)``: what a block has in common with one within an edit.
+
+    ``how`` is what the other line's block is longer by. Blocks of one length (0) agree in
+    the place that is left out and in the rest; otherwise the longer one without a
+    character is the shorter one as it is. ``longer`` tells which a row's block is; the
+    shorter line of a pair (``x``) stands ready for all three."""
+    p, x = F.col("p"), F.col("x")
+    placed = rows.select("*", F.explode(F.sequence(F.lit(0), F.char_length(inner))).alias("p"))
+    placed = placed.withColumn("cut", _without(inner, p))
+
+    def token(how: int, when: Column, *of: Column) -> Column:
+        return F.when(when, F.struct(F.lit(how).alias("how"), F.xxhash64(F.lit(how), *of).alias("token")))
+
+    each = F.array(
+        token(0, x | (longer == 0), p, F.col("cut")),
+        token(1, F.when(x, p == 0).otherwise((longer == 1) & (p > 0)), F.col("cut")),
+        token(-1, F.when(x, p > 0).otherwise((longer == -1) & (p == 0)), F.col("cut")))
+    return placed.select("id", "first", "x", "d", "s", "outside", F.inline(F.array_compact(each))).distinct()
+
+
+def _two_blocks(met: DataFrame) -> DataFrame:
+    """``(id, other)`` for lines that are equal outside two blocks with an edit in each;
+    ``other`` is the earliest one, for each way in which the blocks agree."""
+    two = met.where("two").withColumn("x", (F.col("d") == 0) & (F.col("s") == 0))
+    sides = []
+    for name, inner, longer in (("1", "inner", F.col("s")), ("2", "inner2", F.col("d") - F.col("s"))):
+        tokens = written(_tokens(two, inner, longer), "block-tokens")
+        met_tokens = tokens.join(_shared(tokens, "outside", "token").drop("n"), ["outside", "token"])
+        sides.append(met_tokens.withColumnsRenamed({"how": "how" + name, "token": "token" + name}))
+    left, right = sides
+    # of a line's tokens in the one block and the other, those that may go together
+    way = ["id", "first", "x", "d", "s", "outside"]
+    allowed = F.when(F.col("x"), (F.col("how1") + F.col("how2")).between(0, 2)).otherwise(
+        (F.col("how1") == F.col("s")) & (F.col("how2") == F.col("d") - F.col("s")))
+    at = [F.col("l." + c) == F.col("r." + c) for c in way if c != "first"]
+    both = left.alias("l").join(right.alias("r"), at).select(*[F.col("l." + c).alias(c) for c in way], "how1", "token1", "how2", "token2")
+    group = ["outside", "how1", "token1", "how2", "token2"]
+    both = written(both.where(allowed), "block-pairs")
+    equal = (F.col("how1") == 0) & (F.col("how2") == 0)      # then either line is the shorter one
+    earliest = F.struct("first", "id")
+    best = both.groupBy(*group).agg(F.min(F.when(F.col("x"), earliest)).alias("x_best"),
+                                    F.min(F.when(~F.col("x") | equal, earliest)).alias("y_best"))
+    other = F.when(F.col("x"), F.col("y_best")).otherwise(F.col("x_best"))
+    found = both.join(best, group).select("id", "first", other.alias("other"))
+    return found.where(F.col("other.first") < F.col("first")).select("id", F.col("other.id").alias("other"))
+
+
 def _further(docs: DataFrame, row: Column, distinct: DataFrame, near: DataFrame, broadcast_rows: int, edits: int) -> DataFrame:
     """Ids of the distinct lines, those of ``near`` aside, that an earlier line is within
     ``edits`` edits of."""
@@ -162,8 +283,15 @@ def _further(docs: DataFrame, row: Column, distinct: DataFrame, near: DataFrame,
     candidates = _texts(docs, row, wanted.join(distinct.select("id", "first"), "id"), "keys", broadcast_rows)
     # written, so that both sides are plain shuffles and AQE splits those of crowded parts
     at = written(candidates.select("id", "first", F.explode("keys").alias("key")), "line-parts")
-    earlier = at.select("key", F.col("id").alias("other"), F.col("first").alias("other_first"))
-    pairs = at.join(_small(near, broadcast_rows), "id", "left_anti").join(earlier, "key").where(F.col("other_first") < F.col("first")).select("id", "other").distinct()
+    crowded = at.groupBy("key").count().where(F.col("count") > CROWD).select("key")
+    if edits == 2 and not (crowded := written(crowded, "crowded-parts")).isEmpty():
+        lines = at.join(crowded, "key", "left_semi").select("id").distinct().join(candidates.select("id", "first", "line"), "id")
+        ways = _outsides(written(lines, "crowded-lines"))
+        met = written(ways.join(_shared(ways, "outside"), "outside"), "block-ways")
+        pairs = _earlier_pairs(at.join(crowded, "key", "left_anti"), "key").union(_one_block(met)).union(_two_blocks(met))
+    else:
+        pairs = _earlier_pairs(at, "key")
+    pairs = pairs.join(_small(near, broadcast_rows), "id", "left_anti").distinct()
     others = candidates.select(F.col("id").alias("other"), F.col("line").alias("other_line"))
     bound = F.least(F.lit(edits), F.floor(F.least(F.char_length("line"), F.char_length("other_line")) / MIN_NEAR))
     distance = F.levenshtein("line", "other_line", edits)
@@ -216,7 +344,10 @@ def dedup_lines(docs: DataFrame, n_lines: str | None = None, n_removed: str | No
     at = col(keyed, "doc_id").eqNullSafe(F.col("of")) & (keyed[row] == F.col("of_row"))
     joined = keyed.join(F.broadcast(side) if total <= broadcast_rows else side, at, "left")
     lines = F.split(col(joined, "text").cast("string"), "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col(gone), i)), "\n")
+    # in a struct, so that the text is split once; the places left are found by hashing
+    parted = F.array(F.struct(lines.alias("lines"), F.col(gone).alias("gone")))
+    kept = F.transform(parted, lambda d: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(d["lines"]) - 1), d["gone"]), lambda k: F.get(d["lines"], k)), "\n"))[0]
     text = F.when(F.col(gone).isNull(), col(joined, "text").cast("string")).otherwise(kept)
     counts = []
     if n_lines:
