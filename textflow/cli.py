@@ -23,6 +23,7 @@ from textflow.operators.training import PRESETS, Trainer, record_outcome, save_o
 from textflow.schemas import load_schema_file
 from textflow.session import build_session
 from textflow.sources.corpus import check_arity, read_labelled_csv
+from textflow.streaming.progress import attach
 from textflow.streaming.serving import ServingConfig, start_serving
 from textflow.streaming.sinks import compact_date
 
@@ -49,6 +50,8 @@ def _train_args(sub) -> None:
     p.add_argument("--parallelism", type=int)
     p.add_argument("--auc-mode", choices=["exact", "evaluator"])
     p.add_argument("--multi-line", action="store_true", help="texts contain newlines")
+    p.add_argument("--publish-above", type=float, help="publish the best model only if its metric is above this")
+    p.add_argument("--certify", action="store_true", help="log how near logistic regressions are to their optimum")
 
 
 def _serve_args(sub) -> None:
@@ -79,6 +82,8 @@ def _serve_args(sub) -> None:
     p.add_argument("--reload-interval-seconds", type=float, default=300.0)
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--metrics-path")
+    p.add_argument("--sketch-path", help="score sketches of labelled batches (running AUC)")
+    p.add_argument("--progress-path", help="table of progress events (monitoring beyond the session)")
     p.add_argument("--on-error", choices=["raise", "warn"], default="raise")
     p.add_argument("--passthrough", default="", help="comma-separated input columns to keep (e.g. kafka_ts,id)")
     p.add_argument("--model-input-cols", nargs="*", help="columns a Python model sees (default: all)")
@@ -112,8 +117,9 @@ def run_train(spark, args) -> dict:
             "auc_mode": args.auc_mode,
         }.items() if v is not None
     }
-    if args.enable_cv:
-        overrides["enable_cv"] = True
+    for flag in ("enable_cv", "certify"):
+        if getattr(args, flag):
+            overrides[flag] = True
     cfg = PRESETS[args.preset].with_(key_col="id", **overrides)
     check_arity(spark, args.input, multi_line=args.multi_line)
     labelled = trim_text(read_labelled_csv(spark, args.input, keep=("id",), multi_line=args.multi_line))
@@ -123,7 +129,7 @@ def run_train(spark, args) -> dict:
     versions = {}
     if args.registry:
         versions = record_outcome(outcome, Registry(spark, args.registry), cfg,
-                                  args.registered_model_name, args.experiment)
+                                  args.registered_model_name, args.experiment, args.publish_above)
     summary = {
         "profile": profile,
         "split_sizes": outcome.split_sizes,
@@ -151,7 +157,7 @@ def serving_config(args) -> ServingConfig:
         available_now=args.available_now, write_json=parse_flag(args.write_json),
         json_output_path=args.json_output_path, write_kafka=parse_flag(args.write_kafka),
         kafka_output_bootstrap=args.kafka_output_bootstrap, kafka_output_topic=args.kafka_output_topic,
-        metrics_path=args.metrics_path, on_error=args.on_error,
+        metrics_path=args.metrics_path, sketch_path=args.sketch_path, on_error=args.on_error,
         passthrough=tuple(c.strip() for c in args.passthrough.split(",") if c.strip()),
         score_partitions=args.score_partitions, rows_per_file=args.rows_per_file, bytes_per_file=args.bytes_per_file,
         model_input_cols=tuple(args.model_input_cols) if args.model_input_cols else None,
@@ -160,8 +166,14 @@ def serving_config(args) -> ServingConfig:
 
 
 def run_serve(spark, args):
+    log = attach(spark, args.progress_path) if args.progress_path else None
     query, handler = start_serving(spark, serving_config(args))
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    finally:
+        if log is not None:
+            log.wait_for(query.runId)
+            log.flush()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return handler

@@ -74,6 +74,29 @@ def vector_entries(col: str):
     return F.arrays_zip(inner["indices"].alias("index"), inner["values"].alias("value"))
 
 
+def bucket_frequencies(hashed: DataFrame, vector_col: str = "rawFeatures") -> DataFrame:
+    """``(bucket, df)``: the number of rows whose vector has an entry in the bucket, from
+    the stored entries alone (what the IDF is fitted from). Entries are counted per
+    task before the shuffle: at most as many rows a task as there are buckets."""
+    entries = hashed.select(F.explode(vector_entries(vector_col)).alias("e")).where(F.col("e.value") != 0)
+    return entries.groupBy(F.col("e.index").alias("bucket")).agg(F.count(F.lit(1)).alias("df"))
+
+
+def term_buckets(terms: DataFrame, num_features: int = 1 << 15, term_col: str = "term") -> DataFrame:
+    """``terms`` with the ``bucket`` that HashingTF puts each into: the stage itself hashes
+    every term as a document of one word."""
+    stage = HashingTF(inputCol="__word", outputCol="__vector", numFeatures=num_features)
+    hashed = stage.transform(terms.withColumn("__word", F.array(F.col(term_col))))
+    return hashed.withColumn("bucket", F.unwrap_udt(F.col("__vector"))["indices"][0]).drop("__word", "__vector")
+
+
+def bucket_collisions(term_counts: DataFrame, num_features: int = 1 << 15) -> DataFrame:
+    """``(bucket, n_terms, most, total)`` of the buckets' terms, from ``(term, n_docs)``:
+    a bucket's frequency lies between its most frequent term's and the sum of all."""
+    return term_buckets(term_counts, num_features).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.max("n_docs").alias("most"), F.sum("n_docs").alias("total"))
+
+
 # --------------------------------------------------------------------------
 # term-level forms
 # --------------------------------------------------------------------------

@@ -16,15 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from textflow.schemas import MODEL_VERSIONS, RUN_METRICS, RUN_PARAMS, RUNS
+from textflow.schemas import MODEL_VERSIONS, RUN_METRICS, RUN_PARAMS, RUNS, STAGE_LOG
 
 TABLES = {
     "runs": RUNS,
     "run_params": RUN_PARAMS,
     "run_metrics": RUN_METRICS,
     "model_versions": MODEL_VERSIONS,
+    "stage_log": STAGE_LOG,
 }
 
+STAGES = ("None", "Staging", "Production", "Archived")
+
 
 def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -51,6 +54,24 @@ def latest_versions(versions: DataFrame, stage: str | None = None) -> DataFrame:
     )
 
 
+def staged_versions(versions: DataFrame, stage_log: DataFrame, as_of=None) -> DataFrame:
+    """``versions`` with the stage that each is in, or was in at ``as_of`` (a timestamp;
+    versions registered later are left out then).
+
+    The last move wins, by time and then by move id; a version that was never moved is
+    in the stage it was registered with. ``max_by`` is a partial aggregate: a version
+    with any number of moves costs a row a task before the shuffle."""
+    if as_of is not None:
+        at = F.lit(as_of).cast("timestamp")
+        stage_log = stage_log.where(F.col("moved_at") <= at)
+        versions = versions.where(F.col("created_at").isNull() | (F.col("created_at") <= at))
+    last = stage_log.groupBy(F.col("name").alias("of"), F.col("version").alias("of_version")).agg(
+        F.max_by(F.struct("to_stage"), F.struct("moved_at", "move_id")).alias("last"))
+    joined = versions.join(last, (F.col("name") == F.col("of")) & (F.col("version") == F.col("of_version")), "left")
+    stage = F.when(F.col("last").isNotNull(), F.col("last.to_stage")).otherwise(F.col("stage"))
+    return joined.select(*[stage.alias("stage") if c == "stage" else F.col(c) for c in versions.columns])
+
+
 def metrics_wide(run_metrics: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """Long ``(run_id, name, value)`` to one row per run with a column per name
     (conditional aggregation over a fixed name list: no pivot discovery job)."""
@@ -212,9 +233,35 @@ class Registry:
         self._append_rows("model_versions", [(name, version, stage, uri, run_id, _now())])
         return version, uri
 
-    def latest(self, name: str, stage: str | None = None) -> tuple[str | None, str | None]:
-        """``(version, uri)`` of the newest version of ``name``, or ``(None, None)``."""
-        rows = latest_versions(self.table("model_versions").where(F.col("name") == F.lit(name)), stage).collect()
+    # stages --------------------------------------------------------------
+    def versions(self, name: str | None = None, as_of=None) -> DataFrame:
+        """The versions with the stages they are in (or were in at ``as_of``)."""
+        mine = F.lit(True) if name is None else F.col("name") == F.lit(name)
+        return staged_versions(self.table("model_versions").where(mine), self.table("stage_log").where(mine), as_of)
+
+    def move(self, name: str, version: str, stage: str, archive_others: bool = False) -> str | None:
+        """Move a version to ``stage`` (one of ``STAGES``); where it was before.
+
+        The move is a row appended to the log; nothing is rewritten, so what was in
+        production at any time can be asked later. With ``archive_others`` the versions
+        that are in that stage now are archived by the same append."""
+        if stage not in STAGES:
+            raise ValueError(f"stage must be one of {STAGES}")
+        mine = {r["version"]: r["stage"] for r in self.versions(name).where(
+            (F.col("version") == F.lit(str(version))) | (F.col("stage") == F.lit(stage))).select("version", "stage").collect()}
+        if str(version) not in mine:
+            raise ValueError(f"no version {version} of {name}")
+        moves = [(str(version), mine[str(version)], stage)]
+        if archive_others:
+            moves += [(v, stage, "Archived") for v, at in sorted(mine.items()) if v != str(version) and at == stage]
+        rows = self.spark.createDataFrame([(name, *m, _now(), uuid.uuid4().hex) for m in moves], STAGE_LOG).coalesce(1)
+        self.append("stage_log", rows.withColumn("moved_at", F.current_timestamp()))
+        return mine[str(version)]
+
+    def latest(self, name: str, stage: str | None = None, as_of=None) -> tuple[str | None, str | None]:
+        """``(version, uri)`` of the newest version of ``name`` (that is in ``stage``; as of
+        a time), or ``(None, None)``."""
+        rows = latest_versions(self.versions(name, as_of), stage).collect()
         if not rows:
             return None, None
         return rows[0]["version"], rows[0]["uri"]

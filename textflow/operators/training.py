@@ -13,13 +13,19 @@ from __future__ import annotations
 import dataclasses
 import datetime as _dt
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    LinearSVC,
+    LogisticRegression,
+    LogisticRegressionModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +34,10 @@ from pyspark.sql import types as T
 
 from textflow.operators import auc as auc_ops
 from textflow.operators import evaluate as ev
-from textflow.operators.features import feature_stages, hashing_model
+from textflow.operators.features import feature_stages, hashing_model, vector_entries
 from textflow.operators.layout import spread
 from textflow.operators.prep import cap_rows, sample_rows
+from textflow.operators.registry import metric_gate
 from textflow.operators.splits import fold_column, keyed_splits, random_splits, with_split
 
 
@@ -88,6 +95,7 @@ class TrainConfig:
     select_metric: str = "accuracy"
     parallelism: int = 1               # models trained at once (driver threads)
     cv_parallelism: int = 2            # (fold, grid point) fits at once, as the reference's CV
+    certify: bool = False              # also log how near logistic regressions are to their optimum
     auc_mode: str = "exact"            # or "evaluator" (Spark's default numBins=1000 curve)
     storage_level: StorageLevel = field(default_factory=lambda: StorageLevel.MEMORY_AND_DISK)
 
@@ -181,6 +189,47 @@ def evaluate(predictions: DataFrame, label_col: str = "label", auc_mode: str = "
     return metrics
 
 
+def gradient_norm(model, train: DataFrame, label_col: str = "label", features_col: str = "features", at_zero: bool = False) -> float:
+    """Norm of the gradient of the loss that a logistic regression with an L2 penalty
+    minimises, at its coefficients or with all of them zero; one aggregation.
+
+    The loss is the mean over the rows plus ``regParam / 2`` times the squared
+    coefficients of the standardised features; the norm is taken in their space, as the
+    optimiser sees it. Only stored entries of the sparse vectors are touched: a row gives
+    ``(bucket, residual * value)`` parts, which are summed per task before the shuffle,
+    and a row for each bucket is what remains."""
+    scored = train if at_zero else model.transform(train)
+    margin = F.lit(0.0) if at_zero else auc_ops.raw_score()
+    rows = scored.select((1 / (1 + F.exp(-margin)) - F.col(label_col)).alias("residual"), F.col(features_col))
+    # the intercept is an entry of its own, with the value 1 in every row
+    entries = F.concat(F.array(F.struct(F.lit(-1).alias("index"), F.lit(1.0).alias("value"))), vector_entries(features_col))
+    parts = rows.select("residual", F.explode(entries).alias("e"))
+    sums = parts.groupBy(F.col("e.index").alias("bucket")).agg(
+        F.sum(F.col("residual") * F.col("e.value")).alias("slope"), F.sum("e.value").alias("total"),
+        F.sum(F.col("e.value") * F.col("e.value")).alias("squares"))
+    found = {r["bucket"]: r for r in sums.collect()}
+    n = found[-1]["total"] if found else 0.0
+    norm = (found[-1]["slope"] / n) ** 2 if n else 0.0
+    weights, penalty = model.coefficients, float(model.getOrDefault("regParam"))
+    for bucket, r in found.items():
+        deviation = max(0.0, (r["squares"] - r["total"] ** 2 / n) / (n - 1)) ** 0.5 if bucket >= 0 and n > 1 else 0.0
+        if deviation > 0:
+            scaled = 0.0 if at_zero else float(weights[bucket]) * deviation
+            norm += (r["slope"] / n / deviation + penalty * scaled) ** 2
+    return norm ** 0.5
+
+
+def optimality(model, train: DataFrame) -> dict:
+    """``gradient_norm`` and ``gradient_start`` (with all coefficients zero) of a logistic
+    regression with an L2 penalty: their ratio says how far the optimiser has got,
+    whatever its own stopping rule. Nothing for other models: a forest minimises no such
+    loss, and the hinge loss of a linear SVC has a kink where its margins end up, so that
+    no single subgradient is near zero at its optimum."""
+    if not isinstance(model, LogisticRegressionModel) or model.getOrDefault("elasticNetParam") != 0.0:
+        return {}
+    return {"gradient_norm": gradient_norm(model, train), "gradient_start": gradient_norm(model, train, at_zero=True)}
+
+
 def _split(df: DataFrame, cfg: TrainConfig):
     if cfg.split_mode == "keyed":
         if not cfg.key_col:
@@ -189,6 +238,38 @@ def _split(df: DataFrame, cfg: TrainConfig):
     return random_splits(df, cfg.train_ratio, cfg.val_ratio, cfg.seed)
 
 
+GROUP, DESCRIPTION = "spark.jobGroup.id", "spark.job.description"
+
+
+def run_fits(spark: SparkSession, tasks: list, workers: int = 1) -> list:
+    """The results of ``(label, function)`` tasks, ``workers`` at a time.
+
+    Their threads inherit the caller's local properties -- its scheduler pool above all,
+    so that fits share a cluster as its fair scheduler says, and its job tags -- and each
+    task's jobs carry a group of its own, ``<caller's group>/<label>``: they can be told
+    apart, and one fit be cancelled without the others."""
+    context = spark.sparkContext
+    outer = context.getLocalProperty(GROUP) or f"fit-{uuid.uuid4().hex[:8]}"
+
+    def run(task):
+        label, work = task
+        before = {k: context.getLocalProperty(k) for k in (GROUP, DESCRIPTION)}
+        context.setLocalProperty(GROUP, f"{outer}/{label}")
+        context.setLocalProperty(DESCRIPTION, label)
+        try:
+            return work()
+        finally:
+            for key, value in before.items():
+                context.setLocalProperty(key, value)
+
+    if workers <= 1 or len(tasks) < 2:
+        return [run(t) for t in tasks]
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        # a copy of the caller's properties for each task: threads of the pool are used again
+        waiting = [pool.submit(inheritable_thread_target(spark)(run), t) for t in tasks]
+        return [w.result() for w in waiting]
+
+
 class Trainer:
     """Featurise once, then fit, tune and evaluate each model spec."""
 
@@ -229,17 +310,14 @@ class Trainer:
         estimator = spec.make()
         points = grid_points(estimator, spec.grid)
 
-        def score(task):
-            (fold_train, fold_val), point = task
+        def score(fold, point):
+            fold_train, fold_val = fold
             model = estimator.fit(fold_train, point)
             return ev.metric_values(ev.confusion_row(model.transform(fold_val)))[self.cfg.select_metric]
 
-        tasks = [(fold, point) for fold in folds for point in points]
-        if self.cfg.cv_parallelism > 1:
-            with ThreadPoolExecutor(max_workers=self.cfg.cv_parallelism) as pool:
-                values = list(pool.map(score, tasks))
-        else:
-            values = [score(t) for t in tasks]
+        tasks = [(f"{spec.name}-fold{k}-point{i}", lambda fold=fold, point=point: score(fold, point))
+                 for k, fold in enumerate(folds) for i, point in enumerate(points)]
+        values = run_fits(hashed_train.sparkSession, tasks, self.cfg.cv_parallelism)
         sums = [0.0] * len(points)
         for k, value in enumerate(values):
             sums[k % len(points)] += value
@@ -257,13 +335,15 @@ class Trainer:
             tagged = hashed_train.withColumn("fold", fold_column(key, cfg.cv_folds, cfg.seed))
         else:
             tagged = hashed_train.withColumn("fold", (F.rand(cfg.seed) * cfg.cv_folds).cast("int"))
-        # hashed_train is read from the cache; the fold column is a cheap hash
+        # hashed_train is the one cached table: a fold is a filter on it, and its IDF weights are
+        # applied where a fit or a score reads it. (Spark's estimators hold the blocks they
+        # iterate over for as long as a fit lasts; weighted copies of all folds would be held
+        # for the whole search.)
         folds = []
         for k in range(cfg.cv_folds):
             fold_train = tagged.where(F.col("fold") != k)
-            fold_val = tagged.where(F.col("fold") == k)
             idf = self._fit_idf(fold_train)
-            folds.append((self._keep(self._weigh(idf, fold_train)), self._keep(self._weigh(idf, fold_val))))
+            folds.append((self._weigh(idf, fold_train), self._weigh(idf, tagged.where(F.col("fold") == k))))
         return folds
 
     # training ----------------------------------------------------------
@@ -277,11 +357,13 @@ class Trainer:
         else:
             clf = estimator.fit(train_feat)
         seconds = time.time() - started
+        certificate = optimality(clf, train_feat) if self.cfg.certify else {}
         predictions = clf.transform(eval_feat).persist(self.cfg.storage_level)
         try:
             metrics = evaluate(predictions, auc_mode=self.cfg.auc_mode)
         finally:
             predictions.unpersist()
+        metrics.update(certificate)
         model = PipelineModel(stages=self._stages()[:3] + [idf_model, clf])
         return ModelResult(spec.name, position, model, param_values(clf), metrics, seconds, grid)
 
@@ -335,16 +417,9 @@ class Trainer:
                 hashed_cache = hashed if cfg.split_mode == "keyed" else hashed_train
                 hashed_cache.unpersist()
 
-            def run(item):
-                pos, spec = item
-                return self._train_one(pos, spec, train_feat, eval_feat, idf_model, folds)
-
-            items = list(enumerate(self.specs))
-            if cfg.parallelism > 1:
-                with ThreadPoolExecutor(max_workers=cfg.parallelism) as pool:
-                    results = list(pool.map(run, items))
-            else:
-                results = [run(item) for item in items]
+            tasks = [(spec.name, lambda pos=pos, spec=spec: self._train_one(pos, spec, train_feat, eval_feat, idf_model, folds))
+                     for pos, spec in enumerate(self.specs)]
+            results = run_fits(labelled.sparkSession, tasks, cfg.parallelism)
         finally:
             self.release()
         return TrainingOutcome(results, pick_best(results, cfg.select_metric), profile, sizes)
@@ -380,19 +455,28 @@ def pick_best(results: list, metric: str = "accuracy") -> ModelResult | None:
 
 
 def record_outcome(outcome: TrainingOutcome, registry, cfg: TrainConfig, prefix: str,
-                   experiment: str = "default") -> dict:
+                   experiment: str = "default", publish_above: float | None = None) -> dict:
     """Write the parent run, one child run per model (params, metrics, time),
     register every model as ``<prefix>-<model>`` and the best as ``<prefix>-best``.
-    All rows are appended once per table at the end."""
+    All rows are appended once per table at the end.
+
+    With ``publish_above`` the best model is only published if its selection metric is
+    above it (``registry.metric_gate``); the run records whether it was."""
     with registry.batch():
-        return _record(outcome, registry, cfg, prefix, experiment)
+        return _record(outcome, registry, cfg, prefix, experiment, publish_above)
+
+
+def passes_gate(spark: SparkSession, best: ModelResult, metric: str, minimum: float) -> bool:
+    row = spark.createDataFrame([(best.name, _float(best.metrics.get(metric)))], f"model string, {metric} double")
+    return not metric_gate(row, metric, minimum).isEmpty()
 
 
 # Fixed values (the run record's contract): profile figures logged as metrics.
 PROFILE_KEYS = ("pos_count", "neg_count", "total_rows", "null_label_rows", "null_text_rows")
 
 
-def _record(outcome: TrainingOutcome, registry, cfg: TrainConfig, prefix: str, experiment: str) -> dict:
+def _record(outcome: TrainingOutcome, registry, cfg: TrainConfig, prefix: str, experiment: str,
+            publish_above: float | None) -> dict:
     parent = registry.start_run("multi_model_experiment", experiment)
     registry.log_params(parent, {
         "num_features": cfg.num_features, "train_ratio": cfg.train_ratio,
@@ -418,7 +502,10 @@ def _record(outcome: TrainingOutcome, registry, cfg: TrainConfig, prefix: str, e
             "best_overall_accuracy": outcome.best.metrics.get("accuracy"),
             "best_overall_auc": outcome.best.metrics.get("auc"),
         })
-        versions["best"] = registry.register_model(f"{prefix}-best", outcome.best.model, parent)
+        published = publish_above is None or passes_gate(registry.spark, outcome.best, cfg.select_metric, publish_above)
+        registry.log_params(parent, {"publish_above": publish_above, "published": str(published).lower()})
+        if published:
+            versions["best"] = registry.register_model(f"{prefix}-best", outcome.best.model, parent)
     return versions
 
 

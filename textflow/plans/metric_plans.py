@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textflow.operators import auc, evaluate as ev
+from textflow.operators import auc, evaluate as ev, score_sketch
 from textflow.plans.catalog import plan, r6, table
 
 PREDICTED_SQL = """
@@ -148,3 +148,15 @@ def q_roc_auc(spark, sf_dir):
 def q_pr_auc(spark, sf_dir):
     """Fine score (mostly distinct)."""
     return _areas(spark, sf_dir, F.col("n_chars").cast("double"))
+
+
+@plan("sketched_auc", f"SELECT roc_auc, n_pos, n_neg, TRUE AS within_bound, TRUE AS bound_is_small FROM ({_areas_sql('CAST(d.n_chars AS DOUBLE)')})")
+def q_sketched_auc(spark, sf_dir):
+    """Sketches of seven batches of scores, merged: their area is within their own error
+    bound of the exact one, and the bound is under a hundredth."""
+    rows = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents"), "doc_id").select(
+        F.col("quality").alias("label"), F.col("n_chars").cast("double").alias("score"), (F.col("doc_id") % 7).alias("batch"))
+    area = score_sketch.roc_area(score_sketch.sketch(rows, by=("batch",))).select("roc_auc", "error_bound", "n_pos", "n_neg")
+    exact = auc.binary_areas(rows).select(F.col("roc_auc").alias("exact")).scalar()
+    near = F.abs(F.col("roc_auc") - exact) <= F.col("error_bound") + 1e-12
+    return area.select(r6(exact).alias("roc_auc"), "n_pos", "n_neg", near.alias("within_bound"), (F.col("error_bound") < 0.01).alias("bound_is_small"))

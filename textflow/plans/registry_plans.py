@@ -50,7 +50,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pseudo_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """``runs``, ``run_params``, ``run_metrics``, ``model_versions`` frames."""
+    """``runs``, ``run_params``, ``run_metrics`` frames."""
     path = scratch_path(spark, "run-summary")   # derived once, read by three tables
     run_summary(spark, sf_dir).write.parquet(path)
     summary = spark.read.parquet(path)
@@ -64,8 +64,12 @@ def pseudo_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         " 'n_rows', CAST(n_rows AS DOUBLE)) AS (name, value)",
     )
     params = summary.select("run_id", F.lit("model_type").alias("name"), F.col("lang").alias("value"))
-    lab = _labelled(spark, sf_dir)
-    versions = lab.select(
+    return {"runs": runs, "run_params": params, "run_metrics": metrics}
+
+
+def pseudo_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``model_versions`` frame; plans that use it alone don't derive the runs."""
+    return _labelled(spark, sf_dir).select(
         F.concat(F.lit("model-"), "lang").alias("name"),
         F.col("doc_id").cast("string").alias("version"),
         F.when(F.col("quality") == 1, F.lit("Production")).otherwise(F.lit("Staging")).alias("stage"),
@@ -73,7 +77,6 @@ def pseudo_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.concat_ws("/", "lang", "source").alias("run_id"),
         F.lit(None).cast("timestamp").alias("created_at"),
     )
-    return {"runs": runs, "run_params": params, "run_metrics": metrics, "model_versions": versions}
 
 
 LATEST_SQL = f"""
@@ -87,12 +90,58 @@ FROM ({VERSIONS_SQL}) {{where}} GROUP BY name
 
 @plan("latest_version", LATEST_SQL.format(where=""))
 def q_latest_version(spark, sf_dir):
-    return reg.latest_versions(pseudo_tables(spark, sf_dir)["model_versions"])
+    return reg.latest_versions(pseudo_versions(spark, sf_dir))
 
 
 @plan("latest_production_version", LATEST_SQL.format(where="WHERE stage = 'Production'"))
 def q_latest_production_version(spark, sf_dir):
-    return reg.latest_versions(pseudo_tables(spark, sf_dir)["model_versions"], stage="Production")
+    return reg.latest_versions(pseudo_versions(spark, sf_dir), stage="Production")
+
+
+# Moves derived from the labelled documents: every version goes to Staging, those of good
+# quality to Production some minutes later (some at the same time), toxic ones out of it.
+AS_OF = "2024-01-03 06:00:00"
+MOVES_SQL = """
+SELECT 'model-' || d.lang AS name, CAST(d.doc_id AS VARCHAR) AS version, m.step, m.stage,
+       TIMESTAMP '2024-01-01 00:00:00' + to_minutes(d.doc_id * 37 % 4320 + (m.step - 1) * (d.doc_id % 3) * 60) AS moved_at
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+JOIN (VALUES (1, 'Staging'), (2, 'Production'), (3, 'Archived')) m(step, stage)
+  ON m.step = 1 OR m.step = 2 AND l.quality = 1 OR m.step = 3 AND l.toxic = 1
+"""
+
+
+def pseudo_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stage log that goes with the pseudo-runs' versions."""
+    step = F.explode(F.array(*[F.struct(F.lit(k).alias("step"), F.lit(s).alias("stage")) for k, s in
+                               enumerate(("Staging", "Production", "Archived"), 1)]))
+    moves = _labelled(spark, sf_dir).withColumn("m", step).where(
+        (F.col("m.step") == 1) | ((F.col("m.step") == 2) & (F.col("quality") == 1)) | ((F.col("m.step") == 3) & (F.col("toxic") == 1)))
+    minutes = F.col("doc_id") * 37 % 4320 + (F.col("m.step") - 1) * (F.col("doc_id") % 3) * 60
+    start = F.unix_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return moves.select(F.concat(F.lit("model-"), "lang").alias("name"), F.col("doc_id").cast("string").alias("version"),
+                        F.lit(None).cast("string").alias("from_stage"), F.col("m.stage").alias("to_stage"),
+                        F.timestamp_seconds(start + 60 * minutes).alias("moved_at"), F.col("m.step").cast("string").alias("move_id"))
+
+
+@plan(
+    "production_as_of",
+    f"""
+    SELECT name, arg_max(version, CAST(version AS BIGINT)) AS version, count(*) AS n_production FROM (
+      SELECT name, version, arg_max(stage, row(moved_at, step)) AS stage FROM ({MOVES_SQL})
+      WHERE moved_at <= TIMESTAMP '{AS_OF}' GROUP BY name, version)
+    WHERE stage = 'Production' GROUP BY name
+    """,
+)
+def q_production_as_of(spark, sf_dir):
+    """The newest version in production at a time in the past, of each model, and how many
+    were: from a registry's append-only log of stage moves."""
+    registry = reg.Registry(spark, scratch_path(spark, "registry"))
+    registry.append("model_versions", pseudo_versions(spark, sf_dir).withColumn("stage", F.lit(None).cast("string")))
+    registry.append("stage_log", pseudo_moves(spark, sf_dir))
+    then = registry.versions(as_of=AS_OF)
+    newest = reg.latest_versions(then, "Production").select("name", "version")
+    counts = then.where("stage = 'Production'").groupBy("name").agg(F.count(F.lit(1)).alias("n_production"))
+    return newest.join(counts, "name")
 
 
 @plan(
@@ -119,7 +168,7 @@ def q_best_run(spark, sf_dir):
 )
 def q_version_metrics(spark, sf_dir):
     t = pseudo_tables(spark, sf_dir)
-    latest = reg.latest_versions(t["model_versions"])
+    latest = reg.latest_versions(pseudo_versions(spark, sf_dir))
     out = reg.version_metrics(latest, t["run_metrics"])
     return out.select("name", "version", "run_id", r6("accuracy").alias("accuracy"), "auc", "weighted_f1")
 
@@ -158,7 +207,7 @@ def q_best_model(spark, sf_dir):
 def q_registry_readback(spark, sf_dir):
     """Append the pseudo-run tables to a registry folder and read them back."""
     registry = reg.Registry(spark, scratch_path(spark, "registry"))
-    for name, frame in pseudo_tables(spark, sf_dir).items():
+    for name, frame in {**pseudo_tables(spark, sf_dir), "model_versions": pseudo_versions(spark, sf_dir)}.items():
         registry.append(name, frame)
     metrics = registry.table("run_metrics")
     return metrics.select("run_id", "name", r6("value").alias("value"))

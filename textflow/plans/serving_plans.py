@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textflow.operators import monitor
+from textflow.operators import auc, monitor, score_sketch
 from textflow.operators.layout import spread
 from textflow.operators.registry import Registry
 from textflow.operators.training import Trainer, default_model_specs
@@ -315,19 +315,34 @@ def registry_serving_run(spark: SparkSession, sf_dir: str):
         file_format="json", schema="doc_id BIGINT, text STRING, label INT",
         max_files_per_trigger=4, available_now=True, passthrough=("doc_id",),
         registry_root=f"{root}/registry", model_name="text-model", reload_interval_seconds=0,
-        metrics_path=f"{root}/batch_metrics",
+        metrics_path=f"{root}/batch_metrics", sketch_path=f"{root}/sketches",
     )
     run_stream(spark, cfg)
     return cfg, uri, labelled
 
 
-@plan("stream_model_score")
+@plan(
+    "stream_model_score",
+    """
+    SELECT '1' AS model_version, CAST(count(*) AS BIGINT) AS batch_rows, CAST(count(*) AS BIGINT) AS written_rows,
+           CAST(count(*) FILTER (WHERE l.quality = 1) AS BIGINT) AS n_pos, TRUE AS areas_in_range, TRUE AS running_within_bound
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.text IS NOT NULL
+    """,
+)
 def q_stream_model_score(spark, sf_dir):
-    """Registry-served Spark model on a labelled stream: the newest registered
-    version is polled and loaded, and each batch gets its AUC."""
+    """Registry-served Spark model on a labelled stream: the newest registered version is
+    polled and loaded, each batch gets its AUC, and the running AUC of the batches'
+    sketches is within its error bound of the exact one over everything written."""
     cfg, _, _ = registry_serving_run(spark, sf_dir)
-    metrics = read_batch_metrics(spark, cfg.metrics_path)
-    return metrics.select("batch_id", "model_version", "batch_rows", "written_rows", r6("batch_auc").alias("batch_auc"))
+    batches = read_batch_metrics(spark, cfg.metrics_path).groupBy("model_version").agg(
+        F.sum("batch_rows").alias("batch_rows"), F.sum("written_rows").alias("written_rows"),
+        F.bool_and(F.col("batch_auc").isNull() | F.col("batch_auc").between(0, 1)).alias("areas_in_range"))
+    written = read_predictions(spark, cfg.output_path).where("prediction IS NOT NULL")
+    exact = auc.binary_areas_from_raw(written).select(F.col("roc_auc").alias("exact")).scalar()
+    running = score_sketch.running_area(spark, cfg.sketch_path)
+    near = F.abs(F.col("roc_auc") - exact) <= F.col("error_bound") + 1e-12
+    return batches.crossJoin(running.select("n_pos", near.alias("running_within_bound"))).select(   # a row each
+        "model_version", "batch_rows", "written_rows", "n_pos", "areas_in_range", "running_within_bound")
 
 
 @plan(

@@ -3,6 +3,7 @@ term statistics, hashed features, JSON and flag handling."""
 
 from __future__ import annotations
 
+from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -253,6 +254,29 @@ def q_term_df_idf(spark, sf_dir):
     return idf.select("term", "df", r6("idf").alias("idf"))
 
 
+@plan("bucket_frequencies", f"SELECT term, df AS n_docs, TRUE AS between, TRUE AS as_fitted, TRUE AS counted FROM ({IDF_SQL})")
+def q_bucket_frequencies(spark, sf_dir):
+    """Every term with its hash bucket's figures checked: the bucket's document frequency
+    lies between its terms' greatest and their sum (equal to it without collisions), and
+    is what the fitted IDF holds for the bucket."""
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    hashed = feat.hashing_model().transform(docs).select("rawFeatures")
+    path = scratch_path(spark, "hashed")
+    hashed.write.parquet(path)
+    hashed = spark.read.parquet(path)
+    fitted = IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=MIN_DOC_FREQ).fit(hashed)
+    # a row for each of the 2^15 buckets
+    model = spark.createDataFrame([(k, int(n)) for k, n in enumerate(fitted.docFreq)], "bucket int, fitted_df long")
+    buckets = feat.bucket_frequencies(hashed).join(model, "bucket").withColumnRenamed("df", "bucket_df")
+    terms = feat.corpus_term_counts(table(spark, sf_dir, "documents")).select("term", "n_docs")
+    shared = feat.bucket_collisions(terms)
+    told = feat.term_buckets(terms).join(shared, "bucket").join(buckets, "bucket")
+    kept = F.when(F.col("bucket_df") >= MIN_DOC_FREQ, F.col("bucket_df")).otherwise(0)   # the model holds 0 below it
+    alone = (F.col("n_terms") > 1) | (F.col("bucket_df") == F.col("n_docs"))
+    return told.select("term", "n_docs", F.col("bucket_df").between(F.col("most"), F.col("total")).alias("between"),
+                       (F.col("fitted_df") == kept).alias("as_fitted"), alone.alias("counted"))
+
+
 @plan(
     "top_tfidf",
     f"""

@@ -33,6 +33,18 @@ MODEL_VERSIONS = T.StructType(
     ]
 )
 
+# Moves of versions from stage to stage; a version's newest move (by time, then id) says where it is.
+STAGE_LOG = T.StructType(
+    [
+        T.StructField("name", T.StringType(), False),
+        T.StructField("version", T.StringType(), False),
+        T.StructField("from_stage", T.StringType(), True),
+        T.StructField("to_stage", T.StringType(), True),
+        T.StructField("moved_at", T.TimestampType(), False),
+        T.StructField("move_id", T.StringType(), False),
+    ]
+)
+
 RUNS = T.StructType(
     [
         T.StructField("run_id", T.StringType(), False),

@@ -37,6 +37,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textflow.functions.payload import parse_flag
 from textflow.operators import auc as auc_ops
+from textflow.operators import score_sketch
 from textflow.operators.layout import spread
 from textflow.operators.prep import ensure_text_column
 from textflow.operators.registry import Registry
@@ -91,6 +92,7 @@ class ServingConfig:
     kafka_output_bootstrap: str | None = None
     kafka_output_topic: str | None = None
     metrics_path: str | None = None
+    sketch_path: str | None = None            # score sketches of labelled batches, for a running AUC
     pin_versions: bool = True                 # a replayed batch keeps the version of its first attempt
     pins_path: str | None = None              # None: _batch_versions beside the output's dates
     write_manifest: bool = True               # record the files of each batch (manifest.py)
@@ -307,7 +309,10 @@ class BatchScorer:
             self._optional("manifest", lambda: manifest.record(spark, cfg.output_path, seen["dates"], query_id, batch_id))
         batch_auc = None
         if "label" in shaped.columns and "rawPrediction" in shaped.columns:
-            batch_auc = auc_ops.area_values_from_raw(shaped.where("prediction IS NOT NULL"), "label")["roc_auc"]
+            scored = shaped.where("prediction IS NOT NULL")
+            batch_auc = auc_ops.area_values_from_raw(scored, "label")["roc_auc"]
+            if cfg.sketch_path:
+                self._optional("sketch", lambda: score_sketch.write_batch(scored, cfg.sketch_path, query_id, batch_id))
         row = {
             "query_id": query_id, "batch_id": int(batch_id), "model_version": version,
             **{k: int(seen[k]) for k in ("batch_rows", "written_rows", "null_text_rows")},
