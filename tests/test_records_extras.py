@@ -135,7 +135,7 @@ def test_gradient_against_numpy_and_at_the_optimum(spark, labelled):
 def test_grid_scores_against_a_fit_from_scratch(spark, labelled):
     """Weights applied where a fold is read give what a whole pipeline on the fold gives."""
     cfg = TrainConfig(num_features=1024, min_doc_freq=2, enable_cv=True, cv_folds=2)
-    spec = ModelSpec("LR", lambda: LogisticRegression(maxIter=15), {"regParam": [0.01, 1.0]})
+    spec = ModelSpec("LR", lambda: LogisticRegression(maxIter=15, regParam=0.3), {"regParam": [0.01, 1.0]})
     trainer = Trainer(cfg, [spec])
     outcome = trainer.fit(labelled)
     from textflow.operators.splits import with_split
@@ -151,6 +151,9 @@ def test_grid_scores_against_a_fit_from_scratch(spark, labelled):
                 F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0])
         assert score == pytest.approx(sum(found) / 2, abs=1e-9)
     assert trainer._persisted == []
+    # the model is fitted with the best point, not with the estimator's own settings
+    best = max(outcome.results[0].grid, key=lambda g: (g[2], -g[0]))
+    assert outcome.results[0].params["regParam"] == [0.01, 1.0][best[0]] != 0.3
 
 
 # -- bucket frequencies --------------------------------------------------------

@@ -306,8 +306,9 @@ class Trainer:
         return idf_model.transform(hashed).drop("rawFeatures")
 
     # tuning ------------------------------------------------------------
-    def _cross_validate(self, spec: ModelSpec, hashed_train: DataFrame, folds: list):
-        estimator = spec.make()
+    def _cross_validate(self, estimator, spec: ModelSpec, spark: SparkSession, folds: list):
+        """The best point, bound to ``estimator`` (another instance would ignore it), and
+        the scored grid."""
         points = grid_points(estimator, spec.grid)
 
         def score(fold, point):
@@ -317,7 +318,7 @@ class Trainer:
 
         tasks = [(f"{spec.name}-fold{k}-point{i}", lambda fold=fold, point=point: score(fold, point))
                  for k, fold in enumerate(folds) for i, point in enumerate(points)]
-        values = run_fits(hashed_train.sparkSession, tasks, self.cfg.cv_parallelism)
+        values = run_fits(spark, tasks, self.cfg.cv_parallelism)
         sums = [0.0] * len(points)
         for k, value in enumerate(values):
             sums[k % len(points)] += value
@@ -352,7 +353,7 @@ class Trainer:
         estimator = spec.make()
         grid = []
         if self.cfg.enable_cv and spec.tune and spec.grid and folds:
-            best_point, grid = self._cross_validate(spec, train_feat, folds)
+            best_point, grid = self._cross_validate(estimator, spec, train_feat.sparkSession, folds)
             clf = estimator.fit(train_feat, best_point)
         else:
             clf = estimator.fit(train_feat)
