@@ -47,3 +47,24 @@ def test_odd_rows(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
     blank = spark.createDataFrame([(1, "s", ""), (2, None, None)], "doc_id long, source string, text string")
     assert [r["taken"] for r in mixing.mix(blank).collect()] == [0, 0]
+
+
+def test_equal_ids_and_missing_ids_give_the_same_mix_in_any_partitioning(spark):
+    rows = [(None, "s", " ".join(f"w{k}" for _ in range(5 + k % 2))) for k in range(40)]
+    rows += [(7, "t", f"a{k} b c") for k in range(30)] + [(k, "u", "x " * (k % 5)) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    first, again = (sorted(((r.doc_id, r.text, r.taken) for r in mixing.mix(d).collect()), key=repr)
+                    for d in (docs.coalesce(1), docs.repartition(9, "text").orderBy("text")))
+    assert first == again and len(first) == len(rows)
+
+
+def test_passes_come_at_target_rates(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    each, whole = mixing.passes(docs).toPandas(), mixing.mix(docs).toPandas()
+    assert each.finish.is_monotonic_increasing and set(each["pass"]) == {1, 2} and (each.taken > 0).all()
+    assert each.groupby("doc_id").taken.sum().to_dict() == whole[whole.taken > 0].set_index("doc_id").taken.to_dict()
+    target = whole.groupby("source").target.first()
+    largest = whole["size"].max()
+    for part in (0.25, 0.5, 0.75):   # what finishes by then is that part of each source, but for one document
+        so_far = each[each.finish <= part].groupby("source").taken.sum()
+        assert (abs(so_far - part * target) <= largest + 1).all()

@@ -6,7 +6,9 @@ up to its end, divided by the source's target: a source that is served at its
 target rate reaches its target at time 1. The mix is the global order of finish
 times, cut where the total budget is used up. The targets add up to the budget,
 so that is at time 1; a document in service then is taken up to that time. A
-queue that is served to its end starts over, once at most.
+queue that is served to its end starts over, once at most: the second pass over a
+document is a service of its own, that finishes its source's words later
+(``passes`` lists them all in the mix's order).
 
 The cumulative words of a source are prefix sums in two steps, so that no task
 has to hold a source: sums by range of the shuffle order first (a bounded number
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textflow.llm.catalog import query
-from textflow.llm.common import col, private_name, written
+from textflow.llm.common import col, private_name, row_hash, written
 from textflow.plans.catalog import table
 
 WEIGHTS = (5.0, 2.0, 1.0)   # of the sources in order, repeating
@@ -64,22 +66,14 @@ def targets(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: flo
         F.least(F.col("limit"), F.coalesce(F.col("common") * F.col("weight"), F.col("limit"))).alias("target"))
 
 
-def mix(docs: DataFrame, size: str = "size", source_size: str = "source_size", target: str = "target",
-        taken: str = "taken", finish: str = "finish", weights=WEIGHTS, budget: float = BUDGET) -> DataFrame:
-    """``docs`` in the mix's order (global, by virtual finish time) with five more
-    columns: the document's words, its source's, its source's target, the words
-    the mix takes of it (both passes over it added up; 0 if it stays out) and the
-    virtual finish time of its first pass.
-
-    A null source is a source; a null text or one without words has size 0 and
-    is never taken; rows that repeat an id are documents of their own, in the
-    order of their sizes; a source without words has target 0; an empty table
-    stays empty. No document is taken more than twice. A column of ``docs`` that
-    is called like an added one gives way to it."""
-    p = {n: private_name(docs, n) for n in ("queue", "key", "range", "size", "upto", "o_queue", "o_range", "offset", "total", "goal")}
-    key = F.md5(F.concat(F.coalesce(col(docs, "doc_id").cast("string"), F.lit("")), F.lit(":" + SHUFFLE)))
+def _served(docs: DataFrame, p: dict, weights, budget: float) -> DataFrame:
+    """``docs`` with private columns: the size, the source's words and target, and an
+    array of the document's services ``(pass, finish, taken)``, those of no words left out."""
+    doc_id, hashed = col(docs, "doc_id").cast("string"), row_hash(docs)
+    # rows without an id are shuffled by their content, so that they don't stand together
+    seed = F.concat(F.coalesce(doc_id, F.lit("")), F.lit(":" + SHUFFLE), F.when(doc_id.isNull(), F.concat(F.lit(":"), F.hex(hashed))).otherwise(""))
     queue = F.coalesce(F.concat(F.lit("="), col(docs, "source").cast("string")), F.lit(""))  # never null: an equi-join key
-    sized = docs.withColumns({p["queue"]: queue, p["size"]: n_words(col(docs, "text").cast("string")), p["key"]: key})
+    sized = docs.withColumns({p["queue"]: queue, p["size"]: n_words(col(docs, "text").cast("string")), p["key"]: F.md5(seed), p["hash"]: hashed})
     sized = sized.withColumn(p["range"], F.substring(F.col(p["key"]), 1, RANGE_DIGITS))
     ranges = written(sized.groupBy(F.col(p["queue"]).alias("o_queue"), F.col(p["range"]).alias("o_range"))
                      .agg(F.sum(p["size"]).alias("words")), "mix-ranges")
@@ -90,27 +84,70 @@ def mix(docs: DataFrame, size: str = "size", source_size: str = "source_size", t
         F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("o_queue"),
         F.col("source_size").alias("o_source_size"), F.col("target").alias("o_target"))
     offsets = ranges.withColumn("offset", F.coalesce(F.sum("words").over(earlier), F.lit(0))).join(goals, "o_queue").drop("words")
-    within = Window.partitionBy(p["queue"], p["range"]).orderBy(p["key"], col(sized, "doc_id"), p["size"]).rowsBetween(
+    # the row hash last: rows that it doesn't part are equal, so any order of them is the same
+    within = Window.partitionBy(p["queue"], p["range"]).orderBy(p["key"], col(sized, "doc_id"), p["size"], p["hash"]).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     summed = sized.withColumn(p["upto"], F.sum(p["size"]).over(within))
     offsets = offsets.select(*[F.col(c).alias(p[n]) for c, n in (
         ("o_queue", "o_queue"), ("o_range", "o_range"), ("offset", "offset"), ("o_source_size", "total"), ("o_target", "goal"))])
     joined = summed.join(offsets, (F.col(p["queue"]) == F.col(p["o_queue"])) & (F.col(p["range"]) == F.col(p["o_range"])))
     stop = F.col(p["offset"]) + F.col(p["upto"])
-    start = stop - F.col(p["size"])
 
-    def served(again: int) -> Column:
-        """Words of the document served up to time 1 in a pass over the source."""
-        done = F.floor(F.col(p["goal"])) - (start + F.lit(again) * F.col(p["total"]))
-        return F.greatest(F.lit(0), F.least(F.col(p["size"]), done))
+    def service(number: int) -> Column:
+        """A pass over the document: when it is finished, and the words of it that are
+        served by time 1."""
+        end = stop + F.lit(number - 1) * F.col(p["total"])
+        done = F.floor(F.col(p["goal"])) - (end - F.col(p["size"]))
+        return F.struct(F.lit(number).alias("pass"), F.try_divide(end, F.col(p["goal"])).alias("finish"),
+                        F.greatest(F.lit(0), F.least(F.col(p["size"]), done)).cast("long").alias("taken"))
+
+    services = F.filter(F.array(service(1), service(2)), lambda s: s["taken"] > 0)
+    # a source without words has target 0: nothing of it is served, at no time
+    return joined.withColumns({p["served"]: services, p["finish"]: F.try_divide(stop, F.col(p["goal"]))})
+
+
+def _names(docs: DataFrame) -> dict:
+    return {n: private_name(docs, n) for n in ("queue", "key", "hash", "range", "size", "upto", "o_queue", "o_range", "offset",
+                                               "total", "goal", "served", "finish")}
+
 
+def mix(docs: DataFrame, size: str = "size", source_size: str = "source_size", target: str = "target",
+        taken: str = "taken", finish: str = "finish", weights=WEIGHTS, budget: float = BUDGET) -> DataFrame:
+    """``docs`` in the mix's order (global, by virtual finish time) with five more
+    columns: the document's words, its source's, its source's target, the words
+    the mix takes of it (both passes over it added up; 0 if it stays out) and the
+    virtual finish time of its first pass.
+
+    A null source is a source; a null text or one without words has size 0 and
+    is never taken; rows that repeat an id are documents of their own, in the
+    order of their sizes, then of a hash of the row (rows that are equal in all
+    columns may take each other's place); rows without an id are shuffled by that
+    hash; a source without words has target 0; texts of any length are counted
+    whole; an empty table stays empty. No document is taken more than twice. A
+    column of ``docs`` that is called like an added one gives way to it."""
+    p = _names(docs)
+    served = _served(docs, p, weights, budget)
+    total = F.aggregate(F.col(p["served"]), F.lit(0).cast("long"), lambda sum_, s: sum_ + s["taken"])
     added = {size: F.col(p["size"]), source_size: F.col(p["total"]), target: F.col(p["goal"]),
-             taken: (served(0) + served(1)).cast("long"), finish: F.when(F.col(p["goal"]) > 0, stop / F.col(p["goal"]))}
+             taken: total, finish: F.col(p["finish"])}
     kept = [c for c in docs.columns if c.lower() not in {n.lower() for n in added}]
-    mixed = joined.select(*[col(joined, c).alias(c) for c in kept], *[e.alias(n) for n, e in added.items()])
+    mixed = served.select(*[col(served, c).alias(c) for c in kept], *[e.alias(n) for n, e in added.items()])
     return mixed.orderBy(F.col(finish).asc_nulls_last())
 
 
+def passes(docs: DataFrame, number: str = "pass", taken: str = "taken", finish: str = "finish",
+           weights=WEIGHTS, budget: float = BUDGET) -> DataFrame:
+    """The mix itself: a row for each service of a document, in the order of virtual finish
+    times, with the pass (1 or 2) and the words taken in it. Read in order, each source
+    comes at its target rate, second passes included. Rows as in ``mix``."""
+    p = _names(docs)
+    served = _served(docs, p, weights, budget)
+    services = served.withColumn(p["served"], F.explode(p["served"]))
+    added = {number: F.col(p["served"])["pass"], taken: F.col(p["served"])["taken"], finish: F.col(p["served"])["finish"]}
+    kept = [c for c in docs.columns if c.lower() not in {n.lower() for n in added}]
+    return services.select(*[col(services, c).alias(c) for c in kept], *[e.alias(n) for n, e in added.items()]).orderBy(finish)
+
+
 _SQL_SIZE = "len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))"
 OP3_SQL = f"""
 WITH RECURSIVE docs AS (

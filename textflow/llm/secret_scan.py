@@ -280,5 +280,5 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("spans", lambda s: s["kinds"] == kind)).cast("long").alias(f"n_{kind}")
 
     base = F.filter("spans", lambda s: s["kinds"] != "crf")
-    return found.select("doc_id", count("assign"), count("access"), count("hex"), count("crf"),
-                        F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(_listed(base), 256).alias("base_sha256"),
+                        _listed(F.col("spans")).alias("spans"), count("crf"))
