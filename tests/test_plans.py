@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
-TABLES = ["documents", "labels", "events", "conversations", "pages", "benchmark"]
+TABLES = ["documents", "labels", "events", "conversations", "pages", "benchmark", "embeddings"]
 
 
 def _norm(v):

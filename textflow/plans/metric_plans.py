@@ -6,7 +6,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textflow.operators import auc, evaluate as ev, score_sketch
+from textflow.functions.keyed import keyed_bucket_sql
+from textflow.operators import auc, evaluate as ev, profile, score_sketch
+from textflow.operators.layout import persisted
+from textflow.operators.splits import with_split
 from textflow.plans.catalog import plan, r6, table
 
 PREDICTED_SQL = """
@@ -160,3 +163,45 @@ def q_sketched_auc(spark, sf_dir):
     exact = auc.binary_areas(rows).select(F.col("roc_auc").alias("exact")).scalar()
     near = F.abs(F.col("roc_auc") - exact) <= F.col("error_bound") + 1e-12
     return area.select(r6(exact).alias("roc_auc"), "n_pos", "n_neg", near.alias("within_bound"), (F.col("error_bound") < 0.01).alias("bound_is_small"))
+
+
+@plan(
+    "class_balance",
+    """
+    SELECT source AS run_id, name, CAST(CASE name WHEN 'pos_count' THEN pos WHEN 'neg_count' THEN n - pos ELSE n END AS DOUBLE) AS value
+    FROM (SELECT d.source, count(*) AS n, count(*) FILTER (WHERE l.quality = 1) AS pos
+          FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1),
+         (VALUES ('pos_count'), ('neg_count'), ('total_rows')) t(name)
+    """,
+)
+def q_class_balance(spark, sf_dir):
+    """The class balance of each source's labelled documents as metric rows of a run."""
+    rows = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents"), "doc_id").select(
+        "source", F.col("quality").alias("label"), "text")
+    sources = [r["source"] for r in rows.select("source").distinct().collect()]   # a handful
+    parts = [profile.class_balance_rows(profile.profile_labelled(rows.where(F.col("source") == s)), s) for s in sources]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@plan(
+    "cached_splits",
+    f"""
+    SELECT split, count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS n_pos, TRUE AS cached, TRUE AS released FROM (
+      SELECT CAST(l.quality AS INTEGER) AS label, CASE WHEN {keyed_bucket_sql('d.doc_id')} < 8000 THEN 'train'
+             WHEN {keyed_bucket_sql('d.doc_id')} < 9000 THEN 'val' ELSE 'test' END AS split
+      FROM documents d JOIN labels l ON d.doc_id = l.doc_id) GROUP BY 1
+    """,
+)
+def q_cached_splits(spark, sf_dir):
+    """Splits that are cached and counted for a block, and released after it."""
+    rows = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents"), "doc_id").select(
+        "doc_id", F.col("quality").cast("int").alias("label"))
+    tagged = with_split(rows, "doc_id", 0.8, 0.1, 42)
+    with persisted(tagged, materialise=True) as kept:
+        cached = kept.storageLevel.useMemory
+        counts = kept.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("label") == 1).alias("n_pos")).collect()
+    released = not tagged.storageLevel.useMemory
+    return spark.createDataFrame([(*r, cached, released) for r in counts], "split string, n_rows long, n_pos long, cached boolean, released boolean")

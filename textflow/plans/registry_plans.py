@@ -21,7 +21,11 @@ GATE = 0.75   # go-live accuracy threshold (test value)
 RUNS_SQL = """
 SELECT d.lang || '/' || d.source AS run_id, d.lang, d.source,
        count(*) FILTER (WHERE (1 - l.toxic) = l.quality) / count(*) AS accuracy,
-       avg(l.quality) AS pos_rate, count(*) AS n_rows, CAST(min(d.doc_id) AS INTEGER) AS position
+       avg(l.quality) AS pos_rate, count(*) AS n_rows, CAST(min(d.doc_id) AS INTEGER) AS position,
+       CASE WHEN min(d.doc_id) % 3 <> 0 THEN avg(l.toxic) END AS auc,
+       CASE WHEN min(d.doc_id) % 2 = 0 THEN avg(l.quality * (1 - l.toxic)) END AS weighted_f1,
+       CASE WHEN min(d.doc_id) % 4 <> 1 THEN d.lang END AS model_type,
+       CASE WHEN min(d.doc_id) % 5 <> 2 THEN d.source END AS run_name
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 GROUP BY d.lang, d.source
 """
@@ -46,6 +50,11 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg("quality").alias("pos_rate"),
         F.count(F.lit(1)).alias("n_rows"),
         F.min("doc_id").cast("int").alias("position"),
+        # fields that some runs lack
+        F.when(F.min("doc_id") % 3 != 0, F.avg("toxic")).alias("auc"),
+        F.when(F.min("doc_id") % 2 == 0, F.avg(F.col("quality") * (1 - F.col("toxic")))).alias("weighted_f1"),
+        F.when(F.min("doc_id") % 4 != 1, F.first("lang")).alias("model_type"),
+        F.when(F.min("doc_id") % 5 != 2, F.first("source")).alias("run_name"),
     ).withColumn("run_id", F.concat_ws("/", "lang", "source"))
 
 
@@ -56,14 +65,14 @@ def pseudo_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     summary = spark.read.parquet(path)
     runs = summary.select(
         "run_id", F.lit(None).cast("string").alias("parent_run_id"), F.col("lang").alias("experiment"),
-        F.col("source").alias("run_name"), "position", F.lit(None).cast("timestamp").alias("started_at"),
+        "run_name", "position", F.lit(None).cast("timestamp").alias("started_at"),
     )
     metrics = summary.selectExpr(
         "run_id",
-        "stack(3, 'accuracy', CAST(accuracy AS DOUBLE), 'pos_rate', CAST(pos_rate AS DOUBLE),"
-        " 'n_rows', CAST(n_rows AS DOUBLE)) AS (name, value)",
-    )
-    params = summary.select("run_id", F.lit("model_type").alias("name"), F.col("lang").alias("value"))
+        "stack(5, 'accuracy', CAST(accuracy AS DOUBLE), 'pos_rate', CAST(pos_rate AS DOUBLE),"
+        " 'n_rows', CAST(n_rows AS DOUBLE), 'auc', CAST(auc AS DOUBLE), 'weighted_f1', CAST(weighted_f1 AS DOUBLE)) AS (name, value)",
+    ).where("value IS NOT NULL")
+    params = summary.where("model_type IS NOT NULL").select("run_id", F.lit("model_type").alias("name"), F.col("model_type").alias("value"))
     return {"runs": runs, "run_params": params, "run_metrics": metrics}
 
 
@@ -147,30 +156,35 @@ def q_production_as_of(spark, sf_dir):
 @plan(
     "best_run",
     f"""
-    SELECT run_id, round(accuracy, 6) AS accuracy, CAST(NULL AS DOUBLE) AS auc,
-           lang AS model_type, source AS run_name
-    FROM ({RUNS_SQL}) ORDER BY accuracy DESC, position ASC, run_id ASC LIMIT 1
+    SELECT run_id, lang, round(accuracy, 6) AS accuracy, round(auc, 6) AS auc, coalesce(model_type, 'unknown') AS model_type,
+           coalesce(run_name, 'unknown') AS run_name
+    FROM ({RUNS_SQL}) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY accuracy DESC, position ASC, run_id ASC) = 1
     """,
 )
 def q_best_run(spark, sf_dir):
+    """The best run of each experiment (language); runs may lack an AUC, a model type or a name."""
     t = pseudo_tables(spark, sf_dir)
-    best = reg.best_run(t["runs"], t["run_metrics"], t["run_params"])
-    return best.select("run_id", r6("accuracy").alias("accuracy"), "auc", "model_type", "run_name")
+    langs = [r["experiment"] for r in t["runs"].select("experiment").distinct().collect()]   # a handful
+    found = [reg.best_run(t["runs"], t["run_metrics"], t["run_params"], experiment=lang).select(
+        "run_id", F.lit(lang).alias("lang"), r6("accuracy").alias("accuracy"), r6("auc").alias("auc"), "model_type", "run_name") for lang in langs]
+    out = found[0]
+    for best in found[1:]:
+        out = out.unionByName(best)
+    return out
 
 
 @plan(
     "version_metrics",
     f"""
-    SELECT v.name, v.version, v.run_id, round(r.accuracy, 6) AS accuracy,
-           CAST(NULL AS DOUBLE) AS auc, CAST(NULL AS DOUBLE) AS weighted_f1
-    FROM ({LATEST_SQL.format(where='')}) v LEFT JOIN ({RUNS_SQL}) r ON v.run_id = r.run_id
+    SELECT v.name, v.version, v.run_id, round(r.accuracy, 6) AS accuracy, round(r.auc, 6) AS auc, round(r.weighted_f1, 6) AS weighted_f1
+    FROM ({VERSIONS_SQL}) v LEFT JOIN ({RUNS_SQL}) r ON v.run_id = r.run_id
     """,
 )
 def q_version_metrics(spark, sf_dir):
+    """Every version with the metrics of its run, as far as the run has them."""
     t = pseudo_tables(spark, sf_dir)
-    latest = reg.latest_versions(pseudo_versions(spark, sf_dir))
-    out = reg.version_metrics(latest, t["run_metrics"])
-    return out.select("name", "version", "run_id", r6("accuracy").alias("accuracy"), "auc", "weighted_f1")
+    out = reg.version_metrics(pseudo_versions(spark, sf_dir), t["run_metrics"])
+    return out.select("name", "version", "run_id", *[r6(c).alias(c) for c in ("accuracy", "auc", "weighted_f1")])
 
 
 @plan(
@@ -201,7 +215,9 @@ def q_best_model(spark, sf_dir):
     SELECT run_id, name, round(value, 6) AS value FROM (
       SELECT run_id, 'accuracy' AS name, accuracy AS value FROM ({RUNS_SQL})
       UNION ALL SELECT run_id, 'pos_rate', pos_rate FROM ({RUNS_SQL})
-      UNION ALL SELECT run_id, 'n_rows', CAST(n_rows AS DOUBLE) FROM ({RUNS_SQL}))
+      UNION ALL SELECT run_id, 'n_rows', CAST(n_rows AS DOUBLE) FROM ({RUNS_SQL})
+      UNION ALL SELECT run_id, 'auc', auc FROM ({RUNS_SQL}) WHERE auc IS NOT NULL
+      UNION ALL SELECT run_id, 'weighted_f1', weighted_f1 FROM ({RUNS_SQL}) WHERE weighted_f1 IS NOT NULL)
     """,
 )
 def q_registry_readback(spark, sf_dir):

@@ -11,13 +11,16 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from textflow.operators import auc, monitor, score_sketch
 from textflow.operators.layout import spread
+from textflow.operators.prep import ensure_text_column
 from textflow.operators.registry import Registry
 from textflow.operators.training import Trainer, default_model_specs
 from textflow.plans.catalog import plan, r6, table
 from textflow.plans.text_plans import labelled_text
+from textflow.schemas import parse_schema
 from textflow.session import scratch_path
 from textflow.sources.predictions import read_json_predictions, read_predictions
 from textflow.streaming import manifest
@@ -454,15 +457,146 @@ def q_output_manifest(spark, sf_dir):
     return told.join(read, "date").select("date", "n_rows", "n_read", "compacted")
 
 
-@plan("recent_outputs_24h", "SELECT TRUE AS within_24h, count(*) > 0 AS any_file FROM events")
+@plan("recent_outputs_24h", "SELECT TRUE AS within_24h, CAST(count(*) AS BIGINT) AS n_rows FROM events")
 def q_recent_outputs_24h(spark, sf_dir):
-    """Whether output files were written within 24 hours (today's table of
-    scored events), and all of those found are that new."""
+    """The output files that were written within 24 hours (today's table of scored events):
+    all are that new, and the rows that their manifest names are all events."""
+    today = F.date_format(F.current_date(), "yyyy-MM-dd")
     events = table(spark, sf_dir, "events").select(
-        "event_id", F.col("value").alias("prediction"), F.date_format(F.current_date(), "yyyy-MM-dd").alias("date"),
+        "event_id", F.col("value").alias("prediction"), today.alias("date"),
         F.lit("events").alias("query_id"), F.lit(0).cast("bigint").alias("batch_id"))
     path = scratch_path(spark, "todays-predictions")
     write_predictions(events, path)
-    recent = monitor.recent_files(spark, path, n=1000, within_hours=24)
+    manifest.record(spark, path, [spark.range(1).select(today).first()[0]], "events", 0)
+    recent = monitor.recent_files(spark, path, n=1_000_000, within_hours=24)
+    counts = manifest.files(spark, path).select("path", "n_rows")
     new = F.col("modified") >= F.current_timestamp() - F.expr("INTERVAL 24 HOURS")
-    return recent.agg(F.bool_and(new).alias("within_24h"), (F.count(F.lit(1)) > 0).alias("any_file"))
+    return recent.join(counts, "path").agg(F.bool_and(new).alias("within_24h"), F.sum("n_rows").alias("n_rows"))
+
+
+def _third(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    return docs.where(F.pmod(F.col("doc_id"), F.lit(3)) == part)
+
+
+@plan(
+    "stream_hot_swap",
+    f"""
+    SELECT a.doc_id, CASE WHEN a.doc_id % 3 = 0 THEN a.prediction ELSE b.prediction END AS prediction,
+           CASE WHEN a.doc_id % 3 = 0 THEN '1' ELSE '2' END AS model_version
+    FROM ({PREDICT_SQL}) a JOIN ({CHARS_SQL}) b ON a.doc_id = b.doc_id
+    """,
+)
+def q_stream_hot_swap(spark, sf_dir):
+    """One run of a stream that goes on while a newer version is registered, and then while
+    the registry can't be reached: the newer model is swapped in between batches, and
+    stays. Each third of the documents is what arrives at a time."""
+    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    source, registry = scratch_path(spark, "stream-swapped"), Registry(spark, scratch_path(spark, "registry"))
+    cfg = replace(_rule_config(spark, source, "doc_id BIGINT, text STRING, n_chars BIGINT"), registry_root=registry.root,
+                  model_name="centroid", model_flavor="python", reload_interval_seconds=0, available_now=False, trigger_seconds=0)
+    newest, reachable = registry_resolver(spark, cfg), [True]
+
+    def resolve():
+        if not reachable[0]:
+            raise ConnectionError("the registry is away")
+        return newest()
+
+    registry.register_python_model("centroid", NearestCentroidModel.fit(labelled, ("text_chars", "n_chars"), "quality"))
+    _third(spark, sf_dir, 0).write.option("maxRecordsPerFile", ROWS_PER_INPUT_FILE).json(source)
+    query, _ = start_serving(spark, cfg, resolver=resolve)
+    try:
+        query.processAllAvailable()
+        registry.register_python_model("centroid", NearestCentroidModel.fit(labelled, ("n_chars",), "quality"))
+        for part in (1, 2):
+            _third(spark, sf_dir, part).write.mode("append").option("maxRecordsPerFile", ROWS_PER_INPUT_FILE).json(source)
+            query.processAllAvailable()
+            reachable[0] = False
+    finally:
+        query.stop()
+    return read_predictions(spark, cfg.output_path).select("doc_id", "prediction", "model_version")
+
+
+@plan(
+    "stream_without_model",
+    f"SELECT doc_id, prediction, '1' AS model_version, TRUE AS waited, TRUE AS none_written FROM ({PREDICT_SQL})",
+)
+def q_stream_without_model(spark, sf_dir):
+    """A stream that starts before any model is registered: an empty batch passes, one with
+    rows fails without a trace in the output, and is scored by the first version after a
+    restart."""
+    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    source, registry = scratch_path(spark, "stream-early"), Registry(spark, scratch_path(spark, "registry"))
+    cfg = replace(_rule_config(spark, source, "doc_id BIGINT, text STRING, n_chars BIGINT"), registry_root=registry.root,
+                  model_name="centroid", model_flavor="python")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    docs.limit(0).write.json(source)
+    run_stream(spark, cfg)    # nothing to score: no model needed
+    docs.write.mode("append").option("maxRecordsPerFile", ROWS_PER_INPUT_FILE).json(source)
+    try:
+        run_stream(spark, cfg)
+        waited = False
+    except StreamingQueryException as problem:
+        waited = "no model available" in str(problem)
+    none_written = manifest.files(spark, cfg.output_path).isEmpty()
+    registry.register_python_model("centroid", NearestCentroidModel.fit(labelled, ("text_chars", "n_chars"), "quality"))
+    run_stream(spark, cfg)
+    return read_predictions(spark, cfg.output_path).select(
+        "doc_id", "prediction", "model_version", F.lit(waited).alias("waited"), F.lit(none_written).alias("none_written"))
+
+
+@plan(
+    "stream_sink_policy",
+    f"SELECT doc_id, prediction, TRUE AS in_json, 1 AS failed_runs FROM ({PREDICT_SQL})",
+)
+def q_stream_sink_policy(spark, sf_dir):
+    """An optional sink that fails (Kafka without a connector): with 'raise' the batch isn't
+    committed and the query ends; restarted with 'warn' the same batch replaces what it
+    had written, and the stream goes on."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    cfg = replace(_rule_config(spark, drop_files(docs, "stream-sinks"), "doc_id BIGINT, text STRING, n_chars BIGINT"),
+                  write_kafka=True, kafka_output_bootstrap="localhost:1", kafka_output_topic="scored")
+    scorer, failed = centroid_scorer(spark, sf_dir), 0
+    for policy in ("raise", "warn"):
+        try:
+            run_stream(spark, replace(cfg, on_error=policy), scorer=scorer, scorer_version=MODEL_VERSION)
+        except StreamingQueryException:
+            failed += 1
+    copy = read_json_predictions(spark, cfg.json_output_path, "doc_id BIGINT").select("doc_id", F.lit(True).alias("copied"))
+    return read_predictions(spark, cfg.output_path).join(copy, "doc_id", "left").select(
+        "doc_id", "prediction", F.coalesce("copied", F.lit(False)).alias("in_json"), F.lit(failed).alias("failed_runs"))
+
+
+@plan(
+    "stream_schema_file",
+    "SELECT doc_id, length(text) AS n_text, n_chars, form FROM documents, (VALUES ('ddl'), ('json')) f(form)",
+)
+def q_stream_schema_file(spark, sf_dir):
+    """Streams over files whose schema is given by the user, as DDL and as JSON: every value
+    arrives under the type that the schema names."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    source, out = drop_files(docs, "stream-typed"), []
+    ddl = "doc_id BIGINT, text STRING, n_chars BIGINT"
+    for form, spec in (("ddl", ddl), ("json", StructType.fromDDL(ddl).json())):
+        cfg = replace(_rule_config(spark, source, parse_schema(spec)), passthrough=("doc_id", "n_chars"))
+        run_stream(spark, cfg, scorer=centroid_scorer(spark, sf_dir), scorer_version=MODEL_VERSION)
+        out.append(read_predictions(spark, cfg.output_path).select(
+            "doc_id", F.char_length("text").cast("bigint").alias("n_text"), "n_chars", F.lit(form).alias("form")))
+    return out[0].unionByName(out[1])
+
+
+@plan(
+    "guarded_text",
+    "SELECT CAST(length(text) AS INTEGER) AS n_text, count(*) AS n_rows, TRUE AS refused FROM documents GROUP BY 1",
+)
+def q_guarded_text(spark, sf_dir):
+    """The text guard: a sole column of any name is the text; of several without that name
+    it is refused."""
+    docs = table(spark, sf_dir, "documents")
+    guarded = ensure_text_column(docs.select(F.col("text").alias("body")))
+    try:
+        ensure_text_column(docs.select("doc_id", F.col("text").alias("body")))
+        refused = False
+    except ValueError:
+        refused = True
+    return guarded.groupBy(F.char_length("text").alias("n_text")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("refused", F.lit(refused))
