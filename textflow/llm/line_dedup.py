@@ -203,9 +203,10 @@ def _without(text: str, place: Column) -> Column:
 
 
 def _shared(rows: DataFrame, *keys: str) -> DataFrame:
-    """The values of ``keys`` that two lines have, and the rows with them (``n``)."""
+    """The values of ``keys`` that two lines have, and the rows with them (``n``). To be
+    joined by a shuffle: Spark takes what a few lines are exploded to for as small as they are."""
     return rows.groupBy(*keys).agg(F.min(F.xxhash64("id")).alias("lo"), F.max(F.xxhash64("id")).alias("hi"),
-                                   F.count(F.lit(1)).alias("n")).where("lo <> hi").drop("lo", "hi")
+                                   F.count(F.lit(1)).alias("n")).where("lo <> hi").drop("lo", "hi").hint("merge")
 
 
 def _earlier_pairs(rows: DataFrame, key: str) -> DataFrame:
@@ -262,7 +263,7 @@ def _two_blocks(met: DataFrame) -> DataFrame:
     allowed = F.when(F.col("x"), (F.col("how1") + F.col("how2")).between(0, 2)).otherwise(
         (F.col("how1") == F.col("s")) & (F.col("how2") == F.col("d") - F.col("s")))
     at = [F.col("l." + c) == F.col("r." + c) for c in way if c != "first"]
-    both = left.alias("l").join(right.alias("r"), at).select(*[F.col("l." + c).alias(c) for c in way], "how1", "token1", "how2", "token2")
+    both = left.alias("l").join(right.alias("r").hint("merge"), at).select(*[F.col("l." + c).alias(c) for c in way], "how1", "token1", "how2", "token2")
     group = ["outside", "how1", "token1", "how2", "token2"]
     both = written(both.where(allowed), "block-pairs")
     equal = (F.col("how1") == 0) & (F.col("how2") == 0)      # then either line is the shorter one
