@@ -125,6 +125,20 @@ def test_pins_by_query_and_batch(spark, tmp_dir):
     assert pins.table().where("pinned_at IS NOT NULL").count() == 2
 
 
+def test_merged_pins(spark, tmp_dir):
+    pins = BatchVersions(spark, f"{tmp_dir}/pins")
+    assert pins.merge("q", 9) == 0
+    for k in range(4):
+        pins.pin("q", k, str(k), f"u{k}")
+    pins.pin("other", 0, "7", None)
+    assert pins.merge("q", 3) == 3 and pins.merge("q", 3) == 0
+    assert [pins.pinned("q", k) for k in range(5)] == [("0", "u0"), ("1", "u1"), ("2", "u2"), ("3", "u3"), None]
+    pins.pin("q", 1, "9", "u9")    # a batch that is done anew after all
+    assert pins.pinned("q", 1) == ("9", "u9")
+    assert sorted((r["query_id"], r["batch_id"], r["model_version"]) for r in pins.table().collect()) == [
+        ("other", 0, "7"), ("q", 0, "0"), ("q", 1, "9"), ("q", 2, "2"), ("q", 3, "3")]
+
+
 def test_one_pass_counts_rows_without_jobs_of_its_own(spark, tmp_dir):
     """Reading, scoring and counting a batch is one job, writing it another."""
     cfg = _cfg(tmp_dir, pin_versions=False, write_manifest=False, query_id="q")

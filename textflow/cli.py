@@ -1,4 +1,4 @@
-"""spark-submit entry points: ``train``, ``serve`` and ``compact``.
+"""spark-submit entry points: ``train``, ``serve``, ``compact``, ``stage`` and ``monitor``.
 
     spark-submit --py-files textflow.zip textflow/cli.py train \
         --input corpus/ --output out/ --registry reg/
@@ -18,12 +18,14 @@ import sys
 from textflow.functions.payload import parse_flag
 from textflow.operators.prep import trim_text
 from textflow.operators.profile import validate_input
-from textflow.operators.registry import Registry
+from textflow.operators.monitor import predictions_by_date, recent_files, stream_runs
+from textflow.operators.registry import STAGES, Registry
+from textflow.operators.score_sketch import running_area
 from textflow.operators.training import PRESETS, Trainer, record_outcome, save_outcome
 from textflow.schemas import load_schema_file
 from textflow.session import build_session
 from textflow.sources.corpus import check_arity, read_labelled_csv
-from textflow.streaming.progress import attach
+from textflow.streaming.progress import attach, merge_date
 from textflow.streaming.serving import ServingConfig, start_serving
 from textflow.streaming.sinks import compact_date
 
@@ -100,12 +102,62 @@ def _compact_args(sub) -> None:
     p.add_argument("--rows-per-file", type=int, default=1_000_000)
 
 
+    p.add_argument("--progress-path", help="merge the dates' progress events too")
+
+
 def run_compact(spark, args) -> dict:
     done = {d: compact_date(spark, args.output_path, d, args.rows_per_file) for d in args.date}
-    print(json.dumps({"compacted_rows": done}))
+    told = {"compacted_rows": done}
+    if args.progress_path:
+        told["progress_events"] = {d: merge_date(spark, args.progress_path, d) for d in args.date}
+    print(json.dumps(told))
     return done
 
 
+def _stage_args(sub) -> None:
+    p = sub.add_parser("stage", help="move a registered version to another stage")
+    p.add_argument("--registry", required=True)
+    p.add_argument("--model-name", required=True)
+    p.add_argument("--version", required=True)
+    p.add_argument("--to", required=True, choices=STAGES)
+    p.add_argument("--archive-others", action="store_true", help="archive the versions that are in that stage now")
+
+
+def run_stage(spark, args) -> dict:
+    registry = Registry(spark, args.registry)
+    before = registry.move(args.model_name, args.version, args.to, args.archive_others)
+    told = {"version": args.version, "from": before, "to": args.to, "newest_there": registry.latest(args.model_name, args.to)[0]}
+    print(json.dumps(told))
+    return told
+
+
+def _monitor_args(sub) -> None:
+    p = sub.add_parser("monitor", help="runs, newest files, rows by date and running AUC of a serving output")
+    p.add_argument("--output-path", required=True)
+    p.add_argument("--progress-path")
+    p.add_argument("--sketch-path")
+    p.add_argument("--since", help="first date to look at (yyyy-MM-dd)")
+    p.add_argument("--files", type=int, default=5)
+    p.add_argument("--within-hours", type=float)
+    p.add_argument("--stale-seconds", type=float, default=300.0)
+
+
+def run_monitor(spark, args) -> dict:
+    """What the serving job has done and is doing, from its records alone: it need not run
+    in this session, nor run at all."""
+    told = {
+        "rows_by_date": {r["date"]: r["n_rows"] for r in predictions_by_date(spark, args.output_path, args.since).collect()},
+        "newest_files": [r.asDict() for r in recent_files(spark, args.output_path, args.files, args.within_hours, args.since).collect()],
+    }
+    if args.progress_path:
+        runs = stream_runs(spark, args.progress_path, args.stale_seconds, args.since)
+        told["runs"] = [r.asDict() for r in runs.orderBy("first_seen").collect()]
+    if args.sketch_path:
+        told["running_auc"] = running_area(spark, args.sketch_path).first().asDict()
+    print(json.dumps(told, default=str))
+    return told
+
+
 def run_train(spark, args) -> dict:
     overrides = {
         k: v for k, v in {
@@ -185,13 +237,15 @@ def main(argv=None) -> int:
     _train_args(sub)
     _serve_args(sub)
     _compact_args(sub)
+    _stage_args(sub)
+    _monitor_args(sub)
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = build_session(app_name=f"textflow-{args.command}")
     if args.command == "train":
         run_train(spark, args)
-    elif args.command == "compact":
-        run_compact(spark, args)
+    elif args.command in ("compact", "stage", "monitor"):
+        {"compact": run_compact, "stage": run_stage, "monitor": run_monitor}[args.command](spark, args)
     else:
         run_serve(spark, args)
     return 0

@@ -35,11 +35,16 @@ class BatchVersions:
                 raise
             return None
 
+    def _merged(self, query_id: str) -> str:
+        return f"{self.path}/merged/{hashlib.md5(query_id.encode()).hexdigest()}"
+
     def pinned(self, query_id: str, batch_id: int) -> tuple[str, str | None] | None:
         """``(version, uri)`` that an earlier attempt of the batch was scored by. A
         record that was cut off while it was written counts as none: its batch had
         not been scored yet."""
         found = self._read(self._folder(query_id, batch_id))
+        if found is None and (found := self._read(self._merged(query_id))) is not None:
+            found = found.where((F.col("batch_id") == batch_id) & (F.col("query_id") == query_id)).orderBy(F.desc("pinned_at"))
         row = found.first() if found is not None else None
         return None if row is None else (row["model_version"], row["uri"])
 
@@ -48,6 +53,29 @@ class BatchVersions:
         row.withColumn("pinned_at", F.current_timestamp()).write.mode("overwrite").parquet(self._folder(query_id, batch_id))
 
     def table(self) -> DataFrame:
-        """All records: ``query_id, batch_id, model_version, uri, pinned_at``."""
+        """All records, the newest of each batch: ``query_id, batch_id, model_version, uri,
+        pinned_at``."""
         found = self._read(self.path)
-        return self.spark.createDataFrame([], BATCH_VERSIONS) if found is None else found
+        if found is None:
+            return self.spark.createDataFrame([], BATCH_VERSIONS)
+        newest = F.max_by(F.struct("model_version", "uri", "pinned_at"), "pinned_at").alias("r")
+        return found.groupBy("query_id", "batch_id").agg(newest).select("query_id", "batch_id", "r.*")
+
+    def merge(self, query_id: str, before: int) -> int:
+        """Put the records of a query's batches below ``before`` (all of them committed) into
+        one file; the number of folders that go. A call that dies after the write leaves
+        records twice, which ``table`` counts once, and the next call removes the rest."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self._folder(query_id, 0)).getParent()
+        store = root.getFileSystem(conf)
+        if not store.exists(root):
+            return 0
+        done = [s.getPath() for s in store.listStatus(root) if int(s.getPath().getName()) < before]
+        if done:
+            self._read_all([p.toString() for p in done]).coalesce(1).write.mode("append").parquet(self._merged(query_id))
+        for folder in done:
+            store.delete(folder, True)
+        return len(done)
+
+    def _read_all(self, folders: list[str]) -> DataFrame:
+        return self.spark.read.schema(BATCH_VERSIONS).parquet(*folders)
