@@ -40,8 +40,15 @@ def test_examples_written_out(spark):
     assert two["text"].startswith(one["text"])
     assert cf.unescape(one["text"][one["loss_start"]:one["loss_stop"]]) == "</s> ho \U0001F600"
     assert two["text"][two["loss_start"]:two["loss_stop"]] == "end"
+    # the same examples by ranges: the context is what stands before the turn's own piece
+    ranged = {(r["conv_id"], r["example"]): r for r in cf.expand(formatted).collect()}
+    assert set(ranged) == set(examples)
+    for key, r in ranged.items():
+        text = examples[key]["text"]
+        assert (r["context_start"], r["stop"], text[r["context_stop"]:]) == (0, len(text), r["piece"])
+        assert (r["loss_start"], r["loss_stop"]) == (examples[key]["loss_start"], examples[key]["loss_stop"])
     assert one["text"].count(cf.TURN) == 3 and two["text"].count(cf.TURN) == 5
-    read = {r["conv_id"]: r for r in cf.read_back(formatted).collect()}
+    read = {r["conv_id"]: r for r in cf.read_back(formatted, cf.expand(formatted)).collect()}
     assert read[1]["formatted_chars"] == len(one["text"]) + len(two["text"]) and read[2]["formatted_chars"] == 0
     assert read[2]["loss_sha256"] == hashlib.sha256(b"").hexdigest() and read[1]["n_turns"] == 6
 
@@ -52,8 +59,10 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     for k, name in enumerate((*CLASHING, "piece", "stop", "start", "before")):
         df = df.withColumn(name, F.lit(k))
-    read = {r["conv_id"]: r for r in cf.read_back(cf.format_turns(df)).collect()}
+    turns = cf.format_turns(df)
+    read = {r["conv_id"]: r for r in cf.read_back(turns, cf.expand(turns)).collect()}
     assert {k: (r["n_turns"], r["loss_chars"]) for k, r in read.items()} == {None: (2, 0), 1: (2, 0), 2: (1, 0), 3: (1, 250_000)}
     assert read[None]["turns_sha256"] == hashlib.sha256(b"assistant\n\nuser\na\n").hexdigest()
     assert read[1]["turns_sha256"] == hashlib.sha256(b"\nx\n\nx\n").hexdigest()
-    assert cf.read_back(cf.format_turns(df.limit(0))).count() == 0
+    none = cf.format_turns(df.limit(0))
+    assert cf.read_back(none, cf.expand(none)).count() == 0

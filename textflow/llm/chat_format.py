@@ -3,10 +3,11 @@
 Every assistant turn becomes a training example of its own: all turns before it
 are context, and only its text is under the loss mask. The formatted turns of a
 conversation follow each other in one stream, and an example is a prefix of that
-stream: it ends with its assistant turn. So the operator keeps each turn once,
-with its place in the stream; ``render`` writes the examples out. Kept this way
-the output grows with the conversations; written out it grows with the square of
-a conversation's length, which no partitioning undoes.
+stream: it ends with its assistant turn. ``format_turns`` gives each turn once, with
+its place in the stream, and ``expand`` makes a row of each assistant turn: its own
+piece, and its context as a range of the stream. ``render`` writes the contexts out.
+By ranges the output grows with the conversations; written out it grows with the
+square of a conversation's length, which no partitioning undoes.
 
 Template of a turn: ``<|turn|>role<|says|>text<|end|>``. Control strings inside
 roles and texts (the template's own and those of common chat templates) get a
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textflow.llm.catalog import query
-from textflow.llm.common import col
+from textflow.llm.common import col, written
 from textflow.plans.catalog import table
 
 TURN, SAYS, END = "<|turn|>", "<|says|>", "<|end|>"
@@ -72,6 +73,17 @@ def format_turns(conversations: DataFrame) -> DataFrame:
                          F.when(trained, F.col("stop") - len(END)).alias("loss_stop"))
 
 
+def expand(turns: DataFrame) -> DataFrame:
+    """``(conv_id, example, context_start, context_stop, piece, loss_start, loss_stop, stop)``:
+    a training example for each assistant turn of ``format_turns``. The context is the
+    range of its conversation's stream before the turn's own ``piece``; of that, the
+    characters from ``loss_start`` to ``loss_stop`` (of the stream) are trained on. The
+    example is ``stop`` characters long. A conversation without such a turn has none."""
+    return turns.where("loss_start IS NOT NULL").select(
+        "conv_id", F.col("pos").alias("example"), F.lit(0).cast("long").alias("context_start"), F.col("start").alias("context_stop"),
+        "piece", "loss_start", "loss_stop", "stop")
+
+
 def render(turns: DataFrame) -> DataFrame:
     """``(conv_id, example, text, loss_start, loss_stop)``: the examples of
     ``format_turns`` written out, context included."""
@@ -96,8 +108,9 @@ _READ = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss
 
 
 def _read_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Digests of each conversation from its formatted turns, which come in order;
-    a turn is in hand at a time."""
+    """Digests of each conversation from its formatted turns, and from its examples what
+    is under their loss masks. They come in order, a turn's example after the turn; one
+    is in hand at a time."""
     names = [part.split()[0] for part in _READ.split(",")]
     now, state = None, None
 
@@ -107,33 +120,37 @@ def _read_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         out = []
-        for conv, piece, start, stop, lo, hi in zip(*(batch[c] for c in ("conv_id", "piece", "start", "stop", "loss_start", "loss_stop"))):
+        for conv, trained, piece, start, stop, lo, hi in zip(*(batch[c] for c in ("conv_id", "trained", "piece", "start", "stop", "loss_start", "loss_stop"))):
             conv = None if pd.isna(conv) else int(conv)
             if state is None or conv != now:
                 if state is not None:
                     out.append(result())
                 now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
-            role, text = parse_piece(piece)
-            state[0] += 1
-            state[1].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-            if not pd.isna(lo):
+            if trained:
                 reply = unescape(piece[int(lo) - int(start):int(hi) - int(start)])
                 state[2] += len(reply)
                 state[3].update(reply.encode("utf-8", "surrogatepass"))
-                state[4] += int(stop)  # the example is the stream up to here
+                state[4] += int(stop)
                 state[5] += 1
-            state[6] = int(stop)
+            else:
+                role, text = parse_piece(piece)
+                state[0] += 1
+                state[1].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+                state[6] = int(stop)
         if out:
             yield pd.DataFrame(out, columns=names)
     if state is not None:
         yield pd.DataFrame([result()], columns=names)
 
 
-def read_back(turns: DataFrame) -> DataFrame:
-    """One row a conversation: its turns, and what is under its examples' loss
-    masks, parsed from the formatted turns; ``formatted_chars`` is the sum of the
-    examples' lengths, contexts included."""
-    dealt = turns.repartition("conv_id").sortWithinPartitions("conv_id", "pos")
+def read_back(turns: DataFrame, examples: DataFrame) -> DataFrame:
+    """One row a conversation: its turns, parsed from the formatted ones, and from its
+    examples what is under their loss masks and their lengths, contexts included, added
+    up (``formatted_chars``). A digest runs over a whole conversation, so a task reads it
+    in order."""
+    both = turns.select("conv_id", "pos", F.lit(False).alias("trained"), "piece", "start", "stop", "loss_start", "loss_stop").union(
+        examples.select("conv_id", "example", F.lit(True), "piece", "context_stop", "stop", "loss_start", "loss_stop"))
+    dealt = both.repartition("conv_id").sortWithinPartitions("conv_id", "pos", "trained")
     return dealt.mapInPandas(_read_back, _READ)
 
 
@@ -169,4 +186,5 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
                                 "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
-    return read_back(format_turns(rows))
+    turns = written(format_turns(rows), "formatted-turns")
+    return read_back(turns, expand(turns))
