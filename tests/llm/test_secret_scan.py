@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -61,6 +62,82 @@ def test_field_learns_and_adds_spans():
     assert ss.base_spans(text) == []
 
 
+def test_gold_tags_against_a_loop():
+    import random
+
+    for seed in range(30):
+        text, spans = ss.planted(documents().text.iloc[seed] or "", random.Random(seed))
+        spans = sorted(ss.base_spans(text) + spans)
+        assert all(text[a:b] and "  " not in text[a:b] for a, _, b in spans)
+        runs = ss.candidate_runs(text)
+        wanted = []
+        for run in runs:
+            tags, last = [], None
+            for lo, hi in run:
+                span = next(((s, e) for s, _, e in spans if s < hi and e > lo and e >= hi), None)
+                tags.append(0 if span is None else 2 if span == last else 1)
+                last = span
+            wanted.append(tags)
+        assert ss.gold(runs, spans) == wanted
+
+
+def test_field_finds_planted_secrets_and_leaves_decoys(spark):
+    """Held-out documents: the field has not seen their texts nor what is put into them."""
+    import random
+
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    weights = ss.learn(docs.where("doc_id % 2 = 0"))
+    hit = missed = extra = 0
+    for seed, text in enumerate(documents().query("doc_id % 2 == 1").text.fillna("")):
+        mixed, put_in = ss.planted(text, random.Random(seed + 10_000))
+        found = [(a, b) for a, k, b in ss.spans_of(mixed, *weights) if k == 3]
+        covered = [(a, b) for a, _, b in ss.base_spans(mixed)]
+        for a, _, b in put_in:
+            if any(x < b and a < y for x, y in covered):    # a pattern has it
+                continue
+            near = any(x < b and a < y for x, y in found)
+            hit, missed = hit + near, missed + (not near)
+        extra += sum(not any(x < b and a < y for a, _, b in put_in) for x, y in found)
+    assert hit + missed > 200
+    assert hit / (hit + missed) >= 0.9
+    assert hit / (hit + extra) >= 0.9
+
+
+def test_gradient_of_the_likelihood():
+    """A step of the training goes up the field's log-likelihood."""
+    draw = np.random.default_rng(2)
+    runs = [(draw.integers(0, ss.DIMS, (k % 3 + 1, 5)), [(0, 1, 2)[(k + i) % 3 if i else k % 2] for i in range(k % 3 + 1)]) for k in range(12)]
+
+    def likelihood(emission, move):
+        total = 0.0
+        for x, tags in runs:
+            scores = {}
+            for path in np.ndindex(*(3,) * len(tags)):
+                steps = list(zip((0, *path), (*path, 0)))
+                if (0, 2) not in steps:
+                    scores[path] = sum(emission[x[i]].sum(axis=0)[t] for i, t in enumerate(path)) + sum(move[a, b] for a, b in steps)
+            if tuple(tags) in scores:
+                total += scores[tuple(tags)] - np.logaddexp.reduce(list(scores.values()))
+        return total
+
+    runs = [r for r in runs if (0, 2) not in list(zip((0, *r[1]), (*r[1], 0)))]
+    values = [likelihood(*ss.train(runs, rounds=k, ridge=0.0)) for k in (1, 5, 20, 80)]
+    assert values == sorted(values) and values[-1] > -0.2 * len(runs)
+
+
+def test_a_text_of_many_spans_takes_linear_time():
+    weights = (np.zeros((ss.DIMS, 3)), np.zeros((3, 3)))
+    weights[0][:, 1] = 1.0     # every candidate begins a secret
+    took = []
+    for n in (20_000, 80_000):
+        text = " ".join(f"deadbeef{k:08x} Token{k:07d}x" for k in range(n // 2))
+        began = time.time()
+        spans = ss.spans_of(text, *weights)
+        took.append(time.time() - began)
+        assert len(spans) == n
+    assert took[1] < 10 * took[0] + 1
+
+
 def test_query_and_odd_rows(spark):
     rows = ss.op2_secrets(spark, SF001).toPandas().set_index("doc_id")
     for doc_id, text in documents()[["doc_id", "text"]].itertuples(index=False):

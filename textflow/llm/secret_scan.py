@@ -2,21 +2,26 @@
 
 The field tags tokens as secret begin (B), inside (I) or outside (O). Tokens are
 runs of ``[A-Za-z0-9+/_.=-]`` and single other characters; a token can be part of
-a secret only if it has 12 or more characters and a digit among them, all others
-are O by definition. Emission features are the token's shape, its neighbouring
-words and figures of the whole file; transitions are learned between the three
-tags. As the state at an O-only token is known, the Viterbi path of a whole text
-falls apart into the paths of its runs of candidate tokens, which is how it is
-decoded: exactly, and in time that follows the candidates.
-
-No labels mark secrets, so the field learns from the pattern spans of a bounded
-sample of documents (distant supervision), with the neighbouring words hidden in
-a second copy of each example so that neither shape nor context alone decides.
+a secret only if it has ``MIN_TOKEN`` or more characters, and a digit or a capital
+after a small letter among them; all others, which is nearly all words, are O by
+definition. Emission features are the token's shape, its neighbouring words and
+figures of the whole file; transitions are learned between the three tags. As the
+state at an O-only token is known, the Viterbi path of a whole text falls apart into
+the paths of its runs of candidate tokens, which is how it is decoded: exactly, and
+in time that follows the candidates.
+
+No labels mark secrets, so the field learns from a bounded sample of documents: from
+their pattern spans, and from copies into which secrets of many made-up shapes are
+put, bare or behind words that the patterns don't know, beside as many decoys (dates,
+numbers, paths, names of files and hosts) that are none. The neighbouring words are
+hidden in a second copy of each example, so that neither shape nor context alone
+decides.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
 import zlib
 from typing import Iterator
@@ -30,10 +35,11 @@ from textflow.llm.catalog import query
 from textflow.llm.common import col
 from textflow.plans.catalog import table
 
-MAX_TRAIN_DOCS = 4_000   # bound of the sample: the first documents by a hash of their id
-MAX_TRAIN_RUNS = 20_000  # bound of the candidate runs learned from
-MAX_RUN = 16             # longest run learned from (decoding has no bound)
-MIN_TOKEN = 12
+MAX_TRAIN_DOCS = 2_000   # bound of the sample: the first documents by a hash of their id
+MAX_TRAIN_RUNS = 4_000  # bound of the candidate runs learned from
+MAX_RUN = 4              # longer runs are learned from in pieces (decoding has no bound)
+PLANTED = 4              # secrets, and as many decoys, put into a document of the sample
+MIN_TOKEN = 8
 DIMS = 1 << 13           # hashed feature space
 O, B, I = 0, 1, 2
 KINDS = ("assign", "access", "hex", "crf")
@@ -42,7 +48,7 @@ _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x2
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{MIN_TOKEN},}}")
-_DIGIT = re.compile(r"[0-9]")
+_TELLING = re.compile(r"[0-9]|[a-z][A-Z]")
 _NEIGHBOUR = re.compile(r"[^\W_]+|[=:\"'|,;@]")
 
 _SPANS = "kinds array<string>, starts array<long>, ends array<long>"
@@ -67,7 +73,7 @@ def candidate_runs(text: str) -> list[list[tuple]]:
     """Runs of candidate tokens ``(start, end)`` with only whitespace between."""
     runs: list[list[tuple]] = []
     for m in _CANDIDATE.finditer(text):
-        if not _DIGIT.search(text, m.start(), m.end()):
+        if not _TELLING.search(text, m.start(), m.end()):
             continue
         if runs and text[runs[-1][-1][1]:m.start()].isspace():
             runs[-1].append(m.span())
@@ -92,6 +98,26 @@ def _shape(token: str) -> list[str]:
     ]
 
 
+def _words_before(text: str, at: int, n: int) -> list[str]:
+    """The last ``n`` words before a place, however far they are."""
+    size = 64
+    while True:
+        start = max(0, at - size)
+        found = _NEIGHBOUR.findall(text[start:at])
+        if start == 0 or len(found) > n:    # one more, as the first may be cut
+            return [w.lower() for w in found[-n:]]
+        size *= 4
+
+
+def _words_after(text: str, at: int, n: int) -> list[str]:
+    found = []
+    for m in _NEIGHBOUR.finditer(text, at):
+        found.append(m.group().lower())
+        if len(found) == n:
+            break
+    return found
+
+
 def features(text: str, runs: list[list[tuple]], context: bool = True) -> list[np.ndarray]:
     """Hashed feature indices of each token, one ``(tokens, features)`` array a run."""
     file_marks = [f"f_n{min(len(runs), 8)}", f"f_eq{min(text.count('='), 8)}", f"f_len{len(text).bit_length()}"]
@@ -101,8 +127,7 @@ def features(text: str, runs: list[list[tuple]], context: bool = True) -> list[n
         for lo, hi in run:
             names = _shape(text[lo:hi])
             if context:
-                before = [w.lower() for w in _NEIGHBOUR.findall(text[max(0, lo - 64):lo])][-4:]
-                after = [w.lower() for w in _NEIGHBOUR.findall(text[hi:hi + 32])][:2]
+                before, after = _words_before(text, lo, 4), _words_after(text, hi, 2)
                 before, after = ["<"] * (4 - len(before)) + before, after + [">"] * (2 - len(after))
                 names += [f"b{4 - i}{w}" for i, w in enumerate(before)] + [f"n{w}" for w in before[1:]]
                 names += [f"a{i}{w}" for i, w in enumerate(after)] + file_marks
@@ -129,19 +154,73 @@ def viterbi(emit: np.ndarray, move: np.ndarray) -> list[int]:
     return tags[::-1]
 
 
-def gold(runs: list[list[tuple]], base: list[tuple]) -> list[list[int]]:
-    """Tags of the runs by the pattern spans that cover the tokens' ends."""
-    out = []
+def gold(runs: list[list[tuple]], spans: list[tuple]) -> list[list[int]]:
+    """Tags of the runs by the spans (sorted by start) that cover the tokens' ends."""
+    out, ahead, open_ = [], 0, []
     for run in runs:
         tags, last = [], None
         for lo, hi in run:
-            span = next(((s, e) for s, _, e in base if s < hi and e > lo and e >= hi), None)
+            while ahead < len(spans) and spans[ahead][0] < hi:
+                open_.append((spans[ahead][0], spans[ahead][2]))
+                ahead += 1
+            open_ = [x for x in open_ if x[1] >= hi]     # the others end before all tokens to come
+            span = open_[0] if open_ else None
             tags.append(O if span is None else I if span == last else B)
             last = span
         out.append(tags)
     return out
 
 
+# Made-up secrets and decoys: how each is drawn, from ``draw`` (a random.Random).
+_SIGNS = {"62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "up": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+          "HEX": "0123456789ABCDEF", "low": "abcdefghijklmnopqrstuvwxyz0123456789", "b64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+          "9": "0123456789", "Aa": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"}
+
+
+def _some(draw: random.Random, signs: str, low: int, high: int) -> str:
+    return "".join(draw.choices(_SIGNS[signs], k=draw.randint(low, high)))
+
+
+_SECRETS = (
+    lambda d: _some(d, "62", 20, 48), lambda d: _some(d, "b64", 24, 64) + "=" * d.randint(0, 2), lambda d: _some(d, "HEX", 24, 40),
+    lambda d: _some(d, "up", 20, 32), lambda d: _some(d, "low", 18, 40), lambda d: _some(d, "Aa", 20, 40),
+    lambda d: f"{_some(d, 'low', 2, 4)}_{_some(d, 'low', 3, 5)}_{_some(d, '62', 16, 36)}",
+    lambda d: f"{_some(d, 'low', 2, 4)}-{_some(d, '9', 8, 12)}-{_some(d, '62', 16, 24)}",
+    lambda d: f"eyJ{_some(d, '62', 12, 24)}.eyJ{_some(d, '62', 16, 32)}.{_some(d, '62', 20, 43)}",
+    lambda d: f"{_some(d, '62', 8, 12)}-{_some(d, '62', 8, 12)}", lambda d: f"{_some(d, '62', 10, 16)} {_some(d, '62', 10, 16)}",
+    lambda d: "\n".join(_some(d, "b64", 32, 48) for _ in range(d.randint(2, 3))),
+)
+_DECOYS = (
+    lambda d: f"{d.randint(1990, 2030)}-{d.randint(10, 12)}-{d.randint(10, 28)}", lambda d: f"{d.randint(2000, 2030)}-{d.randint(10, 12)}-{d.randint(10, 28)}T{d.randint(10, 23)}",
+    lambda d: f"+{_some(d, '9', 8, 12)}", lambda d: f"{_some(d, '9', 3, 4)}-{_some(d, '9', 3, 4)}-{_some(d, '9', 3, 4)}", lambda d: _some(d, "9", 8, 16),
+    lambda d: f"{d.randint(1, 40)}.{d.randint(0, 40)}.{d.randint(0, 999)}.{d.randint(100, 9999)}",
+    lambda d: f"{d.choice(('report', 'image', 'chapter', 'invoice', 'section'))}{d.choice('-_.')}{_some(d, '9', 1, 6)}.{d.choice(('pdf', 'txt', 'html', 'jpeg'))}",
+    lambda d: f"www{d.randint(1, 99)}.{d.choice(('example', 'server', 'library', 'archive'))}.{d.choice(('org', 'com', 'net'))}/{d.choice(('page', 'item', 'news'))}/{d.randint(1, 99999)}",
+    lambda d: f"{d.choice(('get', 'set', 'load', 'parse', 'make'))}{d.choice(('User', 'File', 'Page', 'Item'))}{d.choice(('Name', 'List', 'Count', 'Data'))}",
+    lambda d: f"{d.randint(1, 999)}.{_some(d, '9', 5, 9)}", lambda d: f"ISBN-{_some(d, '9', 10, 13)}",
+    lambda d: f"{d.choice(('Mc', 'Mac', 'Von', 'De'))}{d.choice(('Donald', 'Gregor', 'Winter', 'Lander'))}{d.choice(('', 's', 'son'))}",
+)
+_BEFORE = ("", "", "auth ", "Bearer ", "key ", "credential: ", "pin = \"", "access ", "private key\n", "login:pass ", "use ", "is ")
+
+
+def planted(text: str, draw: random.Random, n: int = PLANTED) -> tuple[str, list[tuple]]:
+    """The text with ``n`` secrets and ``n`` decoys put in at spaces, and the spans
+    ``(start, kind index, end)`` of the secrets."""
+    spaces = [m.start() for m in re.finditer(r"\s", text)] or [len(text)]
+    puts = sorted((draw.choice(spaces), k) for k in range(2 * n))
+    parts, spans, last, size = [], [], 0, 0
+    for at, k in puts:
+        lead = " " + draw.choice(_BEFORE)
+        made = draw.choice(_SECRETS if k < n else _DECOYS)(draw)
+        part = text[last:at] + lead + made + " "
+        start = size + at - last + len(lead)
+        if k < n:
+            spans.append((start, 3, start + len(made)))
+        parts.append(part)
+        size, last = size + len(part), at
+    return "".join(parts) + text[last:], spans
+
+
 def train(runs: list[tuple], rounds: int = 120, rate: float = 0.3, ridge: float = 1e-3) -> tuple:
     """Weights ``(emission, transition)`` by gradient ascent on the field's
     log-likelihood (forward-backward, Adagrad). ``runs``: pairs of a feature
@@ -208,13 +287,14 @@ def learn(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS, max_runs: int = MAX_T
     def examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for text in batch["text"]:
-                runs = [r for r in candidate_runs(text or "") if len(r) <= MAX_RUN]
-                if not runs:
-                    continue
-                tags = gold(runs, base_spans(text))
-                for context in (True, False):
-                    rows += [(x.ravel().tolist(), t) for x, t in zip(features(text, runs, context), tags)]
+            for text in batch["text"].fillna(""):
+                mixed, put_in = planted(text, random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass"))))
+                for version, spans in ((text, []), (mixed, put_in)):
+                    runs = candidate_runs(version)
+                    tags = gold(runs, sorted(base_spans(version) + spans))
+                    for context in (True, False):
+                        for x, t in zip(features(version, runs, context), tags):
+                            rows += [(x[k:k + MAX_RUN].ravel().tolist(), t[k:k + MAX_RUN]) for k in range(0, len(t), MAX_RUN)]
             yield pd.DataFrame(rows, columns=["x", "t"])
 
     texts = docs.select(col(docs, "doc_id").alias("doc_id"), col(docs, "text").cast("string").alias("text"))
@@ -229,7 +309,7 @@ def spans_of(text: str | None, emission: np.ndarray, move: np.ndarray) -> list[t
     if not text:
         return []
     base = base_spans(text)
-    found = list(base)
+    found, ahead, reach = list(base), 0, 0
     runs = candidate_runs(text)
     for run, x in zip(runs, features(text, runs)):
         tags = viterbi(emission[x].sum(axis=1), move)
@@ -240,7 +320,11 @@ def spans_of(text: str | None, emission: np.ndarray, move: np.ndarray) -> list[t
             while stop + 1 < len(tags) and tags[stop + 1] == I:
                 stop += 1
             lo, hi = run[k][0], run[stop][1]
-            if not any(s < hi and e > lo for s, _, e in base):
+            # both lists ascend: pattern spans that begin before this one's end, and how far they reach
+            while ahead < len(base) and base[ahead][0] < hi:
+                reach = max(reach, base[ahead][2])
+                ahead += 1
+            if reach <= lo:
                 found.append((lo, 3, hi))
     return sorted(found)
 
@@ -248,8 +332,9 @@ def spans_of(text: str | None, emission: np.ndarray, move: np.ndarray) -> list[t
 def secret_spans(docs: DataFrame, into: str, weights: tuple | None = None) -> DataFrame:
     """``docs`` with a struct column ``into`` of the spans of every whole text:
     ``kinds``, ``starts``, ``ends`` (code points, end exclusive), by start, then
-    kind. A null or empty text has none; rows keep all their columns, repeated
-    rows get equal spans; an empty table stays empty."""
+    kind. A null or empty text has none; texts of any length are scanned whole, in
+    time that follows their length; rows keep all their columns, repeated rows get
+    equal spans; an empty table stays empty."""
     emission, move = learn(docs) if weights is None else weights
     shared = docs.sparkSession.sparkContext.broadcast((emission.astype(np.float64), move))
 
