@@ -255,8 +255,7 @@ def train(runs: list[tuple], rounds: int = 120, rate: float = 0.3, ridge: float
         total = np.logaddexp.reduce(alpha[rows, sizes - 1] + moves[:, O], axis=1)
         marginal = np.exp(np.clip(alpha + beta - total[:, None, None], -60, 0)) * mask[..., None]
         gap = target - marginal
-        grad_e = np.zeros_like(emission)
-        np.add.at(grad_e, index.reshape(-1, width), gap.reshape(-1, 1, 3))
+        grad_e = np.stack([np.bincount(index.ravel(), np.repeat(gap[..., c].ravel(), width), DIMS) for c in range(3)], axis=1)
         grad_m = np.zeros_like(move)
         np.add.at(grad_m, (O, tags[:, 0]), 1.0)
         np.add.at(grad_m, (tags[rows, sizes - 1], O), 1.0)
