@@ -164,15 +164,15 @@ def _near(docs: DataFrame, row: Column, distinct: DataFrame, broadcast_rows: int
 
 
 def _outsides(lines: DataFrame) -> DataFrame:
-    """``(id, first, d, s, two, outside, inner, inner2)``: each line's ways to lie within
-    two edits of another, by blocks.
+    """``(no, d, s, two, outside, inner, inner2)``: each line's ways to lie within two
+    edits of another, by blocks.
 
     Of two such lines let the shorter have ``c`` characters, its blocks cut at
     ``c * i / BLOCKS``, and the longer ``d`` more. Both edits are in one block, ``d``
     characters longer in the other line; or one each in two, ``s`` and ``d - s`` longer
     (-1 to 1). ``outside`` is a hash of all else; a line takes part as the shorter one
     (``d`` and ``s`` 0) and, with what it may be longer by, as the other."""
-    ways = lines.select("id", "first", "line", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("d"))
+    ways = lines.select("no", "line", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("d"))
     ways = ways.withColumn("c", F.char_length("line") - F.col("d")).where(F.col("c") >= 2 * MIN_NEAR)
     ways = ways.select("*", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("i"))
     later = F.when(F.col("i") < BLOCKS - 1, F.sequence(F.col("i") + 1, F.lit(BLOCKS - 1))).otherwise(F.array().cast("array<int>"))
@@ -192,7 +192,7 @@ def _outsides(lines: DataFrame) -> DataFrame:
 
     rest = F.when(two, F.xxhash64(part(stop, start2), part(stop2, n))).otherwise(F.xxhash64(part(stop, n)))
     return ways.select(
-        "id", "first", "d", "s", two.alias("two"), F.xxhash64("c", "i", "j", part(F.lit(0), start), rest).alias("outside"),
+        "no", "d", "s", two.alias("two"), F.xxhash64("c", "i", "j", part(F.lit(0), start), rest).alias("outside"),
         part(start, stop).alias("inner"), F.when(two, part(start2, stop2)).alias("inner2"))
 
 
@@ -202,11 +202,13 @@ def _without(text: str, place: Column) -> Column:
         F.concat(F.substring(text, F.lit(1), place - 1), F.substring(F.col(text), place + 1, F.char_length(text))))
 
 
-def _shared(rows: DataFrame, *keys: str) -> DataFrame:
-    """The values of ``keys`` that two lines have, and the rows with them (``n``). To be
-    joined by a shuffle: Spark takes what a few lines are exploded to for as small as they are."""
-    return rows.groupBy(*keys).agg(F.min(F.xxhash64("id")).alias("lo"), F.max(F.xxhash64("id")).alias("hi"),
-                                   F.count(F.lit(1)).alias("n")).where("lo <> hi").drop("lo", "hi").hint("merge")
+def _shared(rows: DataFrame, keys: list[str], of: str, broadcast_rows: int) -> DataFrame:
+    """The values of ``keys`` that two different ``of`` have, and the rows with them (``n``).
+    Broadcast if they are few; else to be joined by a shuffle, as Spark takes what a few
+    lines are exploded to for as small as they are."""
+    counted = rows.groupBy(*keys).agg(F.min(of).alias("lo"), F.max(of).alias("hi"), F.count(F.lit(1)).alias("n"))
+    found = written(counted.where("lo <> hi").drop("lo", "hi"), "line-shared")
+    return F.broadcast(found) if found.count() <= broadcast_rows else found.hint("merge")
 
 
 def _earlier_pairs(rows: DataFrame, key: str) -> DataFrame:
@@ -215,16 +217,35 @@ def _earlier_pairs(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, "id", "first").join(others, key).where(F.col("other_first") < F.col("first")).select("id", "other")
 
 
-def _one_block(met: DataFrame) -> DataFrame:
+def _one_block(met: DataFrame, lines: DataFrame, broadcast_rows: int) -> DataFrame:
     """``(id, other)`` for lines that are equal outside one block."""
     one = met.where("NOT two")
-    few = _earlier_pairs(one.where(F.col("n") <= CROWD), "outside")
-    places = one.where(F.col("n") > CROWD).select("id", "first", "outside", "inner", F.explode(F.sequence(F.lit(0), F.char_length("inner"))).alias("p"))
+    few = written(one.where(F.col("n") <= CROWD).join(lines, "no").select("id", "first", "outside"), "block-few")
+    places = one.where(F.col("n") > CROWD).select("no", "outside", "inner", F.explode(F.sequence(F.lit(0), F.char_length("inner"))).alias("p"))
     before = F.when(F.col("p") > 1, F.sequence(F.lit(0), F.col("p") - 1)).otherwise(F.array(F.lit(0)))
-    cut = places.select("id", "first", "outside", _without("inner", F.col("p")).alias("once"), F.explode(before).alias("q"))
-    variants = written(cut.select("id", "first", F.xxhash64("outside", _without("once", F.col("q"))).alias("variant")), "block-variants")
-    many = written(variants.join(_shared(variants, "variant").select("variant"), "variant").distinct(), "block-variants-met")
-    return few.union(_earlier_pairs(many, "variant"))
+    cut = places.select("no", "outside", _without("inner", F.col("p")).alias("once"), F.explode(before).alias("q"))
+    variants = cut.select("no", F.xxhash64("outside", _without("once", F.col("q"))).alias("variant"))
+    common = variants.join(_shared(variants, ["variant"], "no", broadcast_rows).select("variant"), "variant").distinct()
+    many = written(common.join(lines, "no").select("id", "first", "variant"), "block-variants-met")
+    return _earlier_pairs(few, "outside").union(_earlier_pairs(many, "variant"))
+
+
+def _promising(two: DataFrame, broadcast_rows: int) -> DataFrame:
+    """Of the lines that are equal to others outside two blocks those of which either block
+    stands in another such line as well, or is within an edit of what stands in any
+    line's block: all others have no partner. Each different content is looked at once."""
+    sides = two.select("no", "d", "s", "outside", F.posexplode(F.array(F.xxhash64("inner"), F.xxhash64("inner2"))).alias("side", "content"))
+    twice = _shared(sides, ["outside", "side", "content"], "no", broadcast_rows).select("outside", "side", "content", F.lit(True).alias("twice"))
+    contents = two.select(F.explode(F.array("inner", "inner2")).alias("text")).distinct()
+    cut = contents.select("text", F.explode(F.sequence(F.lit(0), F.char_length("text"))).alias("p"))
+    variants = cut.select(F.xxhash64("text").alias("content"), F.xxhash64(_without("text", F.col("p"))).alias("variant")).distinct()
+    near = variants.join(_shared(variants, ["variant"], "content", broadcast_rows).select("variant"), "variant").select("content").distinct()
+    near = written(near.select("content", F.lit(True).alias("near")), "block-contents")
+    near = F.broadcast(near) if near.count() <= broadcast_rows else near.hint("merge")
+    good = sides.join(twice, ["outside", "side", "content"], "left").join(near, "content", "left").where("twice OR near")
+    both = good.groupBy("no", "d", "s", "outside").agg(F.count(F.lit(1)).alias("sides")).where("sides = 2").drop("sides")
+    kept = written(two.drop("n").join(both, ["no", "d", "s", "outside"]), "block-promising")
+    return kept.join(_shared(kept, ["outside"], "no", broadcast_rows).drop("n"), "outside")
 
 
 def _tokens(rows: DataFrame, inner: str, longer: Column) -> DataFrame:
@@ -245,33 +266,36 @@ def _tokens(rows: DataFrame, inner: str, longer: Column) -> DataFrame:
         token(0, x | (longer == 0), p, F.col("cut")),
         token(1, F.when(x, p == 0).otherwise((longer == 1) & (p > 0)), F.col("cut")),
         token(-1, F.when(x, p > 0).otherwise((longer == -1) & (p == 0)), F.col("cut")))
-    return placed.select("id", "first", "x", "d", "s", "outside", F.inline(F.array_compact(each))).distinct()
+    return placed.select("no", "x", "d", "s", "outside", F.inline(F.array_compact(each))).distinct()
 
 
-def _two_blocks(met: DataFrame) -> DataFrame:
+def _two_blocks(met: DataFrame, lines: DataFrame, broadcast_rows: int) -> DataFrame:
     """``(id, other)`` for lines that are equal outside two blocks with an edit in each;
     ``other`` is the earliest one, for each way in which the blocks agree."""
-    two = met.where("two").withColumn("x", (F.col("d") == 0) & (F.col("s") == 0))
+    two = _promising(met.where("two"), broadcast_rows).withColumn("x", (F.col("d") == 0) & (F.col("s") == 0))
+    two = written(two, "block-twos")
     sides = []
     for name, inner, longer in (("1", "inner", F.col("s")), ("2", "inner2", F.col("d") - F.col("s"))):
-        tokens = written(_tokens(two, inner, longer), "block-tokens")
-        met_tokens = tokens.join(_shared(tokens, "outside", "token").drop("n"), ["outside", "token"])
-        sides.append(met_tokens.withColumnsRenamed({"how": "how" + name, "token": "token" + name}))
+        tokens = _tokens(two, inner, longer)
+        common = _shared(tokens, ["outside", "token"], "no", broadcast_rows).drop("n")
+        sides.append(written(tokens.join(common, ["outside", "token"]), "block-tokens").withColumnsRenamed(
+            {"how": "how" + name, "token": "token" + name}))
     left, right = sides
     # of a line's tokens in the one block and the other, those that may go together
-    way = ["id", "first", "x", "d", "s", "outside"]
+    way = ["no", "x", "d", "s", "outside"]
     allowed = F.when(F.col("x"), (F.col("how1") + F.col("how2")).between(0, 2)).otherwise(
         (F.col("how1") == F.col("s")) & (F.col("how2") == F.col("d") - F.col("s")))
-    at = [F.col("l." + c) == F.col("r." + c) for c in way if c != "first"]
-    both = left.alias("l").join(right.alias("r").hint("merge"), at).select(*[F.col("l." + c).alias(c) for c in way], "how1", "token1", "how2", "token2")
-    group = ["outside", "how1", "token1", "how2", "token2"]
-    both = written(both.where(allowed), "block-pairs")
+    both = left.join(right.hint("merge"), way).where(allowed).select("no", "x", "outside", "how1", "token1", "how2", "token2")
+    group = F.xxhash64("outside", "how1", "token1", "how2", "token2")
     equal = (F.col("how1") == 0) & (F.col("how2") == 0)      # then either line is the shorter one
+    both = both.select("no", "x", equal.alias("equal"), group.alias("agreed"))
+    both = both.join(_shared(both, ["agreed"], "no", broadcast_rows).drop("n"), "agreed")
+    both = written(both.join(lines, "no").select("id", "first", "x", "equal", "agreed"), "block-pairs")
     earliest = F.struct("first", "id")
-    best = both.groupBy(*group).agg(F.min(F.when(F.col("x"), earliest)).alias("x_best"),
-                                    F.min(F.when(~F.col("x") | equal, earliest)).alias("y_best"))
+    best = both.groupBy("agreed").agg(F.min(F.when(F.col("x"), earliest)).alias("x_best"),
+                                      F.min(F.when(~F.col("x") | F.col("equal"), earliest)).alias("y_best"))
     other = F.when(F.col("x"), F.col("y_best")).otherwise(F.col("x_best"))
-    found = both.join(best, group).select("id", "first", other.alias("other"))
+    found = both.join(best, "agreed").select("id", "first", other.alias("other"))
     return found.where(F.col("other.first") < F.col("first")).select("id", F.col("other.id").alias("other"))
 
 
@@ -287,9 +311,11 @@ def _further(docs: DataFrame, row: Column, distinct: DataFrame, near: DataFrame,
     crowded = at.groupBy("key").count().where(F.col("count") > CROWD).select("key")
     if edits == 2 and not (crowded := written(crowded, "crowded-parts")).isEmpty():
         lines = at.join(crowded, "key", "left_semi").select("id").distinct().join(candidates.select("id", "first", "line"), "id")
-        ways = _outsides(written(lines, "crowded-lines"))
-        met = written(ways.join(_shared(ways, "outside"), "outside"), "block-ways")
-        pairs = _earlier_pairs(at.join(crowded, "key", "left_anti"), "key").union(_one_block(met)).union(_two_blocks(met))
+        lines = written(lines.withColumn("no", F.monotonically_increasing_id()), "crowded-lines")   # a short name for each
+        ways, names = _outsides(lines), lines.select("no", "id", "first")
+        met = written(ways.join(_shared(ways, ["outside"], "no", broadcast_rows), "outside"), "block-ways")
+        pairs = _earlier_pairs(at.join(crowded, "key", "left_anti"), "key").union(
+            _one_block(met, names, broadcast_rows)).union(_two_blocks(met, names, broadcast_rows))
     else:
         pairs = _earlier_pairs(at, "key")
     pairs = pairs.join(_small(near, broadcast_rows), "id", "left_anti").distinct()
