@@ -230,37 +230,24 @@ def _one_block(met: DataFrame, lines: DataFrame, broadcast_rows: int) -> DataFra
     return _earlier_pairs(few, "outside").union(_earlier_pairs(many, "variant"))
 
 
-def _promising(two: DataFrame, broadcast_rows: int) -> DataFrame:
-    """Of the lines that are equal to others outside two blocks those of which either block
-    stands in another such line as well, or is within an edit of what stands in any
-    line's block: all others have no partner. Each different content is looked at once."""
-    sides = two.select("no", "d", "s", "outside", F.posexplode(F.array(F.xxhash64("inner"), F.xxhash64("inner2"))).alias("side", "content"))
-    twice = _shared(sides, ["outside", "side", "content"], "no", broadcast_rows).select("outside", "side", "content", F.lit(True).alias("twice"))
-    contents = two.select(F.explode(F.array("inner", "inner2")).alias("text")).distinct()
-    cut = contents.select("text", F.explode(F.sequence(F.lit(0), F.char_length("text"))).alias("p"))
-    variants = cut.select(F.xxhash64("text").alias("content"), F.xxhash64(_without("text", F.col("p"))).alias("variant")).distinct()
-    near = variants.join(_shared(variants, ["variant"], "content", broadcast_rows).select("variant"), "variant").select("content").distinct()
-    near = written(near.select("content", F.lit(True).alias("near")), "block-contents")
-    near = F.broadcast(near) if near.count() <= broadcast_rows else near.hint("merge")
-    good = sides.join(twice, ["outside", "side", "content"], "left").join(near, "content", "left").where("twice OR near")
-    both = good.groupBy("no", "d", "s", "outside").agg(F.count(F.lit(1)).alias("sides")).where("sides = 2").drop("sides")
-    kept = written(two.drop("n").join(both, ["no", "d", "s", "outside"]), "block-promising")
-    return kept.join(_shared(kept, ["outside"], "no", broadcast_rows).drop("n"), "outside")
-
-
 def _tokens(rows: DataFrame, inner: str, longer: Column) -> DataFrame:
-    """``rows`` with ``(how, token)``: what a block has in common with one within an edit.
+    """``rows`` with ``(how, token, of)``: what a block has in common with one within an edit.
 
     ``how`` is what the other line's block is longer by. Blocks of one length (0) agree in
     the place that is left out and in the rest; otherwise the longer one without a
     character is the shorter one as it is. ``longer`` tells which a row's block is; the
-    shorter line of a pair (``x``) stands ready for all three."""
+    shorter line of a pair (``x``) stands ready for all three. ``of`` tells whose the token
+    is, so that another's can be told from it: that of an equal block the line's, any other
+    the content's (lines with one content share its variants, which says nothing more)."""
     p, x = F.col("p"), F.col("x")
     placed = rows.select("*", F.explode(F.sequence(F.lit(0), F.char_length(inner))).alias("p"))
     placed = placed.withColumn("cut", _without(inner, p))
 
-    def token(how: int, when: Column, *of: Column) -> Column:
-        return F.when(when, F.struct(F.lit(how).alias("how"), F.xxhash64(F.lit(how), *of).alias("token")))
+    content = F.xxhash64(inner)
+
+    def token(how: int, when: Column, *parts: Column) -> Column:
+        of = F.when(p == 0, F.col("no")).otherwise(content) if how == 0 else content
+        return F.when(when, F.struct(F.lit(how).alias("how"), F.xxhash64(F.lit(how), *parts).alias("token"), of.alias("of")))
 
     each = F.array(
         token(0, x | (longer == 0), p, F.col("cut")),
@@ -272,13 +259,12 @@ def _tokens(rows: DataFrame, inner: str, longer: Column) -> DataFrame:
 def _two_blocks(met: DataFrame, lines: DataFrame, broadcast_rows: int) -> DataFrame:
     """``(id, other)`` for lines that are equal outside two blocks with an edit in each;
     ``other`` is the earliest one, for each way in which the blocks agree."""
-    two = _promising(met.where("two"), broadcast_rows).withColumn("x", (F.col("d") == 0) & (F.col("s") == 0))
-    two = written(two, "block-twos")
+    two = met.where("two").drop("n").withColumn("x", (F.col("d") == 0) & (F.col("s") == 0))
     sides = []
     for name, inner, longer in (("1", "inner", F.col("s")), ("2", "inner2", F.col("d") - F.col("s"))):
         tokens = _tokens(two, inner, longer)
-        common = _shared(tokens, ["outside", "token"], "no", broadcast_rows).drop("n")
-        sides.append(written(tokens.join(common, ["outside", "token"]), "block-tokens").withColumnsRenamed(
+        common = _shared(tokens, ["outside", "token"], "of", broadcast_rows).drop("n")
+        sides.append(written(tokens.drop("of").join(common, ["outside", "token"]), "block-tokens").withColumnsRenamed(
             {"how": "how" + name, "token": "token" + name}))
     left, right = sides
     # of a line's tokens in the one block and the other, those that may go together
