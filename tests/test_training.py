@@ -1,7 +1,9 @@
 import pytest
 from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import functions as F
 
 from conftest import SF01
+from textflow.operators import training
 from textflow.operators.training import (
     ModelResult,
     ModelSpec,
@@ -128,3 +130,24 @@ def test_quick_preset_samples_and_caps(spark, labelled):
     # 10% keyed sample of ~400 rows, then capped at 30 rows
     assert outcome.profile["total_rows"] == 30
     assert outcome.results[0].metrics["n_rows"] == outcome.split_sizes["eval"]
+
+
+@pytest.mark.parametrize("mode", ["keyed", "random"])
+def test_rows_of_a_training_task_follow_their_number_not_the_files(spark, monkeypatch, mode):
+    """A forest holds a bin number for every feature of a row: one partition of many rows
+    became a task of gigabytes."""
+    seen = {}
+
+    class Seen(LogisticRegression):
+        def fit(self, dataset, params=None):
+            seen["parts"] = [r["n"] for r in dataset.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(training, "TASK_BYTES", 64 * 256 * 4, raising=False)
+    rows = spark.range(0, 400, 1, 1).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS label", "concat('w', id % 7, ' v', id % 2) AS text")
+    cfg = TrainConfig(num_features=256, min_doc_freq=1, split_mode=mode)
+    outcome = Trainer(cfg, [ModelSpec("LR", lambda: Seen(maxIter=2))]).fit(rows)
+    assert outcome.profile["total_rows"] == 400 and sum(seen["parts"]) == outcome.split_sizes["train"]
+    assert max(seen["parts"]) <= 64
+    assert training.feature_partitions(0, 256) == training.feature_partitions(64, 256) == 1
+    assert training.feature_partitions(65, 256) == 2
