@@ -1,3 +1,6 @@
+import math
+
+import pytest
 from pyspark.ml.feature import HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
@@ -91,3 +94,25 @@ def test_tokenize_fuzz_matches_ml_tokenizer(spark):
     finally:
         spark.conf.set("spark.sql.icu.caseMappings.enabled", previous)
     assert not bad, [texts[r["id"]] for r in bad[:5]]
+
+
+def test_term_counts_take_rows_of_one_id_as_one_document(spark):
+    rows = [(1, "q b b"), (2, "b c"), (2, "b d  d"), (None, "q e"), (None, "e"), (3, ""), (4, None), (5, "   ")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    tf = feat.term_frequencies(docs).groupBy("term").agg(F.sum("tf").alias("o"), F.count(F.lit(1)).alias("d"))
+    want = {r["term"]: (r["o"], r["d"]) for r in tf.collect()}
+    counts = feat.corpus_term_counts(docs)
+    assert {r["term"]: (r["n_occurrences"], r["n_docs"]) for r in counts.collect()} == want
+    assert want["b"] == (4, 2) and want["e"] == (2, 1) and want[""] == (2, 2)
+    assert counts.dtypes == [("term", "string"), ("n_occurrences", "bigint"), ("n_docs", "bigint")]
+    # documents with a text: 1, 2, null, 3, 5
+    idf = {r["term"]: (r["df"], r["idf"]) for r in feat.idf_table(docs, 1).collect()}
+    assert idf["q"] == (2, pytest.approx(math.log(6 / 3))) and {t: d for t, (d, _) in idf.items()} == {t: d for t, (_, d) in want.items()}
+
+
+def test_terms_of_unshared_ids_are_counted_before_the_shuffle(spark):
+    """They were shuffled by (id, term), a row for each document and term."""
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat('x y ', id) AS text")
+    for counts in (feat.corpus_term_counts(docs), feat.idf_table(docs, 1)):
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(term" in plan and "hashpartitioning(doc_id" not in plan

@@ -135,12 +135,37 @@ def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return _marked_tf(docs, id_col, text_col).where(F.col("term").isNotNull())
 
 
+def _marked_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(term, n_occurrences, n_docs)`` and a row of the null term, whose ``n_docs`` is the
+    number of documents (rows of one id are one document).
+
+    A row whose id no other has is a document by itself: its terms and its distinct terms
+    are counted per task before the shuffle, which then carries a task's vocabulary and
+    not a row for each document and term. Only rows that share an id are put together by
+    ``(id, term)`` first; whether there are any is found from the ids alone (one job)."""
+    texts = docs.where(F.col(text_col).isNotNull())
+    shared = texts.groupBy(F.col(id_col).alias("__id")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__id")
+    any_shared = not shared.isEmpty()
+    same = docs[id_col].eqNullSafe(shared["__id"])
+    terms = doc_terms(docs.join(shared, same, "left_anti") if any_shared else docs, id_col, text_col)
+
+    def part(term, occurrences: int, documents: int):
+        return F.struct(term.alias("term"), F.lit(occurrences).cast("long").alias("n_occurrences"),
+                        F.lit(documents).cast("long").alias("n_docs"))
+
+    parts = F.concat(F.array(part(F.lit(None).cast("string"), 0, 1)),
+                     F.transform(F.array_distinct("terms"), lambda t: part(t, 0, 1)),
+                     F.transform("terms", lambda t: part(t, 1, 0)))
+    rows = terms.select(F.explode_outer(parts).alias("p")).select("p.*")   # outer: see _marked_tf
+    if any_shared:
+        tf = _marked_tf(docs.join(shared, same, "left_semi"), id_col, text_col)
+        rows = rows.union(tf.select("term", "tf", F.lit(1).cast("long")))
+    return rows.groupBy("term").agg(F.sum("n_occurrences").alias("n_occurrences"), F.sum("n_docs").alias("n_docs"))
+
+
 def corpus_term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(term, n_occurrences, n_docs)`` over the whole corpus."""
-    tf = term_frequencies(docs, id_col, text_col)
-    return tf.groupBy("term").agg(
-        F.sum("tf").alias("n_occurrences"), F.count(F.lit(1)).alias("n_docs")
-    )
+    return _real_terms(_marked_counts(docs, id_col, text_col), "n_docs")
 
 
 def _real_terms(df: DataFrame, count_col: str) -> DataFrame:
@@ -159,7 +184,11 @@ def _idf_from_marked(marked: DataFrame, min_doc_freq: int, n_docs: int | None =
     # count_if(tf > 0) equals count(*) (tf >= 1) but keeps the tf column alive
     # (count(tf) would be rewritten to count(1) and tf pruned), so this branch
     # and a join back to the term frequencies share one shuffle (ReusedExchange)
-    freq = marked.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    return _idf_weights(marked.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df")), min_doc_freq, n_docs)
+
+
+def _idf_weights(freq: DataFrame, min_doc_freq: int, n_docs: int | None = None) -> DataFrame:
+    """``(term, df, idf)`` from ``(term, df)`` with the marker row."""
     if n_docs is None:
         # the marker row's frequency, as a filter-free scalar subquery over the
         # same (reused) aggregate
@@ -176,7 +205,8 @@ def idf_table(docs: DataFrame, min_doc_freq: int = 5, id_col: str = "doc_id",
               text_col: str = "text", n_docs: int | None = None) -> DataFrame:
     """``(term, df, idf)`` with Spark ML's ``ln((n+1)/(df+1))``, 0 below
     ``min_doc_freq``; ``n`` counts every document with non-null text."""
-    return _idf_from_marked(_marked_tf(docs, id_col, text_col), min_doc_freq, n_docs)
+    counts = _marked_counts(docs, id_col, text_col)
+    return _idf_weights(counts.select("term", F.col("n_docs").alias("df")), min_doc_freq, n_docs)
 
 
 def tfidf(docs: DataFrame, min_doc_freq: int = 5, id_col: str = "doc_id",

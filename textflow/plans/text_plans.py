@@ -268,7 +268,10 @@ def q_bucket_frequencies(spark, sf_dir):
     # a row for each of the 2^15 buckets
     model = spark.createDataFrame([(k, int(n)) for k, n in enumerate(fitted.docFreq)], "bucket int, fitted_df long")
     buckets = feat.bucket_frequencies(hashed).join(model, "bucket").withColumnRenamed("df", "bucket_df")
-    terms = feat.corpus_term_counts(table(spark, sf_dir, "documents")).select("term", "n_docs")
+    # read by two branches below, which would each tokenise the corpus: a row for each term
+    counted = scratch_path(spark, "terms")
+    feat.corpus_term_counts(table(spark, sf_dir, "documents")).select("term", "n_docs").write.parquet(counted)
+    terms = spark.read.parquet(counted)
     shared = feat.bucket_collisions(terms)
     told = feat.term_buckets(terms).join(shared, "bucket").join(buckets, "bucket")
     kept = F.when(F.col("bucket_df") >= MIN_DOC_FREQ, F.col("bucket_df")).otherwise(0)   # the model holds 0 below it
