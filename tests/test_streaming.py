@@ -9,7 +9,7 @@ from textflow.operators.monitor import active_streams, predictions_by_date, rece
 from textflow.sources.predictions import read_predictions
 from textflow.sources.stream import kafka_source_options
 from textflow.streaming.scorers import PythonModelScorer, TextLengthModel
-from textflow.streaming.serving import BatchScorer, NoModelError, ServingConfig, build_stream, utc_date
+from textflow.streaming.serving import ARROW_BYTES, BatchScorer, NoModelError, ServingConfig, build_stream, utc_date
 from textflow.streaming.sinks import kafka_sink_options
 
 
@@ -357,3 +357,21 @@ def test_compact_date_without_rows(spark, tmp_dir):
     write_predictions(rows, f"{tmp_dir}/p")
     assert compact_date(spark, f"{tmp_dir}/p", "2024-02-02") == 0
     assert read_predictions(spark, f"{tmp_dir}/p").count() == 5
+
+
+def test_rows_sent_to_a_python_worker_are_bounded_by_bytes(spark, tmp_dir):
+    """10,000 rows went at once, however long their texts."""
+    class BatchLength:
+        def predict(self, pdf):
+            return [len(pdf)] * len(pdf)
+
+    src = os.path.join(tmp_dir, "in")
+    spark.createDataFrame([("x" * 1000,)] * 300, "text string").coalesce(1).write.text(src)
+    cfg = _cfg(tmp_dir, input_path=src, file_format="text", schema=None, arrow_batch_bytes=20_000)
+    handler = BatchScorer(cfg)
+    handler.holder.set(PythonModelScorer(BatchLength()), "v1", None)
+    before = spark.conf.get(ARROW_BYTES)
+    _run(spark, cfg, handler)
+    sizes = [r["prediction"] for r in read_predictions(spark, cfg.output_path).select("prediction").collect()]
+    assert len(sizes) == 300 and max(sizes) <= 40
+    assert spark.conf.get(ARROW_BYTES) == before
